@@ -10,6 +10,7 @@ reproduces the former; ``half_even_round`` reproduces the notebook
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -94,11 +95,19 @@ def trunc_ts(col, unit: str) -> Column:
     raise ValueError(f"unsupported unit {unit!r}")
 
 
-def to_fact_value(col) -> Column:
-    """NaN/infinity -> NULL, then DECIMAL(12,4) (half-up; overflow raises under ANSI)."""
+def to_fact_value(col, scale: int = 4, precision: int = 12) -> Column:
+    """NaN/infinity -> NULL, then DECIMAL(12,4).
+
+    The warehouse narrows a double by rounding ``x * 10^scale`` to an integer
+    (ties away from zero) and scaling back exactly; Spark's own double ->
+    decimal cast would round the double's shortest decimal text instead,
+    which differs for values such as 1709.76275. Overflow raises (ANSI).
+    """
     c = _c(col).cast("double")
     bad = F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
-    return F.when(bad, F.lit(None)).otherwise(c).cast("decimal(12,4)")
+    units = F.round(c * F.lit(float(10**scale)), 0).cast(f"decimal({precision + 6},0)")
+    exact = units * F.lit(Decimal(1).scaleb(-scale))
+    return F.when(bad, F.lit(None)).otherwise(exact).cast(f"decimal({precision},{scale})")
 
 
 def normalise_station(col) -> Column:

@@ -441,3 +441,367 @@ def _join(preamble: str, body: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {k: _join(p, b) for k, (p, b) in _BODIES.items()}
+
+
+# --------------------------------------------------------------------------
+# Staged / normalised layers derived from events, load and profiling
+# --------------------------------------------------------------------------
+
+_EVENT_METRICS = ["wind_speed", "wind_direction", "no2", "o3", "pm10"]
+_NATIONS = range(25)  # TPC-H nation keys 0..24
+_WIDE_COLS = [f"station_{k}_{m}" for k in _NATIONS for m in _EVENT_METRICS]
+_UNIT_M = _UNIT.replace("CASE metric", "CASE m.metric")
+
+_WIDE = ",\n".join(
+    f"  MAX(CASE WHEN nation = {k} AND metric = '{m}' THEN value END) AS station_{k}_{m}"
+    for k in _NATIONS
+    for m in _EVENT_METRICS
+)
+
+STAGED = EVENTS.rstrip() + f""",
+hl AS (
+  SELECT date_trunc('hour', f.timestamp) AS datetime, CAST(c.c_nationkey AS BIGINT) AS nation, f.metric, f.value
+  FROM fact f JOIN customer c ON CAST(c.c_custkey AS INTEGER) = f.station_fk
+),
+agg AS (SELECT datetime, nation, metric, MAX(value) AS value FROM hl GROUP BY datetime, nation, metric),
+hours AS (SELECT DISTINCT datetime FROM hl),
+cols AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS station_pk, m.metric
+  FROM nation CROSS JOIN (VALUES ('wind_speed'), ('wind_direction'), ('no2'), ('o3'), ('pm10')) AS m(metric)
+),
+melted AS (
+  SELECT h.datetime, c.station_pk, c.metric, a.value
+  FROM hours h CROSS JOIN cols c
+  LEFT JOIN agg a ON a.datetime = h.datetime AND a.nation = c.station_pk AND a.metric = c.metric
+),
+stations AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS station_pk, 'NA' || lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS station_code,
+         n_name AS station_name, 'AQM' AS location_type
+  FROM nation
+),
+tall AS (
+  SELECT m.datetime, m.station_pk, s.station_code, s.station_name, s.location_type, m.metric,
+         {_UNIT_M} AS unit, m.value,
+         CASE WHEN m.value IS NULL THEN 'NODATA' ELSE 'VALID' END AS quality_flag,
+         CASE WHEN m.metric IN ('wind_speed', 'wind_direction') THEN 'wind' ELSE 'air_quality' END AS source,
+         'staged_week_' || lpad(CAST(weekofyear(m.datetime) AS VARCHAR), 2, '0') || '_normalised.parquet' AS file
+  FROM melted m LEFT JOIN stations s ON m.station_pk = s.station_pk
+),
+wide AS (
+  SELECT datetime,
+{_WIDE}
+  FROM hl GROUP BY datetime
+),
+wf AS (
+  SELECT *, 'staged_week_' || lpad(CAST(weekofyear(datetime) AS VARCHAR), 2, '0') || '.parquet' AS file FROM wide
+)
+"""
+
+
+def _half_even(expr: str, digits: int) -> str:
+    scale = float(10**digits)
+    return f"(round_even(({expr}) * {scale}, 0) / {scale})"
+
+
+def _pct_even(num: str, den: str, digits: int = 2) -> str:
+    return (
+        f"CASE WHEN {den} = 0 THEN 0.0 ELSE "
+        + _half_even(f"CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) * 100.0", digits)
+        + " END"
+    )
+
+
+_ALL_WIDE = ["datetime"] + _WIDE_COLS
+_ANY_NULL = " OR ".join(f"{c} IS NULL" for c in _ALL_WIDE)
+
+E1 = f""",
+per_row AS (
+  SELECT file, COUNT(*) AS n, MAX(CASE WHEN {_ANY_NULL} THEN 1 ELSE 0 END) AS has_null
+  FROM wf GROUP BY file, {", ".join(_ALL_WIDE)}
+)
+SELECT file, CAST(SUM(n) AS BIGINT) AS rows, {len(_ALL_WIDE)} AS columns,
+       CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows,
+       CAST(SUM(CASE WHEN has_null = 1 THEN n ELSE 0 END) AS BIGINT) AS rows_with_nulls,
+       {_pct_even("SUM(CASE WHEN has_null = 1 THEN n ELSE 0 END)", "SUM(n)")} AS pct_rows_with_nulls
+FROM per_row GROUP BY file
+"""
+
+E5 = ",\nmiss AS (\n" + "\nUNION ALL\n".join(
+    f"  SELECT '{c}' AS \"column\", AVG(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS m FROM wide" for c in _ALL_WIDE
+) + f"\n)\nSELECT \"column\", COALESCE({_half_even('CAST(m AS DOUBLE) * 100.0', 2)}, 0.0) AS pct_missing FROM miss\n"
+
+_LI_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+               "l_discount", "l_tax"]
+E6 = "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column, CAST(COUNT({c}) AS DOUBLE) AS count,
+  ROUND(AVG(CAST({c} AS DOUBLE)), 6) AS mean, ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 6) AS std,
+  ROUND(MIN(CAST({c} AS DOUBLE)), 6) AS "min",
+  ROUND(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS p25,
+  ROUND(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS p50,
+  ROUND(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS p75,
+  ROUND(MAX(CAST({c} AS DOUBLE)), 6) AS "max"
+FROM lineitem"""
+    for c in _LI_NUMERIC
+)
+
+_TEXT = f"""
+WITH t AS (
+  SELECT 'events_' || event_type || '.xlsx' AS file, CAST(user_id AS BIGINT) AS station_pk,
+         CASE event_type WHEN 'view' THEN 'wind_speed' WHEN 'error' THEN 'wind_direction'
+              WHEN 'click' THEN 'no2' WHEN 'signup' THEN 'o3' WHEN 'purchase' THEN 'pm10' END AS metric,
+         strftime(ts, '%-d/%-m/%Y %-H:%M') AS datetime_text,
+         CASE WHEN value < 5.0 THEN '<Samp' ELSE CAST(value AS VARCHAR) END AS value_text
+  FROM events
+),
+c AS (
+  SELECT file, station_pk, metric, try_strptime(datetime_text, '%d/%m/%Y %H:%M') AS datetime,
+         CASE WHEN value_text IN ('NoData', 'InVld', '<Samp', 'Down', 'RS232', 'Zero', 'Calib', '', ' ', 'NaN')
+              THEN NULL ELSE TRY_CAST(value_text AS DOUBLE) END AS v0
+  FROM t
+),
+clean AS (
+  SELECT file, datetime, station_pk, metric,
+         CASE WHEN isnan(v0) THEN NULL
+              WHEN metric = 'wind_speed' AND v0 < 0 THEN NULL
+              WHEN metric = 'wind_direction' AND (v0 < 0 OR v0 > 360) THEN NULL
+              ELSE v0 END AS value
+  FROM c WHERE datetime IS NOT NULL
+),
+vr AS (
+  SELECT * FROM (VALUES ('wind_direction', CAST(0 AS DOUBLE), CAST(360 AS DOUBLE)),
+    ('wind_speed', CAST(0 AS DOUBLE), CAST(100 AS DOUBLE)), ('no2', CAST(0 AS DOUBLE), CAST(500 AS DOUBLE)),
+    ('o3', CAST(0 AS DOUBLE), CAST(400 AS DOUBLE)), ('pm10', CAST(0 AS DOUBLE), CAST(1000 AS DOUBLE)),
+    ('pm25', CAST(0 AS DOUBLE), CAST(500 AS DOUBLE)), ('so2', CAST(0 AS DOUBLE), CAST(350 AS DOUBLE))) AS r(metric, lo, hi)
+),
+tagged AS (
+  SELECT c.*, NULLIF(concat_ws(';',
+      CASE WHEN c.datetime IS NULL THEN 'missing_datetime' END,
+      CASE WHEN c.station_pk IS NULL THEN 'missing_station_pk' END,
+      CASE WHEN c.metric IS NULL THEN 'missing_metric' END,
+      CASE WHEN c.value IS NOT NULL AND vr.lo IS NOT NULL AND (c.value < vr.lo OR c.value > vr.hi)
+           THEN 'out_of_range' END), '') AS __error__
+  FROM clean c LEFT JOIN vr ON c.metric = vr.metric
+)
+"""
+
+_WH = LINEITEM.rstrip() + """,
+wh AS (SELECT station_fk, timestamp, metric, CAST(value AS DECIMAL(12,4)) AS value, unit, source, quality_flag FROM fact),
+cur AS (SELECT * FROM wh WHERE timestamp < TIMESTAMP '1999-01-01 00:00:00'),
+bat AS (SELECT * FROM wh WHERE timestamp >= TIMESTAMP '1998-01-01 00:00:00'),
+keyed AS (
+  SELECT *, row_number() OVER (ORDER BY station_fk NULLS LAST, timestamp NULLS LAST, metric NULLS LAST,
+         value NULLS LAST, unit NULLS LAST, source NULLS LAST, quality_flag NULLS LAST) AS measurement_pk
+  FROM wh
+),
+sup AS (
+  SELECT CAST(s_suppkey AS INTEGER) AS station_pk, 'ST' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS station_code,
+         s_name AS station_name, 'AQM' AS location_type, 'Monitoring site of ' || s_name AS description
+  FROM supplier
+)
+"""
+
+_EV_DIM_SUP = EVENTS.rstrip() + """,
+sup AS (
+  SELECT CAST(s_suppkey AS INTEGER) AS station_pk, 'ST' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS station_code,
+         s_name AS station_name, 'AQM' AS location_type, 'Monitoring site of ' || s_name AS description
+  FROM supplier
+),
+cur AS (
+  SELECT station_pk, station_code, station_name, location_type, description, TRUE AS is_active,
+         TIMESTAMP '2024-01-01 00:00:00' AS created_at, TIMESTAMP '2024-01-01 00:00:00' AS updated_at
+  FROM dim
+)
+"""
+
+_WCOLS = "station_fk, timestamp, metric, CAST(value AS DOUBLE) AS value, unit, source, quality_flag"
+_KEYMATCH = "b.timestamp = c.timestamp AND b.station_fk = c.station_fk AND b.metric = c.metric AND b.source = c.source"
+
+_MORE: dict[str, tuple[str, str]] = {
+    "p9_clean_text": (_TEXT, "SELECT file, datetime, station_pk, metric, value FROM clean"),
+    "p16_split_ok": (_TEXT, "SELECT file, datetime, station_pk, metric, value FROM tagged WHERE __error__ IS NULL"),
+    "p16_split_rejects": (_TEXT, "SELECT file, datetime, station_pk, metric, value, __error__ FROM tagged "
+                                 "WHERE __error__ IS NOT NULL"),
+    "p17_fact_value": (
+        "",
+        "SELECT l_orderkey, l_linenumber, "
+        "CAST(CAST(l_extendedprice / l_quantity AS DECIMAL(12,4)) AS DOUBLE) AS value FROM lineitem",
+    ),
+    "p18_valid_air_between": (
+        EVENTS,
+        "SELECT * FROM fact WHERE quality_flag = 'VALID' AND value IS NOT NULL AND source = 'air_quality' "
+        "AND metric IN ('no2', 'pm10') AND value BETWEEN 0 AND 500",
+    ),
+    "p19_recent": (
+        LINEITEM,
+        "SELECT * FROM fact WHERE timestamp >= "
+        "CAST((SELECT CAST(MAX(timestamp) AS DATE) FROM fact) - INTERVAL 30 DAY AS TIMESTAMP)",
+    ),
+    "p12_to_wide": (STAGED, "SELECT * FROM wide"),
+    "p13_melt": (STAGED, "SELECT datetime, station_pk, metric, value FROM melted"),
+    "p15_normalise": (
+        STAGED,
+        "SELECT datetime, station_pk, station_code, station_name, location_type, metric, unit, value, "
+        "quality_flag, source FROM tall",
+    ),
+    "j1_missing_metadata": (
+        STAGED, "SELECT COUNT(*) FILTER (WHERE station_code IS NULL) AS missing_metadata FROM tall"
+    ),
+    "j2_duplicate_station_keys": (
+        LINEITEM, "SELECT station_pk, COUNT(*) AS count FROM dim GROUP BY station_pk HAVING COUNT(*) > 1"
+    ),
+    "l1_merge_dim": (
+        _EV_DIM_SUP,
+        "SELECT * FROM sup UNION ALL "
+        "SELECT * FROM dim d WHERE NOT EXISTS (SELECT 1 FROM sup s WHERE s.station_pk = d.station_pk)",
+    ),
+    "l2_upsert_fact": (
+        _WH,
+        f"SELECT {_WCOLS} FROM (SELECT * FROM cur c WHERE NOT EXISTS (SELECT 1 FROM bat b WHERE {_KEYMATCH}) "
+        "UNION ALL SELECT * FROM bat)",
+    ),
+    "j6_replaced_rows": (
+        _WH, f"SELECT {_WCOLS} FROM cur c WHERE EXISTS (SELECT 1 FROM bat b WHERE {_KEYMATCH})"
+    ),
+    "u4_batch_keys": (_WH, "SELECT DISTINCT timestamp, station_fk, metric, source FROM bat"),
+    "l4_fact_load_stats": (
+        _WH,
+        f""", d AS (SELECT COUNT(*) AS deleted FROM cur c WHERE EXISTS (SELECT 1 FROM bat b WHERE {_KEYMATCH}))
+SELECT d.deleted, (SELECT COUNT(*) FROM bat) AS inserted,
+       (SELECT COUNT(*) FROM cur) - d.deleted + (SELECT COUNT(*) FROM bat) AS total
+FROM d""",
+    ),
+    "l7_replace_range": (
+        _WH,
+        f"SELECT {_WCOLS} FROM (SELECT * FROM cur WHERE NOT (timestamp BETWEEN (SELECT MIN(timestamp) FROM bat) "
+        "AND (SELECT MAX(timestamp) FROM bat)) OR timestamp IS NULL UNION ALL SELECT * FROM bat)",
+    ),
+    "l5_assign_keys": (_WH, f"SELECT {_WCOLS}, measurement_pk FROM keyed"),
+    "l6_seed_dim": (
+        LINEITEM,
+        "SELECT station_pk, station_code, station_name, location_type, description, TRUE AS is_active, "
+        "TIMESTAMP '2024-01-01 00:00:00' AS created_at, TIMESTAMP '2024-01-01 00:00:00' AS updated_at FROM dim",
+    ),
+    "l3_upsert_dim": (
+        _EV_DIM_SUP,
+        """SELECT COALESCE(c.station_pk, s.station_pk) AS station_pk,
+  CASE WHEN s.station_pk IS NOT NULL THEN s.station_code ELSE c.station_code END AS station_code,
+  CASE WHEN s.station_pk IS NOT NULL THEN s.station_name ELSE c.station_name END AS station_name,
+  CASE WHEN s.station_pk IS NOT NULL THEN s.location_type ELSE c.location_type END AS location_type,
+  CASE WHEN s.station_pk IS NOT NULL THEN s.description ELSE c.description END AS description,
+  CASE WHEN c.station_pk IS NULL THEN TRUE ELSE c.is_active END AS is_active,
+  CASE WHEN c.station_pk IS NULL THEN TIMESTAMP '2024-02-01 00:00:00' ELSE c.created_at END AS created_at,
+  CASE WHEN s.station_pk IS NOT NULL THEN TIMESTAMP '2024-02-01 00:00:00' ELSE c.updated_at END AS updated_at,
+  CASE WHEN c.station_pk IS NOT NULL AND s.station_pk IS NOT NULL THEN 'updated'
+       WHEN s.station_pk IS NOT NULL THEN 'inserted' ELSE 'unchanged' END AS __change
+FROM cur c FULL OUTER JOIN sup s ON c.station_pk = s.station_pk""",
+    ),
+    "v1_measurements": (
+        _WH,
+        "SELECT k.measurement_pk, s.station_code, s.station_name, k.timestamp, k.metric, "
+        "CAST(k.value AS DOUBLE) AS value, k.unit, k.source, k.quality_flag, "
+        "TIMESTAMP '2024-01-01 00:00:00' AS created_at FROM keyed k JOIN dim s ON k.station_fk = s.station_pk",
+    ),
+    "e1_file_overview": (STAGED, E1),
+    "e2_wide_coverage": (
+        STAGED,
+        f"""SELECT g.*, s.station_code, s.station_name FROM (
+  SELECT 'staged_week_' || lpad(CAST(weekofyear(datetime) AS VARCHAR), 2, '0') || '.parquet' AS file,
+         station_pk, metric, COUNT(value) AS non_null_points, COUNT(*) AS total_rows,
+         {_pct_even("COUNT(value)", "COUNT(*)")} AS pct_non_null
+  FROM melted GROUP BY 1, station_pk, metric) g LEFT JOIN stations s ON g.station_pk = s.station_pk""",
+    ),
+    "e3_unmapped_stations": (
+        LINEITEM,
+        "SELECT DISTINCT CAST(station_fk AS BIGINT) AS station_pk FROM fact f "
+        "WHERE NOT EXISTS (SELECT 1 FROM dim s WHERE s.station_pk = f.station_fk)",
+    ),
+    "e4_completeness": (
+        STAGED,
+        f"SELECT station_pk, station_code, station_name, metric, COUNT(*) AS total_points, COUNT(value) AS non_null, "
+        f"{_pct_even('COUNT(value)', 'COUNT(*)')} AS pct_non_null FROM tall "
+        "GROUP BY station_pk, station_code, station_name, metric",
+    ),
+    "e5_missing_by_column": (STAGED, E5),
+    "e6_describe_numeric": ("", E6),
+    "e7_tall_overview": (
+        STAGED,
+        "SELECT file, COUNT(*) AS rows, COUNT(DISTINCT station_pk) AS stations, COUNT(DISTINCT metric) AS metrics, "
+        + _half_even("AVG(CASE WHEN quality_flag = 'VALID' THEN 1.0 ELSE 0.0 END) * 100.0", 2)
+        + " AS pct_valid, MIN(datetime) AS first_datetime, MAX(datetime) AS last_datetime FROM tall GROUP BY file",
+    ),
+    "e8_valid_coverage": (
+        STAGED,
+        f"""SELECT g.*, s.station_code, s.station_name FROM (
+  SELECT file, station_pk, metric, COUNT(*) AS total_points,
+         COUNT(*) FILTER (WHERE quality_flag = 'VALID') AS valid_points,
+         {_pct_even("COUNT(*) FILTER (WHERE quality_flag = 'VALID')", "COUNT(*)")} AS pct_valid
+  FROM tall GROUP BY file, station_pk, metric) g LEFT JOIN stations s ON g.station_pk = s.station_pk""",
+    ),
+    "e9_mean_pivot": (
+        STAGED,
+        "SELECT station_code, "
+        + ", ".join(f"{_half_even(f'AVG(value) FILTER (WHERE metric = {chr(39)}{m}{chr(39)})', 2)} AS {m}"
+                    for m in _EVENT_METRICS)
+        + " FROM tall GROUP BY station_code",
+    ),
+    "e10_nodata_rate": (
+        STAGED,
+        "SELECT station_code, metric, "
+        + _half_even("AVG(CASE WHEN quality_flag = 'NODATA' THEN 1.0 ELSE 0.0 END) * 100.0", 2)
+        + " AS pct_nodata FROM tall GROUP BY station_code, metric",
+    ),
+    "e11_pollutant_summary": (
+        STAGED,
+        "SELECT metric, COUNT(value) AS count, "
+        + _half_even("AVG(value)", 2) + " AS mean, "
+        + _half_even("STDDEV_SAMP(value)", 2) + " AS std, "
+        + _half_even("MIN(value)", 2) + " AS \"min\", "
+        + _half_even("MAX(value)", 2) + " AS \"max\", "
+        "COUNT(DISTINCT station_pk) AS stations, MIN(datetime) AS first_datetime, MAX(datetime) AS last_datetime "
+        "FROM tall GROUP BY metric",
+    ),
+    "e12_flag_counts": (
+        STAGED,
+        "SELECT quality_flag, COUNT(*) AS count, "
+        + _half_even("CAST(COUNT(*) AS DOUBLE) / CAST(SUM(COUNT(*)) OVER () AS DOUBLE) * 100.0", 1)
+        + " AS percentage FROM tall GROUP BY quality_flag",
+    ),
+    "e13_rows_by_pollutant_year": (
+        STAGED,
+        "SELECT metric AS pollutant, COUNT(*) FILTER (WHERE CAST(year(datetime) AS VARCHAR) = '2024') AS \"2024\" "
+        "FROM tall GROUP BY metric",
+    ),
+    "e13_mean_station_count": (
+        STAGED,
+        "SELECT pollutant, AVG(s) AS mean_stations FROM (SELECT metric AS pollutant, file, "
+        "COUNT(DISTINCT station_pk) AS s FROM tall GROUP BY metric, file) GROUP BY pollutant",
+    ),
+    "e14_missing_datasets": (
+        STAGED,
+        """, expected AS (
+  SELECT * FROM (VALUES ('no2', '2019'), ('o3', '2019'), ('pm10', '2019'), ('so2', '2019'),
+    ('no2', '2020'), ('o3', '2020'), ('pm10', '2020'), ('pm25', '2020'), ('so2', '2020'),
+    ('no2', '2021'), ('o3', '2021'), ('pm10', '2021'), ('pm25', '2021'), ('so2', '2021'),
+    ('no2', '2022'), ('o3', '2022'), ('pm10', '2022'), ('pm25', '2022'), ('so2', '2022')) AS e(pollutant, year)
+)
+SELECT e.pollutant, e.year FROM expected e WHERE NOT EXISTS (
+  SELECT 1 FROM tall t WHERE t.metric = e.pollutant AND CAST(year(t.datetime) AS VARCHAR) = e.year)""",
+    ),
+    "e15_station_overlap": (
+        LINEITEM,
+        "SELECT station_fk AS station_pk FROM fact WHERE source = 'wind' INTERSECT "
+        "SELECT station_fk AS station_pk FROM fact WHERE source = 'air_quality'",
+    ),
+    "e16_dim_profile": (
+        LINEITEM,
+        "SELECT COUNT(*) AS rows, COUNT(DISTINCT station_pk) AS distinct_keys, MIN(station_pk) AS min_key, "
+        "MAX(station_pk) AS max_key FROM dim",
+    ),
+    "u1_union_all": (
+        EVENTS,
+        "SELECT *, CAST(year(timestamp) AS VARCHAR) AS year FROM fact WHERE source = 'wind' "
+        "UNION ALL SELECT *, NULL AS year FROM fact WHERE source <> 'wind'",
+    ),
+}
+
+ORACLE_SQL.update({k: _join(p, b) for k, (p, b) in _MORE.items()})

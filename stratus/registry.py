@@ -12,10 +12,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from stratus import schemas
+from stratus.functions import to_fact_value
 from stratus.operators import analytics as B
+from stratus.operators import clean as P
+from stratus.operators import load as L
+from stratus.operators import profile as E
 from stratus.operators import quality as A
+from stratus.operators import tall as TL
 from stratus.operators import views as V
-from stratus.sources.drivertables import events_dim, events_fact, lineitem_dim, lineitem_fact
+from stratus.sources import reference
+from stratus.sources.drivertables import (
+    EVENT_METRIC_ORDER,
+    event_source,
+    events_dim,
+    events_fact,
+    events_hourly_long,
+    events_tall,
+    events_text,
+    events_wide,
+    lineitem_dim,
+    lineitem_fact,
+    nation_stations,
+    staged_column_names,
+    table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +117,171 @@ QUERIES: dict[str, Query] = {
 }
 
 
+# Fixed load times used by the load operators' registered forms (any literal
+# works; current-time columns are parameters, never compared).
+LOAD_TIME_0 = "2024-01-01 00:00:00"
+LOAD_TIME_1 = "2024-02-01 00:00:00"
+# Two deliveries of the line-item feed that overlap in 1998 (a re-delivery).
+FIRST_DELIVERY_END = "1999-01-01 00:00:00"
+SECOND_DELIVERY_START = "1998-01-01 00:00:00"
+
+
+def _ts(text: str):
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def _warehouse(spark, d):
+    """Line-item measurements as warehouse fact rows (DECIMAL(12,4) values)."""
+    f = lineitem_fact(spark, d)
+    return f.select(
+        "station_fk", "timestamp", "metric", to_fact_value(F.col("value")).alias("value"),
+        "unit", "source", "quality_flag",
+    )
+
+
+def _deliveries(spark, d):
+    w = _warehouse(spark, d)
+    return w.filter(F.col("timestamp") < _ts(FIRST_DELIVERY_END)), w.filter(
+        F.col("timestamp") >= _ts(SECOND_DELIVERY_START)
+    )
+
+
+def _double_value(df):
+    return df.withColumn("value", F.col("value").cast("double"))
+
+
+def _keyed(spark, d):
+    w = _warehouse(spark, d)
+    order = [F.asc_nulls_last(c) for c in w.columns]
+    return L.assign_keys(w, order, start=0)
+
+
+def _clean_text(spark, d):
+    t = events_text(spark, d)
+    t = t.withColumn("datetime", P.to_ts(F.col("datetime_text"), P.AIR_TS_FORMATS))
+    t = P.clean_values(t, "value_text", schemas.AIR_SENTINELS, "metric", P.WIND_RANGE_RULES)
+    return TL.drop_untimed(t).select("file", "datetime", "station_pk", "metric", "value")
+
+
+def _split(spark, d):
+    return P.split_valid(_clean_text(spark, d), reference.metric_ranges(spark))
+
+
+def _tall_with_files(spark, d):
+    t = events_tall(spark, d)
+    return t.withColumn("pollutant", F.col("metric")).withColumn("year", F.year("datetime").cast("string"))
+
+
+def _years(df, max_years: int = 1000):
+    rows = df.select("year").distinct().limit(max_years + 1).collect()
+    if len(rows) > max_years:
+        raise ValueError("too many years for a cross-tab")
+    return sorted(r[0] for r in rows if r[0] is not None)
+
+
+def _rows_by_pollutant_year(spark, d):
+    t = _tall_with_files(spark, d)
+    return E.rows_by_pollutant_year(t, _years(t))
+
+
+QUERIES.update(
+    {
+        # --- cleaning, staging and melt
+        "p9_clean_text": _clean_text,
+        "p16_split_ok": lambda spark, d: _split(spark, d)[0],
+        "p16_split_rejects": lambda spark, d: _split(spark, d)[1],
+        "p17_fact_value": lambda spark, d: table(spark, d, "lineitem").select(
+            "l_orderkey", "l_linenumber",
+            to_fact_value(F.col("l_extendedprice") / F.col("l_quantity")).cast("double").alias("value"),
+        ),
+        "p18_valid_air_between": _ev_fact(
+            lambda f: P.value_between(P.metrics_in(P.for_source(P.valid_only(f), "air_quality"), ["no2", "pm10"]), 0, 500)
+        ),
+        "p19_recent": _li_fact(lambda f: A.recent(f, 30, A.latest_date(f))),
+        "p12_to_wide": lambda spark, d: TL.to_wide(events_hourly_long(spark, d), staged_column_names(spark, d)),
+        "p13_melt": lambda spark, d: TL.melt(events_wide(spark, d)),
+        "p15_normalise": lambda spark, d: TL.normalise(events_wide(spark, d), nation_stations(spark, d), event_source()),
+        "j1_missing_metadata": lambda spark, d: TL.missing_metadata(
+            TL.normalise(events_wide(spark, d), nation_stations(spark, d), event_source())
+        ),
+        "j2_duplicate_station_keys": lambda spark, d: TL.duplicate_station_keys(lineitem_dim(spark, d)),
+        # --- load
+        "l1_merge_dim": lambda spark, d: L.merge_dim(
+            events_dim(spark, d),
+            table(spark, d, "supplier").select(
+                F.col("s_suppkey").cast("int").alias("station_pk"),
+                F.concat(F.lit("ST"), F.lpad(F.col("s_suppkey").cast("string"), 6, "0")).alias("station_code"),
+                F.col("s_name").alias("station_name"),
+                F.lit("AQM").alias("location_type"),
+                F.concat(F.lit("Monitoring site of "), F.col("s_name")).alias("description"),
+            ),
+        ),
+        "l2_upsert_fact": lambda spark, d: _double_value(L.upsert_fact(*_deliveries(spark, d))),
+        "j6_replaced_rows": lambda spark, d: _double_value(L.replaced_rows(*_deliveries(spark, d))),
+        "u4_batch_keys": lambda spark, d: L.batch_keys(_deliveries(spark, d)[1]),
+        "l4_fact_load_stats": lambda spark, d: L.fact_load_stats(*_deliveries(spark, d)),
+        "l7_replace_range": lambda spark, d: _double_value(L.replace_range(*_deliveries(spark, d))),
+        "l5_assign_keys": lambda spark, d: _double_value(_keyed(spark, d)),
+        "l6_seed_dim": lambda spark, d: L.seed_dim(lineitem_dim(spark, d), _ts(LOAD_TIME_0)).drop(
+            "latitude", "longitude", "elevation"
+        ),
+        "l3_upsert_dim": lambda spark, d: L.upsert_dim(
+            L.seed_dim(events_dim(spark, d), _ts(LOAD_TIME_0)),
+            table(spark, d, "supplier").select(
+                F.col("s_suppkey").cast("int").alias("station_pk"),
+                F.concat(F.lit("ST"), F.lpad(F.col("s_suppkey").cast("string"), 6, "0")).alias("station_code"),
+                F.col("s_name").alias("station_name"),
+                F.lit("AQM").alias("location_type"),
+                F.concat(F.lit("Monitoring site of "), F.col("s_name")).alias("description"),
+            ),
+            _ts(LOAD_TIME_1),
+        ).drop("latitude", "longitude", "elevation"),
+        "v1_measurements": lambda spark, d: _double_value(
+            V.v_measurements(_keyed(spark, d).withColumn("created_at", _ts(LOAD_TIME_0)), lineitem_dim(spark, d),
+                             ordered=False)
+        ),
+        # --- profiling
+        "e1_file_overview": lambda spark, d: E.file_overview(events_wide(spark, d, with_file=True)),
+        "e2_wide_coverage": lambda spark, d: E.wide_coverage(
+            events_wide(spark, d, with_file=True), nation_stations(spark, d)
+        ),
+        "e3_unmapped_stations": lambda spark, d: E.unmapped_stations(
+            lineitem_fact(spark, d).withColumnRenamed("station_fk", "station_pk"), lineitem_dim(spark, d)
+        ),
+        "e4_completeness": lambda spark, d: E.completeness(events_tall(spark, d)),
+        "e5_missing_by_column": lambda spark, d: E.missing_by_column(events_wide(spark, d)).select(
+            "column", "pct_missing"
+        ),
+        "e6_describe_numeric": lambda spark, d: E.describe_numeric(table(spark, d, "lineitem"), digits=6),
+        "e7_tall_overview": lambda spark, d: E.tall_overview(events_tall(spark, d)),
+        "e8_valid_coverage": lambda spark, d: E.valid_coverage(events_tall(spark, d), nation_stations(spark, d)),
+        "e9_mean_pivot": lambda spark, d: E.mean_pivot(events_tall(spark, d), EVENT_METRIC_ORDER),
+        "e10_nodata_rate": lambda spark, d: E.nodata_rate(events_tall(spark, d)),
+        "e11_pollutant_summary": lambda spark, d: E.pollutant_summary(events_tall(spark, d)),
+        "e12_flag_counts": lambda spark, d: E.flag_counts(events_tall(spark, d)),
+        "e13_rows_by_pollutant_year": _rows_by_pollutant_year,
+        "e13_mean_station_count": lambda spark, d: E.mean_station_count(_tall_with_files(spark, d)),
+        "e14_missing_datasets": lambda spark, d: E.missing_datasets(
+            _tall_with_files(spark, d),
+            spark.createDataFrame(schemas.EXPECTED_DATASETS, "pollutant string, year string"),
+        ),
+        "e15_station_overlap": _li_fact(
+            lambda f: E.station_overlap(
+                f.filter(F.col("source") == "wind").select(F.col("station_fk").alias("station_pk")),
+                f.filter(F.col("source") == "air_quality").select(F.col("station_fk").alias("station_pk")),
+            )
+        ),
+        "e16_dim_profile": lambda spark, d: E.dim_profile(lineitem_dim(spark, d)),
+        "u1_union_all": _ev_fact(
+            lambda f: E.union_all(
+                f.filter(F.col("source") == "wind").withColumn("year", F.year("timestamp").cast("string")),
+                f.filter(F.col("source") != "wind"),
+            )
+        ),
+    }
+)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V3, the data-quality summary per station x metric."""
     return QUERIES["v3_quality"](spark, sf_dir)

@@ -119,3 +119,93 @@ def events_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("AQM").alias("location_type"),
         F.concat(F.lit("Monitoring site of "), F.col("c_name")).alias("description"),
     )
+
+
+# --------------------------------------------------------------------------
+# Staged-layer inputs derived from ``events``
+# --------------------------------------------------------------------------
+
+EVENT_METRIC_ORDER = ["wind_speed", "wind_direction", "no2", "o3", "pm10"]
+
+
+def nation_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as stations (D4 columns); users are located in their nation."""
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return n.select(
+        F.col("n_nationkey").cast("long").alias("station_pk"),
+        F.concat(F.lit("NA"), F.lpad(F.col("n_nationkey").cast("string"), 6, "0")).alias("station_code"),
+        F.col("n_name").alias("station_name"),
+        F.lit("AQM").alias("location_type"),
+        F.concat(F.lit("Monitoring site of "), F.col("n_name")).alias("description"),
+    )
+
+
+def staged_column_names(spark: SparkSession, sf_dir: str, max_stations: int = 10_000) -> list[str]:
+    """``station_<pk>_<metric>`` for every nation and event metric.
+
+    The pivot needs its value list up front; it comes from the (bounded)
+    nation table, checked against ``max_stations`` before it is collected.
+    """
+    keys = table(spark, sf_dir, "nation").select("n_nationkey").limit(max_stations + 1).collect()
+    if len(keys) > max_stations:
+        raise ValueError("too many stations for a wide layout")
+    return [f"station_{k}_{m}" for k in sorted(r[0] for r in keys) for m in EVENT_METRIC_ORDER]
+
+
+def events_hourly_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(datetime, col_name, value): largest reading per hour, nation and metric."""
+    ev = events_fact(spark, sf_dir)
+    cust = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("int").alias("station_fk"), F.col("c_nationkey").alias("nation")
+    )
+    j = ev.join(cust, "station_fk", "inner")
+    return j.select(
+        F.make_timestamp_ntz(
+            F.year("timestamp"), F.month("timestamp"), F.dayofmonth("timestamp"), F.hour("timestamp"), F.lit(0), F.lit(0)
+        ).alias("datetime"),
+        F.concat(F.lit("station_"), F.col("nation").cast("string"), F.lit("_"), F.col("metric")).alias("col_name"),
+        "value",
+    )
+
+
+def events_wide(spark: SparkSession, sf_dir: str, with_file: bool = False) -> DataFrame:
+    """Staged wide layer: one row per hour, one column per nation x metric."""
+    from stratus.operators.tall import to_wide
+
+    wide = to_wide(events_hourly_long(spark, sf_dir), staged_column_names(spark, sf_dir))
+    if with_file:
+        wide = wide.withColumn(
+            "file",
+            F.concat(F.lit("staged_week_"), F.lpad(F.weekofyear("datetime").cast("string"), 2, "0"), F.lit(".parquet")),
+        )
+    return wide
+
+
+def event_source(metric_col: str = "metric"):
+    return F.when(F.col(metric_col).isin(WIND_METRICS), F.lit("wind")).otherwise(F.lit("air_quality"))
+
+
+def events_tall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised tall layer from the staged wide layer (with ``file``)."""
+    from stratus.operators.tall import normalise
+
+    tall = normalise(events_wide(spark, sf_dir), nation_stations(spark, sf_dir), event_source())
+    return tall.withColumn(
+        "file",
+        F.concat(F.lit("staged_week_"), F.lpad(F.weekofyear("datetime").cast("string"), 2, "0"), F.lit("_normalised.parquet")),
+    )
+
+
+def events_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw spreadsheet-like text of the events: day-first dates, '<Samp' for
+    readings below the sampling limit (file, station, metric, dt text, value text)."""
+    ev = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
+    return ev.select(
+        F.concat(F.lit("events_"), F.col("event_type"), F.lit(".xlsx")).alias("file"),
+        F.col("user_id").cast("long").alias("station_pk"),
+        _map("event_type", EVENT_METRICS).alias("metric"),
+        F.date_format("ts", "d/M/yyyy H:mm").alias("datetime_text"),
+        F.when(F.col("value") < F.lit(EVENT_SAMPLING_LIMIT), F.lit("<Samp"))
+        .otherwise(F.col("value").cast("string"))
+        .alias("value_text"),
+    )
