@@ -128,7 +128,8 @@ def box_stats(
     Exact quartiles (interpolated, reported to 6 decimals), 1.5 IQR fences, whisker ends (most extreme
     values inside the fences) and the number of points outside them. The
     quartiles are computed per group first; the whisker pass joins that small
-    per-group frame back (broadcast by the planner: one row per group).
+    per-group frame back, broadcast when the number of groups is within
+    ``max_groups`` (a counted bound), so the values are never shuffled for it.
     """
     f = _valid(fact)
     if metrics is not None:
@@ -152,15 +153,18 @@ def box_stats(
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")).withColumn(
         "lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr")
     ).withColumn("upper_fence", F.col("q3") + F.lit(1.5) * F.col("iqr"))
-    fences = broadcast_if_bounded(q.select(*keys, "lower_fence", "upper_fence"), max_groups)
-    w = j.join(fences, keys, "inner")
+    stats = broadcast_if_bounded(q, max_groups)
+    per_group = [c for c in stats.columns if c not in keys]
+    w = j.join(stats, keys, "inner")
     inside = (F.col("v") >= F.col("lower_fence")) & (F.col("v") <= F.col("upper_fence"))
-    wh = w.groupBy(*keys).agg(
+    # the per-group statistics are constant inside a group: grouping by them
+    # adds no groups and keeps the plan free of a second join
+    out = w.groupBy(*keys, *per_group).agg(
         F.min(F.when(inside, F.col("v"))).alias("lower_whisker"),
         F.max(F.when(inside, F.col("v"))).alias("upper_whisker"),
         _count_if(~inside).alias("outliers"),
     )
-    return q.join(wh, keys, "inner").orderBy(*[F.asc_nulls_last(k) for k in keys])
+    return out.orderBy(*[F.asc_nulls_last(k) for k in keys])
 
 
 def wind_stats(fact: DataFrame, dim: DataFrame) -> DataFrame:
