@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratus.functions import duck_round, pct, trunc_ts
+from stratus.operators.stats import exact_quantiles
 from stratus.plans import broadcast_if_bounded, with_station
 
 SOURCES = ["air_quality", "wind"]
@@ -138,16 +139,13 @@ def box_stats(
     f = f.filter(v.between(lo, hi)).select("metric", "station_fk", v.alias("v"))
     j = with_station(f, dim)
     keys = ["metric", "station_name"]
-    q = j.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("v").alias("min"),
-        F.percentile(F.col("v"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("__q"),
-        F.max("v").alias("max"),
-    ).select(
+    basic = j.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("min"), F.max("v").alias("max"))
+    quart = exact_quantiles(j, keys, "v", [0.25, 0.5, 0.75], ["__q1", "__q2", "__q3"])
+    q = basic.join(quart, keys, "inner").select(
         *keys, "n", "min",
-        duck_round(F.col("__q")[0], 6).alias("q1"),
-        duck_round(F.col("__q")[1], 6).alias("median"),
-        duck_round(F.col("__q")[2], 6).alias("q3"),
+        duck_round(F.col("__q1"), 6).alias("q1"),
+        duck_round(F.col("__q2"), 6).alias("median"),
+        duck_round(F.col("__q3"), 6).alias("q3"),
         "max",
     )
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")).withColumn(

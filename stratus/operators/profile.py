@@ -2,8 +2,8 @@
 
 The notebook loops over files become one ``groupBy(file)`` each; per-column
 statistics are one aggregate with one expression per column followed by an
-``unpivot`` into one row per column. Quantiles are exact (``percentile``),
-never the approximate ``summary()``.
+``unpivot`` into one row per column. Quantiles are exact (distributed sort,
+``stats.exact_quantiles``), never the approximate ``summary()``.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratus.functions import duck_round, half_even_round
+from stratus.operators.stats import column_quantiles
 from stratus.operators.tall import with_station_meta
 
 
@@ -131,35 +132,36 @@ def missing_by_column(df: DataFrame) -> DataFrame:
 
 def describe_numeric(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Count, mean, std, min, quartiles (exact, interpolated) and max per
-    numeric column, optionally rounded to ``digits`` decimals."""
+    numeric column, optionally rounded to ``digits`` decimals.
+
+    Moments come from one aggregate over all columns; quartiles from the
+    distributed exact quantiles of the stacked (column, value) rows."""
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     if not num:
         return df.sparkSession.createDataFrame([("No numeric columns detected",)], "message string")
     aggs = []
     for c in num:
         x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-        aggs += [
+        aggs.append(
             F.struct(
                 F.lit(c).alias("column"),
                 F.count(x).cast("double").alias("count"),
                 F.avg(x).alias("mean"),
                 F.stddev_samp(x).alias("std"),
                 F.min(x).alias("min"),
-                F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
                 F.max(x).alias("max"),
             ).alias(c)
-        ]
-    one = df.agg(*aggs)
-    rows = one.select(F.explode(F.array(*[F.col(c) for c in num])).alias("s"))
-
-    def r(c: Column) -> Column:
-        return c if digits is None else duck_round(c, digits)
-
-    return rows.select(
-        F.col("s.column").alias("column"), F.col("s.count").alias("count"), r(F.col("s.mean")).alias("mean"),
-        r(F.col("s.std")).alias("std"), r(F.col("s.min")).alias("min"),
-        r(F.col("s.q")[0]).alias("p25"), r(F.col("s.q")[1]).alias("p50"), r(F.col("s.q")[2]).alias("p75"),
-        r(F.col("s.max")).alias("max"),
+        )
+    moments = df.agg(*aggs).select(F.explode(F.array(*[F.col(c) for c in num])).alias("s")).select("s.*")
+    quart = column_quantiles(df, num, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+    both = moments.join(quart, "column", "left")
+
+    def r(c: str) -> Column:
+        return F.col(c) if digits is None else duck_round(F.col(c), digits)
+
+    return both.select(
+        "column", "count", r("mean").alias("mean"), r("std").alias("std"), r("min").alias("min"),
+        r("p25").alias("p25"), r("p50").alias("p50"), r("p75").alias("p75"), r("max").alias("max"),
     )
 
 
