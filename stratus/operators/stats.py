@@ -6,7 +6,8 @@ would be one huge task. Here the order statistic is found by sorting instead:
 
 1. count each distinct (group, value) - a partial aggregate;
 2. range-partition those counts by (group, value), so every task gets an equal
-   slice of the sorted order and a hot group is spread over many tasks;
+   slice of the sorted order and a hot group is spread over many tasks; the
+   partitioned counts are checkpointed in the shared checkpoint folder;
 3. per (task, group) totals -> prefix offsets (a frame of about
    ``partitions + groups`` rows, broadcast after a counted bound);
 4. running counts inside each (task, group) slice give every distinct value
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratus.plans import broadcast_if_bounded
+from stratus.session import checkpoint_dir
 
 
 def exact_quantiles(
@@ -43,8 +45,15 @@ def exact_quantiles(
     counts = base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
 
     spark = df.sparkSession
+    checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = counts.repartitionByRange(n_parts, *keys, "__v").withColumn("__p", F.spark_partition_id())
+    # checkpointed: the slice ids must be the same for the offset frame and the
+    # ranked rows, also when tasks are retried; the bound check reads it cheaply
+    ranged = (
+        counts.repartitionByRange(n_parts, *keys, "__v")
+        .withColumn("__p", F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
 
     slices = ranged.groupBy("__p", *keys).agg(F.sum("__c").alias("__pc"))
     before = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)

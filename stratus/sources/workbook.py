@@ -171,11 +171,22 @@ def cells_from_content(files: DataFrame) -> DataFrame:
     return files.select("file", "content").mapInPandas(_decode, CELLS)
 
 
-def read_grid(spark: SparkSession, path: str, pattern: str = "*.xlsx") -> DataFrame:
+def materialize(cells: DataFrame) -> DataFrame:
+    """Decode once: header detection, timestamps and values all read the cell
+    frame, so it is checkpointed (shared checkpoint folder) instead of being
+    decoded again by each branch; this also cuts the lineage to the raw files."""
+    from stratus.session import checkpoint_dir
+
+    checkpoint_dir(cells.sparkSession)
+    return cells.checkpoint(eager=True)
+
+
+def read_grid(spark: SparkSession, path: str, pattern: str = "*.xlsx", decode_once: bool = True) -> DataFrame:
     """Every workbook under ``path`` as cells (file, sheet_row, col, text, kind)."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     files = raw.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    return cells_from_content(files)
+    cells = cells_from_content(files)
+    return materialize(cells) if decode_once else cells
 
 
 def _members(batches: Iterator[pd.DataFrame], keep: tuple[str, ...]) -> Iterator[pd.DataFrame]:
@@ -211,4 +222,4 @@ def archive_cells(members: DataFrame) -> DataFrame:
     Legacy binary .xls members have no standard-library decoder and are
     skipped (they must be converted first)."""
     x = members.filter(F.lower("member").endswith(".xlsx"))
-    return cells_from_content(x.select(F.col("member").alias("file"), "content"))
+    return materialize(cells_from_content(x.select(F.col("member").alias("file"), "content")))

@@ -43,6 +43,11 @@ def main(argv):
             continue
         probs = C.compare(spdf, opdf)
         strict = C.compare_strict(spdf, opdf)
+        sd = {c: str(t) for c, t in spdf.dtypes.items()}
+        od = {c: str(t) for c, t in opdf.dtypes.items()}
+        if sd != od:
+            diff = {c: (sd.get(c), od.get(c)) for c in set(sd) | set(od) if sd.get(c) != od.get(c)}
+            strict = strict + [f"dtypes {diff}"]
         if probs:
             bad += 1
             print(f"FAIL {name}: {probs}")
