@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from stratus.functions import duck_round, half_even_round
 from stratus.operators.stats import column_quantiles
+from stratus.plans import broadcast_if_bounded
 from stratus.operators.tall import with_station_meta
 
 
@@ -69,7 +70,7 @@ def wide_coverage(wide: DataFrame, stations: DataFrame, file_col: str = "file")
     )
     g = g.withColumn("pct_non_null", _pct2(F.col("non_null_points"), F.col("total_rows")))
     meta = stations.select(F.col("station_pk").cast("long").alias("station_pk"), "station_code", "station_name")
-    return g.join(F.broadcast(meta), "station_pk", "left").orderBy(file_col, "station_pk", "metric")
+    return g.join(broadcast_if_bounded(meta), "station_pk", "left").orderBy(file_col, "station_pk", "metric")
 
 
 def melt_with_key(df: DataFrame, key: str) -> DataFrame:
@@ -191,7 +192,7 @@ def valid_coverage(tall: DataFrame, stations: DataFrame, file_col: str = "file")
     )
     g = g.withColumn("pct_valid", _pct2(F.col("valid_points"), F.col("total_points")))
     meta = stations.select(F.col("station_pk").cast("long").alias("station_pk"), "station_code", "station_name")
-    return g.join(F.broadcast(meta), "station_pk", "left").orderBy(file_col, "station_pk", "metric")
+    return g.join(broadcast_if_bounded(meta), "station_pk", "left").orderBy(file_col, "station_pk", "metric")
 
 
 def mean_pivot(tall: DataFrame, metrics: list[str]) -> DataFrame:
