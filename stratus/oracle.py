@@ -771,6 +771,18 @@ FROM cur c FULL OUTER JOIN sup s ON c.station_pk = s.station_pk""",
         "SELECT metric AS pollutant, COUNT(*) FILTER (WHERE CAST(year(datetime) AS VARCHAR) = '2024') AS \"2024\" "
         "FROM tall GROUP BY metric",
     ),
+    "e13_files_by_year_pollutant": (
+        STAGED,
+        "SELECT year, "
+        + ", ".join(f"COUNT(*) FILTER (WHERE pollutant = '{m}') AS {m}" for m in _EVENT_METRICS)
+        + " FROM (SELECT DISTINCT file, metric AS pollutant, CAST(year(datetime) AS VARCHAR) AS year FROM tall) "
+        "GROUP BY year",
+    ),
+    "a2_top10_metrics": (
+        LINEITEM,
+        "SELECT metric, COUNT(*) AS count, MIN(timestamp) AS earliest, MAX(timestamp) AS latest "
+        "FROM fact GROUP BY metric ORDER BY count DESC, metric NULLS LAST LIMIT 10",
+    ),
     "e13_mean_station_count": (
         STAGED,
         "SELECT pollutant, AVG(s) AS mean_stations FROM (SELECT metric AS pollutant, file, "

@@ -260,6 +260,10 @@ QUERIES.update(
         "e11_pollutant_summary": lambda spark, d: E.pollutant_summary(events_tall(spark, d)),
         "e12_flag_counts": lambda spark, d: E.flag_counts(events_tall(spark, d)),
         "e13_rows_by_pollutant_year": _rows_by_pollutant_year,
+        "e13_files_by_year_pollutant": lambda spark, d: E.files_by_year_pollutant(
+            _tall_with_files(spark, d).select("file", "pollutant", "year").distinct(), EVENT_METRIC_ORDER
+        ),
+        "a2_top10_metrics": _li_fact(lambda f: A.counts_by_metric(f, top=10)),
         "e13_mean_station_count": lambda spark, d: E.mean_station_count(_tall_with_files(spark, d)),
         "e14_missing_datasets": lambda spark, d: E.missing_datasets(
             _tall_with_files(spark, d),

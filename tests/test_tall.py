@@ -77,3 +77,12 @@ def test_sorted_tall(spark, wide):
     tall = TL.normalise(wide, reference.station_dim(spark), "wind")
     keys = [(r.datetime, r.station_pk, r.metric) for r in TL.sorted_tall(tall, global_order=True).collect()]
     assert keys == sorted(keys)
+
+
+def test_dedupe_by_key_first_and_last(spark):
+    from stratus.operators.profile import dedupe_by_key
+
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k int, o int, v string")
+    first = {r.k: r.v for r in dedupe_by_key(df, ["k"], [F.col("o")], keep="first").collect()}
+    last = {r.k: r.v for r in dedupe_by_key(df, ["k"], [F.col("o")], keep="last").collect()}
+    assert first == {1: "a", 2: "c"} and last == {1: "b", 2: "c"}
