@@ -123,11 +123,21 @@ def to_fact_rows(tall: DataFrame) -> DataFrame:
     )
 
 
+# A delivery's distinct keys are broadcast to the anti/semi join below this
+# counted bound, so the (much larger) current table is filtered in place
+# instead of being shuffled; above it the join shuffles both sides.
+MAX_BROADCAST_KEYS = 2_000_000
+
+
 def batch_keys(batch: DataFrame, keys=NATURAL_KEY) -> DataFrame:
     """U4: distinct natural keys of a batch."""
     return batch.select(*keys).distinct()
 
 
+def _keys_for_join(batch: DataFrame, keys, max_keys: int) -> DataFrame:
+    return broadcast_if_bounded(batch_keys(batch, keys), max_keys)
+
+
 def _key_match(left: DataFrame, right: DataFrame, keys) -> Column:
     # plain equality: a NULL in any key part never matches (row-value IN semantics)
     cond = None
@@ -137,20 +147,24 @@ def _key_match(left: DataFrame, right: DataFrame, keys) -> Column:
     return cond
 
 
-def replaced_rows(current: DataFrame, batch: DataFrame, keys=NATURAL_KEY) -> DataFrame:
+def replaced_rows(
+    current: DataFrame, batch: DataFrame, keys=NATURAL_KEY, max_keys: int = MAX_BROADCAST_KEYS
+) -> DataFrame:
     """Current rows whose natural key occurs in the batch (to be deleted)."""
-    bk = batch_keys(batch, keys)
+    bk = _keys_for_join(batch, keys, max_keys)
     return current.join(bk, _key_match(current, bk, keys), "left_semi")
 
 
-def upsert_fact(current: DataFrame, batch: DataFrame, keys=NATURAL_KEY) -> DataFrame:
+def upsert_fact(
+    current: DataFrame, batch: DataFrame, keys=NATURAL_KEY, max_keys: int = MAX_BROADCAST_KEYS
+) -> DataFrame:
     """L2: remove current rows whose natural key is in the batch, append the batch.
 
     Duplicates inside the batch are kept (the duplicate check reports them),
     and rows with a NULL key part are never matched, so re-loading them adds
     them again - both as in the original load.
     """
-    bk = batch_keys(batch, keys)
+    bk = _keys_for_join(batch, keys, max_keys)
     kept = current.join(bk, _key_match(current, bk, keys), "left_anti")
     return kept.unionByName(batch.select(*current.columns))
 
@@ -269,3 +283,63 @@ def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | Non
         return None
     r = spark.read.schema(schema) if schema is not None else spark.read
     return r.parquet(path)
+
+
+# ------------------------------------------------- partition-scoped upsert
+
+
+def upsert_partitions(
+    spark: SparkSession,
+    table_dir: str,
+    batch: DataFrame,
+    partition_cols: tuple[str, ...] = ("source", "year"),
+    keys=NATURAL_KEY,
+    max_partitions: int = 100_000,
+) -> list[tuple]:
+    """L2 at scale: rewrite only the table partitions the batch touches.
+
+    The table is Parquet partitioned by ``partition_cols`` (source, year).
+    The batch's partition values (few: sources x years, collected under a
+    counted bound) become a literal filter, so the scan of the current table
+    is pruned to the touched partitions; those are upserted, checkpointed in
+    the shared checkpoint folder (so the write below no longer reads the
+    table it replaces) and written back with dynamic partition overwrite.
+    Untouched partitions are neither read nor rewritten, so a daily load costs
+    the size of the days it touches, not the size of the table. Returns the
+    touched partition values.
+    """
+    from stratus.session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    rows = batch.select(*partition_cols).distinct().limit(max_partitions + 1).collect()
+    if len(rows) > max_partitions:
+        raise ValueError("batch touches too many partitions for a scoped rewrite")
+    touched = [tuple(r) for r in rows]
+    exists = current_table_exists(spark, table_dir)
+    if exists:
+        cond = F.lit(False)
+        for values in touched:
+            one = F.lit(True)
+            for c, v in zip(partition_cols, values):
+                one = one & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
+            cond = cond | one
+        current = spark.read.parquet(table_dir).filter(cond)
+        new_rows = upsert_fact(current, batch.select(*current.columns), keys)
+    else:
+        new_rows = batch
+    staged = new_rows.checkpoint(eager=True)
+    (
+        staged.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_cols)
+        .parquet(table_dir)
+    )
+    return touched
+
+
+def current_table_exists(spark: SparkSession, table_dir: str) -> bool:
+    try:
+        spark.read.parquet(table_dir).schema  # noqa: B018 - listing only
+        return True
+    except Exception:  # noqa: BLE001 - path missing or empty
+        return False

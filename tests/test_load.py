@@ -109,3 +109,23 @@ def test_publish_versions(spark, tmp_dir):
     assert v1 != v2 and L.current_version(spark, root) == v2
     assert L.read_current(spark, root).count() == 5
     assert spark.read.parquet(v1).count() == 4  # the old version is untouched
+
+
+def test_upsert_partitions_touches_only_batch_partitions(spark, tmp_dir):
+    table = os.path.join(tmp_dir, "fact_parts")
+    d = lambda y: dt.datetime(y, 6, 1)
+    rows = [(1, d(2019), "no2", None, None, "air_quality", "NODATA", "2019"),
+            (1, d(2020), "no2", None, None, "air_quality", "NODATA", "2020"),
+            (2, d(2020), "wind_speed", None, None, "wind", "NODATA", "2020")]
+    schema = FACT_SCHEMA + ", year string"
+    first = spark.createDataFrame(rows, schema)
+    assert sorted(L.upsert_partitions(spark, table, first)) == [
+        ("air_quality", "2019"), ("air_quality", "2020"), ("wind", "2020")]
+    untouched = os.path.join(table, "source=air_quality", "year=2019")
+    before = sorted(os.listdir(untouched))
+    again = spark.createDataFrame([rows[1], (3, d(2020), "no2", None, None, "air_quality", "NODATA", "2020")], schema)
+    assert L.upsert_partitions(spark, table, again) == [("air_quality", "2020")]
+    assert sorted(os.listdir(untouched)) == before  # not rewritten
+    back = spark.read.parquet(table)
+    assert back.count() == 4
+    assert A.duplicate_keys(back).first().dup_count == 0
