@@ -636,6 +636,11 @@ _MORE: dict[str, tuple[str, str]] = {
         "SELECT * FROM fact WHERE timestamp >= "
         "CAST((SELECT CAST(MAX(timestamp) AS DATE) FROM fact) - INTERVAL 30 DAY AS TIMESTAMP)",
     ),
+    "s8_with_source": (
+        "",
+        "SELECT *, 'events.parquet' AS file, CAST(NULL AS VARCHAR) AS year, CAST(NULL AS VARCHAR) AS pollutant "
+        "FROM events",
+    ),
     "p12_to_wide": (STAGED, "SELECT * FROM wide"),
     "p13_melt": (STAGED, "SELECT datetime, station_pk, metric, value FROM melted"),
     "p15_normalise": (

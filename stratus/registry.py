@@ -24,6 +24,7 @@ from stratus.operators import quality as A
 from stratus.operators import tall as TL
 from stratus.operators import views as V
 from stratus.sources import reference
+from stratus.sources.files import read_layer, with_source
 from stratus.sources.drivertables import (
     EVENT_METRIC_ORDER,
     event_source,
@@ -198,6 +199,7 @@ QUERIES.update(
             lambda f: P.value_between(P.metrics_in(P.for_source(P.valid_only(f), "air_quality"), ["no2", "pm10"]), 0, 500)
         ),
         "p19_recent": _li_fact(lambda f: A.recent(f, 30, A.latest_date(f))),
+        "s8_with_source": lambda spark, d: with_source(read_layer(spark, d, "events.parquet")),
         "p12_to_wide": lambda spark, d: TL.to_wide(events_hourly_long(spark, d), staged_column_names(spark, d)),
         "p13_melt": lambda spark, d: TL.melt(events_wide(spark, d)),
         "p15_normalise": lambda spark, d: TL.normalise(events_wide(spark, d), nation_stations(spark, d), event_source()),
