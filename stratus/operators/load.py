@@ -225,10 +225,11 @@ def assign_keys(
 
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # without an explicit count AQE may merge small neighbouring range
+    # partitions; merged partitions stay contiguous, so the key order holds
+    parted = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     ranged = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
+        parted.sortWithinPartitions(*order)
         .withColumn("__p", F.spark_partition_id())
         .withColumn("__pos", F.monotonically_increasing_id() - (F.col("__p").cast("long") * F.lit(1 << 33)))
         .checkpoint(eager=True)

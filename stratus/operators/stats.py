@@ -46,14 +46,13 @@ def exact_quantiles(
 
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # checkpointed: the slice ids must be the same for the offset frame and the
-    # ranked rows, also when tasks are retried; the bound check reads it cheaply
-    ranged = (
-        counts.repartitionByRange(n_parts, *keys, "__v")
-        .withColumn("__p", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    # Without an explicit count AQE may merge small neighbouring range
+    # partitions; merged partitions stay contiguous, so slice order is kept.
+    # Checkpointed: the slice ids must be the same for the offset frame and
+    # the ranked rows, also when tasks are retried; the bound check reads it.
+    order = [*keys, "__v"]
+    parted = counts.repartitionByRange(partitions, *order) if partitions else counts.repartitionByRange(*order)
+    ranged = parted.withColumn("__p", F.spark_partition_id()).checkpoint(eager=True)
 
     slices = ranged.groupBy("__p", *keys).agg(F.sum("__c").alias("__pc"))
     before = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
