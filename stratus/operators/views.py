@@ -71,6 +71,7 @@ def register_views(fact: DataFrame, dim: DataFrame) -> None:
     """Expose the views to SQL under their warehouse names."""
     fact.createOrReplaceTempView("fact_measurement")
     dim.createOrReplaceTempView("dim_station")
-    v_measurements(fact, dim, ordered=False).createOrReplaceTempView("v_measurements")
+    if {"measurement_pk", "created_at"} <= set(fact.columns):  # warehouse facts carry them
+        v_measurements(fact, dim, ordered=False).createOrReplaceTempView("v_measurements")
     v_wind(fact, dim, ordered=False).createOrReplaceTempView("v_wind_data")
     v_quality(fact, dim, ordered=False).createOrReplaceTempView("v_data_quality_summary")

@@ -31,8 +31,21 @@ def test_latest_does_not_shuffle_fact(spark):
     assert "SortMergeJoin" not in plan
 
 
-def test_no_python_udf_in_reports(spark):
+def test_no_python_udf_or_cross_join_in_reports(spark):
     for name, fn in QUERIES.items():
         plan = physical_plan(fn(spark, SF_SMALL))
         assert "BatchEvalPython" not in plan, name
         assert "ArrowEvalPython" not in plan, name
+        assert "CartesianProduct" not in plan, name
+        assert "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_sql_views_match_functions(spark):
+    from stratus.operators.views import register_views
+    from tests import compare as C
+
+    fact, dim = lineitem_fact(spark, SF_SMALL), lineitem_dim(spark, SF_SMALL)
+    register_views(fact, dim)
+    via_sql = spark.sql("SELECT * FROM v_data_quality_summary").toPandas()
+    assert C.compare(via_sql, V.v_quality(fact, dim).toPandas()) == []
+    assert spark.sql("SELECT COUNT(*) AS n FROM v_wind_data").first().n > 0
