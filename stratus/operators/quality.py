@@ -68,7 +68,9 @@ def counts_by_station(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """A3: measurements per station name (inner join) with the share of *all* rows."""
     per_key = fact.groupBy("station_fk").agg(F.count(F.lit(1)).alias("n"))
     joined = with_station(per_key, dim)
-    all_rows = _scalar(fact.agg(F.count(F.lit(1))))
+    # the denominator is taken before the join (orphans included), from the
+    # per-station aggregate rather than a second pass over the fact
+    all_rows = _scalar(per_key.agg(F.sum("n")))
     g = joined.groupBy("station_name").agg(F.sum("n").cast("long").alias("count"))
     return g.select(
         "station_name",
