@@ -70,9 +70,11 @@ def stage_air_archives(spark: SparkSession, raw_dir: str, staged_dir: str) -> Da
 def normalise_staged(spark: SparkSession, staged_dir: str, normalised_dir: str) -> DataFrame:
     """Staged rows -> tall rows with units, flags and station metadata (written)."""
     staged = spark.read.parquet(staged_dir)
-    annotated = TL.annotate(staged.select("datetime", "station_pk", "metric", "value", "source"), F.col("source"))
+    # year is the file's year (from its name), as the staged partition carries it
+    cols = staged.select("datetime", "station_pk", "metric", "value", "source", F.col("year").cast("string").alias("year"))
+    annotated = TL.annotate(cols, F.col("source"))
     tall = TL.with_station_meta(TL.drop_untimed(annotated), reference.station_dim(spark))
-    out = TL.select_tall(tall).withColumn("year", F.year("datetime").cast("string"))
+    out = TL.select_tall(tall)
     write_tall(out, normalised_dir)
     return out
 
