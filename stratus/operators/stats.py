@@ -28,6 +28,26 @@ from stratus.plans import broadcast_if_bounded
 from stratus.session import checkpoint_dir
 
 
+def sorted_value_counts(
+    df: DataFrame, keys: list[str], value: str | Column, partitions: int | None = None
+) -> DataFrame:
+    """(keys, __v, __c, __p): distinct values with their counts, range-partitioned
+    by (keys, value) into slices ``__p`` of the global sort order, checkpointed.
+
+    Without an explicit count AQE may merge small neighbouring range
+    partitions; merged partitions stay contiguous, so slice order is kept.
+    The checkpoint keeps slice ids identical for every later use, also when
+    tasks are retried.
+    """
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    base = df.select(*keys, v.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    counts = base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    checkpoint_dir(df.sparkSession)
+    order = [*keys, "__v"]
+    parted = counts.repartitionByRange(partitions, *order) if partitions else counts.repartitionByRange(*order)
+    return parted.withColumn("__p", F.spark_partition_id()).checkpoint(eager=True)
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: list[str],
@@ -40,19 +60,7 @@ def exact_quantiles(
     """One row per group of ``keys`` with one exact, interpolated quantile column
     per probability (named ``names`` or ``q0, q1, ...``)."""
     names = names or [f"q{i}" for i in range(len(probs))]
-    v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    base = df.select(*keys, v.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    counts = base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
-
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    # Without an explicit count AQE may merge small neighbouring range
-    # partitions; merged partitions stay contiguous, so slice order is kept.
-    # Checkpointed: the slice ids must be the same for the offset frame and
-    # the ranked rows, also when tasks are retried; the bound check reads it.
-    order = [*keys, "__v"]
-    parted = counts.repartitionByRange(partitions, *order) if partitions else counts.repartitionByRange(*order)
-    ranged = parted.withColumn("__p", F.spark_partition_id()).checkpoint(eager=True)
+    ranged = sorted_value_counts(df, keys, value, partitions)
 
     slices = ranged.groupBy("__p", *keys).agg(F.sum("__c").alias("__pc"))
     before = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)

@@ -25,3 +25,15 @@ def test_column_quantiles(spark):
     df = spark.range(1, 101).select(F.col("id").alias("a"), (F.col("id") * 2).alias("b"))
     got = {r.column: (r.p25, r.p50) for r in column_quantiles(df, ["a", "b"], [0.25, 0.5], ["p25", "p50"]).collect()}
     assert got == {"a": (25.75, 50.5), "b": (51.5, 101.0)}
+
+
+def test_hot_group_is_spread_over_slices(spark):
+    """One metric holds most readings: its sorted values must span many tasks."""
+    from stratus.operators.stats import sorted_value_counts
+
+    hot = spark.range(0, 60000).select(F.lit("hot").alias("m"), (F.col("id") % 20000 / 7).alias("v"))
+    cold = spark.range(0, 3000).select(F.lit("cold").alias("m"), (F.col("id") / 3).alias("v"))
+    ranked = sorted_value_counts(hot.unionByName(cold), ["m"], "v", partitions=8)
+    per_slice = {r["__p"]: r.n for r in ranked.filter(F.col("m") == "hot").groupBy("__p").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert len(per_slice) >= 6  # the hot group is split across tasks
+    assert max(per_slice.values()) < 0.3 * sum(per_slice.values())
