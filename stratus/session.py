@@ -60,10 +60,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh directory under the checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    path = os.path.join(base, "tables", name)
-    return path
