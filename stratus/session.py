@@ -52,11 +52,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset (local tests) a fresh scratch folder is created and
     registered, so ``DataFrame.checkpoint()`` works the same way everywhere.
     """
+    sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
         return current
     local = tempfile.mkdtemp(prefix="stratus-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
