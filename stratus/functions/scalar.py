@@ -15,7 +15,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stratus.schemas import METRIC_UNITS, POLLUTANT_FALLBACK
+from stratus.schemas import METRIC_UNITS, POLLUTANT_FALLBACK, STANDARD_WORKBOOK_NAME
 
 # A number as the pandas parser accepts it: optional sign, digits with an
 # optional fraction, optional exponent, or an infinity literal. Anything else
@@ -142,8 +142,8 @@ def pollutant_from_filename(col) -> Column:
     otherwise PM names are classified by the digits they contain.
     """
     up = F.upper(_c(col))
-    std = F.regexp_extract(up, r"^\d{4}_([^_]+)_CCT\.XLSX?$", 1)
-    is_std = up.rlike(r"^\d{4}_([^_]+)_CCT\.XLSX?$")
+    std = F.regexp_extract(up, STANDARD_WORKBOOK_NAME, 1)
+    is_std = up.rlike(STANDARD_WORKBOOK_NAME)
     std_code = (
         F.when(std.contains("PM2.5") | std.contains("PM25"), F.lit("pm25"))
         .when(std.contains("PM10"), F.lit("pm10"))

@@ -161,6 +161,9 @@ STATION_INDICATORS = [
 # Header cells that count as pollutant names (compared upper-cased).
 POLLUTANT_INDICATORS = ["NO2", "O3", "PM10", "PM2.5", "SO2"]
 
+# Standard workbook file name: year, pollutant, fixed suffix (matched upper-cased).
+STANDARD_WORKBOOK_NAME = r"^\d{4}_([^_]+)_CCT\.XLSX?$"
+
 # File-name fallback order of pollutant detection (NO2 before NO).
 POLLUTANT_FALLBACK = ["NO2", "NO", "O3", "SO2", "CO", "NH3", "H2S", "BENZENE"]
 
