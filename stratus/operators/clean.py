@@ -201,11 +201,53 @@ def _timestamp_of(text: Column, kind: Column, formats: list[str]) -> Column:
     return F.when(kind == F.lit("d"), to_ts(text, ISO_TS_FORMATS)).otherwise(to_ts(text, formats))
 
 
-def _data_cells(cells: DataFrame, mapping: DataFrame, start_col: str | int, formats: list[str]) -> DataFrame:
-    """Data cells of mapped columns with their row's timestamp (NULL -> dropped)."""
-    dt = cells.filter(F.col("col") == 0).select(
-        "file", "sheet_row", _timestamp_of(F.col("text"), F.col("kind"), formats).alias("datetime")
+def file_date_formats(stamps: DataFrame, formats: list[str], start_col: str | int = 0) -> DataFrame:
+    """P9 (wind): one text format per file, inferred like a column parser does:
+    the first text timestamp of the file (from the data start) that any of
+    ``formats`` reads decides, and the earliest format in the list wins, so an
+    ambiguous ``1/2/2019`` is read month-first when that format comes first.
+    Result: (file, __fmt) with the index into ``formats``; one row per file."""
+    text = F.col("text")
+    idx = None
+    for i, f in enumerate(formats):
+        hit = F.try_to_timestamp(text, F.lit(f)).isNotNull()
+        idx = F.when(hit, F.lit(i)) if idx is None else idx.when(hit, F.lit(i))
+    start = F.col(start_col) if isinstance(start_col, str) else F.lit(start_col)
+    typed = stamps.filter((F.col("kind") != "d") & (F.col("sheet_row") >= start)).withColumn("__i", idx)
+    return typed.filter(F.col("__i").isNotNull()).groupBy("file").agg(
+        F.min_by("__i", "sheet_row").alias("__fmt")
     )
+
+
+def _parse_with(text: Column, fmt_index: Column, formats: list[str]) -> Column:
+    out = None
+    for i, f in enumerate(formats):
+        parsed = to_ts(text, [f])
+        out = F.when(fmt_index == F.lit(i), parsed) if out is None else out.when(fmt_index == F.lit(i), parsed)
+    return out
+
+
+def _data_cells(
+    cells: DataFrame, mapping: DataFrame, start_col: str | int, formats: list[str], infer: bool = False
+) -> DataFrame:
+    """Data cells of mapped columns with their row's timestamp (NULL -> dropped).
+
+    ``infer``: text timestamps of a file are read with the single format
+    inferred for that file (``file_date_formats``) instead of trying every
+    format per cell; typed date cells are always taken as they are.
+    """
+    stamps = cells.filter(F.col("col") == 0)
+    if infer:
+        if isinstance(start_col, str):
+            starts = mapping.select("file", start_col).distinct()
+            stamps = stamps.join(broadcast_if_bounded(starts, MAX_SMALL_ROWS), "file", "inner")
+        fmts = broadcast_if_bounded(file_date_formats(stamps, formats, start_col), MAX_SMALL_ROWS)
+        stamps = stamps.join(fmts, "file", "left")
+        text_ts = _parse_with(F.col("text"), F.col("__fmt"), formats)
+        ts = F.when(F.col("kind") == F.lit("d"), to_ts(F.col("text"), ISO_TS_FORMATS)).otherwise(text_ts)
+    else:
+        ts = _timestamp_of(F.col("text"), F.col("kind"), formats)
+    dt = stamps.select("file", "sheet_row", ts.alias("datetime"))
     m = broadcast_if_bounded(mapping, MAX_SMALL_ROWS)  # header columns of all files
     data = cells.filter(F.col("col") >= 1).join(m, ["file", "col"], "inner")
     start = F.col(start_col) if isinstance(start_col, str) else F.lit(start_col)
@@ -223,7 +265,7 @@ def stage_wind(cells: DataFrame, aliases: DataFrame, offset: int = 0) -> DataFra
     mapping = hdr.select(
         "file", "col", "station_pk", metric_from_param(F.col("param")).alias("metric"), "unit"
     )
-    d = _data_cells(cells, mapping, 5 + offset, WIND_TS_FORMATS)
+    d = _data_cells(cells, mapping, 5 + offset, WIND_TS_FORMATS, infer=True)
     d = clean_values(d, "text", WIND_SENTINELS, "metric", WIND_RANGE_RULES)
     return d.select("file", "datetime", "station_pk", "metric", "value", F.col("sheet_row"), F.col("col"))
 

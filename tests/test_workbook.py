@@ -151,3 +151,15 @@ def test_serial_dates_become_iso(spark, tmp_dir):
     assert (r.text, r.kind) == ("2019-01-01 00:00:00", "d")
     long = P.stage_wind(grid, reference.station_aliases(spark))
     assert long.filter(F.col("datetime") == dt.datetime(2019, 1, 1)).count() == 3
+
+
+def test_wind_dates_one_format_per_file(spark, tmp_dir):
+    """The first text timestamp decides the file's format; ambiguous dates read month-first."""
+    cells = {k: v for k, v in WIND.items() if k[0] < 5}
+    cells.update({(5, 0): "2/1/2019 0:00", (5, 1): 10, (6, 0): "13/1/2019 1:00", (6, 1): 20,
+                  (7, 0): "2019-01-03 02:00", (7, 1): 30})
+    _write(tmp_dir, "wind_2019.xlsx", cells)
+    long = P.stage_wind(read_grid(spark, tmp_dir), reference.station_aliases(spark))
+    got = {r.datetime: r.value for r in long.filter(F.col("metric") == "wind_direction").collect()}
+    # read month-first as 1 February; '13/1' does not fit M/d/yyyy, nor does the ISO row -> dropped
+    assert got == {dt.datetime(2019, 2, 1, 0, 0): 10.0}
