@@ -151,7 +151,7 @@ def box_stats(
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")).withColumn(
         "lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr")
     ).withColumn("upper_fence", F.col("q3") + F.lit(1.5) * F.col("iqr"))
-    stats = broadcast_if_bounded(q, max_groups)
+    stats = broadcast_if_bounded(q, max_groups, materialize=True)
     per_group = [c for c in stats.columns if c not in keys]
     w = j.join(stats, keys, "inner")
     inside = (F.col("v") >= F.col("lower_fence")) & (F.col("v") <= F.col("upper_fence"))
@@ -326,7 +326,7 @@ def latest(fact: DataFrame, dim: DataFrame, max_groups: int = 1_000_000) -> Data
     the fact is never shuffled; beyond it the join falls back to a shuffle.
     """
     mx = broadcast_if_bounded(
-        fact.groupBy("station_fk", "metric").agg(F.max("timestamp").alias("__mx")), max_groups
+        fact.groupBy("station_fk", "metric").agg(F.max("timestamp").alias("__mx")), max_groups, materialize=True
     )
     f = fact.join(mx, ["station_fk", "metric"], "inner").filter(F.col("timestamp") == F.col("__mx"))
     j = with_station(f, dim)

@@ -28,7 +28,20 @@ def bounded(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_bounded(
+    df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, materialize: bool = False
+) -> DataFrame:
+    """Broadcast hint only when ``df`` has at most ``max_rows`` rows.
+
+    ``materialize``: checkpoint ``df`` first (shared checkpoint folder), so the
+    count and the later join read the stored result instead of recomputing an
+    expensive aggregate twice.
+    """
+    if materialize:
+        from stratus.session import checkpoint_dir
+
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     return F.broadcast(df) if bounded(df, max_rows) else df
 
 
