@@ -86,3 +86,16 @@ def test_dedupe_by_key_first_and_last(spark):
     first = {r.k: r.v for r in dedupe_by_key(df, ["k"], [F.col("o")], keep="first").collect()}
     last = {r.k: r.v for r in dedupe_by_key(df, ["k"], [F.col("o")], keep="last").collect()}
     assert first == {1: "a", 2: "c"} and last == {1: "b", 2: "c"}
+
+
+def test_pivot_then_melt_keeps_every_value(spark):
+    """SURVEY §5 property: wide -> tall returns every non-NULL value of the wide layer."""
+    from stratus.sources import drivertables as D
+    from tests.conftest import SF_SMALL
+
+    long = D.events_hourly_long(spark, SF_SMALL)
+    expected = long.groupBy("datetime", "col_name").agg(F.max("value").alias("v")).filter(F.col("v").isNotNull())
+    melted = TL.melt(D.events_wide(spark, SF_SMALL)).filter(F.col("value").isNotNull())
+    assert melted.count() == expected.count()
+    rows = D.events_wide(spark, SF_SMALL).count()
+    assert TL.melt(D.events_wide(spark, SF_SMALL)).count() == rows * len(D.staged_column_names(spark, SF_SMALL))
