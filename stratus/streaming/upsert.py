@@ -1,11 +1,18 @@
-"""Continuous form of the idempotent fact load (L2 + L5 + publish).
+"""Continuous form of the idempotent fact load (L2 + L5, partition-scoped).
 
 New normalised files arriving in a directory are picked up by a file-source
 stream; each micro-batch is loaded with exactly the batch semantics of
-``upsert_fact`` (delete matching natural keys, append) and published as a new
-table version. The version pointer records the last loaded batch id, so a
-micro-batch that is replayed after a failure is recognised and skipped:
-the sink is idempotent and the load is exactly-once end to end.
+``upsert_fact`` (delete matching natural keys, append), but only the
+(source, year) partitions the micro-batch touches are read and rewritten
+(``upsert_partitions``), so a micro-batch costs the size of its partitions,
+not of the table.
+
+A small marker file records the last loaded batch id and the largest key
+handed out. A micro-batch replayed after a failure is recognised and skipped;
+if the failure hit between the partition write and the marker, the replay
+upserts the same keys again, which leaves the table unchanged (the load is
+idempotent by natural key). New keys continue from the marker, so no batch
+scans the table for its largest key.
 """
 
 from __future__ import annotations
@@ -19,52 +26,55 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratus.operators.load import (
     assign_keys,
-    current_version,
-    new_version_path,
-    next_key_start,
+    current_table_exists,
     to_fact_rows,
-    upsert_fact,
+    upsert_partitions,
 )
 from stratus.schemas import NATURAL_KEY, TALL
 
+MARKER = "_LOADED"
+
+
+def fact_path(root: str) -> str:
+    return os.path.join(root, "fact")
 
-def _last_batch(spark: SparkSession, root: str) -> int:
+
+def _read_marker(spark: SparkSession, root: str) -> dict | None:
     try:
-        rows = spark.read.text(os.path.join(root, "_CURRENT")).collect()
-    except Exception:  # noqa: BLE001 - nothing published yet
-        return -1
-    return int(json.loads(rows[0].value).get("batch_id", -1)) if rows else -1
+        rows = spark.read.text(os.path.join(root, MARKER)).collect()
+    except Exception:  # noqa: BLE001 - nothing loaded yet
+        return None
+    return json.loads(rows[0].value) if rows else None
 
 
-def _publish(df: DataFrame, root: str, batch_id: int) -> str:
-    path = new_version_path(root)
-    df.write.mode("errorifexists").parquet(path)
-    spark = df.sparkSession
-    pointer = spark.createDataFrame([(json.dumps({"path": path, "batch_id": batch_id}),)], "value string")
-    pointer.coalesce(1).write.mode("overwrite").text(os.path.join(root, "_CURRENT"))
-    return path
+def _write_marker(spark: SparkSession, root: str, batch_id: int, max_key: int) -> None:
+    body = json.dumps({"batch_id": batch_id, "max_key": max_key})
+    spark.createDataFrame([(body,)], "value string").coalesce(1).write.mode("overwrite").text(
+        os.path.join(root, MARKER)
+    )
 
 
 def load_batch(batch: DataFrame, batch_id: int, root: str) -> None:
-    """foreachBatch body: upsert one micro-batch of tall rows into the table at ``root``."""
+    """foreachBatch body: upsert one micro-batch of tall rows into ``root/fact``."""
     spark = batch.sparkSession
-    if batch_id <= _last_batch(spark, root):
-        return  # replay of a batch that was already published
-    rows = to_fact_rows(batch)
-    path = current_version(spark, root)
-    if path is None:
-        current = None
-        start = F.lit(0)
+    marker = _read_marker(spark, root)
+    if marker is not None and batch_id <= marker["batch_id"]:
+        return  # replay of a batch that was already loaded
+    table = fact_path(root)
+    if marker is not None:
+        start = int(marker["max_key"])
+    elif current_table_exists(spark, table):  # first stream batch on a table loaded by batch jobs
+        start = int(spark.read.parquet(table).agg(F.coalesce(F.max("measurement_pk"), F.lit(0))).first()[0])
     else:
-        current = spark.read.parquet(path)
-        start = next_key_start(current)
+        start = 0
+    rows = to_fact_rows(batch).withColumn("year", F.year("timestamp").cast("string"))
     order = [F.asc_nulls_last(c) for c in NATURAL_KEY]
     keyed = assign_keys(rows, order, start=start).withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))
-    if current is None:
-        out = keyed.select("measurement_pk", *[c for c in keyed.columns if c != "measurement_pk"])
-    else:
-        out = upsert_fact(current, keyed.select(*current.columns))
-    _publish(out, root, batch_id)
+    keyed = keyed.checkpoint(eager=True)
+    n = keyed.count()
+    if n:
+        upsert_partitions(spark, table, keyed)
+    _write_marker(spark, root, batch_id, start + n)
 
 
 def load_stream(
