@@ -43,3 +43,18 @@ def test_end_to_end(spark, tmp_dir):
     suite = jobs.quality_suite(spark, wh)
     assert suite["summary"].first().total_measurements == 18
     assert suite["value_ranges"].count() == 3
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    from stratus.__main__ import main
+
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    with open(os.path.join(raw, "wind_2019.xlsx"), "wb") as fh:
+        fh.write(xlsx.workbook(WIND))
+    staged, norm, wh = (os.path.join(tmp_dir, d) for d in ("staged", "normalised", "warehouse"))
+    assert main(["stage-wind", raw, staged]) == 0
+    assert main(["normalise", staged, norm]) == 0
+    assert main(["load", norm, wh]) == 0
+    assert main(["verify", wh]) == 0
+    assert '"integrity_ok": true' in capsys.readouterr().out
