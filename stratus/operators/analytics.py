@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratus.functions import duck_round, pct, trunc_ts
+from stratus.functions import duck_round, exact_mean, pct, trunc_ts
 from stratus.operators.stats import exact_quantiles
 from stratus.plans import broadcast_if_bounded, with_station
 
@@ -172,9 +172,9 @@ def wind_stats(fact: DataFrame, dim: DataFrame) -> DataFrame:
     spd = F.when(F.col("metric") == "wind_speed", F.col("v"))
     g = j.groupBy("station_name").agg(
         F.count(F.lit(1)).alias("measurements"),
-        duck_round(F.avg(spd), 2).alias("avg_wind_speed"),
+        duck_round(exact_mean(spd), 2).alias("avg_wind_speed"),
         duck_round(F.max(spd), 2).alias("max_wind_speed"),
-        duck_round(F.avg(F.when(F.col("metric") == "wind_direction", F.col("v"))), 1).alias("avg_wind_direction"),
+        duck_round(exact_mean(F.when(F.col("metric") == "wind_direction", F.col("v"))), 1).alias("avg_wind_direction"),
     )
     return g.orderBy(F.desc_nulls_last("avg_wind_speed"), F.asc_nulls_last("station_name"))
 
@@ -205,8 +205,8 @@ def period_pairs(
     f = _valid(fact.filter(F.col("metric").isin(m1, m2)))
     j = with_station(f.select("station_fk", "metric", "timestamp", F.col("value").cast("double").alias("v")), dim)
     g = j.groupBy("station_name", trunc_ts("timestamp", grain).alias("date")).agg(
-        F.avg(F.when(F.col("metric") == m1, F.col("v"))).alias(f"avg_{m1}"),
-        F.avg(F.when(F.col("metric") == m2, F.col("v"))).alias(f"avg_{m2}"),
+        exact_mean(F.when(F.col("metric") == m1, F.col("v"))).alias(f"avg_{m1}"),
+        exact_mean(F.when(F.col("metric") == m2, F.col("v"))).alias(f"avg_{m2}"),
     )
     return g.filter(F.col(f"avg_{m1}").isNotNull() & F.col(f"avg_{m2}").isNotNull())
 
@@ -278,7 +278,7 @@ def high_pollution_days(
         f.select("station_fk", "metric", "unit", "timestamp", F.col("value").cast("double").alias("v")), dim
     )
     g = j.groupBy(trunc_ts("timestamp", "day").alias("date"), "station_name", "metric", "unit").agg(
-        F.avg("v").alias("__m")
+        exact_mean("v").alias("__m")
     )
     return (
         g.filter(F.col("__m") > F.lit(threshold))

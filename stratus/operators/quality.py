@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.functions import duck_round, pct, trunc_ts
+from stratus.functions import duck_round, exact_mean, pct, trunc_ts
 from stratus.operators.stats import exact_quantiles
 from stratus.plans import with_station
 from stratus.schemas import DQ_EXPECTED_RANGES, NATURAL_KEY
@@ -250,7 +250,7 @@ def value_ranges(fact: DataFrame, ranges=DQ_EXPECTED_RANGES) -> DataFrame:
         F.count("v").alias("non_null"),
         F.min("v").alias("min"),
         F.max("v").alias("max"),
-        duck_round(F.avg("v"), 2).alias("avg"),
+        duck_round(exact_mean("v"), 2).alias("avg"),
         _count_if(F.col("v") < F.col("lo")).alias("below_min"),
         _count_if(F.col("v") > F.col("hi")).alias("above_max"),
         F.first("lo").alias("expected_min"),

@@ -75,6 +75,11 @@ ranges AS (
 )"""
 
 
+def _mean(x: str) -> str:
+    """Mean at the warehouse precision: 4-decimal fixed point, exact integer sum."""
+    return f"(CAST(SUM(CAST(ROUND(({x}) * 10000) AS BIGINT)) AS DOUBLE) / COUNT({x}) / 10000.0)"
+
+
 def _pct(num: str, den: str, digits: int = 2) -> str:
     return f"CASE WHEN {den} = 0 THEN 0 ELSE ROUND(CAST({num} AS DOUBLE) * 100.0 / CAST({den} AS DOUBLE), {digits}) END"
 
@@ -83,7 +88,7 @@ _NULL_PCT = _pct("COUNT(*) FILTER (WHERE value IS NULL)", "COUNT(*)")
 
 A10 = f""", {_RANGES.strip()}
 SELECT f.metric, COUNT(*) AS total, COUNT(f.value) AS non_null,
-       MIN(f.value) AS "min", MAX(f.value) AS "max", ROUND(AVG(f.value), 2) AS "avg",
+       MIN(f.value) AS "min", MAX(f.value) AS "max", ROUND({_mean("f.value")}, 2) AS "avg",
        PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY f.value) AS median,
        COUNT(*) FILTER (WHERE f.value < r.lo) AS below_min,
        COUNT(*) FILTER (WHERE f.value > r.hi) AS above_max,
@@ -159,8 +164,8 @@ def _corr(grain: str) -> str:
     return f""",
 pairs AS (
   SELECT s.station_name, DATE_TRUNC('{grain}', f.timestamp) AS date,
-         AVG(CASE WHEN f.metric = 'wind_speed' THEN f.value END) AS avg_wind_speed,
-         AVG(CASE WHEN f.metric = 'no2' THEN f.value END) AS avg_no2
+         {_mean("CASE WHEN f.metric = 'wind_speed' THEN f.value END")} AS avg_wind_speed,
+         {_mean("CASE WHEN f.metric = 'no2' THEN f.value END")} AS avg_no2
   FROM fact f JOIN dim s ON f.station_fk = s.station_pk
   WHERE f.quality_flag = 'VALID' AND f.value IS NOT NULL AND f.metric IN ('wind_speed', 'no2')
   GROUP BY s.station_name, DATE_TRUNC('{grain}', f.timestamp)
@@ -371,9 +376,9 @@ FROM o, d, n""",
     "b6_wind_stats": (
         EVENTS,
         "SELECT s.station_name, COUNT(*) AS measurements, "
-        "ROUND(AVG(CASE WHEN m.metric = 'wind_speed' THEN m.value END), 2) AS avg_wind_speed, "
+        f"ROUND({_mean("CASE WHEN m.metric = 'wind_speed' THEN m.value END")}, 2) AS avg_wind_speed, "
         "ROUND(MAX(CASE WHEN m.metric = 'wind_speed' THEN m.value END), 2) AS max_wind_speed, "
-        "ROUND(AVG(CASE WHEN m.metric = 'wind_direction' THEN m.value END), 1) AS avg_wind_direction "
+        f"ROUND({_mean("CASE WHEN m.metric = 'wind_direction' THEN m.value END")}, 1) AS avg_wind_direction "
         "FROM fact m JOIN dim s ON m.station_fk = s.station_pk "
         "WHERE m.source = 'wind' AND m.quality_flag = 'VALID' AND m.value IS NOT NULL GROUP BY s.station_name",
     ),
@@ -404,11 +409,11 @@ FROM o, d, n""",
     ),
     "b10_high_pollution_days": (
         EVENTS,
-        "SELECT DATE_TRUNC('day', m.timestamp) AS date, s.station_name, m.metric, ROUND(AVG(m.value), 2) AS avg_value, "
+        f"SELECT DATE_TRUNC('day', m.timestamp) AS date, s.station_name, m.metric, ROUND({_mean('m.value')}, 2) AS avg_value, "
         "m.unit FROM fact m JOIN dim s ON m.station_fk = s.station_pk "
         "WHERE m.source = 'air_quality' AND m.quality_flag = 'VALID' AND m.value IS NOT NULL "
         "AND m.metric IN ('no2', 'pm10') "
-        "GROUP BY DATE_TRUNC('day', m.timestamp), s.station_name, m.metric, m.unit HAVING AVG(m.value) > 50 "
+        f"GROUP BY DATE_TRUNC('day', m.timestamp), s.station_name, m.metric, m.unit HAVING {_mean('m.value')} > 50 "
         "ORDER BY avg_value DESC, date, s.station_name, m.metric, m.unit LIMIT 20",
     ),
     "b11_monthly_means": (
@@ -534,7 +539,7 @@ _LI_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quanti
                "l_discount", "l_tax"]
 E6 = "\nUNION ALL\n".join(
     f"""SELECT '{c}' AS column, CAST(COUNT({c}) AS DOUBLE) AS count,
-  ROUND(AVG(CAST({c} AS DOUBLE)), 6) AS mean, ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 6) AS std,
+  ROUND({_mean(f"CAST({c} AS DOUBLE)")}, 6) AS mean, ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 6) AS std,
   ROUND(MIN(CAST({c} AS DOUBLE)), 6) AS "min",
   ROUND(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS p25,
   ROUND(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS p50,
@@ -745,7 +750,7 @@ FROM cur c FULL OUTER JOIN sup s ON c.station_pk = s.station_pk""",
     "e9_mean_pivot": (
         STAGED,
         "SELECT station_code, "
-        + ", ".join(f"{_half_even(f'AVG(value) FILTER (WHERE metric = {chr(39)}{m}{chr(39)})', 2)} AS {m}"
+        + ", ".join(f"{_half_even(_mean(f'CASE WHEN metric = {chr(39)}{m}{chr(39)} THEN value END'), 2)} AS {m}"
                     for m in _EVENT_METRICS)
         + " FROM tall GROUP BY station_code",
     ),
@@ -758,7 +763,7 @@ FROM cur c FULL OUTER JOIN sup s ON c.station_pk = s.station_pk""",
     "e11_pollutant_summary": (
         STAGED,
         "SELECT metric, COUNT(value) AS count, "
-        + _half_even("AVG(value)", 2) + " AS mean, "
+        + _half_even(_mean("value"), 2) + " AS mean, "
         + _half_even("STDDEV_SAMP(value)", 2) + " AS std, "
         + _half_even("MIN(value)", 2) + " AS \"min\", "
         + _half_even("MAX(value)", 2) + " AS \"max\", "
