@@ -31,19 +31,17 @@ def merge_dim(existing: DataFrame, new: DataFrame, key: str = "station_pk") -> D
 
     Inside the batch the first row of a key wins (the batch is de-duplicated
     before it is merged); between the two, the batch replaces the existing
-    row. Keys are few (stations), so the per-key window is cheap.
+    row. A min over a (batch, position, attributes) struct per key picks the
+    winner with a map-side combinable aggregate.
     """
     cols = [key] + DIM_ATTRS
-    e = existing.select(*cols).withColumn("__b", F.lit(0)).withColumn("__i", F.lit(0).cast("long"))
-    n = new.select(*cols).withColumn("__b", F.lit(1)).withColumn("__i", F.monotonically_increasing_id())
+    # batch rows rank before existing ones (__b), inside the batch the input order (__i)
+    e = existing.select(*cols).withColumn("__b", F.lit(1)).withColumn("__i", F.lit(0).cast("long"))
+    n = new.select(*cols).withColumn("__b", F.lit(0)).withColumn("__i", F.monotonically_increasing_id())
     both = e.unionByName(n)
-    w = Window.partitionBy(key).orderBy(F.desc("__b"), F.asc("__i"))
-    return (
-        both.withColumn("__rk", F.row_number().over(w))
-        .filter(F.col("__rk") == 1)
-        .select(*cols)
-        .orderBy(key)
-    )
+    packed = F.struct(F.col("__b"), F.col("__i"), *[F.col(c) for c in DIM_ATTRS])
+    first = both.groupBy(key).agg(F.min(packed).alias("__r"))
+    return first.select(key, *[F.col(f"__r.{c}").alias(c) for c in DIM_ATTRS]).orderBy(key)
 
 
 # ---------------------------------------------------------------------- L6

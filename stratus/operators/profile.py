@@ -293,12 +293,18 @@ def union_all(*dfs: DataFrame) -> DataFrame:
 
 
 def dedupe_by_key(df: DataFrame, keys: list[str], order: list[Column], keep: str = "first") -> DataFrame:
-    """One row per key; first (or last) in ``order`` wins."""
-    from pyspark.sql import Window
+    """One row per key; the first (or last) row in ``order`` wins.
 
-    o = order if keep == "first" else [c.desc() if hasattr(c, "desc") else F.desc(c) for c in order]
-    w = Window.partitionBy(*keys).orderBy(*o)
-    return df.withColumn("__rk", F.row_number().over(w)).filter(F.col("__rk") == 1).drop("__rk")
+    Expressed as a min (max) over a struct whose leading fields are the order
+    columns: a declarative aggregate, so rows collapse map-side and a key
+    holding a large share of the rows never becomes one sorted task (a
+    per-key window would). Ties in ``order`` are broken by the remaining
+    columns, which makes the choice deterministic.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    packed = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], *[F.col(c) for c in rest])
+    pick = F.min(packed) if keep == "first" else F.max(packed)
+    return df.groupBy(*keys).agg(pick.alias("__r")).select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
 
 
 def with_meta(tall: DataFrame, stations: DataFrame) -> DataFrame:
