@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratus.functions import duck_round, exact_mean, pct, trunc_ts
+from stratus.functions import duck_round, exact_mean, trunc_ts
 from stratus.operators.stats import exact_quantiles
 from stratus.plans import broadcast_if_bounded, with_station
 

@@ -1,7 +1,6 @@
 """Quality thresholds and edge cases (T9, T16, F8) and report properties."""
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from stratus.operators import quality as A
 from stratus.sources.drivertables import lineitem_fact
