@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,3 +37,56 @@ def with_results(
             yield pa.RecordBatch.from_arrays([*cols, *made], names=[f.name for f in out.fields])
 
     return df.mapInArrow(run, out)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+
+    A folder set with ``setCheckpointDir`` counts as well. Only a local session
+    that names none gets a scratch folder of its own; on a cluster that is an error.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    own = tempfile.mkdtemp(prefix="stratus-")
+    spark.sparkContext.setCheckpointDir(own)
+    return own
+
+
+class Scratch:
+    """Tables written to the shared folder, so that a lost executor costs no more than its tasks."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.path = f"{shared_folder(spark)}/stratus-{uuid.uuid4().hex}"
+        self.count = 0
+        self.tables: dict[str, DataFrame] = {}
+
+    def store(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
+        """``df`` as a written table, read again: its lineage ends here."""
+        self.count += 1
+        path = f"{self.path}/{self.count}"
+        df.write.option("compression", compression).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.tables[path] = out
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes stored tables that nothing reads any more."""
+        for path in [p for p, t in self.tables.items() if any(t is x for x in tables)]:
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+            del self.tables[path]
+
+    def drop_all(self, but: list[DataFrame]) -> None:
+        self.drop(*[t for t in self.tables.values() if not any(t is x for x in but)])
+
+
+def small_side(df: DataFrame, most_rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most_rows`` rows; else Spark's own choice holds.
+
+    For narrow rows of fixed width, whose number bounds their size. ``df`` is a stored table: it is counted here.
+    """
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
