@@ -17,6 +17,13 @@ def text_columns(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def with_results(
     df: DataFrame, added: list[tuple[str, T.DataType]], per_batch: Callable[[pa.RecordBatch], dict[str, object]]
 ) -> DataFrame:

@@ -91,42 +91,41 @@ def scan_licenses(
     (ties by name). ``license`` is the own one, else the nearest directory's;
     ``license_dir`` says which directory, null if own or none. Null and empty
     texts have no own licence; a null path has no directory. Rows of one path
-    are one file each by its own text. Input columns named like an added one,
-    or starting with ``_ls_``, are replaced. An empty table gives an empty result.
+    are one file each by its own text. Input columns named like an added one
+    are replaced. An empty table gives an empty result.
     """
     added = ["own_license", "cosine", "is_license_file", "license", "license_dir"]
-    files = files.drop(*added, *[c for c in files.columns if c.startswith("_ls_")])
+    kept = [F.col(f"`{c}`") for c in files.columns if c not in added]
+    files = files.select(F.struct(*kept).alias("file"), F.col(f"`{path}`").alias("path"), F.col(f"`{text}`").alias("text"))
     weights, _, _ = template_weights(templates)
     tokens = telling_tokens(weights, least)
     # equal texts are scanned once
-    texts = files.select(F.col(f"`{text}`").alias("_ls_text")).where("_ls_text IS NOT NULL").select(
-        F.sha2("_ls_text", 256).alias("_ls_key"), "_ls_text"
-    )
-    lines = texts.select("_ls_key", F.size(_tokens(F.col("_ls_text"))).alias("n"), F.explode(F.split("_ls_text", "\n")).alias("line"))
+    texts = files.select("text").where("text IS NOT NULL").select(F.sha2("text", 256).alias("key"), "text")
+    lines = texts.select("key", F.size(_tokens(F.col("text"))).alias("n"), F.explode(F.split("text", "\n")).alias("line"))
     low = F.lower("line")
     holds = F.lit(False)
     for t in tokens:  # a plain substring search first, then whole tokens
         holds = holds | low.contains(t)
     telling_lines = lines.where(holds).where(F.arrays_overlap(_tokens(F.col("line")), F.array(*[F.lit(t) for t in tokens])))
-    one = telling_lines.groupBy("_ls_key", "line").agg(F.min("n").alias("n"))
+    one = telling_lines.groupBy("key", "line").agg(F.min("n").alias("n"))
     found = one.join(line_licenses(one, templates, least), "line")
     # a text's licence lines count once each
-    own = found.groupBy("_ls_key").agg(
+    own = found.groupBy("key").agg(
         F.min(F.struct((-F.col("cosine")).alias("c"), F.col("license"))).alias("b"),
         (F.lit(100) * F.sum(F.size(_tokens(F.col("line")))) >= F.lit(file_share_pct) * F.min("n")).alias("is_file"),
     )
-    rows = files.withColumns({"_ls_key": F.sha2(F.col(f"`{text}`"), 256), "_ls_dir": _parent(F.col(f"`{path}`"))}).join(own, "_ls_key", "left")
-    speaks = rows.where("is_file").groupBy("_ls_dir", "b.license").agg(F.count("*").alias("files"))
-    of_dir = speaks.groupBy(F.col("_ls_dir").alias("dir")).agg(F.min(F.struct((-F.col("files")).alias("f"), F.col("license"))).alias("d"))
+    rows = files.withColumns({"key": F.sha2("text", 256), "file_dir": _parent(F.col("path"))}).join(own, "key", "left")
+    speaks = rows.where("is_file").groupBy("file_dir", "b.license").agg(F.count("*").alias("files"))
+    of_dir = speaks.groupBy(F.col("file_dir").alias("dir")).agg(F.min(F.struct((-F.col("files")).alias("f"), F.col("license"))).alias("d"))
     # nearest ancestor: each directory meets the directories above it, the deepest with a licence wins
-    parts = F.split("_ls_dir", "/")
+    parts = F.split("file_dir", "/")
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice(parts, 1, i), "/").alias("dir")))
-    dirs = rows.where("_ls_dir IS NOT NULL").select("_ls_dir").distinct().select("_ls_dir", F.explode(above).alias("a")).select("_ls_dir", "a.depth", "a.dir")
-    nearest = dirs.join(of_dir, "dir").groupBy("_ls_dir").agg(F.max(F.struct("depth", "dir", "d.license")).alias("up"))
-    out = rows.join(nearest, "_ls_dir", "left")
+    dirs = rows.where("file_dir IS NOT NULL").select("file_dir").distinct().select("file_dir", F.explode(above).alias("a")).select("file_dir", "a.depth", "a.dir")
+    nearest = dirs.join(of_dir, "dir").groupBy("file_dir").agg(F.max(F.struct("depth", "dir", "d.license")).alias("up"))
+    out = rows.join(nearest, "file_dir", "left")
     own_license = F.col("b.license")
     return out.select(
-        *[F.col(f"`{c}`") for c in files.columns],
+        *[F.col(f"file.`{c}`") for c in files.schema["file"].dataType.names],
         own_license.alias("own_license"),
         (-F.col("b.c")).alias("cosine"),
         F.coalesce("is_file", F.lit(False)).alias("is_license_file"),

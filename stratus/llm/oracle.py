@@ -160,13 +160,14 @@ a0 AS (
         family = ", ".join(["host", *t[:i], *t[i + 1 :]])
         prev, new = f"a{n}" if i == 0 else f"m{i}", f"m{i + 1}"
         sql += f""", f{i} AS (
-  SELECT {family}, {x}, sum(labelled) AS bl, sum(blocked) AS bb FROM {prev} GROUP BY {family}, {x}
+  SELECT {family}, {x}, sum(labelled) AS bl, sum(blocked) AS bb,
+    CASE WHEN 2 * sum(blocked) >= sum(labelled) THEN '(+)' ELSE '(-)' END AS side FROM {prev} GROUP BY {family}, {x}
   HAVING sum(labelled) >= {s.min_labelled} AND {x} NOT IN ('', '*')
 ), l{i} AS (
-  SELECT {family}, {x}, true AS alike FROM f{i} JOIN (
-    SELECT {family}, sum(bl) AS pl, sum(bb) AS pb FROM f{i} GROUP BY {family} HAVING count(*) > 1) USING ({family})
+  SELECT {family}, {x}, side AS alike FROM f{i} JOIN (
+    SELECT {family}, side, sum(bl) AS pl, sum(bb) AS pb FROM f{i} GROUP BY {family}, side HAVING count(*) > 1) USING ({family}, side)
   WHERE abs(bb / bl - pb / pl) <= {s.z}::DOUBLE * sqrt(pb / pl * (1.0::DOUBLE - pb / pl) / bl)
-), {new} AS (SELECT * EXCLUDE (alike) REPLACE (CASE WHEN alike THEN '(*)' ELSE {x} END AS {x}) FROM {prev} LEFT JOIN l{i} USING ({family}, {x}))"""
+), {new} AS (SELECT * EXCLUDE (alike) REPLACE (coalesce(alike, {x}) AS {x}) FROM {prev} LEFT JOIN l{i} USING ({family}, {x}))"""
     tt = ", ".join(t)
     return sql + f""", rate AS (
   SELECT coalesce(count(*) FILTER (WHERE verdict = 'block') / nullif(count(verdict), 0), 0.0)::DOUBLE AS rate FROM rows

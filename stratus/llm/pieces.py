@@ -25,127 +25,136 @@ from .frames import with_results
 
 SPACE = "▁"
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
-_CACHE = 1 << 18
+_MARKS = ".,!?;:"
+_CACHE = 1 << 19
+_LETTER_MARK = re.compile(rf"[A-Za-zÀ-ÿ][{_MARKS}]\Z")
 _SHORT = 48
-_NEVER = float("inf")
-_LITERAL = "\0" + SPACE  # no piece holds it
+_NEVER = 1 << 30
 _TABLE = 4096
 
 
 class Draws:
     """Keyed hash of candidate merges: a table of random words made from the key.
 
-    A candidate's entry comes from its chunk's checksum, its place and its
-    length; it is skipped when the entry is below the rate.
+    A candidate's entry comes from its chunk's checksum, its place and the piece
+    it would make; it is skipped when the entry is below the rate.
     """
 
     def __init__(self, key: str, rate: float) -> None:
-        self.rate = rate
         raw = b"".join(blake2b(f"{key}/{i}".encode()).digest() for i in range(_TABLE // 16))
         most = int(rate * 2**32)
         self.skip = [x < most for x in np.frombuffer(raw, "<u4").tolist()]
 
     def of(self, chunk: str) -> int:
-        return zlib.crc32(chunk.encode("utf-8", "surrogatepass"))
+        return zlib.crc32(chunk.encode())
 
 
-def place(own: int, at: int, length: int) -> int:
-    """The table entry of the candidate of ``length`` characters that starts at ``at``."""
-    return (own + 61 * at + 1031 * length) % _TABLE
+_KEEP_ALL = [False] * _TABLE
 
 
 class PieceModel:
-    """Pieces and scores of a BPE model with byte fallback."""
+    """Pieces and merges of a BPE model with byte fallback.
+
+    Pieces are numbered by falling score, so that a piece's number is its place
+    in the order of merges.
+    """
 
     def __init__(self, model: bytes) -> None:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = sp.get_piece_size()
-        self.id: dict[str, int] = {}
-        self.score: dict[str, float] = {}
         self.raw: list[bytes] = [b""] * n
         self.byte = [0] * 256
+        normal = []
         for i in range(n):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
                 b = int(piece[3:5], 16)
                 self.byte[b], self.raw[i] = i, bytes([b])
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                self.id[piece], self.score[piece] = i, sp.get_score(i)
+                normal.append((-sp.get_score(i), i, piece))
                 self.raw[i] = piece.replace(SPACE, " ").encode()
+        normal.sort()
+        self.ids = [i for _, i, _ in normal]
+        number = {piece: k for k, (_, _, piece) in enumerate(normal)}
         # chunks are cut where no piece can reach across: before a run of spaces and around line ends
-        if any("\n" in p or re.search(f"[^{SPACE}]{SPACE}", p) for p in self.id):
+        # and, where that spares segmentations, between a letter and a mark
+        if any("\n" in p or re.search(f"[^{SPACE}]{SPACE}|[A-Za-zÀ-ÿ][{_MARKS}]", p) for p in number):
             raise ValueError("a piece of the model reaches across the cuts of the text")
+        self.char = {c: k for c, k in number.items() if len(c) == 1}
+        # a literal U+2581 would decode as a space, so it has no number and goes to bytes
+        self.base = len(number) + 1  # pairs of numbers as one; the last number is that of all other characters
+        self.char[" "] = self.char.pop(SPACE, len(number))
+        self.merge = {
+            number[p[:i]] * self.base + number[p[i:]]: k
+            for p, k in number.items()
+            for i in range(1, len(p))
+            if p[:i] in number and p[i:] in number
+        }
 
     def segment(self, chunk: str, draws: Draws | None = None) -> list[int]:
         """Ids of one chunk; ``draws`` decide which candidate merges are skipped."""
-        # a literal U+2581 would decode as a space, so it stays alone and goes to bytes
-        sym = [SPACE if c == " " else _LITERAL if c == SPACE else c for c in chunk]
-        own = draws.of(chunk) if draws else 0
-        skip = draws.skip if draws else [False] * _TABLE
-        sym = (self._merge_short if len(sym) <= _SHORT else self._merge_long)(sym, own, skip)
+        other = self.base - 1
+        char = self.char.get
+        sym = [char(c, other) for c in chunk]
+        own, skip = (draws.of(chunk), draws.skip) if draws else (0, _KEEP_ALL)
+        at = list(range(len(sym)))
+        (self._merge_short if len(sym) <= _SHORT else self._merge_long)(sym, at, own, skip)
         ids: list[int] = []
-        for s in sym:
-            i = self.id.get(s)
-            if i is not None:
-                ids.append(i)
+        for k, i in zip(sym, at):
+            if k < other:
+                ids.append(self.ids[k])
             else:
-                ids += [self.byte[x] for x in (SPACE if s == _LITERAL else s).encode()]
+                ids += [self.byte[x] for x in chunk[i].encode()]
         return ids
 
-    def _merge_short(self, sym: list[str], own: int, skip: list[bool]) -> list[str]:
-        """The agenda as a plain list, one entry for each pair of neighbours."""
-        score = self.score.get
-        at = list(range(len(sym)))
-        agenda = []
-        for i in range(len(sym) - 1):
-            s = score(sym[i] + sym[i + 1])
-            agenda.append(_NEVER if s is None or skip[(own + 61 * i + 2062) % _TABLE] else -s)
+    def _merge_short(self, sym: list[int], at: list[int], own: int, skip: list[bool]) -> None:
+        """Merges in place; the agenda is a plain list, one entry for each pair of neighbours."""
+        merge, base, never, table = self.merge.get, self.base, _NEVER, _TABLE
+        agenda = [merge(a * base + b, never) for a, b in zip(sym, sym[1:])]
+        for i, k in enumerate(agenda):
+            if k < never and skip[(own + 61 * i + 1031 * k) % table]:
+                agenda[i] = never
         while agenda:
             best = min(agenda)
-            if best == _NEVER:
+            if best == never:
                 break
-            i = agenda.index(best)  # the leftmost of equal scores
-            new = sym[i] + sym[i + 1]
-            sym[i] = new
+            i = agenda.index(best)  # the leftmost of equal pieces
+            sym[i] = best
             del sym[i + 1], at[i + 1], agenda[i]
             if i:
-                pair = sym[i - 1] + new
-                s = score(pair)
-                agenda[i - 1] = _NEVER if s is None or skip[place(own, at[i - 1], len(pair))] else -s
+                k = merge(sym[i - 1] * base + best, never)
+                agenda[i - 1] = never if k < never and skip[(own + 61 * at[i - 1] + 1031 * k) % table] else k
             if i < len(agenda):
-                pair = new + sym[i + 1]
-                s = score(pair)
-                agenda[i] = _NEVER if s is None or skip[place(own, at[i], len(pair))] else -s
-        return sym
-
-    def _merge_long(self, chars: list[str], own: int, skip: list[bool]) -> list[str]:
-        """The agenda as a heap, for chunks of any length."""
-        sym: list[str | None] = list(chars)
+                k = merge(best * base + sym[i + 1], never)
+                agenda[i] = never if k < never and skip[(own + 61 * at[i] + 1031 * k) % table] else k
+
+    def _merge_long(self, sym: list[int], at: list[int], own: int, skip: list[bool]) -> None:
+        """The same with a heap, for chunks of any length."""
         n = len(sym)
-        left, right = list(range(-1, n - 1)), [*range(1, n), -1]
-        agenda: list[tuple] = []
+        left, right, gone = list(range(-1, n - 1)), [*range(1, n), -1], [False] * n
+        agenda: list[tuple[int, int, int, int, int]] = []
 
         def offer(a: int, b: int) -> None:
-            if a >= 0 and b >= 0 and (s := self.score.get(sym[a] + sym[b])) is not None:
-                if not skip[place(own, a, len(sym[a]) + len(sym[b]))]:
-                    heapq.heappush(agenda, (-s, a, len(sym[a]), b, len(sym[b])))
+            if a >= 0 and b >= 0:
+                k = self.merge.get(sym[a] * self.base + sym[b])
+                if k is not None and not skip[(own + 61 * a + 1031 * k) % _TABLE]:
+                    heapq.heappush(agenda, (k, a, b, sym[a], sym[b]))
 
         for i in range(n - 1):
             offer(i, i + 1)
         while agenda:
-            _, a, la, b, lb = heapq.heappop(agenda)
-            if sym[a] is None or sym[b] is None or len(sym[a]) != la or len(sym[b]) != lb:
+            k, a, b, x, y = heapq.heappop(agenda)
+            if gone[a] or gone[b] or sym[a] != x or sym[b] != y or right[a] != b:
                 continue  # one side has been merged meanwhile
-            sym[a] += sym[b]
-            sym[b] = None
-            right[a] = right[b]
+            sym[a], gone[b], right[a] = k, True, right[b]
             if right[b] >= 0:
                 left[right[b]] = a
             offer(left[a], a)
             offer(a, right[a])
-        return [s for s in sym if s is not None]
+        keep = [i for i in range(n) if not gone[i]]
+        sym[:], at[:] = [sym[i] for i in keep], keep
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.raw.__getitem__, ids.tolist())).decode()[1:]
@@ -166,14 +175,22 @@ class Encoder:
         for chunk in _CHUNK.findall(" " + text):
             ids = known.get(chunk)
             if ids is None:
-                ids = array("i", self.model.segment(chunk, self.draws[variant])).tobytes()
-                if len(chunk) <= _SHORT:
-                    if len(known) >= _CACHE:
-                        known.clear()
-                    known[chunk] = ids
+                ids = self._segment(chunk, variant)
             out.append(ids)
         return np.frombuffer(b"".join(out), np.int32)
 
+    def _segment(self, chunk: str, variant: int) -> bytes:
+        known = self.known[variant]
+        if chunk[-1] in _MARKS and _LETTER_MARK.search(chunk):
+            ids = b"".join(known.get(part) or self._segment(part, variant) for part in (chunk[:-1], chunk[-1]))
+        else:
+            ids = array("i", self.model.segment(chunk, self.draws[variant])).tobytes()
+        if len(chunk) <= _SHORT:
+            if len(known) >= _CACHE:
+                known.clear()
+            known[chunk] = ids
+        return ids
+
 
 RESULTS: list[tuple[str, T.DataType]] = [("piece_ids", T.ArrayType(T.IntegerType())), ("decoded_text", T.StringType())]
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import Texts, prefix_hash, span_hash, text_slices
-from .frames import Scratch, small_side, with_results
+from .frames import Scratch, free_name, small_side, with_results
 
 _POSITION = np.uint64(26)  # bits of a position in a slice, kept below the hash in one number
 
@@ -301,10 +301,10 @@ RESULTS: list[tuple[str, T.DataType]] = [
 ]
 
 
-def _cut(batch: pa.RecordBatch, text: str, cleaned: bool) -> dict[str, object]:
+def _cut(batch: pa.RecordBatch, text: str, spans_name: str, cleaned: bool) -> dict[str, object]:
     names = batch.schema.get_field_index
     out: dict[str, list] = {n: [] for n, _ in RESULTS} | {"cleaned_text": []}
-    for t, spans in zip(batch.column(names(text)), batch.column(names("_spans"))):
+    for t, spans in zip(batch.column(names(text)), batch.column(names(spans_name))):
         data = (t.as_py() or "").encode()
         runs: list[list[int]] = []
         for a, b in sorted((s["a"], s["b"]) for s in spans.as_py() or ()):
@@ -341,7 +341,7 @@ def remove_repeats(
     A null text counts as empty. ``cleaned_text`` drops the bytes of characters
     that a cut has split. ``filter_bits`` bounds a broadcast bit table (8 MB),
     ``shard_segments`` what one task sorts; neither changes a result.
-    Input columns named like an added one, or ``_key``, ``_spans``, are replaced.
+    Input columns named like an added one are replaced.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
@@ -349,11 +349,12 @@ def remove_repeats(
     plain = docs.select(key.alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).where("length(text) * 4 >= %d" % length)
     ranges = scratch.store(_repeated_spans(plain, length, gram, filter_bits, shard_segments, scratch))
     scratch.drop_all(but=[ranges])
-    keyed = docs.drop("_spans").withColumn("_key", key)
-    hit = small_side(scratch.store(ranges.select(F.col("key").alias("_key"))), 250_000)
-    found = ranges.select(F.col("key").alias("_key"), F.col("spans").alias("_spans"))
+    at, runs = free_name(docs, "_key"), free_name(docs, "_spans")
+    keyed = docs.withColumn(at, key)
+    hit = small_side(scratch.store(ranges.select(F.col("key").alias(at))), 250_000)  # 32 bytes a row
+    found = ranges.select(F.col("key").alias(at), F.col("spans").alias(runs))
     added = [*RESULTS, *([("cleaned_text", T.StringType())] if cleaned else [])]
-    cut = partial(_cut, text=text, cleaned=cleaned)
-    touched = keyed.join(hit, "_key", "left_semi").join(found, "_key")
-    whole = keyed.join(hit, "_key", "left_anti").withColumn("_spans", F.lit(None).cast(ranges.schema["spans"].dataType))
-    return with_results(touched, added, cut).unionByName(with_results(whole, added, cut)).drop("_key", "_spans")
+    cut = partial(_cut, text=text, spans_name=runs, cleaned=cleaned)
+    touched = keyed.join(hit, at, "left_semi").join(found, at)
+    whole = keyed.join(hit, at, "left_anti").withColumn(runs, F.lit(None).cast(ranges.schema["spans"].dataType))
+    return with_results(touched, added, cut).unionByName(with_results(whole, added, cut)).drop(at, runs)

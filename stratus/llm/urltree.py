@@ -99,14 +99,17 @@ def path_templates(pages: DataFrame, s: Settings, scratch: Scratch) -> DataFrame
         family = ["host", *t[:i], *t[i + 1 :]]
         branch = table.groupBy(*family, t[i]).agg(F.sum("labelled").alias("bl"), F.sum("blocked").alias("bb"))
         sure = branch.where((F.col("bl") >= s.min_labelled) & ~F.col(t[i]).isin("", "*"))
-        pool = sure.groupBy(*family).agg(F.sum("bl").alias("pl"), F.sum("bb").alias("pb"), F.count("*").alias("branches")).where("branches > 1")
+        sure = sure.withColumn("side", F.when(2 * F.col("bb") >= F.col("bl"), F.lit("(+)")).otherwise(F.lit("(-)")))  # mostly blocked, or not
+        pool = (
+            sure.groupBy(*family, "side").agg(F.sum("bl").alias("pl"), F.sum("bb").alias("pb"), F.count("*").alias("branches")).where("branches > 1")
+        )
         rate, share = F.col("pb") / F.col("pl"), F.col("bb") / F.col("bl")
         alike = (
-            sure.join(pool, family)
+            sure.join(pool, [*family, "side"])
             .where(F.abs(share - rate) <= F.lit(s.z) * F.sqrt(rate * (F.lit(1.0) - rate) / F.col("bl")))
-            .select(*family, t[i], F.lit(True).alias("alike"))
+            .select(*family, t[i], F.col("side").alias("alike"))
         )
-        step = F.when(F.col("alike"), F.lit("(*)")).otherwise(F.col(t[i]))
+        step = F.coalesce("alike", t[i])
         table = scratch.store(table.join(alike, [*family, t[i]], "left").withColumn(t[i], step).drop("alike"))
     return table
 
