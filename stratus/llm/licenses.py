@@ -16,6 +16,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frames import Scratch
+
 #: Fixed header texts by SPDX identifier.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -48,13 +50,14 @@ def template_weights(templates: dict[str, str]) -> tuple[dict[tuple[str, str], f
 def telling_tokens(weights: dict[tuple[str, str], float], least: float) -> list[str]:
     """Tokens of which a line needs at least one to reach the cosine ``least`` with any template.
 
-    Heaviest first, tokens are taken until what is left of every template is too short.
+    Long tokens first (ordinary texts rarely hold them), then heavy ones, tokens are taken until
+    what is left of every template is too short.
     """
     chosen: set[str] = set()
     for name in sorted({n for n, _ in weights}):
-        rest = sorted(((w, t) for (n, t), w in weights.items() if n == name and t not in chosen), reverse=True)
-        while rest and math.sqrt(sum(w * w for w, _ in rest)) >= least:
-            chosen.add(rest.pop(0)[1])
+        rest = sorted(((min(len(t), 6), w, t) for (n, t), w in weights.items() if n == name and t not in chosen), reverse=True)
+        while rest and math.sqrt(sum(w * w for _, w, _ in rest)) >= least:
+            chosen.add(rest.pop(0)[2])
     return sorted(chosen)
 
 
@@ -99,15 +102,18 @@ def scan_licenses(
     files = files.select(F.struct(*kept).alias("file"), F.col(f"`{path}`").alias("path"), F.col(f"`{text}`").alias("text"))
     weights, _, _ = template_weights(templates)
     tokens = telling_tokens(weights, least)
-    # equal texts are scanned once
-    texts = files.select("text").where("text IS NOT NULL").select(F.sha2("text", 256).alias("key"), "text")
-    lines = texts.select("key", F.size(_tokens(F.col("text"))).alias("n"), F.explode(F.split("text", "\n")).alias("line"))
-    low = F.lower("line")
-    holds = F.lit(False)
-    for t in tokens:  # a plain substring search first, then whole tokens
-        holds = holds | low.contains(t)
-    telling_lines = lines.where(holds).where(F.arrays_overlap(_tokens(F.col("line")), F.array(*[F.lit(t) for t in tokens])))
-    one = telling_lines.groupBy("key", "line").agg(F.min("n").alias("n"))
+    # lines without a telling token cannot be similar; equal texts count once from here on
+    def holds(line: Column) -> Column:
+        low = F.lower(line)
+        any_token = F.lit(False)
+        for t in tokens:  # a plain substring search first, then whole tokens
+            any_token = any_token | low.contains(t)
+        return any_token
+
+    some = files.where(holds(F.col("text"))).select("text", F.filter(F.split("text", "\n"), holds).alias("lines"))
+    lines = some.select(F.sha2("text", 256).alias("key"), F.size(_tokens(F.col("text"))).alias("n"), F.explode("lines").alias("line"))
+    telling_lines = lines.where(F.arrays_overlap(_tokens(F.col("line")), F.array(*[F.lit(t) for t in tokens])))
+    one = Scratch(files.sparkSession).store(telling_lines.groupBy("key", "line").agg(F.min("n").alias("n")))
     found = one.join(line_licenses(one, templates, least), "line")
     # a text's licence lines count once each
     own = found.groupBy("key").agg(
