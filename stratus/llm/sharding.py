@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .frames import Scratch
+
 
 @dataclass(frozen=True)
 class Leaf:
@@ -102,6 +104,7 @@ def shard_documents(
         placed(key, grown_tree(tree)).alias("grown_shard"),
         F.conv(F.substring(F.md5(F.concat_ws("/", F.lit("slot"), key, "text_crc32", "size")), 1, 3), 16, 10).cast("int").alias("bucket"),
     )
+    rows = Scratch(docs.sparkSession).store(rows)  # ids and numbers; counted and numbered below
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n")).select(
         "shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")
