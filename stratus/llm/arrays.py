@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
+SLICE_TEXTS = 1 << 15
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -76,7 +77,7 @@ def text_slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) ->
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     at = 0
     while at < n:
-        to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
+        to = min(max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1), at + SLICE_TEXTS)
         yield Texts(slice(at, to), raw[ends[at] : ends[to]], (ends[at : to + 1] - ends[at]).astype(np.int64))
         at = to
 
