@@ -25,12 +25,14 @@ TEMPLATES = {
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "LGPL-3.0": "This library is licensed under the GNU Lesser General Public License, version 3.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted.",
+    "BSD-3-Clause": "Redistributed under the BSD 3-Clause License.",
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC0-1.0": "Dedicated to the public domain under CC0 1.0.",
 }
+#: Words that most English lines hold; they are the last to be searched for.
+COMMON = frozenset("a and are as at be by for from in is it of on or that the this to was with".split())
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
 
@@ -50,14 +52,14 @@ def template_weights(templates: dict[str, str]) -> tuple[dict[tuple[str, str], f
 def telling_tokens(weights: dict[tuple[str, str], float], least: float) -> list[str]:
     """Tokens of which a line needs at least one to reach the cosine ``least`` with any template.
 
-    Long tokens first (ordinary texts rarely hold them), then heavy ones, tokens are taken until
-    what is left of every template is too short.
+    Long tokens first (ordinary texts rarely hold them), then heavy ones, common words at the end,
+    tokens are taken until what is left of every template is too short.
     """
     chosen: set[str] = set()
     for name in sorted({n for n, _ in weights}):
-        rest = sorted(((min(len(t), 6), w, t) for (n, t), w in weights.items() if n == name and t not in chosen), reverse=True)
-        while rest and math.sqrt(sum(w * w for _, w, _ in rest)) >= least:
-            chosen.add(rest.pop(0)[2])
+        rest = sorted(((t not in COMMON, min(len(t), 6), w, t) for (n, t), w in weights.items() if n == name and t not in chosen), reverse=True)
+        while rest and math.sqrt(sum(w * w for _, _, w, _ in rest)) >= least:
+            chosen.add(rest.pop(0)[3])
     return sorted(chosen)
 
 
