@@ -54,7 +54,9 @@ def main(argv: list[str] | None = None) -> int:
     elif ns.cmd == "dq":
         for section, frame in jobs.quality_suite(spark, ns.warehouse_dir).items():
             print(f"== {section}")
-            frame.show(50, truncate=False)
+            print("\t".join(frame.columns))
+            for row in frame.toLocalIterator():  # every row, one partition at a time
+                print("\t".join("" if v is None else str(v) for v in row))
     return 0
 
 

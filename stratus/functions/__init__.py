@@ -1,6 +1,5 @@
 from stratus.functions.scalar import (  # noqa: F401
     duck_round,
-    exact_mean,
     half_even_round,
     metric_from_param,
     normalise_station,

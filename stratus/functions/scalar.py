@@ -34,21 +34,6 @@ def duck_round(col, digits: int = 2) -> Column:
     return F.round(x * F.lit(scale), 0) / F.lit(scale)
 
 
-def exact_mean(col, scale: int = 4) -> Column:
-    """Aggregate: mean of readings at the warehouse precision (DECIMAL(12,4)).
-
-    Each value is fixed to ``scale`` decimals (``round(x * 10^scale)``), summed
-    exactly as an integer and divided once at the end. Unlike a floating-point
-    ``avg``, the result does not depend on the order in which partitions are
-    merged, so rounding it afterwards is reproducible (a half-cent mean such
-    as 78.065 always rounds the same way).
-    """
-    x = _c(col).cast("double")
-    units = F.round(x * F.lit(float(10**scale)), 0).cast("decimal(38,0)")
-    total = F.sum(units).cast("double")
-    return F.try_divide(total, F.count(x).cast("double")) / F.lit(float(10**scale))
-
-
 def half_even_round(col, digits: int = 2) -> Column:
     """pandas ``Series.round``: ``rint(x * 10^d) / 10^d``."""
     scale = float(10**digits)

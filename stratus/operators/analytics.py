@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratus.functions import duck_round, exact_mean, trunc_ts
+from stratus.functions import duck_round, trunc_ts
 from stratus.operators.stats import exact_quantiles
-from stratus.plans import broadcast_if_bounded, with_station
+from stratus.plans import with_station
 
 SOURCES = ["air_quality", "wind"]
 
@@ -122,15 +122,13 @@ def box_stats(
     metrics: list[str] | None = None,
     lo: float = 0.0,
     hi: float = 500.0,
-    max_groups: int = 1_000_000,
 ) -> DataFrame:
     """Box-plot numbers per metric x station over VALID values in [lo, hi].
 
-    Exact quartiles (interpolated, reported to 6 decimals), 1.5 IQR fences, whisker ends (most extreme
+    Exact quartiles (interpolated), 1.5 IQR fences, whisker ends (most extreme
     values inside the fences) and the number of points outside them. The
     quartiles are computed per group first; the whisker pass joins that small
-    per-group frame back, broadcast when the number of groups is within
-    ``max_groups`` (a counted bound), so the values are never shuffled for it.
+    per-group frame back.
     """
     f = _valid(fact)
     if metrics is not None:
@@ -143,17 +141,16 @@ def box_stats(
     quart = exact_quantiles(j, keys, "v", [0.25, 0.5, 0.75], ["__q1", "__q2", "__q3"])
     q = basic.join(quart, keys, "inner").select(
         *keys, "n", "min",
-        duck_round(F.col("__q1"), 6).alias("q1"),
-        duck_round(F.col("__q2"), 6).alias("median"),
-        duck_round(F.col("__q3"), 6).alias("q3"),
+        F.col("__q1").alias("q1"),
+        F.col("__q2").alias("median"),
+        F.col("__q3").alias("q3"),
         "max",
     )
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")).withColumn(
         "lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr")
     ).withColumn("upper_fence", F.col("q3") + F.lit(1.5) * F.col("iqr"))
-    stats = broadcast_if_bounded(q, max_groups, materialize=True)
-    per_group = [c for c in stats.columns if c not in keys]
-    w = j.join(stats, keys, "inner")
+    per_group = [c for c in q.columns if c not in keys]
+    w = j.join(q, keys, "inner")
     inside = (F.col("v") >= F.col("lower_fence")) & (F.col("v") <= F.col("upper_fence"))
     # the per-group statistics are constant inside a group: grouping by them
     # adds no groups and keeps the plan free of a second join
@@ -172,9 +169,9 @@ def wind_stats(fact: DataFrame, dim: DataFrame) -> DataFrame:
     spd = F.when(F.col("metric") == "wind_speed", F.col("v"))
     g = j.groupBy("station_name").agg(
         F.count(F.lit(1)).alias("measurements"),
-        duck_round(exact_mean(spd), 2).alias("avg_wind_speed"),
+        duck_round(F.avg(spd), 2).alias("avg_wind_speed"),
         duck_round(F.max(spd), 2).alias("max_wind_speed"),
-        duck_round(exact_mean(F.when(F.col("metric") == "wind_direction", F.col("v"))), 1).alias("avg_wind_direction"),
+        duck_round(F.avg(F.when(F.col("metric") == "wind_direction", F.col("v"))), 1).alias("avg_wind_direction"),
     )
     return g.orderBy(F.desc_nulls_last("avg_wind_speed"), F.asc_nulls_last("station_name"))
 
@@ -205,8 +202,8 @@ def period_pairs(
     f = _valid(fact.filter(F.col("metric").isin(m1, m2)))
     j = with_station(f.select("station_fk", "metric", "timestamp", F.col("value").cast("double").alias("v")), dim)
     g = j.groupBy("station_name", trunc_ts("timestamp", grain).alias("date")).agg(
-        exact_mean(F.when(F.col("metric") == m1, F.col("v"))).alias(f"avg_{m1}"),
-        exact_mean(F.when(F.col("metric") == m2, F.col("v"))).alias(f"avg_{m2}"),
+        F.avg(F.when(F.col("metric") == m1, F.col("v"))).alias(f"avg_{m1}"),
+        F.avg(F.when(F.col("metric") == m2, F.col("v"))).alias(f"avg_{m2}"),
     )
     return g.filter(F.col(f"avg_{m1}").isNotNull() & F.col(f"avg_{m2}").isNotNull())
 
@@ -278,7 +275,7 @@ def high_pollution_days(
         f.select("station_fk", "metric", "unit", "timestamp", F.col("value").cast("double").alias("v")), dim
     )
     g = j.groupBy(trunc_ts("timestamp", "day").alias("date"), "station_name", "metric", "unit").agg(
-        exact_mean("v").alias("__m")
+        F.avg("v").alias("__m")
     )
     return (
         g.filter(F.col("__m") > F.lit(threshold))
@@ -316,18 +313,15 @@ def station_performance(fact: DataFrame, dim: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- J8
 
 
-def latest(fact: DataFrame, dim: DataFrame, max_groups: int = 1_000_000) -> DataFrame:
+def latest(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """The newest measurement(s) of every station x metric, ties kept.
 
     Equivalent to the correlated ``ts = (SELECT MAX(ts) ...)`` form: the
     maxima are a partial aggregate (one row per station x metric, so a hot
-    station never lands in one task) and are joined back to the fact. When
-    the number of groups is within ``max_groups`` the maxima are broadcast and
-    the fact is never shuffled; beyond it the join falls back to a shuffle.
+    station never lands in one task) and are joined back to the fact, broadcast
+    or shuffled as their size at run time allows.
     """
-    mx = broadcast_if_bounded(
-        fact.groupBy("station_fk", "metric").agg(F.max("timestamp").alias("__mx")), max_groups, materialize=True
-    )
+    mx = fact.groupBy("station_fk", "metric").agg(F.max("timestamp").alias("__mx"))
     f = fact.join(mx, ["station_fk", "metric"], "inner").filter(F.col("timestamp") == F.col("__mx"))
     j = with_station(f, dim)
     return j.select("station_name", "metric", "value", "unit", "timestamp").orderBy(

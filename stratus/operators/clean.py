@@ -22,7 +22,6 @@ from stratus.functions import (
     to_number,
     to_ts,
 )
-from stratus.plans import broadcast_if_bounded
 from stratus.schemas import AIR_SENTINELS, POLLUTANT_INDICATORS, STATION_INDICATORS, WIND_SENTINELS
 
 # Timestamp text formats. Air sheets are day-first; wind sheets are read in
@@ -42,9 +41,6 @@ ISO_TS_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-
 WIND_RANGE_RULES = {"wind_direction": (0.0, 360.0), "wind_speed": (0.0, None)}
 
 HEADER_ROWS = 10  # header detection never looks further down a sheet
-# Header-derived frames (one row per file or per header column) and reference
-# tables are broadcast only below this counted bound; above it joins shuffle.
-MAX_SMALL_ROWS = 1_000_000
 
 
 def _contains_any(col: Column, needles: list[str]) -> Column:
@@ -129,7 +125,7 @@ def air_header(cells: DataFrame, offset: int = 1) -> DataFrame:
     g = h.filter(F.col("col") >= 1).groupBy("file", "col").agg(
         *[F.max(F.when(F.col("frow") == r, txt)).alias(f"r{r}") for r in range(8)]
     )
-    j = g.join(broadcast_if_bounded(mode, MAX_SMALL_ROWS), "file", "inner")  # one row per file
+    j = g.join(mode, "file", "inner")  # one row per file
     station_text = F.when(F.col("mode") == "standard", F.col("r2"))
     param_text = F.when(F.col("mode") == "standard", F.col("r3")).otherwise(F.lit("Unknown"))
     unit_text = F.when(F.col("mode") == "standard", F.col("r4")).otherwise(F.lit("Unknown"))
@@ -154,7 +150,7 @@ def resolve_stations(header: DataFrame, aliases: DataFrame) -> DataFrame:
     ``station_pk`` is NULL for names that match no alias)."""
     a = aliases.select(F.col("alias"), F.col("station_pk").cast("long").alias("station_pk"))
     h = header.withColumn("__name", normalise_station("station"))
-    a = broadcast_if_bounded(a, MAX_SMALL_ROWS)
+    a = a
     return h.join(a, h["__name"] == a["alias"], "left").drop("alias", "__name")
 
 
@@ -162,7 +158,7 @@ def unknown_stations(header: DataFrame, aliases: DataFrame) -> DataFrame:
     """Distinct header names that match no station alias."""
     h = header.select("file", normalise_station("station").alias("station")).distinct()
     a = aliases.select("alias")
-    return h.join(broadcast_if_bounded(a, MAX_SMALL_ROWS), h["station"] == a["alias"], "left_anti")
+    return h.join(a, h["station"] == a["alias"], "left_anti")
 
 
 # ------------------------------------------------------------------ P7-P11
@@ -240,15 +236,15 @@ def _data_cells(
     if infer:
         if isinstance(start_col, str):
             starts = mapping.select("file", start_col).distinct()
-            stamps = stamps.join(broadcast_if_bounded(starts, MAX_SMALL_ROWS), "file", "inner")
-        fmts = broadcast_if_bounded(file_date_formats(stamps, formats, start_col), MAX_SMALL_ROWS)
+            stamps = stamps.join(starts, "file", "inner")
+        fmts = file_date_formats(stamps, formats, start_col)
         stamps = stamps.join(fmts, "file", "left")
         text_ts = _parse_with(F.col("text"), F.col("__fmt"), formats)
         ts = F.when(F.col("kind") == F.lit("d"), to_ts(F.col("text"), ISO_TS_FORMATS)).otherwise(text_ts)
     else:
         ts = _timestamp_of(F.col("text"), F.col("kind"), formats)
     dt = stamps.select("file", "sheet_row", ts.alias("datetime"))
-    m = broadcast_if_bounded(mapping, MAX_SMALL_ROWS)  # header columns of all files
+    m = mapping  # header columns of all files
     data = cells.filter(F.col("col") >= 1).join(m, ["file", "col"], "inner")
     start = F.col(start_col) if isinstance(start_col, str) else F.lit(start_col)
     data = data.filter(F.col("sheet_row") >= start)
@@ -304,7 +300,7 @@ def split_valid(df: DataFrame, ranges: DataFrame, required: tuple[str, ...] = ("
     range (from the metric definitions). ``ok`` and ``rejects`` partition the
     input: each row goes to exactly one side.
     """
-    r = broadcast_if_bounded(ranges.select("metric", "valid_min", "valid_max"), MAX_SMALL_ROWS)
+    r = ranges.select("metric", "valid_min", "valid_max")
     j = df.join(r, "metric", "left")
     checks = [F.when(F.col(c).isNull(), F.lit(f"missing_{c}")) for c in required]
     v = F.col("value").cast("double")

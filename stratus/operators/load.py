@@ -1,10 +1,10 @@
 """Star-schema load: dimension merge/upsert, idempotent fact load, keys.
 
-Loads are expressed as set algebra over DataFrames and written as a *new
-version* of the table, never in place: a plan that reads the current version
-and writes the next one cannot corrupt what it reads, and a failed or lost
-job leaves the published version untouched. ``publish`` flips a small
-pointer file only after the new version is completely written.
+Loads are expressed as set algebra over DataFrames and written beside the
+table, never in place: a plan that reads the current rows and writes the next
+ones cannot corrupt what it reads, and a failed or lost job leaves the table
+untouched. ``publish`` flips a small pointer file, ``upsert_partitions`` renames
+whole partition folders, and only after the new rows are completely written.
 """
 
 from __future__ import annotations
@@ -12,12 +12,13 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stratus import storage
 from stratus.functions import to_fact_value
-from stratus.plans import broadcast_if_bounded
 from stratus.schemas import NATURAL_KEY
 
 DIM_ATTRS = ["station_code", "station_name", "location_type", "description"]
@@ -70,11 +71,15 @@ def seed_dim(stations: DataFrame, now: Column) -> DataFrame:
 def upsert_dim(current: DataFrame, batch: DataFrame, now: Column) -> DataFrame:
     """L3: update attributes (and ``updated_at``) of known keys, insert new keys
     with defaults, keep the others unchanged. Output has a ``__change``
-    column: 'updated', 'inserted' or 'unchanged' (see ``dim_load_stats``)."""
-    b = batch.select(F.col("station_pk").cast("int").alias("station_pk"), *[F.col(c).alias(f"__n_{c}") for c in DIM_ATTRS])
-    j = current.join(b, "station_pk", "full_outer")
-    in_cur = F.col("created_at").isNotNull() | F.col("station_code").isNotNull()
-    in_new = F.col("__n_station_code").isNotNull() | F.col("__n_station_name").isNotNull()
+    column: 'updated', 'inserted' or 'unchanged' (see ``dim_load_stats``).
+
+    A key that the batch holds several times is applied once, with its last
+    row. A side is present or not by a flag of its own, whatever its attributes."""
+    at = F.struct(F.monotonically_increasing_id().alias("__i"), *[F.col(c).alias(f"__n_{c}") for c in DIM_ATTRS])
+    last = batch.select(F.col("station_pk").cast("int").alias("station_pk"), at.alias("__r")).groupBy("station_pk").agg(F.max("__r").alias("__r"))
+    b = last.select("station_pk", *[F.col(f"__r.__n_{c}").alias(f"__n_{c}") for c in DIM_ATTRS], F.lit(True).alias("__new"))
+    j = current.withColumn("__cur", F.lit(True)).join(b, "station_pk", "full_outer")
+    in_cur, in_new = F.col("__cur").isNotNull(), F.col("__new").isNotNull()
     change = (
         F.when(in_cur & in_new, F.lit("updated")).when(in_new, F.lit("inserted")).otherwise(F.lit("unchanged"))
     )
@@ -121,10 +126,13 @@ def to_fact_rows(tall: DataFrame) -> DataFrame:
     )
 
 
-# A delivery's distinct keys are broadcast to the anti/semi join below this
-# counted bound, so the (much larger) current table is filtered in place
-# instead of being shuffled; above it the join shuffles both sides.
-MAX_BROADCAST_KEYS = 2_000_000
+#: Folders of the fact table: a load rewrites the months it touches.
+PARTITIONS = ("source", "year", "month")
+
+
+def with_partitions(rows: DataFrame) -> DataFrame:
+    """Fact rows with the ``year`` and ``month`` (text) that their folder is named by."""
+    return rows.withColumns({"year": F.year("timestamp").cast("string"), "month": F.month("timestamp").cast("string")})
 
 
 def batch_keys(batch: DataFrame, keys=NATURAL_KEY) -> DataFrame:
@@ -132,10 +140,6 @@ def batch_keys(batch: DataFrame, keys=NATURAL_KEY) -> DataFrame:
     return batch.select(*keys).distinct()
 
 
-def _keys_for_join(batch: DataFrame, keys, max_keys: int) -> DataFrame:
-    return broadcast_if_bounded(batch_keys(batch, keys), max_keys)
-
-
 def _key_match(left: DataFrame, right: DataFrame, keys) -> Column:
     # plain equality: a NULL in any key part never matches (row-value IN semantics)
     cond = None
@@ -145,24 +149,20 @@ def _key_match(left: DataFrame, right: DataFrame, keys) -> Column:
     return cond
 
 
-def replaced_rows(
-    current: DataFrame, batch: DataFrame, keys=NATURAL_KEY, max_keys: int = MAX_BROADCAST_KEYS
-) -> DataFrame:
+def replaced_rows(current: DataFrame, batch: DataFrame, keys=NATURAL_KEY) -> DataFrame:
     """Current rows whose natural key occurs in the batch (to be deleted)."""
-    bk = _keys_for_join(batch, keys, max_keys)
+    bk = batch_keys(batch, keys)
     return current.join(bk, _key_match(current, bk, keys), "left_semi")
 
 
-def upsert_fact(
-    current: DataFrame, batch: DataFrame, keys=NATURAL_KEY, max_keys: int = MAX_BROADCAST_KEYS
-) -> DataFrame:
+def upsert_fact(current: DataFrame, batch: DataFrame, keys=NATURAL_KEY) -> DataFrame:
     """L2: remove current rows whose natural key is in the batch, append the batch.
 
     Duplicates inside the batch are kept (the duplicate check reports them),
     and rows with a NULL key part are never matched, so re-loading them adds
     them again - both as in the original load.
     """
-    bk = _keys_for_join(batch, keys, max_keys)
+    bk = batch_keys(batch, keys)
     kept = current.join(bk, _key_match(current, bk, keys), "left_anti")
     return kept.unionByName(batch.select(*current.columns))
 
@@ -207,7 +207,6 @@ def assign_keys(
     start: int | Column = 0,
     key: str = "measurement_pk",
     partitions: int | None = None,
-    max_partitions: int = 1_000_000,
 ) -> DataFrame:
     """Dense surrogate keys ``start + 1, start + 2, ...`` in ``order``.
 
@@ -235,7 +234,6 @@ def assign_keys(
     counts = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__p", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    offsets = broadcast_if_bounded(offsets, max_partitions)
     base = start if isinstance(start, Column) else F.lit(start)
     out = ranged.join(offsets, "__p", "inner").withColumn(
         key, (base.cast("long") + F.col("__off") + F.col("__pos") + F.lit(1)).cast("long")
@@ -262,18 +260,13 @@ def publish(df: DataFrame, root: str, partition_by: tuple[str, ...] = ()) -> str
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    spark = df.sparkSession
-    pointer = spark.createDataFrame([(json.dumps({"path": path}),)], "value string")
-    pointer.coalesce(1).write.mode("overwrite").text(os.path.join(root, "_CURRENT"))
+    storage.replace_text(df.sparkSession, os.path.join(root, "_CURRENT"), json.dumps({"path": path}))
     return path
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
-    try:
-        rows = spark.read.text(os.path.join(root, "_CURRENT")).collect()
-    except Exception:  # noqa: BLE001 - no version published yet
-        return None
-    return json.loads(rows[0].value)["path"] if rows else None
+    text = storage.read_text(spark, os.path.join(root, "_CURRENT"))
+    return None if text is None else json.loads(text)["path"]
 
 
 def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
@@ -287,35 +280,37 @@ def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | Non
 # ------------------------------------------------- partition-scoped upsert
 
 
+SWAP = "_swap-"
+
+
 def upsert_partitions(
     spark: SparkSession,
     table_dir: str,
     batch: DataFrame,
     partition_cols: tuple[str, ...] = ("source", "year"),
     keys=NATURAL_KEY,
-    max_partitions: int = 100_000,
+    drop: Column | None = None,
+    gate: Callable[[DataFrame], None] | None = None,
 ) -> list[tuple]:
     """L2 at scale: rewrite only the table partitions the batch touches.
 
-    The table is Parquet partitioned by ``partition_cols`` (source, year).
-    The batch's partition values (few: sources x years, collected under a
-    counted bound) become a literal filter, so the scan of the current table
-    is pruned to the touched partitions; those are upserted, checkpointed in
-    the shared checkpoint folder (so the write below no longer reads the
-    table it replaces) and written back with dynamic partition overwrite.
-    Untouched partitions are neither read nor rewritten, so a daily load costs
-    the size of the days it touches, not the size of the table. Returns the
-    touched partition values.
+    The table is Parquet partitioned by ``partition_cols``. The batch's
+    partition values become a literal filter, so the scan of the current table
+    is pruned to the touched partitions. Their next rows are written to a hidden
+    folder of the table; ``gate`` may look at them and raise, which leaves the
+    table as it was. Then each old partition folder is renamed away and the new
+    one renamed into its place. A load that dies between two renames is
+    finished or undone by the next one (``recover_partitions``). Untouched
+    partitions are neither read nor rewritten. ``drop`` marks current rows to
+    leave out (those of an attempt that is repeated). Returns the touched
+    partition values.
     """
-    from stratus.session import checkpoint_dir
-
-    checkpoint_dir(spark)
-    rows = batch.select(*partition_cols).distinct().limit(max_partitions + 1).collect()
-    if len(rows) > max_partitions:
-        raise ValueError("batch touches too many partitions for a scoped rewrite")
-    touched = [tuple(r) for r in rows]
-    exists = current_table_exists(spark, table_dir)
-    if exists:
+    recover_partitions(spark, table_dir, len(partition_cols))
+    touched = [tuple(r) for r in batch.select(*partition_cols).distinct().toLocalIterator()]
+    if not touched:
+        return []
+    new_rows = batch
+    if current_table_exists(spark, table_dir):
         cond = F.lit(False)
         for values in touched:
             one = F.lit(True)
@@ -323,22 +318,71 @@ def upsert_partitions(
                 one = one & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
             cond = cond | one
         current = spark.read.parquet(table_dir).filter(cond)
+        # folder names are read as numbers where they look like some
+        current = current.withColumns({c: F.col(c).cast(batch.schema[c].dataType) for c in partition_cols})
+        if drop is not None:
+            current = current.filter(~F.coalesce(drop, F.lit(False)))
         new_rows = upsert_fact(current, batch.select(*current.columns), keys)
-    else:
-        new_rows = batch
-    staged = new_rows.checkpoint(eager=True)
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_cols)
-        .parquet(table_dir)
-    )
+    swap = os.path.join(table_dir, f"{SWAP}{uuid.uuid4().hex}")
+    fresh = os.path.join(swap, "new")
+    new_rows.write.partitionBy(*partition_cols).parquet(fresh)
+    if gate is not None:
+        try:
+            gate(spark.read.parquet(fresh))
+        except BaseException:
+            storage.remove(spark, swap)
+            raise
+    storage.replace_text(spark, os.path.join(swap, "_READY"), "")  # from here on the load goes through
+    _swap_in(spark, table_dir, swap, len(partition_cols))
     return touched
 
 
+def _partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    found = [""]
+    for _ in range(depth):
+        found = [os.path.join(f, x) for f in found for x in storage.folders(spark, os.path.join(path, f)) if "=" in x]
+    return found
+
+
+def _swap_in(spark: SparkSession, table_dir: str, swap: str, depth: int) -> None:
+    for part in _partition_folders(spark, os.path.join(swap, "new"), depth):
+        live, old = os.path.join(table_dir, part), os.path.join(swap, "old", part)
+        if storage.exists(spark, live) and not storage.exists(spark, old):
+            storage.move(spark, live, old)
+        storage.move(spark, os.path.join(swap, "new", part), live)
+    storage.remove(spark, swap)
+
+
+def recover_partitions(spark: SparkSession, table_dir: str, depth: int) -> None:
+    """Finishes loads that were completely written, and removes what others left."""
+    for name in storage.folders(spark, table_dir):
+        if name.startswith(SWAP):
+            swap = os.path.join(table_dir, name)
+            if storage.exists(spark, os.path.join(swap, "_READY")):
+                _swap_in(spark, table_dir, swap, depth)
+            else:
+                storage.remove(spark, swap)
+
+
 def current_table_exists(spark: SparkSession, table_dir: str) -> bool:
-    try:
-        spark.read.parquet(table_dir).schema  # noqa: B018 - listing only
-        return True
-    except Exception:  # noqa: BLE001 - path missing or empty
-        return False
+    return storage.holds_data(spark, table_dir)
+
+
+class IntegrityError(ValueError):
+    """Rows that a load must not publish."""
+
+
+def integrity_gate(dim: DataFrame, keys=NATURAL_KEY) -> Callable[[DataFrame], None]:
+    """A check for ``upsert_partitions``: raises on orphans, repeated keys or missing key parts."""
+
+    def check(rows: DataFrame) -> None:
+        missing = rows.agg(*[F.count_if(F.col(k).isNull()).alias(f"null_{k}") for k in keys]).first().asDict()
+        orphans = rows.join(dim, rows["station_fk"] == dim["station_pk"], "left_anti").where("station_fk IS NOT NULL")
+        found = missing | {
+            "orphans": orphans.count(),
+            "duplicate_keys": rows.groupBy(*keys).count().where("count > 1").count(),
+        }
+        if any(found.values()):
+            raise IntegrityError(f"load stopped, table unchanged: {found}")
+
+    return check

@@ -12,9 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratus.functions import duck_round, exact_mean, half_even_round
+from stratus.functions import duck_round, half_even_round
 from stratus.operators.stats import column_quantiles
-from stratus.plans import broadcast_if_bounded
 from stratus.operators.tall import with_station_meta
 
 
@@ -70,7 +69,7 @@ def wide_coverage(wide: DataFrame, stations: DataFrame, file_col: str = "file")
     )
     g = g.withColumn("pct_non_null", _pct2(F.col("non_null_points"), F.col("total_rows")))
     meta = stations.select(F.col("station_pk").cast("long").alias("station_pk"), "station_code", "station_name")
-    return g.join(broadcast_if_bounded(meta), "station_pk", "left").orderBy(file_col, "station_pk", "metric")
+    return g.join(meta, "station_pk", "left").orderBy(file_col, "station_pk", "metric")
 
 
 def melt_with_key(df: DataFrame, key: str) -> DataFrame:
@@ -147,7 +146,7 @@ def describe_numeric(df: DataFrame, digits: int | None = None) -> DataFrame:
             F.struct(
                 F.lit(c).alias("column"),
                 F.count(x).cast("double").alias("count"),
-                exact_mean(x).alias("mean"),
+                F.avg(x).alias("mean"),
                 F.stddev_samp(x).alias("std"),
                 F.min(x).alias("min"),
                 F.max(x).alias("max"),
@@ -192,12 +191,12 @@ def valid_coverage(tall: DataFrame, stations: DataFrame, file_col: str = "file")
     )
     g = g.withColumn("pct_valid", _pct2(F.col("valid_points"), F.col("total_points")))
     meta = stations.select(F.col("station_pk").cast("long").alias("station_pk"), "station_code", "station_name")
-    return g.join(broadcast_if_bounded(meta), "station_pk", "left").orderBy(file_col, "station_pk", "metric")
+    return g.join(meta, "station_pk", "left").orderBy(file_col, "station_pk", "metric")
 
 
 def mean_pivot(tall: DataFrame, metrics: list[str]) -> DataFrame:
     """Mean value per station code x metric, one column per metric."""
-    g = tall.groupBy("station_code").pivot("metric", list(metrics)).agg(exact_mean("value"))
+    g = tall.groupBy("station_code").pivot("metric", list(metrics)).agg(F.avg("value"))
     return g.select("station_code", *[half_even_round(F.col(m), 2).alias(m) for m in metrics]).orderBy(
         "station_code"
     )
@@ -218,7 +217,7 @@ def pollutant_summary(tall: DataFrame) -> DataFrame:
     v = F.col("value").cast("double")
     return tall.groupBy("metric").agg(
         F.count(v).alias("count"),
-        half_even_round(exact_mean(v), 2).alias("mean"),
+        half_even_round(F.avg(v), 2).alias("mean"),
         half_even_round(F.stddev_samp(v), 2).alias("std"),
         half_even_round(F.min(v), 2).alias("min"),
         half_even_round(F.max(v), 2).alias("max"),

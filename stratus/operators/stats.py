@@ -9,7 +9,7 @@ would be one huge task. Here the order statistic is found by sorting instead:
    slice of the sorted order and a hot group is spread over many tasks; the
    partitioned counts are checkpointed in the shared checkpoint folder;
 3. per (task, group) totals -> prefix offsets (a frame of about
-   ``partitions + groups`` rows, broadcast after a counted bound);
+   ``partitions + groups`` rows, joined as its size allows);
 4. running counts inside each (task, group) slice give every distinct value
    its rank interval ``[start, end)``;
 5. the values holding ranks ``floor(h)`` and ``ceil(h)``, ``h = p * (n - 1)``,
@@ -24,7 +24,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.plans import broadcast_if_bounded
 from stratus.session import checkpoint_dir
 
 
@@ -55,7 +54,6 @@ def exact_quantiles(
     probs: list[float],
     names: list[str] | None = None,
     partitions: int | None = None,
-    max_meta_rows: int = 1_000_000,
 ) -> DataFrame:
     """One row per group of ``keys`` with one exact, interpolated quantile column
     per probability (named ``names`` or ``q0, q1, ...``)."""
@@ -71,7 +69,6 @@ def exact_quantiles(
         F.coalesce(F.sum("__pc").over(before), F.lit(0)).alias("__off"),
         F.sum("__pc").over(whole).alias("__n"),
     )
-    meta = broadcast_if_bounded(meta, max_meta_rows)
 
     running = Window.partitionBy("__p", *keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = ranged.withColumn("__run", F.sum("__c").over(running))

@@ -47,7 +47,7 @@ WITH base AS (
          CAST(user_id AS INTEGER) AS station_fk,
          CASE event_type WHEN 'view' THEN 'wind_speed' WHEN 'error' THEN 'wind_direction'
               WHEN 'click' THEN 'no2' WHEN 'signup' THEN 'o3' WHEN 'purchase' THEN 'pm10' END AS metric,
-         CASE WHEN value < 5.0 THEN NULL ELSE CAST(value AS DOUBLE) END AS value
+         CASE WHEN value < 5.0 THEN NULL ELSE CAST(value AS DOUBLE) * CAST(1.0936133 AS DOUBLE) END AS value
   FROM events
 ),
 {_FINISH},
@@ -76,8 +76,7 @@ ranges AS (
 
 
 def _mean(x: str) -> str:
-    """Mean at the warehouse precision: 4-decimal fixed point, exact integer sum."""
-    return f"(CAST(SUM(CAST(ROUND(({x}) * 10000) AS BIGINT)) AS DOUBLE) / COUNT({x}) / 10000.0)"
+    return f"AVG({x})"
 
 
 def _pct(num: str, den: str, digits: int = 2) -> str:
@@ -139,8 +138,7 @@ pts AS (
 ),
 q AS (
   SELECT metric, station_name, COUNT(*) AS n, MIN(v) AS "min",
-         ROUND(quantile_cont(v, 0.25), 6) AS q1, ROUND(quantile_cont(v, 0.5), 6) AS median,
-         ROUND(quantile_cont(v, 0.75), 6) AS q3,
+         quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3,
          MAX(v) AS "max"
   FROM pts GROUP BY metric, station_name
 ),

@@ -1,6 +1,4 @@
 from stratus.plans.joins import (  # noqa: F401
-    bounded,
-    broadcast_if_bounded,
     with_station,
 )
 from stratus.plans.checks import physical_plan, plan_has  # noqa: F401

@@ -1,15 +1,11 @@
-"""Join helpers with explicit, checked broadcast decisions.
+"""Join helpers.
 
 Rules used throughout the library:
 
-* Reference tables built from fixed literal rows (stations, metrics, expected
-  ranges) have a size known at plan time and are broadcast by hint.
-* Dimensions read from storage are *not* hinted: the planner compares their
-  estimated size with ``spark.sql.autoBroadcastJoinThreshold`` and AQE
-  re-checks the real size at runtime, falling back to a shuffle join when
-  the side is large. ``broadcast_if_bounded`` is the explicit form of that
-  check for callers that want a hint: it counts at most ``max_rows + 1`` rows
-  and hints only when the bound holds.
+* No join is hinted: the planner compares the estimated size of a side with
+  ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks the real size at
+  run time, falling back to a shuffle join when the side is large. Building a
+  report runs no job for it.
 * Reports that join the fact to a dimension aggregate the fact by station key
   first where the aggregate is decomposable, so the join sees one row per
   station instead of one per measurement.
@@ -20,30 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded(df: DataFrame, max_rows: int) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(
-    df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, materialize: bool = False
-) -> DataFrame:
-    """Broadcast hint only when ``df`` has at most ``max_rows`` rows.
-
-    ``materialize``: checkpoint ``df`` first (shared checkpoint folder), so the
-    count and the later join read the stored result instead of recomputing an
-    expensive aggregate twice.
-    """
-    if materialize:
-        from stratus.session import checkpoint_dir
-
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    return F.broadcast(df) if bounded(df, max_rows) else df
-
 
 def with_station(
     fact: DataFrame,

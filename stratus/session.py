@@ -8,7 +8,7 @@ UTC session zone for wall-clock timestamps, no UI server).
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,19 +46,16 @@ def get_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder, registered with the context.
 
-    On a cluster this setting names shared storage and is always honoured.
-    Only when it is unset (local tests) a fresh scratch folder is created and
-    registered, so ``DataFrame.checkpoint()`` works the same way everywhere.
+    ``spark.checkpoint.dir`` names it, or ``SparkContext.setCheckpointDir`` has
+    set it. Only a local session with neither gets a scratch folder; on a
+    cluster, where a local folder would lose data, that is an error.
     """
     sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(current)
-        return current
-    local = tempfile.mkdtemp(prefix="stratus-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    sc.setCheckpointDir(local)
-    return local
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir() is None:
+        if not named and not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="stratus-ckpt-"))
+    return named or sc.getCheckpointDir()

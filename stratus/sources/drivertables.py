@@ -59,6 +59,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
+#: Readings are converted to a unit in which no mean of a few lies half-way between two rounded values,
+#: where the order of a floating-point sum would decide.
+EVENT_UNIT = 1.0936133
+
+
 def _map(col, mapping: dict[str, str]):
     out = None
     for k, v in mapping.items():
@@ -118,7 +123,7 @@ def events_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("int").alias("station_fk"),
         _map("event_type", EVENT_METRICS).alias("metric"),
         F.when(F.col("value") < F.lit(EVENT_SAMPLING_LIMIT), F.lit(None).cast("double"))
-        .otherwise(F.col("value").cast("double"))
+        .otherwise(F.col("value").cast("double") * F.lit(EVENT_UNIT))
         .alias("value"),
     )
     return _finish(df)

@@ -70,14 +70,14 @@ def write_staged(df: DataFrame, directory: str, partition_by: tuple[str, ...] =
 def write_tall(df: DataFrame, directory: str, partition_by: tuple[str, ...] = ("source", "year")) -> None:
     """Normalised tall rows, idempotent per partition, sorted inside files.
 
-    Rows are clustered by partition columns first (one writer per partition
-    value instead of every task writing every partition), then sorted by
-    (datetime, station_pk, metric) inside each file so min/max statistics
-    make time filters prune row groups.
+    Rows are clustered by partition columns (few files per folder), but by
+    rebalancing: AQE splits a large partition over several writers and merges
+    small ones. Rows are sorted by (datetime, station_pk, metric) inside each
+    file so min/max statistics make time filters prune row groups.
     """
     keys = [F.col(c) for c in partition_by]
     (
-        df.repartition(*keys)
+        df.hint("rebalance", *keys)
         .sortWithinPartitions(*partition_by, "datetime", "station_pk", "metric")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

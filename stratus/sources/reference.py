@@ -35,7 +35,7 @@ METRICS_SCHEMA = T.StructType(
 
 
 def stations(spark: SparkSession, rows=None) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(rows or schemas.STATIONS, STATIONS_SCHEMA))
+    return spark.createDataFrame(rows or schemas.STATIONS, STATIONS_SCHEMA)
 
 
 def station_dim(spark: SparkSession, rows=None) -> DataFrame:
@@ -51,13 +51,11 @@ def station_dim(spark: SparkSession, rows=None) -> DataFrame:
 
 def station_aliases(spark: SparkSession, rows=None) -> DataFrame:
     """One row per (alias, station); unknown header names are found by anti join."""
-    return F.broadcast(
-        stations(spark, rows).select(
-            F.explode("normalised_names").alias("alias"),
-            "station_pk",
-            "station_code",
-            "station_name",
-        )
+    return stations(spark, rows).select(
+        F.explode("normalised_names").alias("alias"),
+        "station_pk",
+        "station_code",
+        "station_name",
     )
 
 

@@ -3,16 +3,17 @@
 New normalised files arriving in a directory are picked up by a file-source
 stream; each micro-batch is loaded with exactly the batch semantics of
 ``upsert_fact`` (delete matching natural keys, append), but only the
-(source, year) partitions the micro-batch touches are read and rewritten
+(source, month) partitions the micro-batch touches are read and rewritten
 (``upsert_partitions``), so a micro-batch costs the size of its partitions,
 not of the table.
 
-A small marker file records the last loaded batch id and the largest key
-handed out. A micro-batch replayed after a failure is recognised and skipped;
-if the failure hit between the partition write and the marker, the replay
-upserts the same keys again, which leaves the table unchanged (the load is
-idempotent by natural key). New keys continue from the marker, so no batch
-scans the table for its largest key.
+A small marker file records the last loaded batch id and, before a batch is
+written, the range of keys it is about to hand out. A micro-batch replayed after
+it was loaded is skipped; one replayed after a failure gets the same keys again
+and first removes what the failed attempt may have written, also rows with a
+missing key part, which the upsert by key would not match. New keys continue
+from the larger of the marker and the table's largest key, so stream and batch
+loads can alternate.
 """
 
 from __future__ import annotations
@@ -24,11 +25,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from stratus import storage
 from stratus.operators.load import (
+    PARTITIONS,
     assign_keys,
     current_table_exists,
+    recover_partitions,
     to_fact_rows,
     upsert_partitions,
+    with_partitions,
 )
 from stratus.schemas import NATURAL_KEY, TALL
 
@@ -39,42 +44,39 @@ def fact_path(root: str) -> str:
     return os.path.join(root, "fact")
 
 
-def _read_marker(spark: SparkSession, root: str) -> dict | None:
-    try:
-        rows = spark.read.text(os.path.join(root, MARKER)).collect()
-    except Exception:  # noqa: BLE001 - nothing loaded yet
-        return None
-    return json.loads(rows[0].value) if rows else None
+def _read_marker(spark: SparkSession, root: str) -> dict:
+    text = storage.read_text(spark, os.path.join(root, MARKER))
+    return {"batch_id": -1, "max_key": 0, "pending": None} if text is None else json.loads(text)
 
 
-def _write_marker(spark: SparkSession, root: str, batch_id: int, max_key: int) -> None:
-    body = json.dumps({"batch_id": batch_id, "max_key": max_key})
-    spark.createDataFrame([(body,)], "value string").coalesce(1).write.mode("overwrite").text(
-        os.path.join(root, MARKER)
-    )
+def _write_marker(spark: SparkSession, root: str, **marker) -> None:
+    storage.replace_text(spark, os.path.join(root, MARKER), json.dumps(marker))
 
 
 def load_batch(batch: DataFrame, batch_id: int, root: str) -> None:
     """foreachBatch body: upsert one micro-batch of tall rows into ``root/fact``."""
     spark = batch.sparkSession
     marker = _read_marker(spark, root)
-    if marker is not None and batch_id <= marker["batch_id"]:
+    if batch_id <= marker["batch_id"]:
         return  # replay of a batch that was already loaded
     table = fact_path(root)
-    if marker is not None:
-        start = int(marker["max_key"])
-    elif current_table_exists(spark, table):  # first stream batch on a table loaded by batch jobs
-        start = int(spark.read.parquet(table).agg(F.coalesce(F.max("measurement_pk"), F.lit(0))).first()[0])
+    rows = with_partitions(to_fact_rows(batch))
+    n = rows.count()
+    pending, drop = marker["pending"], None
+    if pending and pending["batch_id"] == batch_id:
+        start = pending["start"]
+        drop = F.col("measurement_pk").between(start + 1, start + pending["n"])
     else:
-        start = 0
-    rows = to_fact_rows(batch).withColumn("year", F.year("timestamp").cast("string"))
-    order = [F.asc_nulls_last(c) for c in NATURAL_KEY]
-    keyed = assign_keys(rows, order, start=start).withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))
-    keyed = keyed.checkpoint(eager=True)
-    n = keyed.count()
+        start = marker["max_key"]
+        recover_partitions(spark, table, len(PARTITIONS))
+        if current_table_exists(spark, table):
+            start = max(start, spark.read.parquet(table).agg(F.coalesce(F.max("measurement_pk"), F.lit(0))).first()[0])
+        _write_marker(spark, root, batch_id=marker["batch_id"], max_key=start, pending={"batch_id": batch_id, "start": start, "n": n})
     if n:
-        upsert_partitions(spark, table, keyed)
-    _write_marker(spark, root, batch_id, start + n)
+        order = [F.asc_nulls_last(c) for c in NATURAL_KEY]
+        keyed = assign_keys(rows, order, start=start).withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))
+        upsert_partitions(spark, table, keyed, PARTITIONS, drop=drop)
+    _write_marker(spark, root, batch_id=batch_id, max_key=start + n, pending=None)
 
 
 def load_stream(

@@ -16,11 +16,8 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from stratus.session import get_session
 
-    s = get_session("local[4]", 4, app_name="stratus-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="stratus-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    d = tempfile.mkdtemp(prefix="stratus-test-ckpt-")
+    s = get_session("local[4]", 4, app_name="stratus-tests", extra={"spark.checkpoint.dir": d})
     yield s
     s.stop()
 

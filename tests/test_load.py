@@ -2,6 +2,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from stratus.operators import load as L
@@ -129,3 +131,101 @@ def test_upsert_partitions_touches_only_batch_partitions(spark, tmp_dir):
     back = spark.read.parquet(table)
     assert back.count() == 4
     assert A.duplicate_keys(back).first().dup_count == 0
+
+
+def _tall(spark, rows):
+    from stratus.schemas import TALL
+
+    return spark.createDataFrame(rows, TALL)
+
+
+def _tall_row(day, pk, source="air_quality", value=1.0, month=6):
+    return (dt.datetime(2020, month, day), pk, f"S{pk}", f"Site {pk}", "AQM", "no2", "ug/m3(S)", value, "VALID", source)
+
+
+def test_unreadable_table_raises_and_keeps_its_rows(spark, tmp_dir):
+    table = os.path.join(tmp_dir, "t")
+    schema = FACT_SCHEMA + ", year string"
+    rows = [(k, dt.datetime(2020, 6, 1), "no2", None, None, "air_quality", "NODATA", "2020") for k in range(5)]
+    L.upsert_partitions(spark, table, spark.createDataFrame(rows, schema))
+    part = os.path.join(table, "source=air_quality", "year=2020")
+    for f in os.listdir(part):
+        if f.endswith(".parquet"):
+            with open(os.path.join(part, f), "r+b") as h:
+                h.seek(-8, 2)
+                h.write(b"\0" * 8)
+    before = sorted(os.listdir(part))
+    with pytest.raises(Exception):
+        L.upsert_partitions(spark, table, spark.createDataFrame(rows[:1], schema))
+    assert sorted(os.listdir(part)) == before
+
+
+def test_gate_stops_a_load_before_the_table_changes(spark, tmp_dir):
+    table = os.path.join(tmp_dir, "t")
+    schema = FACT_SCHEMA + ", year string"
+    good = [(1, dt.datetime(2020, 6, 1), "no2", None, None, "air_quality", "NODATA", "2020")]
+    dim = spark.createDataFrame([(1,)], "station_pk int")
+    L.upsert_partitions(spark, table, spark.createDataFrame(good, schema), gate=L.integrity_gate(dim))
+    for bad in ([(9, *good[0][1:])], good * 2, [(1, None, *good[0][2:])]):
+        with pytest.raises(L.IntegrityError):
+            L.upsert_partitions(spark, table, spark.createDataFrame(bad, schema), gate=L.integrity_gate(dim))
+    assert [r.station_fk for r in spark.read.parquet(table).collect()] == [1]
+    assert not [n for n in os.listdir(table) if n.startswith(L.SWAP)]
+
+
+def test_interrupted_swap_is_finished_or_undone(spark, tmp_dir):
+    table = os.path.join(tmp_dir, "t")
+    schema = FACT_SCHEMA + ", year string"
+    row = lambda pk: (pk, dt.datetime(2020, 6, 1), "no2", None, None, "air_quality", "NODATA", "2020")
+    L.upsert_partitions(spark, table, spark.createDataFrame([row(1)], schema))
+    part = os.path.join("source=air_quality", "year=2020")
+    for name, ready in (("_swap-a", False), ("_swap-b", True)):
+        fresh = os.path.join(table, name, "new")
+        spark.createDataFrame([row(1), row(2)], schema).write.partitionBy("source", "year").parquet(fresh)
+        if ready:  # the old folder is already away
+            open(os.path.join(table, name, "_READY"), "w").close()
+            os.makedirs(os.path.join(table, name, "old", "source=air_quality"))
+            os.rename(os.path.join(table, part), os.path.join(table, name, "old", part))
+        L.recover_partitions(spark, table, 2)
+        assert spark.read.parquet(table).count() == (2 if ready else 1)
+    assert os.listdir(table) and not [n for n in os.listdir(table) if n.startswith(L.SWAP)]
+
+
+def test_stream_and_batch_loads_share_keys_and_replays_add_nothing(spark, tmp_dir):
+    from stratus.streaming import upsert as U
+
+    U.load_batch(_tall(spark, [_tall_row(d, 1) for d in range(1, 6)]), 0, tmp_dir)
+    table = U.fact_path(tmp_dir)
+    fact = lambda: spark.read.parquet(table)
+    by_job = L.with_partitions(L.to_fact_rows(_tall(spark, [_tall_row(d, 2) for d in range(1, 5)])))
+    keyed = L.assign_keys(by_job, [F.col("timestamp")], L.next_key_start(fact())).withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))
+    L.upsert_partitions(spark, table, keyed, L.PARTITIONS)
+    third = _tall(spark, [_tall_row(7, 3), _tall_row(8, 3, source=None)])
+    U.load_batch(third, 1, tmp_dir)
+    assert fact().count() == 11 and fact().select("measurement_pk").distinct().count() == 11
+    # the attempt wrote its rows but not the end of its marker
+    marker = U._read_marker(spark, tmp_dir)
+    U._write_marker(spark, tmp_dir, batch_id=0, max_key=marker["max_key"] - 2, pending={"batch_id": 1, "start": marker["max_key"] - 2, "n": 2})
+    U.load_batch(third, 1, tmp_dir)
+    assert fact().count() == 11 and fact().agg(F.max("measurement_pk")).first()[0] == 11
+    U.load_batch(third, 1, tmp_dir)
+    assert fact().count() == 11
+
+
+def test_a_load_rewrites_only_its_months(spark, tmp_dir):
+    from stratus.streaming import upsert as U
+
+    U.load_batch(_tall(spark, [_tall_row(1, 1, month=m) for m in (5, 6)]), 0, tmp_dir)
+    june = os.path.join(U.fact_path(tmp_dir), "source=air_quality", "year=2020", "month=6")
+    before = sorted(os.listdir(june))
+    U.load_batch(_tall(spark, [_tall_row(2, 1, month=5)]), 1, tmp_dir)
+    assert sorted(os.listdir(june)) == before and spark.read.parquet(U.fact_path(tmp_dir)).count() == 3
+
+
+def test_dimension_upsert_with_repeated_keys_and_empty_attributes(spark):
+    seeded = L.seed_dim(reference.station_dim(spark), T(T0))
+    schema = "station_pk int, station_code string, station_name string, location_type string, description string"
+    batch = spark.createDataFrame([(1, "A", "first", "AQM", None), (1, "B", "second", "AQM", None), (40, None, None, None, None)], schema).coalesce(1)
+    got = {r.station_pk: r for r in L.upsert_dim(seeded, batch, T(T1)).collect()}
+    assert len(got) == 12 and got[1].station_name == "second" and got[1]["__change"] == "updated"
+    assert got[40]["__change"] == "inserted" and got[40].is_active and got[40].created_at == dt.datetime(2024, 2, 1)
