@@ -246,12 +246,10 @@ def jaccard_groups(
 
     compared = _compare_leaders(entries, sized, docs, words, pct, scratch)
     links = compared.where(_linked(pct)).select("a", "b")
-    first = scratch.store(components(links, scratch, "a", "b"))
-    kin = _family_links(compared, first, pct, scratch)
-    links = links.unionAll(kin)
-    second = scratch.store(components(links, scratch, "a", "b"))
-    links = links.unionAll(_block_links(entries, second, compared, sized, docs, words, pct, scratch))
-    same = components(links, scratch, "a", "b")
+    links = links.unionAll(_family_links(compared, pct, scratch))
+    known = scratch.store(components(links, scratch, "a", "b"))
+    more = _block_links(entries, known, compared, sized, docs, words, pct, scratch)
+    same = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more), scratch, "a", "b")
 
     of_key = firsts.join(same.withColumnRenamed("node", "doc"), "doc", "left").select(
         "k1", "k2", F.coalesce("component", "doc").alias("component")
@@ -314,8 +312,8 @@ def _families(compared: DataFrame) -> DataFrame:
     return largest.select("doc", "f.family", "f.members")
 
 
-def _family_links(compared, first, pct, scratch):
-    """Links between members of one leader's family that are in different components.
+def _family_links(compared, pct, scratch):
+    """Links between members of one leader's family, of which not both are linked with the leader.
 
     With X the leader's size, and l and o what a member lacks of it and has beyond it, two members
     link exactly if their differences share at least g + g' tokens, where
@@ -329,11 +327,10 @@ def _family_links(compared, first, pct, scratch):
         (200 * (F.col("nb") - F.col("both")) + 2 * pct * (F.col("na") - F.col("both")) - (100 - pct) * F.col("nb")).alias("g"),
         ((100 - pct) * F.col("nb")).alias("edge"),
     )
-    part = part.join(first.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    some = part.groupBy("leader").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("leader")
+    some = part.groupBy("leader").agg(F.count("*").alias("members"), F.min("near").alias("near")).where("members > 1 AND NOT near").select("leader")
     part = scratch.store(part.join(some, "leader", "left_semi"))
     unit = 2 * (100 + pct)
-    tokens = part.select("leader", "doc", "g", "edge", "near", "component", F.size("differ").alias("n"), F.explode("differ").alias("token"))
+    tokens = part.select("leader", "doc", "g", "edge", "near", F.size("differ").alias("n"), F.explode("differ").alias("token"))
     often = tokens.groupBy("leader", "token").agg(F.count("*").alias("sets"))
     order = Window.partitionBy("leader", "doc").orderBy("sets", "token")
     ranked = tokens.join(often, ["leader", "token"]).withColumn("pos", F.row_number().over(order) - 1)
@@ -341,7 +338,7 @@ def _family_links(compared, first, pct, scratch):
     least = F.greatest(F.ceil((F.col("g") + F.when(F.col("near"), F.col("edge")).otherwise(-F.col("edge"))) / unit), F.lit(1))
     index = scratch.store(
         ranked.where((F.col("sets") > 1) & (F.col("pos") <= F.col("n") - least)).select(
-            "leader", "token", "doc", "g", "near", "component", (F.col("n") - F.col("pos")).alias("rest")
+            "leader", "token", "doc", "g", "near", (F.col("n") - F.col("pos")).alias("rest")
         )
     )
     x, y = index.where("NOT near").alias("x"), index.alias("y")
@@ -349,7 +346,6 @@ def _family_links(compared, first, pct, scratch):
         y,
         (F.col("x.leader") == F.col("y.leader"))
         & (F.col("x.token") == F.col("y.token"))
-        & (F.col("x.component") != F.col("y.component"))
         & (F.col("y.near") | (F.col("x.doc") < F.col("y.doc")))
         & (unit * F.least("x.rest", "y.rest") >= F.col("x.g") + F.col("y.g")),
     )
