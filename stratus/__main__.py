@@ -43,6 +43,8 @@ def main(argv: list[str] | None = None) -> int:
         jobs.stage_wind_files(spark, ns.raw_dir, ns.staged_dir)
     elif ns.cmd == "stage-air":
         jobs.stage_air_archives(spark, ns.raw_dir, ns.staged_dir)
+        for row in jobs.undecoded_air_members(spark, ns.raw_dir).toLocalIterator():
+            print(f"not read (legacy format): {row.archive}: {row.member}", file=sys.stderr)
     elif ns.cmd == "normalise":
         jobs.normalise_staged(spark, ns.staged_dir, ns.normalised_dir)
     elif ns.cmd == "load":

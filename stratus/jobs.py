@@ -33,7 +33,8 @@ from stratus.operators import tall as TL
 from stratus.schemas import TALL
 from stratus.sources import reference
 from stratus.sources.files import write_staged, write_tall
-from stratus.sources.workbook import archive_cells, expand_archives, read_grid
+from stratus.sources.workbook import archive_cells, expand_archives, read_grid, undecoded_members
+
 
 def _year_of(file_col: Column) -> Column:
     return F.regexp_extract(file_col, r"(19|20)\d{2}", 0)
@@ -67,6 +68,11 @@ def stage_air_archives(spark: SparkSession, raw_dir: str, staged_dir: str) -> Da
     return out
 
 
+def undecoded_air_members(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """Archive members that staging had to leave out."""
+    return undecoded_members(expand_archives(spark, raw_dir))
+
+
 def normalise_staged(spark: SparkSession, staged_dir: str, normalised_dir: str) -> DataFrame:
     """Staged rows -> tall rows with units, flags and station metadata (written)."""
     staged = spark.read.parquet(staged_dir)

@@ -165,13 +165,17 @@ def box_stats(
 def wind_stats(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Per station: measurements, mean and max speed, mean direction."""
     f = _valid(fact.filter(F.col("source") == "wind"))
-    j = with_station(f.select("station_fk", "metric", F.col("value").cast("double").alias("v")), dim)
-    spd = F.when(F.col("metric") == "wind_speed", F.col("v"))
-    g = j.groupBy("station_name").agg(
-        F.count(F.lit(1)).alias("measurements"),
-        duck_round(F.avg(spd), 2).alias("avg_wind_speed"),
-        duck_round(F.max(spd), 2).alias("max_wind_speed"),
-        duck_round(F.avg(F.when(F.col("metric") == "wind_direction", F.col("v"))), 1).alias("avg_wind_direction"),
+    v = F.col("value").cast("double")
+    spd, direction = F.when(F.col("metric") == "wind_speed", v), F.when(F.col("metric") == "wind_direction", v)
+    per_key = f.groupBy("station_fk").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(spd).alias("s"), F.count(spd).alias("sn"), F.max(spd).alias("m"),
+        F.sum(direction).alias("d"), F.count(direction).alias("dn"),
+    )
+    g = with_station(per_key, dim).groupBy("station_name").agg(
+        F.sum("n").cast("long").alias("measurements"),
+        duck_round(F.try_divide(F.sum("s"), F.sum("sn").cast("double")), 2).alias("avg_wind_speed"),
+        duck_round(F.max("m"), 2).alias("max_wind_speed"),
+        duck_round(F.try_divide(F.sum("d"), F.sum("dn").cast("double")), 1).alias("avg_wind_direction"),
     )
     return g.orderBy(F.desc_nulls_last("avg_wind_speed"), F.asc_nulls_last("station_name"))
 
@@ -200,10 +204,14 @@ def period_pairs(
 ) -> DataFrame:
     """B8 data: per station and period, the means of two metrics where both exist."""
     f = _valid(fact.filter(F.col("metric").isin(m1, m2)))
-    j = with_station(f.select("station_fk", "metric", "timestamp", F.col("value").cast("double").alias("v")), dim)
-    g = j.groupBy("station_name", trunc_ts("timestamp", grain).alias("date")).agg(
-        F.avg(F.when(F.col("metric") == m1, F.col("v"))).alias(f"avg_{m1}"),
-        F.avg(F.when(F.col("metric") == m2, F.col("v"))).alias(f"avg_{m2}"),
+    v = F.col("value").cast("double")
+    one, two = F.when(F.col("metric") == m1, v), F.when(F.col("metric") == m2, v)
+    per_key = f.groupBy("station_fk", trunc_ts("timestamp", grain).alias("date")).agg(
+        F.sum(one).alias("s1"), F.count(one).alias("n1"), F.sum(two).alias("s2"), F.count(two).alias("n2")
+    )
+    g = with_station(per_key, dim).groupBy("station_name", "date").agg(
+        F.try_divide(F.sum("s1"), F.sum("n1").cast("double")).alias(f"avg_{m1}"),
+        F.try_divide(F.sum("s2"), F.sum("n2").cast("double")).alias(f"avg_{m2}"),
     )
     return g.filter(F.col(f"avg_{m1}").isNotNull() & F.col(f"avg_{m2}").isNotNull())
 
@@ -271,11 +279,12 @@ def high_pollution_days(
     then date, station and metric so the top-k is deterministic.
     """
     f = _valid(fact.filter((F.col("source") == "air_quality") & F.col("metric").isin(list(metrics))))
-    j = with_station(
-        f.select("station_fk", "metric", "unit", "timestamp", F.col("value").cast("double").alias("v")), dim
+    v = F.col("value").cast("double")
+    per_key = f.groupBy("station_fk", "metric", "unit", trunc_ts("timestamp", "day").alias("date")).agg(
+        F.sum(v).alias("s"), F.count(v).alias("n")
     )
-    g = j.groupBy(trunc_ts("timestamp", "day").alias("date"), "station_name", "metric", "unit").agg(
-        F.avg("v").alias("__m")
+    g = with_station(per_key, dim).groupBy("date", "station_name", "metric", "unit").agg(
+        F.try_divide(F.sum("s"), F.sum("n").cast("double")).alias("__m")
     )
     return (
         g.filter(F.col("__m") > F.lit(threshold))

@@ -226,7 +226,9 @@ def _parse_with(text: Column, fmt_index: Column, formats: list[str]) -> Column:
 def _data_cells(
     cells: DataFrame, mapping: DataFrame, start_col: str | int, formats: list[str], infer: bool = False
 ) -> DataFrame:
-    """Data cells of mapped columns with their row's timestamp (NULL -> dropped).
+    """Readings of mapped columns with their row's timestamp (rows without one are dropped).
+
+    One row for each timed row and mapped column; ``text`` is NULL where the sheet has no cell.
 
     ``infer``: text timestamps of a file are read with the single format
     inferred for that file (``file_date_formats``) instead of trying every
@@ -244,11 +246,12 @@ def _data_cells(
     else:
         ts = _timestamp_of(F.col("text"), F.col("kind"), formats)
     dt = stamps.select("file", "sheet_row", ts.alias("datetime"))
-    m = mapping  # header columns of all files
-    data = cells.filter(F.col("col") >= 1).join(m, ["file", "col"], "inner")
+    # every mapped column of a timed row is a reading: a blank cell is one without a value
     start = F.col(start_col) if isinstance(start_col, str) else F.lit(start_col)
-    data = data.filter(F.col("sheet_row") >= start)
-    return data.join(dt, ["file", "sheet_row"], "inner").filter(F.col("datetime").isNotNull())
+    timed = dt.filter(F.col("datetime").isNotNull()).join(mapping, "file", "inner")
+    timed = timed.filter((F.col("col") >= 1) & (F.col("sheet_row") >= start))
+    data = cells.filter(F.col("col") >= 1).select("file", "sheet_row", "col", "text", "kind")
+    return timed.join(data, ["file", "sheet_row", "col"], "left")
 
 
 def stage_wind(cells: DataFrame, aliases: DataFrame, offset: int = 0) -> DataFrame:

@@ -219,7 +219,12 @@ def expand_archives(
 def archive_cells(members: DataFrame) -> DataFrame:
     """Cells of the .xlsx members of expanded archives (file = member name).
 
-    Legacy binary .xls members have no standard-library decoder and are
-    skipped (they must be converted first)."""
+    Legacy binary .xls members have no standard-library decoder and must be
+    converted first; ``undecoded_members`` lists them."""
     x = members.filter(F.lower("member").endswith(".xlsx"))
     return materialize(cells_from_content(x.select(F.col("member").alias("file"), "content")))
+
+
+def undecoded_members(members: DataFrame) -> DataFrame:
+    """(archive, member) of the members that ``archive_cells`` cannot read."""
+    return members.filter(~F.lower("member").endswith(".xlsx")).select("archive", "member")

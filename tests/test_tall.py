@@ -99,3 +99,37 @@ def test_pivot_then_melt_keeps_every_value(spark):
     assert melted.count() == expected.count()
     rows = D.events_wide(spark, SF_SMALL).count()
     assert TL.melt(D.events_wide(spark, SF_SMALL)).count() == rows * len(D.staged_column_names(spark, SF_SMALL))
+
+
+def test_blank_cells_are_readings_without_a_value(spark):
+    from stratus.operators import clean as P
+    from stratus.operators import tall as TL
+    from stratus.sources import reference
+
+    def cell(row, col, text, kind="s"):
+        return ("wind_2020.xlsx", row, col, text, kind)
+
+    cells = spark.createDataFrame(
+        [cell(2, 1, "Atlantis AQM Site"), cell(3, 1, "Wind Dir V"), cell(3, 2, "Wind Speed V"), cell(4, 1, "Deg"), cell(4, 2, "m/s"),
+         cell(5, 0, "2020-01-01 00:00:00", "d"), cell(5, 1, "90", "n"), cell(5, 2, "3", "n"),
+         cell(6, 0, "2020-01-01 01:00:00", "d"), cell(6, 1, "91", "n"),  # no speed
+         cell(7, 1, "5", "n")],  # no time: the row goes
+        "file string, sheet_row int, col int, text string, kind string",
+    )
+    rows = P.stage_wind(cells, reference.station_aliases(spark)).collect()
+    assert sorted((r.sheet_row, r.metric, r.value) for r in rows if r.value is not None) == [
+        (5, "wind_direction", 90.0), (5, "wind_speed", 3.0), (6, "wind_direction", 91.0)]
+    assert [(r.sheet_row, r.metric) for r in rows if r.value is None] == [(6, "wind_speed")]
+
+
+def test_means_keep_small_values_and_infinities(spark):
+    import datetime as dt
+
+    from stratus.operators import profile as E
+
+    at = dt.datetime(2020, 1, 1)
+    schema = "metric string, value double, station_code string, station_pk long, datetime timestamp_ntz"
+    rows = [("a", 0.00004, "S", 1, at), ("a", 0.00004, "S", 1, at), ("b", 1.0, "S", 1, at), ("b", float("inf"), "S", 1, at)]
+    tall = spark.createDataFrame(rows, schema)
+    assert {r.column: r.mean for r in E.describe_numeric(tall.filter("metric = 'a'")).collect()}["value"] == 4e-05
+    assert {r.metric: r["mean"] for r in E.pollutant_summary(tall).collect()}["b"] == float("inf")
