@@ -24,20 +24,33 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+PART_BYTES = 4 << 20
+
+
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``PART_BYTES`` (a longer row alone)."""
+    for batch in batches:
+        step = max(1, batch.num_rows * PART_BYTES // max(batch.nbytes, 1))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def with_results(
     df: DataFrame, added: list[tuple[str, T.DataType]], per_batch: Callable[[pa.RecordBatch], dict[str, object]]
 ) -> DataFrame:
     """``df`` with the columns that ``per_batch`` computes for each Arrow batch.
 
     An input column that has the name of an added one is replaced. No shuffle:
-    each task streams its batches, and a lost task is simply run again.
+    each task streams its batches, and a lost task is simply run again. Large
+    batches are taken in parts of about ``PART_BYTES``, which bounds what a
+    worker holds besides the batch.
     """
     names = [n for n, _ in added]
     keep = [f for f in df.schema.fields if f.name not in names]
     out = T.StructType([*keep, *[T.StructField(n, t) for n, t in added]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             new = per_batch(batch)
             cols = [batch.column(batch.schema.get_field_index(f.name)) for f in keep]
             made = [x if isinstance(x, pa.Array) else pa.array(x) for x in (new[n] for n in names)]

@@ -26,7 +26,7 @@ from .frames import with_results
 SPACE = "▁"
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
 _MARKS = ".,!?;:"
-_CACHE = 1 << 19
+_CACHE = 3 << 17
 _LETTER_MARK = re.compile(rf"[A-Za-zÀ-ÿ][{_MARKS}]\Z")
 _SHORT = 48
 _NEVER = 1 << 30
