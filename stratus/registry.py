@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus import schemas
-from stratus.functions import to_fact_value
+from stratus.functions import metric_from_param, pollutant_from_filename, to_fact_value
 from stratus.operators import analytics as B
 from stratus.operators import clean as P
 from stratus.operators import load as L
@@ -288,6 +288,64 @@ QUERIES.update(
 )
 
 
+#: File names and header texts for the raw-sheet operators, dealt over the events by their id.
+RAW_NAMES = [
+    "2019_NO2_CCT.xls", "2020_PM2.5_CCT.xlsx", "2021_PM10_CCT.xlsx", "2022_co_cct.xlsx", "nitrogen_NO2_x.xlsx",
+    "site_PM_2.5.xls", "site PM10 north.xls", "2010_PM1_CCT.xls", "nitric_NO_x.xlsx", "readme.txt",
+]
+RAW_PARAMS = ["Wind Dir V", "Wind Speed V", "Air Temp", "Rel Humidity"]
+RAW_STATIONS = ["Atlantis AQM Site", " Somerset-West AQM Site ", "Nowhere Site", "Wallacedene AQM Site", "Molteno AQM Site"]
+
+
+def _dealt(spark: SparkSession, sf_dir: str, names: list[str], column: str) -> DataFrame:
+    of = F.element_at(F.array(*[F.lit(n) for n in names]), (F.pmod("event_id", F.lit(len(names))) + 1).cast("int"))
+    return table(spark, sf_dir, "events").select(of.alias(column), "event_id", "value")
+
+
+def _supplier_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    return s.select(
+        F.col("s_suppkey").cast("int").alias("station_pk"),
+        F.concat(F.lit("ST"), F.lpad(F.col("s_suppkey").cast("string"), 6, "0")).alias("station_code"),
+        F.col("s_name").alias("station_name"),
+        F.lit("AQM").alias("location_type"),
+        F.concat(F.lit("Monitoring site of "), F.col("s_name")).alias("description"),
+    )
+
+
+def _dim_stats(spark: SparkSession, d: str) -> DataFrame:
+    batch = _supplier_batch(spark, d)
+    return L.dim_load_stats(L.upsert_dim(L.seed_dim(events_dim(spark, d), _ts(LOAD_TIME_0)), batch, _ts(LOAD_TIME_1)), batch)
+
+
+def _keep_one(keep: str):
+    columns = ["l_orderkey", "l_shipdate", "l_linenumber", "l_suppkey", "l_quantity"]
+    return lambda spark, d: E.dedupe_by_key(
+        table(spark, d, "lineitem").select(*columns), ["l_orderkey"], [F.col("l_shipdate"), F.col("l_linenumber")], keep
+    )
+
+
+QUERIES.update(
+    {
+        "p5_metric_from_param": lambda spark, d: _dealt(spark, d, RAW_PARAMS, "param")
+        .groupBy("param", metric_from_param(F.col("param")).alias("metric"))
+        .agg(F.count(F.lit(1)).alias("cells")),
+        "p6_pollutant_from_name": lambda spark, d: _dealt(spark, d, RAW_NAMES, "file")
+        .groupBy("file", pollutant_from_filename(F.col("file")).alias("pollutant"))
+        .agg(F.count(F.lit(1)).alias("cells")),
+        "j7_alias_join": lambda spark, d: P.resolve_stations(
+            _dealt(spark, d, RAW_STATIONS, "station"), reference.station_aliases(spark)
+        )
+        .groupBy("station", "station_pk")
+        .agg(F.count(F.lit(1)).alias("cells")),
+        "l4_dim_load_stats": _dim_stats,
+        "l4_rows_per_file": lambda spark, d: L.rows_per_file(with_source(read_layer(spark, d, "events.parquet"))),
+        "u5_keep_first": _keep_one("first"),
+        "u5_keep_last": _keep_one("last"),
+    }
+)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V3, the data-quality summary per station x metric."""
     return QUERIES["v3_quality"](spark, sf_dir)
