@@ -159,6 +159,8 @@ def box_stats(
         F.max(F.when(inside, F.col("v"))).alias("upper_whisker"),
         _count_if(~inside).alias("outliers"),
     )
+    # fences and outliers come from unrounded quartiles; what is reported has 6 decimals
+    out = out.withColumns({c: duck_round(c, 6) for c in ("q1", "median", "q3", "iqr", "lower_fence", "upper_fence")})
     return out.orderBy(*[F.asc_nulls_last(k) for k in keys])
 
 

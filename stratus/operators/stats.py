@@ -2,21 +2,19 @@
 
 ``percentile`` keeps every distinct value of a group in one hash map that is
 finally merged by a single task, so a metric holding a third of all readings
-would be one huge task. Here the order statistic is found by sorting instead:
-
-1. count each distinct (group, value) - a partial aggregate;
-2. range-partition those counts by (group, value), so every task gets an equal
-   slice of the sorted order and a hot group is spread over many tasks; the
-   partitioned counts are checkpointed in the shared checkpoint folder;
-3. per (task, group) totals -> prefix offsets (a frame of about
-   ``partitions + groups`` rows, joined as its size allows);
-4. running counts inside each (task, group) slice give every distinct value
-   its rank interval ``[start, end)``;
-5. the values holding ranks ``floor(h)`` and ``ceil(h)``, ``h = p * (n - 1)``,
-   are picked by a grouped aggregate and interpolated linearly
+would be one huge task. Here the order statistics are found by selection:
+
+1. each value falls into a coarse bucket (a logarithmic scale, the same for all
+   groups); counts per (group, bucket) are a partial aggregate;
+2. running counts over a group's few thousand buckets tell which buckets hold
+   the ranks ``floor(h)`` and ``ceil(h)``, ``h = p * (n - 1)``;
+3. only the values of those buckets are counted again, in 4096 equal parts of
+   the bucket, and only the parts that hold a rank are sorted at last;
+4. the values at the ranks are interpolated linearly
    (``lo + (hi - lo) * (h - floor(h))``, the PERCENTILE_CONT definition).
 
-NULL and NaN values are ignored; a group without values gets NULL quantiles.
+Everything is lazy and nothing is stored: building a query runs no job. NULL
+and NaN values are ignored; a group without values gets no row.
 """
 
 from __future__ import annotations
@@ -24,27 +22,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.session import checkpoint_dir
+#: Coarse buckets per factor e; parts of a bucket.
+COARSE, PARTS = 256, 4096
 
 
-def sorted_value_counts(
-    df: DataFrame, keys: list[str], value: str | Column, partitions: int | None = None
-) -> DataFrame:
-    """(keys, __v, __c, __p): distinct values with their counts, range-partitioned
-    by (keys, value) into slices ``__p`` of the global sort order, checkpointed.
-
-    Without an explicit count AQE may merge small neighbouring range
-    partitions; merged partitions stay contiguous, so slice order is kept.
-    The checkpoint keeps slice ids identical for every later use, also when
-    tasks are retried.
-    """
-    v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    base = df.select(*keys, v.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    counts = base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    checkpoint_dir(df.sparkSession)
-    order = [*keys, "__v"]
-    parted = counts.repartitionByRange(partitions, *order) if partitions else counts.repartitionByRange(*order)
-    return parted.withColumn("__p", F.spark_partition_id()).checkpoint(eager=True)
+def coarse_bucket(v: Column) -> Column:
+    """A number that never falls as ``v`` grows; infinities come first and last."""
+    x = F.signum(v) * F.log1p(F.abs(v))
+    return F.floor(F.greatest(F.least(x, F.lit(1e6)), F.lit(-1e6)) * COARSE).cast("long")
+
+
+def part_of_bucket(v: Column, lo: Column, hi: Column) -> Column:
+    """Part of [lo, hi] that ``v`` lies in; a bucket of one value has one part."""
+    at = (v - lo) / F.when(hi > lo, hi - lo)
+    return F.coalesce(F.floor(at * (PARTS - 1)).cast("int"), F.lit(0))
+
+
+def _ranks(n: Column, probs: list[float]) -> list[tuple[Column, Column]]:
+    h = [(n - 1).cast("double") * F.lit(float(p)) for p in probs]
+    return [(F.floor(x), F.ceil(x)) for x in h]
+
+
+def _holding(counts: DataFrame, within: list[str], by: str, start: Column, n: Column, probs: list[float]) -> DataFrame:
+    """``counts`` with the ranks [__start, __end) of each row and the group size ``__n``; only rows that hold a wanted rank."""
+    before = Window.partitionBy(*within).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    out = counts.withColumns({"__start": start + F.coalesce(F.sum("__c").over(before), F.lit(0)), "__n": n})
+    out = out.withColumn("__end", F.col("__start") + F.col("__c"))
+    wanted = F.lit(False)
+    for lo, hi in _ranks(F.col("__n"), probs):
+        for r in (lo, hi):
+            wanted = wanted | ((F.col("__start") <= r) & (r < F.col("__end")))
+    return out.filter(wanted)
+
+
+def _join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join on equal columns where NULL equals NULL; keeps the left copies."""
+    renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns])
+    cond = None
+    for c in on:
+        one = left[c].eqNullSafe(renamed[f"__r_{c}"])
+        cond = one if cond is None else cond & one
+    return left.join(renamed, cond).drop(*[f"__r_{c}" for c in on])
 
 
 def exact_quantiles(
@@ -53,41 +71,33 @@ def exact_quantiles(
     value: str | Column,
     probs: list[float],
     names: list[str] | None = None,
-    partitions: int | None = None,
 ) -> DataFrame:
     """One row per group of ``keys`` with one exact, interpolated quantile column
     per probability (named ``names`` or ``q0, q1, ...``)."""
     names = names or [f"q{i}" for i in range(len(probs))]
-    ranged = sorted_value_counts(df, keys, value, partitions)
-
-    slices = ranged.groupBy("__p", *keys).agg(F.sum("__c").alias("__pc"))
-    before = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    meta = slices.select(
-        "__p",
-        *keys,
-        F.coalesce(F.sum("__pc").over(before), F.lit(0)).alias("__off"),
-        F.sum("__pc").over(whole).alias("__n"),
-    )
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    base = df.select(*keys, v.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    base = base.withColumn("__b", coarse_bucket(F.col("__v")))
 
-    running = Window.partitionBy("__p", *keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = ranged.withColumn("__run", F.sum("__c").over(running))
-    # NULL-safe key match: groups with NULL keys are groups too
-    cond = ranked["__p"] == meta["__p"]
-    for k in keys:
-        cond = cond & ranked[k].eqNullSafe(meta[k])
-    j = ranked.join(meta, cond, "inner").select(
-        *[ranked[k] for k in keys], ranked["__v"], ranked["__c"], ranked["__run"], meta["__off"], meta["__n"]
+    coarse = base.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    whole = F.sum("__c").over(Window.partitionBy(*keys))
+    first = _holding(coarse, keys, "__b", F.lit(0), whole, probs).select(*keys, "__b", "__lo", "__hi", F.col("__start").alias("__s"), "__n")
+
+    inside = _join(base, first, [*keys, "__b"]).withColumn("__f", part_of_bucket(F.col("__v"), F.col("__lo"), F.col("__hi")))
+    fine = inside.groupBy(*keys, "__b", "__f").agg(F.count(F.lit(1)).alias("__c"), F.first("__s").alias("__s"), F.first("__n").alias("__n"))
+    second = _holding(fine, [*keys, "__b"], "__f", F.col("__s"), F.col("__n"), probs).select(
+        *keys, "__b", "__f", F.col("__start").alias("__s"), "__n"
     )
-    j = j.withColumn("__end", F.col("__off") + F.col("__run")).withColumn("__start", F.col("__end") - F.col("__c"))
+
+    values = _join(inside.drop("__lo", "__hi", "__s", "__n"), second, [*keys, "__b", "__f"])
+    sorted_ = values.groupBy(*keys, "__b", "__f", "__v").agg(F.count(F.lit(1)).alias("__c"), F.first("__s").alias("__s"), F.first("__n").alias("__n"))
+    ranked = _holding(sorted_, [*keys, "__b", "__f"], "__v", F.col("__s"), F.col("__n"), probs)
 
     aggs = [F.first("__n").alias("__n")]
-    for i, p in enumerate(probs):
-        h = (F.col("__n") - 1).cast("double") * F.lit(float(p))
-        lo, hi = F.floor(h), F.ceil(h)
-        aggs.append(F.max(F.when((F.col("__start") <= lo) & (lo < F.col("__end")), F.col("__v"))).alias(f"__lo{i}"))
-        aggs.append(F.max(F.when((F.col("__start") <= hi) & (hi < F.col("__end")), F.col("__v"))).alias(f"__hi{i}"))
-    picked = j.groupBy(*keys).agg(*aggs)
+    for i, (lo, hi) in enumerate(_ranks(F.col("__n"), probs)):
+        for end, r in (("lo", lo), ("hi", hi)):
+            aggs.append(F.max(F.when((F.col("__start") <= r) & (r < F.col("__end")), F.col("__v"))).alias(f"__{end}{i}"))
+    picked = ranked.groupBy(*keys).agg(*aggs)
 
     out = []
     for i, p in enumerate(probs):

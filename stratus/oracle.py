@@ -153,7 +153,8 @@ w AS (
   FROM pts p JOIN q2 ON p.metric = q2.metric AND p.station_name = q2.station_name
   GROUP BY p.metric, p.station_name
 )
-SELECT q2.*, w.lower_whisker, w.upper_whisker, w.outliers
+SELECT q2.* REPLACE (ROUND(q1, 6) AS q1, ROUND(median, 6) AS median, ROUND(q3, 6) AS q3, ROUND(iqr, 6) AS iqr,
+    ROUND(lower_fence, 6) AS lower_fence, ROUND(upper_fence, 6) AS upper_fence), w.lower_whisker, w.upper_whisker, w.outliers
 FROM q2 JOIN w ON q2.metric = w.metric AND q2.station_name = w.station_name
 """
 

@@ -12,7 +12,7 @@ def test_exact_quantiles_match_numpy(spark):
                                                   ("nan", float("nan")), ("nan", 5.0)]
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = {r.g: [r[f"q{i}"] for i in range(len(probs))] for r in exact_quantiles(df, ["g"], "v", probs, partitions=7).collect()}
+    got = {r.g: [r[f"q{i}"] for i in range(len(probs))] for r in exact_quantiles(df, ["g"], "v", probs).collect()}
     assert got["hot"] == [float(np.quantile(hot, p)) for p in probs] or np.allclose(
         got["hot"], [np.quantile(hot, p) for p in probs], rtol=0, atol=1e-12)
     assert got["one"] == [3.0] * 6
@@ -27,13 +27,31 @@ def test_column_quantiles(spark):
     assert got == {"a": (25.75, 50.5), "b": (51.5, 101.0)}
 
 
-def test_hot_group_is_spread_over_slices(spark):
-    """One metric holds most readings: its sorted values must span many tasks."""
-    from stratus.operators.stats import sorted_value_counts
+def test_extreme_values_and_null_groups(spark):
+    inf = float("inf")
+    rows = [(None, v) for v in (-inf, -1e300, -2.0, -0.0, 0.0, 1e-300, 3.0, 1e300, inf)] + [("same", 7.0)] * 1000
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.q0, r.q1, r.q2) for r in exact_quantiles(df, ["g"], "v", [0.0, 0.5, 1.0]).collect()}
+    assert got == {None: (-inf, 0.0, inf), "same": (7.0, 7.0, 7.0)}
+
+
+def test_buckets_keep_the_order_and_split_a_hot_group(spark):
+    """No task sorts more than a small part of a group that holds most readings."""
+    from stratus.operators.stats import coarse_bucket, part_of_bucket
+
+    hot = spark.range(0, 60000).select((F.col("id") % 20000 / 7 - 500).alias("v")).withColumn("b", coarse_bucket(F.col("v")))
+    ends = hot.groupBy("b").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    rows = hot.join(ends, "b").select("v", "b", part_of_bucket(F.col("v"), F.col("lo"), F.col("hi")).alias("f")).collect()
+    rows.sort()
+    assert all((a.b, a.f) <= (b.b, b.f) for a, b in zip(rows, rows[1:]))
+    from collections import Counter
+
+    assert max(Counter((r.b, r.f) for r in rows).values()) < 0.01 * len(rows)
+
 
-    hot = spark.range(0, 60000).select(F.lit("hot").alias("m"), (F.col("id") % 20000 / 7).alias("v"))
-    cold = spark.range(0, 3000).select(F.lit("cold").alias("m"), (F.col("id") / 3).alias("v"))
-    ranked = sorted_value_counts(hot.unionByName(cold), ["m"], "v", partitions=8)
-    per_slice = {r["__p"]: r.n for r in ranked.filter(F.col("m") == "hot").groupBy("__p").agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert len(per_slice) >= 6  # the hot group is split across tasks
-    assert max(per_slice.values()) < 0.3 * sum(per_slice.values())
+def test_building_quantiles_runs_no_job(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
+    spark.sparkContext.setJobGroup("quantiles", "")
+    exact_quantiles(df, ["g"], "v", [0.5])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("quantiles")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
