@@ -1,10 +1,12 @@
 """Licence scan: sparse TF-IDF cosine to templates, then inheritance by directory.
 
-Each line of a file is compared with the licence templates; the best similar
-line gives the file's own licence. A file that consists mostly of licence text
-is a licence file and speaks for its directory; a file without a licence of its
-own takes that of the nearest directory above it that has one. DataFrame
-functions only.
+Each line of a file is compared with one-line templates. The whole file, the
+block of its leading lines and that block's paragraphs are compared with the
+licences' full texts and header blocks, with document frequencies counted over
+all files. The most similar one gives the file's own licence. A file that
+consists mostly of licence text is a licence file and speaks for its directory;
+a file without a licence of its own takes that of the nearest directory above
+it that has one. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -12,13 +14,15 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import Scratch
+from .frames import Scratch, small_side
 
-#: Fixed header texts by SPDX identifier.
+#: Fixed one-line notices by SPDX identifier.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "MIT": "Released under the MIT License.",
@@ -31,6 +35,91 @@ TEMPLATES = {
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC0-1.0": "Dedicated to the public domain under CC0 1.0.",
 }
+_GNU = """This {thing} is free software{mark} you can redistribute it and/or modify
+it under the terms of the GNU {name} as published by
+the Free Software Foundation{comma} either version {version} of the License, or
+(at your option) any later version.
+
+This {thing} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {name} for more details.
+
+You should have received a copy of the GNU {name}
+along with this {thing}{end}"""
+_ADDRESS = "; if not, write to the Free Software\nFoundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA"
+_LINK = ".  If not, see <https://www.gnu.org/licenses/>."
+_CREATIVE = """This work is licensed under the Creative Commons {name} 4.0 International License.
+To view a copy of this license, visit http://creativecommons.org/licenses/{code}/4.0/
+or send a letter to Creative Commons, PO Box 1866, Mountain View, CA 94042, USA."""
+
+
+def _gnu(name: str, version: str, end: str, thing: str = "program") -> str:
+    return _GNU.format(thing=thing, mark=":" if end == _LINK else ";", comma="," if end == _LINK else ";", name=name, version=version, end=end)
+
+
+#: Header blocks of files by SPDX identifier.
+HEADERS = {
+    "Apache-2.0": [
+        """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+        """Licensed to the Apache Software Foundation (ASF) under one or more
+contributor license agreements.  See the NOTICE file distributed with
+this work for additional information regarding copyright ownership.
+The ASF licenses this file to You under the Apache License, Version 2.0
+(the "License"); you may not use this file except in compliance with
+the License.  You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    ],
+    "MIT": [
+        "Use of this source code is governed by an MIT-style\nlicense that can be found in the LICENSE file or at\nhttps://opensource.org/licenses/MIT.",
+        "Licensed under the MIT License. See LICENSE in the project root for license information.",
+    ],
+    "GPL-2.0": [_gnu("General Public License", "2", _ADDRESS), _gnu("General Public License", "2", _LINK)],
+    "GPL-3.0": [_gnu("General Public License", "3", _LINK)],
+    "LGPL-2.1": [_gnu("Lesser General Public License", "2.1", _ADDRESS, "library"), _gnu("Lesser General Public License", "2.1", _LINK, "library")],
+    "LGPL-3.0": [_gnu("Lesser General Public License", "3", _LINK), _gnu("Lesser General Public License", "3", _LINK, "library")],
+    "AGPL-3.0": [_gnu("Affero General Public License", "3", _LINK)],
+    "MPL-2.0": [
+        """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+    ],
+    "BSD-3-Clause": ["Use of this source code is governed by a BSD-style\nlicense that can be found in the LICENSE file."],
+    "CC-BY-4.0": [_CREATIVE.format(name="Attribution", code="by")],
+    "CC-BY-NC-4.0": [_CREATIVE.format(name="Attribution-NonCommercial", code="by-nc")],
+    "CC-BY-SA-4.0": [_CREATIVE.format(name="Attribution-ShareAlike", code="by-sa")],
+    "CC0-1.0": [
+        """To the extent possible under law, the author(s) have dedicated all copyright
+and related and neighboring rights to this software to the public domain worldwide.
+This software is distributed without any warranty.
+
+You should have received a copy of the CC0 Public Domain Dedication along with this software.
+If not, see <http://creativecommons.org/publicdomain/zero/1.0/>.""",
+    ],
+}
+#: The leading lines of a file: a comment, or lines that all have a comment mark, or lines up to an empty one.
+LEADING = (
+    r"(?s)\A\s*+(?:(?:#!|<\?)[^\n]*+\n\s*+)?"
+    r"(?:/\*.*?\*/|<!--.*?-->|\"\"\".*?\"\"\"|'''.*?'''"
+    r"|(?:[ \t]*+(?:#|//|--|;|%|dnl\b|REM\b)[^\n]*+(?:\n|\z))++|(?:[ \t\r]*+[^\s][^\n]*+(?:\n|\z))++)"
+)
 #: Words that most English lines hold; they are the last to be searched for.
 COMMON = frozenset("a and are as at be by for from in is it of on or that the this to was with".split())
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
@@ -63,6 +152,26 @@ def telling_tokens(weights: dict[tuple[str, str], float], least: float) -> list[
     return sorted(chosen)
 
 
+@cache
+def block_templates() -> dict[str, tuple[str, ...]]:
+    """Header blocks, their first paragraphs that name the licence, and full texts by SPDX identifier."""
+    texts = {f.stem: [f.read_text()] for f in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+    for name, blocks in HEADERS.items():
+        texts.setdefault(name, []).extend(part for b in blocks for part in dict.fromkeys([b, b.split("\n\n")[0]]))
+    return {name: tuple(t) for name, t in texts.items()}
+
+
+def block_weights(texts: dict[str, tuple[str, ...]], df: dict[str, int], n: int) -> dict[tuple[str, int, str], float]:
+    """(licence, number of its text, token) -> unit vector weight, with document frequencies of ``n`` files."""
+    out = {}
+    for name, blocks in texts.items():
+        for k, block in enumerate(blocks):
+            x = {t: (1 + math.log(f)) * (math.log((1 + n) / (1 + df.get(t, 0))) + 1) for t, f in Counter(re.findall(TOKEN, block.lower())).items()}
+            norm = math.sqrt(sum(v * v for v in x.values()))
+            out |= {(name, k, t): v / norm for t, v in x.items()}
+    return out
+
+
 def _tokens(line: Column) -> Column:
     return F.regexp_extract_all(F.lower(line), F.lit(TOKEN), F.lit(0))
 
@@ -86,8 +195,52 @@ def line_licenses(lines: DataFrame, templates: dict[str, str] = TEMPLATES, least
     return best.select("line", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine"))
 
 
+def block_licenses(texts: DataFrame, scratch: Scratch, templates: dict[str, tuple[str, ...]], least: float, file_share_pct: int) -> DataFrame:
+    """(key, b, is_file) of the texts of which the whole, the leading block or one of its paragraphs is like a template.
+
+    ``texts`` has a row (key, text) for each file. A block's cosine with a template is at most the norm of the
+    template's weights on the words of the file; only files that reach ``least`` by that become vectors.
+    """
+    words = texts.where("text IS NOT NULL").select("key", F.explode(F.array_distinct(_tokens(F.col("text")))).alias("token"))
+
+    def frequencies(of: DataFrame) -> DataFrame:
+        return words.join(of, "token", "left_semi").groupBy("token").agg(F.count("*").alias("df"))
+
+    known = sorted({t for blocks in templates.values() for b in blocks for t in re.findall(TOKEN, b.lower())})
+    vocabulary = F.broadcast(_table(texts, [(t,) for t in known], "token string"))  # fixed size
+    n = texts.where("text IS NOT NULL").count()
+    weights = block_weights(templates, {r.token: r.df for r in frequencies(vocabulary).collect()}, n)
+    most: dict[str, float] = {}
+    for (_, _, t), w in weights.items():
+        most[t] = max(most.get(t, 0.0), w * w)
+    bound = words.join(F.broadcast(_table(texts, list(most.items()), "token string, most double")), "token").groupBy("key").agg(F.sum("most").alias("most"))
+    keys = scratch.store(bound.where(F.col("most") >= (least - 1e-6) ** 2).select("key"))
+    some = texts.join(small_side(keys, 100_000), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
+    head = F.regexp_extract("text", LEADING, 0)
+    # lines without a word part the paragraphs
+    blocks = F.array_distinct(F.concat(F.array("text", head), F.split(head, r"\n[^A-Za-z0-9\n]*+(?=\n)")))
+    tokens = some.select("key", F.size(_tokens(F.col("text"))).alias("n"), F.posexplode(blocks).alias("block", "part")).select(
+        "key", "n", "block", F.size(_tokens(F.col("part"))).alias("own"), F.explode(_tokens(F.col("part"))).alias("token")
+    )
+    counts = scratch.store(tokens.groupBy("key", "n", "block", "own", "token").agg(F.count("*").alias("f")))
+    seen = scratch.store(counts.select("token").distinct())
+    df = scratch.store(frequencies(small_side(seen, 100_000)))
+    idf = F.log(F.lit(1.0 + n) / (F.lit(1.0) + F.col("df"))) + 1
+    parts = counts.join(small_side(df, 100_000), "token").withColumn("x", (F.log("f") + 1) * idf)
+    block = ["key", "n", "block", "own"]
+    norms = parts.groupBy(*block).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    vectors = F.broadcast(_table(texts, [(*k, w) for k, w in weights.items()], "license string, k int, token string, w double"))
+    dots = parts.join(vectors, "token").groupBy(*block, "license", "k").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
+    near = dots.join(norms, block).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("cosine") >= least)
+    return near.groupBy("key").agg(
+        F.min(F.struct((-F.col("cosine")).alias("c"), F.col("license"))).alias("b"),
+        (F.lit(100) * F.max("own") >= F.lit(file_share_pct) * F.min("n")).alias("is_file"),
+    )
+
+
 def scan_licenses(
-    files: DataFrame, path: str, text: str = "text", templates: dict[str, str] = TEMPLATES, least: float = 0.7, file_share_pct: int = 50
+    files: DataFrame, path: str, text: str = "text", templates: dict[str, str] = TEMPLATES, least: float = 0.7, file_share_pct: int = 50,
+    texts: dict[str, tuple[str, ...]] | None = None,
 ) -> DataFrame:
     """``files`` with own_license, cosine, is_license_file, license and license_dir.
 
@@ -97,7 +250,8 @@ def scan_licenses(
     ``license_dir`` says which directory, null if own or none. Null and empty
     texts have no own licence; a null path has no directory. Rows of one path
     are one file each by its own text. Input columns named like an added one
-    are replaced. An empty table gives an empty result.
+    are replaced. An empty table gives an empty result. ``texts`` are the header
+    blocks and full texts (``block_templates()`` if not given).
     """
     added = ["own_license", "cosine", "is_license_file", "license", "license_dir"]
     kept = [F.col(f"`{c}`") for c in files.columns if c not in added]
@@ -115,13 +269,17 @@ def scan_licenses(
     some = files.where(holds(F.col("text"))).select("text", F.filter(F.split("text", "\n"), holds).alias("lines"))
     lines = some.select(F.sha2("text", 256).alias("key"), F.size(_tokens(F.col("text"))).alias("n"), F.explode("lines").alias("line"))
     telling_lines = lines.where(F.arrays_overlap(_tokens(F.col("line")), F.array(*[F.lit(t) for t in tokens])))
-    one = Scratch(files.sparkSession).store(telling_lines.groupBy("key", "line").agg(F.min("n").alias("n")))
+    scratch = Scratch(files.sparkSession)
+    one = scratch.store(telling_lines.groupBy("key", "line").agg(F.min("n").alias("n")))
     found = one.join(line_licenses(one, templates, least), "line")
     # a text's licence lines count once each
-    own = found.groupBy("key").agg(
+    own_lines = found.groupBy("key").agg(
         F.min(F.struct((-F.col("cosine")).alias("c"), F.col("license"))).alias("b"),
         (F.lit(100) * F.sum(F.size(_tokens(F.col("line")))) >= F.lit(file_share_pct) * F.min("n")).alias("is_file"),
     )
+    hashed = files.select(F.sha2("text", 256).alias("key"), "text")
+    own_blocks = block_licenses(hashed, scratch, block_templates() if texts is None else texts, least, file_share_pct)
+    own = own_lines.unionByName(own_blocks).groupBy("key").agg(F.min("b").alias("b"), F.max("is_file").alias("is_file"))
     rows = files.withColumns({"key": F.sha2("text", 256), "file_dir": _parent(F.col("path"))}).join(own, "key", "left")
     speaks = rows.where("is_file").groupBy("file_dir", "b.license").agg(F.count("*").alias("files"))
     of_dir = speaks.groupBy(F.col("file_dir").alias("dir")).agg(F.min(F.struct((-F.col("files")).alias("f"), F.col("license"))).alias("d"))
