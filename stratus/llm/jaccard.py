@@ -48,6 +48,17 @@ def _sets(t, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return token, own, np.bincount(own, minlength=len(t))
 
 
+def _set_keys(h: np.ndarray, n: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit key of each set, as two columns."""
+    u = mix(h.view(np.uint64))
+    k1, k2 = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
+    full = np.flatnonzero(n)
+    if len(full):
+        k1[full] = np.add.reduceat(u, start[full])
+        k2[full] = np.add.reduceat(mix(u ^ np.uint64(0x5851F42D4C957F2D)), start[full])
+    return k1.view(np.int64), k2.view(np.int64)
+
+
 def _found(values: np.ndarray, ascending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each value would stand, and whether it is there."""
     if not len(ascending):
@@ -70,12 +81,7 @@ def _prefix_batches(batches: Iterator[pa.RecordBatch], words: int, pct: int, fre
             h, own, n = _sets(t, words)
             start = np.r_[0, np.cumsum(n)]
             take = n + (-pct * n // 100) + (n > 0)
-            u = mix(h.view(np.uint64))
-            k1, k2 = np.zeros(len(t), np.uint64), np.zeros(len(t), np.uint64)
-            full = np.flatnonzero(n)
-            if len(full):
-                k1[full] = np.add.reduceat(u, start[full])
-                k2[full] = np.add.reduceat(mix(u ^ np.uint64(0x5851F42D4C957F2D)), start[full])
+            k1, k2 = _set_keys(h, n, start)
             at, is_hot = _found(h, hot)
             level = np.where(is_hot, levels[at], 0) if is_hot.any() else is_hot
             chosen = np.ones(len(t), bool)
@@ -92,8 +98,8 @@ def _prefix_batches(batches: Iterator[pa.RecordBatch], words: int, pct: int, fre
                 pa.array(np.r_[0, np.cumsum(take)].astype(np.int32)), pa.array(h[np.arange(len(h)) - start[own] < take[own]])
             )
             out = pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(n), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), prefix],
-                names=["doc", "n", "k1", "k2", "prefix"],
+                [rows.column(0), pa.array(n), pa.array(k1), pa.array(k2), prefix],
+                names=["id", "n", "k1", "k2", "prefix"],
             )
             yield out.filter(pa.array(chosen)) if newest is not None else out
 
@@ -105,7 +111,7 @@ def _by_level(own: np.ndarray, level: np.ndarray) -> np.ndarray:
 
 def _prefixes(docs: DataFrame, words: int, pct: int, frequent=None, last=None) -> DataFrame:
     run = partial(_prefix_batches, words=words, pct=pct, frequent=frequent, last=last)
-    return docs.mapInArrow(run, "doc long, n long, k1 long, k2 long, prefix array<long>")
+    return docs.mapInArrow(run, "id long, n long, k1 long, k2 long, prefix array<long>")
 
 
 def frequent_tokens(docs: DataFrame, words: int, pct: int, long_list: int, most: int, rounds: int, scratch: Scratch):
@@ -143,9 +149,11 @@ def _set_batches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.R
         for t in text_slices(batch, "text"):
             h, _, n = _sets(t, words)
             raw = h.tobytes()
-            cut = np.r_[0, np.cumsum(n) * 8].astype(np.int32)
+            start = np.r_[0, np.cumsum(n)]
+            cut = (start * 8).astype(np.int32)
+            keys = [pa.array(k) for k in _set_keys(h, n, start)]
             tokens = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(cut.tobytes()), pa.py_buffer(raw)])
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(t.rows.start, len(n)), tokens], names=["doc", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(t.rows.start, len(n)), *keys, tokens], names=["id", "k1", "k2", "tokens"])
 
 
 def _difference_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +177,40 @@ def _difference_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         )
 
 
-def overlaps(pairs: DataFrame, sized: DataFrame, docs: DataFrame, words: int, pct: int, scratch: Scratch) -> DataFrame:
+def _once(rows: DataFrame) -> DataFrame:
+    """One of the equal rows of each set; only rows that have ``copies`` are shuffled."""
+    again = rows.where("copies > 1").dropDuplicates(["doc"])
+    return rows.where("copies = 1").unionAll(again).drop("copies")
+
+
+def _numbered(firsts: DataFrame, scratch: Scratch) -> DataFrame:
+    """``firsts`` with a ``doc`` of its own for each set, its smallest ``id``; further sets of one id get numbers above all ids."""
+    several = firsts.groupBy("id").agg(F.min(F.struct("k1", "k2")).alias("main"), F.count("*").alias("sets")).where("sets > 1")
+    several = scratch.store(several.select("id", "main"))
+    extra = firsts.join(small_side(several, BROADCAST_ROWS), "id").where(F.struct("k1", "k2") != F.col("main"))
+    extra = scratch.store(extra.select("k1", "k2", F.monotonically_increasing_id().alias("place")))
+    part = F.shiftright("place", 33).cast("int")
+    counts = sorted(extra.groupBy(part.alias("part")).count().collect())
+    if not counts:
+        return firsts.withColumn("doc", F.col("id"))
+    start = firsts.agg(F.max("id")).first()[0] + 1
+    starts = []
+    for p, n in counts:
+        starts.append((p, start))
+        start += n
+    starts = F.broadcast(firsts.sparkSession.createDataFrame(starts, "part int, start long"))
+    own = extra.withColumn("part", part).join(starts, "part").select("k1", "k2", (F.col("start") + F.col("place").bitwiseAND((1 << 33) - 1)).alias("doc"))
+    return scratch.store(firsts.join(own, ["k1", "k2"], "left").withColumn("doc", F.coalesce("doc", "id")))
+
+
+def _id_links(rows: DataFrame, firsts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links between the sets of each id that has several."""
+    owned = rows.join(small_side(firsts.select("k1", "k2", "doc"), BROADCAST_ROWS), ["k1", "k2"]).select("id", "doc")
+    several = scratch.store(owned.groupBy("id").agg(F.min("doc").alias("b"), F.max("doc").alias("hi")).where("b < hi").select("id", "b"))
+    return owned.join(small_side(several, BROADCAST_ROWS), "id").where("doc <> b").select(F.col("doc").alias("a"), "b")
+
+
+def overlaps(pairs: DataFrame, sized: DataFrame, firsts: DataFrame, docs: DataFrame, words: int, pct: int, scratch: Scratch) -> DataFrame:
     """(a, b, na, nb, both, differ) of the stored pairs that can link, compared set by set.
 
     Pairs whose prefixes share too little go first: what is not in both prefixes
@@ -190,13 +231,16 @@ def overlaps(pairs: DataFrame, sized: DataFrame, docs: DataFrame, words: int, pc
     )
     likely = scratch.store(likely)
     few = scratch.store(likely.select(F.col("a").alias("doc")).unionAll(likely.select(F.col("b").alias("doc"))).distinct())
-    needed = docs.join(small_side(few, BROADCAST_ROWS), "doc", "left_semi")
-    sets = scratch.store(needed.mapInArrow(partial(_set_batches, words=words), "doc long, tokens binary"))
+    few_firsts = scratch.store(firsts.join(small_side(few, BROADCAST_ROWS), "doc", "left_semi"))
+    needed = docs.join(small_side(few_firsts.select("id").distinct(), BROADCAST_ROWS), "id", "left_semi")
+    made = needed.mapInArrow(partial(_set_batches, words=words), "id long, k1 long, k2 long, tokens binary")
+    made = made.join(small_side(few_firsts, BROADCAST_ROWS), ["id", "k1", "k2"])
+    sets = scratch.store(_once(made.select("doc", "tokens", "copies")))
     left = likely.join(sets.select(F.col("doc").alias("a"), F.col("tokens").alias("x")), "a")
     both = left.join(sets.select(F.col("doc").alias("b"), F.col("tokens").alias("y")), "b")
     made = both.select("a", "b", "x", "y").mapInArrow(_difference_batches, "a long, b long, na long, nb long, both long, differ array<long>")
     out = scratch.store(made)
-    scratch.drop(ids, likely, few, sets)
+    scratch.drop(ids, likely, few, few_firsts, sets)
     return out
 
 
@@ -231,42 +275,44 @@ def jaccard_groups(
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    docs = docs.select(F.col(f"`{doc}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
+    docs = docs.select(F.col(f"`{doc}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     frequent = frequent_tokens(docs, words, pct, long_list, max_frequent, rounds, scratch)
-    sized = scratch.store(_prefixes(docs, words, pct, frequent))
-
-    real = sized.where("doc IS NOT NULL AND n > 0")
-    firsts = scratch.store(real.groupBy("k1", "k2").agg(F.min("doc").alias("doc")))
-    chosen = real.join(small_side(firsts, BROADCAST_ROWS), ["doc", "k1", "k2"], "left_semi")
-    postings = chosen.select("doc", "n", F.posexplode("prefix").alias("pos", "token")).withColumn(
+    rows = scratch.store(_prefixes(docs, words, pct, frequent))
+    plain = scratch.store(rows.select("id", "n", "k1", "k2"))
+
+    # from here on each distinct set is one ``doc``, whatever the number of rows that hold it
+    counted = scratch.store(plain.where("id IS NOT NULL AND n > 0").groupBy("id", "k1", "k2").agg(F.count("*").alias("copies")))
+    firsts = counted.groupBy("k1", "k2").agg(F.min(F.struct("id", "copies")).alias("f")).select("k1", "k2", "f.id", "f.copies")
+    firsts = _numbered(scratch.store(firsts), scratch)
+    sized = scratch.store(_once(rows.join(small_side(firsts, BROADCAST_ROWS), ["id", "k1", "k2"]).select("doc", "n", "prefix", "copies")))
+    scratch.drop(rows)
+    postings = sized.select("doc", "n", F.posexplode("prefix").alias("pos", "token")).withColumn(
         "size_block", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / pct))).cast("int")
     )
     shared = postings.groupBy("token").count().where("count > 1").select("token")
     entries = scratch.store(postings.join(shared, "token", "left_semi"))
 
-    compared = _compare_leaders(entries, sized, docs, words, pct, scratch)
+    compared = _compare_leaders(entries, sized, firsts, docs, words, pct, scratch)
     links = compared.where(_linked(pct)).select("a", "b")
-    links = links.unionAll(_family_links(compared, pct, scratch))
+    links = links.unionAll(_family_links(compared, pct, scratch)).unionAll(_id_links(counted, firsts, scratch))
     known = scratch.store(components(links, scratch, "a", "b"))
-    more = _block_links(entries, known, compared, sized, docs, words, pct, scratch)
+    more = _block_links(entries, known, compared, sized, firsts, docs, words, pct, scratch)
     same = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more), scratch, "a", "b")
 
     of_key = firsts.join(same.withColumnRenamed("node", "doc"), "doc", "left").select(
         "k1", "k2", F.coalesce("component", "doc").alias("component")
     )
-    # rows of one id with several texts meet in the smallest of their components
-    plain = sized.select("doc", "n", "k1", "k2")
     out = plain.join(of_key, ["k1", "k2"], "left").select(
-        F.col("doc").alias(doc),
+        F.col("id").alias(doc),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("doc").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc"))).alias("component_id"),
+        F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))).alias("component_id"),
     )
     result = scratch.store(out)
     scratch.drop_all(but=[result])
     return result
 
 
-def _compare_leaders(entries, sized, docs, words, pct, scratch):
+def _compare_leaders(entries, sized, firsts, docs, words, pct, scratch):
     """Each set (a) with one leader (b) or two, compared.
 
     The head of a list block is the set that holds the token earliest: it has the fewest
@@ -287,7 +333,7 @@ def _compare_leaders(entries, sized, docs, words, pct, scratch):
         .groupBy("doc").agg(F.max(F.struct("sets", "count", (-F.col("head")).alias("head"))).alias("m"))
     )
     pairs = scratch.store(best.select(F.col("doc").alias("a"), (-F.col("m.head")).alias("b")))
-    first = overlaps(pairs, sized, docs, words, pct, scratch)
+    first = overlaps(pairs, sized, firsts, docs, words, pct, scratch)
 
     # a second try gathers what was split: each list offers its largest family, each set takes the largest it is often offered
     family = _families(first)
@@ -297,7 +343,7 @@ def _compare_leaders(entries, sized, docs, words, pct, scratch):
     top2 = often2.groupBy("doc").agg(F.max("count").alias("top"))
     best2 = often2.join(top2, "doc").where("2 * count >= top").groupBy("doc").agg(F.max(F.struct("members", "count", "family")).alias("m"))
     again = best2.select(F.col("doc").alias("a"), F.col("m.family").alias("b")).join(pairs, ["a", "b"], "left_anti")
-    second = overlaps(scratch.store(again), sized, docs, words, pct, scratch)
+    second = overlaps(scratch.store(again), sized, firsts, docs, words, pct, scratch)
     out = scratch.store(first.unionAll(second))
     scratch.drop(often, often2, pairs, first, second)
     return out
@@ -358,7 +404,7 @@ def _family_links(compared, pct, scratch):
     return out
 
 
-def _block_links(entries, known, compared, sized, docs, words, pct, scratch):
+def _block_links(entries, known, compared, sized, firsts, docs, words, pct, scratch):
     """Links between sets of different components and families, from the blocks of the lists that can hold any."""
     family = scratch.store(_families(compared))
     own = (
@@ -398,6 +444,6 @@ def _block_links(entries, known, compared, sized, docs, words, pct, scratch):
     apart = (F.col("ca") != F.col("cb")) & (F.col("fa") != F.col("fb"))
     opened = one.join(two, [*on, apart, _possible(pct, F.col("rest_a"), F.col("rest_b"), F.col("na"), F.col("nb"))])
     pairs = scratch.store(opened.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    out = scratch.store(overlaps(pairs, sized, docs, words, pct, scratch).where(_linked(pct)).select("a", "b"))
+    out = scratch.store(overlaps(pairs, sized, firsts, docs, words, pct, scratch).where(_linked(pct)).select("a", "b"))
     scratch.drop(open_, pairs, family)
     return out

@@ -160,3 +160,36 @@ def test_trie_scores_a_shared_prefix_once():
     trie = CountTrie({"▁": -1.0, "a": -1.0, "ab": -1.5, "▁ab": -2.0})
     trie.insert(["abab", "aba", "ab", "b"])
     assert trie.nodes == len({"▁", "▁a", "▁ab", "▁aba", "▁abab", "▁b"}) and trie["abab"] == 2
+
+
+def test_jaccard_repeated_rows(spark):
+    def text(replaced, new):
+        w = [f"w{i}" for i in range(1004)]
+        w[: len(replaced)] = replaced
+        w[500 : 500 + len(new)] = new
+        return " ".join(w)
+
+    # two far members of one leader, linked with each other only; rows of the leader and of the members repeat
+    far = [f"x{i}" for i in range(146)]
+    rows = [(1, text([], []))] * 4 + [(10 + k, text([], [f"c{k}"])) for k in range(12)]
+    rows += [(30, text(far, []))] * 3 + [(31, text([*far[:95], *(f"y{i}" for i in range(51))], []))] * 3
+    # one id with several texts, that are linked with others
+    rows += [(50, "only here " + " ".join(f"s{i}" for i in range(60))), (51, "only here " + " ".join(f"s{i}" for i in range(60)))]
+    rows += [(51, " ".join(f"t{i}" for i in range(60))), (51, " ".join(f"u{i}" for i in range(60))), (52, " ".join(f"u{i}" for i in range(61)))]
+    rows += [(51, " ".join(f"t{i}" for i in range(60))), (53, " ".join(f"t{i}" for i in range(62)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = Counter(brute.jaccard_groups(rows))
+    assert {c for i, _, c in want if i > 49} == {50} and {c for i, _, c in want if i in (30, 31)} == {30}
+    for long_list in (64, 2):
+        assert Counter(tuple(r) for r in jaccard.jaccard_groups(docs, long_list=long_list).collect()) == want
+
+
+def test_jaccard_repeated_rows_of_a_family(spark):
+    words = [f"w{i}" for i in range(1000)]
+    p = [*words[150:], *(f"x{i}" for i in range(150))]
+    q = [*words[150:], *(f"x{i}" for i in range(60)), *(f"y{i}" for i in range(90))]
+    rows = [(1, " ".join(words))] * 6 + [(10 + k, " ".join([*words, f"c{k}"])) for k in range(12)]
+    rows += [(30, " ".join(p))] * 6 + [(31, " ".join(q))] * 6
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.component_id) for r in jaccard.jaccard_groups(docs, words=1).collect()}
+    assert got == {(i, 1 if i < 30 else 30) for i, _ in rows}
