@@ -21,7 +21,9 @@ from .frames import with_results
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TEXT = frozenset("script style xmp iframe noembed noframes noscript template".split())
 ESCAPABLE_TEXT = frozenset("title textarea".split())
-NOT_SHOWN = frozenset("head script style template noscript iframe noembed noframes title meta link base datalist audio video canvas object svg math".split())
+NOT_SHOWN = frozenset("head script style template noscript iframe noembed noframes title meta link base datalist audio video canvas object".split())
+#: Elements that are not shown inside an svg or math element.
+NOT_DRAWN = frozenset("desc metadata defs symbol clippath mask pattern marker annotation annotation-xml".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table ul".split()
@@ -115,6 +117,8 @@ def build_tree(source: str) -> Node:
         if tag in IMPLIED_END:
             close(*IMPLIED_END[tag])
         node = Node(tag, _attributes(attrs) if attrs.strip() else {})
+        if tag in NOT_DRAWN and any(x.tag in ("svg", "math") for x in stack):
+            node.attrs["hidden"] = ""
         stack[-1].children.append(node)
         if tag in VOID or attrs.endswith("/") and tag not in BLOCK and tag not in TABLE_PARTS and tag not in RAW_TEXT | ESCAPABLE_TEXT:
             continue
@@ -181,27 +185,51 @@ class _Lines:
                 self.gap |= bool(self.lines)
 
 
-def _rows(table: Node) -> list[list[Node]]:
-    """Rows of a table with their shown cells; nested tables are left to their cells."""
-    rows, loose, todo = [], [], [iter(table.children)]
+def _holds_cells(node: Node) -> bool:
+    """Whether rows or cells of the table around it lie in a misplaced element."""
+    todo = [iter(node.children)]
     while todo:
         for child in todo[-1]:
-            if not isinstance(child, Node) or not shown(child):
-                continue
-            if child.tag == "tr":
-                rows.append([c for c in child.children if isinstance(c, Node) and c.tag in ("td", "th") and shown(c)])
-            elif child.tag in ("td", "th"):
-                loose.append(child)
-            elif child.tag in ("thead", "tbody", "tfoot"):
+            if isinstance(child, Node) and shown(child) and child.tag != "table":
+                if child.tag in ("tr", "td", "th"):
+                    return True
                 todo.append(iter(child.children))
                 break
         else:
             todo.pop()
-    return [r for r in [*rows, loose] if r]
+    return False
 
 
-def _is_table_child(child: object) -> bool:
-    return isinstance(child, Node) and child.tag in ("tr", "td", "th", "thead", "tbody", "tfoot", "colgroup", "col")
+def _rows(table: Node) -> tuple[list[list[Node]], list]:
+    """Rows of a table with their shown cells, and its shown content outside of cells; nested tables are left to their cells.
+
+    Elements that may not be there but hold rows or cells, as forms do, are looked through.
+    """
+    rows, loose, misplaced, todo = [], [], [], [(iter(table.children), None)]
+    while todo:
+        children, row = todo[-1]
+        for child in children:
+            if isinstance(child, str):
+                misplaced.append(child)
+            elif not shown(child):
+                continue
+            elif child.tag in ("td", "th"):
+                (loose if row is None else row).append(child)
+            elif child.tag == "tr":
+                rows.append([])
+                todo.append((iter(child.children), rows[-1]))
+                break
+            elif child.tag in ("thead", "tbody", "tfoot", "colgroup"):
+                todo.append((iter(child.children), None))
+                break
+            elif child.tag != "table" and _holds_cells(child):
+                todo.append((iter(child.children), row))
+                break
+            else:
+                misplaced.append(child)
+        else:
+            todo.pop()
+    return [r for r in [*rows, loose] if r], misplaced
 
 
 def render(root: Node, depth: int = 0) -> tuple[str, int]:
@@ -237,7 +265,7 @@ def render(root: Node, depth: int = 0) -> tuple[str, int]:
             _table(out, item, prefix, depth)
             out.end(True)
         else:
-            block = tag in BLOCK or tag in TABLE_PARTS
+            block = tag in BLOCK or tag in TABLE_PARTS or tag == "text"  # a text of a drawing has its own place
             if block:
                 out.end(tag in SPACED and not (tag in ("ul", "ol") and marker))
                 todo.append(("close", item))
@@ -267,12 +295,12 @@ def render(root: Node, depth: int = 0) -> tuple[str, int]:
 
 def _table(out: _Lines, table: Node, prefix: str, depth: int) -> None:
     """Cells as columns padded to a common width, two spaces apart."""
-    for child in table.children:  # captions and text that is misplaced in the table come first
-        if not _is_table_child(child):
-            text, _ = render(Node("#part", {}, [child]), depth + 1)
-            out.raw(text, prefix)
+    rows, misplaced = _rows(table)
+    for child in misplaced:  # captions and text that is misplaced in the table come first
+        text, _ = render(Node("#part", {}, [child]), depth + 1)
+        out.raw(text, prefix)
     grid = []
-    for row in _rows(table):
+    for row in rows:
         cells = []
         for c in row:
             text, _ = render(Node("#cell", {}, c.children), depth + 1)

@@ -31,6 +31,22 @@ def test_layout(source, want):
     assert text_of(source) == want
 
 
+@pytest.mark.parametrize(
+    "source,words",
+    [
+        ("<table><tbody><form><tr><td>x<td>y</tr></form></tbody></table>z", "x y z"), ("<table><tr><form><td>x</td></form></tr></table>", "x"),
+        ("<table><tr>Total: <td>5</table>", "Total: 5"), ("<table><tbody>note<tr><td>a</table>", "note a"),
+        ("<table><tbody><caption>cap</caption><tr><td>a</table>", "cap a"), ("<table><form><div>d<tr><td>a<table><tr><td>in</table></tr></div></form></table>", "d a in"),
+        ("<table><tr><b>bold</b><td>a</table>", "bold a"), ("<table><form hidden><tr><td>no</form></table>yes", "yes"),
+        ("<table><colgroup>c<col></colgroup><tr><td>a</table>", "c a"), ("<table><tr><table><tr><td>in</table><td>a</table>", "in a"),
+        ("<svg><title>no</title><defs><text>no</text></defs><text>a</text><text>b</text><path d='M0'/></svg>", "a b"),
+        ("<math><semantics><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></semantics></math>", "x=1"), ("<mask>m</mask>", "m"),
+    ],
+)
+def test_all_visible_words_of_broken_tables_and_drawings(source, words):
+    assert sorted(text_of(source).split()) == sorted(words.split())
+
+
 def test_deep_and_broken_pages_end():
     for source in ("<div>" * 5000 + "x", "<p>" * 5000 + "x", "<table><tr><td>" * 200 + "x", "<a " * 5000, "<a b='" * 5000, "</p>" * 5000, "<ul><li>" * 2000 + "x"):
         text_of(source)
