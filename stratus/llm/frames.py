@@ -84,11 +84,11 @@ class Scratch:
         self.count = 0
         self.tables: dict[str, DataFrame] = {}
 
-    def store(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
+    def store(self, df: DataFrame, compression: str = "snappy", **options: object) -> DataFrame:
         """``df`` as a written table, read again: its lineage ends here."""
         self.count += 1
         path = f"{self.path}/{self.count}"
-        df.write.option("compression", compression).parquet(path)
+        df.write.options(compression=compression, **options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.tables[path] = out
         return out
@@ -110,3 +110,17 @@ def small_side(df: DataFrame, most_rows: int) -> DataFrame:
     For narrow rows of fixed width, whose number bounds their size. ``df`` is a stored table: it is counted here.
     """
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
+FAN_IN = 16
+
+
+def down_to_one(df: DataFrame, scratch: Scratch, group: Callable, schema: str) -> dict:
+    """Partial results of partitions, one row each, as one row: ``group`` joins at most ``FAN_IN`` in a task.
+
+    ``df`` has a column ``part`` that numbers the partitions; ``group`` takes (key, table) and gives one row.
+    """
+    df = scratch.store(df)
+    while df.count() > 1:
+        df = scratch.store(df.withColumn("part", F.expr(f"part div {FAN_IN}")).groupBy("part").applyInArrow(group, schema))
+    return df.first().asDict()

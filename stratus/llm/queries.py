@@ -11,20 +11,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align_tokenizers
 from .decontaminate import decontaminate
 from .frames import text_columns
 from .html import extract_text
 from .jaccard import jaccard_groups
 from .licenses import scan_licenses
+from .lmscore import score_texts
 from .pieces import encode_pieces
 from .quality import quality_rules
 from .sharding import shard_documents
 from .suffixdedup import remove_repeats
 from .tokencounts import count_tokens
 from .urltree import filter_urls
+from .whitening import whitened_rows
 
 #: Where the public vocabulary files are; another place can be passed to the queries that use one.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_LEVEL_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -91,10 +95,25 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str = MODEL_
     return count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), model_bytes(model_path)).drop("text")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_rows(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id", "embedding")
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str, a_path: str = BYTE_LEVEL_PATH, b_path: str = MODEL_PATH) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    figures, _ = align_tokenizers(docs, model_bytes(a_path), model_bytes(b_path))
+    return figures.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_sharding, op3_decontamination, op4_url_filter, op5_suffix_array_dedup,
         op6_license_scan, op7_html_extraction, op8_jaccard_join, op9_sentencepiece, op10_token_counts,
+        op11_embedding_whitening, op12_tokenizer_alignment, op13_lm_scoring,
     )
 }
