@@ -9,10 +9,10 @@ weight ``strength / (c(h) + strength)`` leads to the state of h'.
 
 The automaton of a corpus grows with the corpus, so it is never held in one
 place. Texts are packed into blocks of a bounded size. A block sends its distinct
-n-grams to where they are counted, over all training texts, and gets back the
-counts of those that other blocks have as well; from these it builds exactly the
-part of the automaton that its texts can reach, and traverses each text once
-from left to right.
+n-grams, sorted and packed by key range, to where they are counted over all
+training texts, and gets back the counts of those that other blocks have as
+well; from these it builds exactly the part of the automaton that its texts can
+reach, and traverses each text once from left to right.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -35,7 +35,22 @@ from .frames import Scratch, text_columns
 
 END = b""  # no word is empty
 _START = np.uint64(0x9AE16A3B2F90404F)
-_BLOCKS = "block long, ids array<{id}>, train binary, ends binary, vocabulary array<binary>, tokens binary"
+_BLOCKS = "block long, ids array<{id}>, train binary, ends binary, vocabulary binary, tokens binary, n_tokens long, n_words long, train_tokens long, train_texts long"
+_CHUNKS = "part long, block long, at binary, key binary, n binary"
+_COUNTED = "block long, at binary, c binary, types long"
+
+
+def pack(x: np.ndarray) -> bytes:
+    """Numbers as compressed planes of bytes: what is small or alike takes little room."""
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes(), "zstd", asbytes=True) if len(x) else b""
+
+
+def unpack(raw: bytes, kind: type, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, kind)
+    size = np.dtype(kind).itemsize
+    flat = pa.decompress(raw, n * size, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(flat, np.uint8).reshape(size, n).T).reshape(-1).view(kind)
 
 
 class _Words(dict):
@@ -92,15 +107,18 @@ def _pack_batches(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterat
     first = TaskContext.get().partitionId() << 32
 
     def block() -> pa.RecordBatch:
+        flat, own = np.concatenate(tokens).astype(np.int32), np.array(train, bool)
+        vocabulary = b" ".join(words)  # the end is the empty one
         cols = [
             pa.array([first + made], pa.int64()),
             pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.concat_arrays(ids)),
-            pa.array([np.array(train, np.int8).tobytes()]),
+            pa.array([own.astype(np.int8).tobytes()]),
             pa.array([np.array(ends, np.int64).tobytes()]),
-            pa.array([list(words)], pa.list_(pa.binary())),
-            pa.array([np.concatenate(tokens).astype(np.int32).tobytes()], pa.binary()),
+            pa.array([len(vocabulary).to_bytes(8, "little") + pa.compress(vocabulary, "zstd", asbytes=True)], pa.binary()),
+            pa.array([pack(flat)], pa.binary()),
+            *[pa.array([int(x)], pa.int64()) for x in (len(flat), len(words), np.diff(ends)[own].sum(), own.sum())],
         ]
-        return pa.RecordBatch.from_arrays(cols, names=["block", "ids", "train", "ends", "vocabulary", "tokens"])
+        return pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in _BLOCKS.split(", ")])
 
     for batch in batches:
         for i in range(batch.num_rows):
@@ -120,23 +138,89 @@ def _pack_batches(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterat
 
 
 def _block(row: dict) -> Block:
-    at = np.frombuffer
-    return Block(at(row["train"], np.int8).astype(bool), at(row["ends"], np.int64), row["vocabulary"], at(row["tokens"], np.int32))
+    size, raw = int.from_bytes(row["vocabulary"][:8], "little"), row["vocabulary"][8:]
+    words = pa.decompress(raw, size, "zstd", asbytes=True).split(b" ") if size else [END]
+    return Block(
+        np.frombuffer(row["train"], np.int8).astype(bool), np.frombuffer(row["ends"], np.int64), words, unpack(row["tokens"], np.int32, row["n_tokens"])
+    )
+
+
+def _chunks(block: int, parts: int, key: np.ndarray, at: np.ndarray, n: np.ndarray, content) -> Iterator[tuple]:
+    """Rows for the ranges of keys that are counted together; ``content`` packs the entries of one row."""
+    order = np.argsort(key, kind="stable")
+    part = ((key[order] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    cut = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(part)]
+    for a, b in zip(cut, cut[1:]):
+        if b > a:
+            own = order[a:b]
+            yield int(part[a]), block, pack(at[own]), content(own), pack(n[own])
 
 
-def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types)], names=["part", "block", "at", "key", "n"])
+
+
+def word_keys(vocabulary: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=8).digest() for w in vocabulary), np.uint64)
+
+
+def _word_batches(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """The words themselves, without the end, whose count is that of the texts."""
     for batch in batches:
         for row in batch.to_pylist():
             b = _block(row)
-            counts = b.grams(1)[0].train
-            n = len(counts)
-            cols = [pa.array(b.vocabulary, pa.binary()), pa.array(np.full(n, row["block"])), pa.array(np.arange(n, dtype=np.int32)), pa.array(counts)]
-            yield pa.RecordBatch.from_arrays(cols, names=["key", "block", "at", "n"])
+            at = np.array([i for i, w in enumerate(b.vocabulary) if w], np.int32)
+            words = [w for w in b.vocabulary if w]
+
+            def joined(own: np.ndarray, words=words) -> bytes:
+                raw = b" ".join(map(words.__getitem__, own.tolist()))
+                return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+            if words:
+                yield _rows(list(_chunks(row["block"], parts, word_keys(words), at, b.grams(1)[0].train[at], joined)))
+
+
+def _count_words(table: pa.Table) -> pa.Table:
+    words, chunks = _Words(), []
+    for row in table.to_pylist():
+        raw = pa.decompress(row["key"][8:], int.from_bytes(row["key"][:8], "little"), "zstd", asbytes=True).split(b" ")
+        chunks.append((row["block"], row["at"], np.array(list(map(words.__getitem__, raw)), np.int64), unpack(row["n"], np.int64, len(raw))))
+    total = np.zeros(len(words), np.int64)
+    for _, _, kind, n in chunks:
+        total[kind] += n  # a chunk holds a word once
+    return _counted([(block, at, n, total[kind]) for block, at, kind, n in chunks], int((total > 0).sum()))
+
+
+def _counted(chunks: list[tuple], types: int) -> pa.Table:
+    """For each block the places of its entries that occur elsewhere as well, with their counts, and a row of totals."""
+    rows = [(-1, b"", b"", types)]
+    for block, at, n, c in chunks:
+        shared = np.flatnonzero(c != n)
+        if len(shared):
+            rows.append((block, pack(unpack(at, np.int32, len(n))[shared]), pack(c[shared]), len(shared)))
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64()]
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["block", "at", "c", "types"])
+
+
+def _count_grams(table: pa.Table) -> pa.Table:
+    rows = table.to_pylist()
+    sizes = [int.from_bytes(r["key"][:8], "little") for r in rows]
+    keys = np.concatenate([np.cumsum(unpack(r["key"][8:], np.uint64, k), dtype=np.uint64) for r, k in zip(rows, sizes)])
+    counts = [unpack(r["n"], np.int64, k) for r, k in zip(rows, sizes)]
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    new = np.r_[True, keys[1:] != keys[:-1]]
+    total = np.add.reduceat(np.concatenate(counts)[order], np.flatnonzero(new))
+    c = np.empty(len(keys), np.int64)
+    c[order] = total[np.cumsum(new) - 1]
+    cut = np.cumsum([0, *sizes])
+    return _counted([(r["block"], r["at"], n, c[a:b]) for r, n, a, b in zip(rows, counts, cut, cut[1:])], 0)
 
 
 def gram_keys(b: Block, grams: list[Grams]) -> list[np.ndarray]:
     """64-bit keys of the n-grams of each length, made from the words alone."""
-    word = np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=8).digest() for w in b.vocabulary), np.uint64)
+    word = word_keys(b.vocabulary)
     keys, prefix = [word], np.append(word, _START)
     for g in grams[1:]:
         prefix = mix(mix(prefix[g.prefix]) * np.uint64(3) + word[g.last])
@@ -144,18 +228,19 @@ def gram_keys(b: Block, grams: list[Grams]) -> list[np.ndarray]:
     return keys
 
 
-def _gram_batches(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
-    """The n-grams of two words and more, numbered on through the lengths after the words."""
+def _gram_batches(batches: Iterator[pa.RecordBatch], order: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """The n-grams of two words and more, numbered on through the lengths after the words; keys as differences."""
     for batch in batches:
         for row in batch.to_pylist():
             b = _block(row)
             grams = b.grams(order)
-            base = len(b.vocabulary)
-            for g, key in zip(grams[1:], gram_keys(b, grams)[1:]):
-                n = len(key)
-                cols = [pa.array(key.view(np.int64)), pa.array(np.full(n, row["block"])), pa.array(np.arange(base, base + n, dtype=np.int32)), pa.array(g.train)]
-                yield pa.RecordBatch.from_arrays(cols, names=["key", "block", "at", "n"])
-                base += n
+            key = np.concatenate(gram_keys(b, grams)[1:])
+            at = np.arange(len(b.vocabulary), len(b.vocabulary) + len(key), dtype=np.int32)
+
+            def steps(own: np.ndarray, key=key) -> bytes:
+                return len(own).to_bytes(8, "little") + pack(np.diff(key[own], prepend=np.uint64(0)))
+
+            yield _rows(list(_chunks(row["block"], parts, key, at, np.concatenate([g.train for g in grams[1:]]), steps)))
 
 
 @dataclass
@@ -253,7 +338,9 @@ def _score(left: pa.Table, right: pa.Table, id_name: str, id_type: pa.DataType,
         b = _block(row)
         grams = b.grams(order)
         counts = np.concatenate([g.train for g in grams])
-        counts[right.column("at").to_numpy()] = right.column("c").to_numpy()
+        for found in right.to_pylist():
+            counts[unpack(found["at"], np.int32, found["types"])] = unpack(found["c"], np.int64, found["types"])
+        counts[b.vocabulary.index(END)] = totals.texts
         model = Automaton(len(b.vocabulary), grams, counts, totals, strength)
         add = lambda x, of=b: np.add.reduceat(x[of.tokens], of.ends[:-1])
         out.append(pa.table({
@@ -270,7 +357,7 @@ def _score(left: pa.Table, right: pa.Table, id_name: str, id_type: pa.DataType,
 
 def score_texts(
     docs: DataFrame, key: str = "doc_id", text: str = "text", modulus: int = 7, held_out: int = 2,
-    order: int = 2, strength: float = 200.0, block_bytes: int = 16 << 20,
+    order: int = 2, strength: float = 200.0, block_bytes: int = 16 << 20, part_entries: int = 1 << 20,
 ) -> DataFrame:
     """A row for each row of ``docs``: id, whether it was held out of training, and its scores.
 
@@ -282,7 +369,8 @@ def score_texts(
     as well; equal texts get equal scores. Without training texts both scores are 0. An empty table gives an
     empty result. Words are counted exactly; longer n-grams by 64-bit keys made from cryptographic
     word hashes, so two share a count only by chance (about n^2 / 2^65 for n distinct ones). ``block_bytes``
-    bounds what one task holds (a longer text is a block alone) and changes no result but the order of sums.
+    bounds what a task holds of texts (a longer text is a block alone), ``part_entries`` what it counts at once;
+    neither changes a result.
     """
     scratch = Scratch(docs.sparkSession)
     crc = F.crc32(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).cast("binary"))
@@ -291,17 +379,20 @@ def score_texts(
     packed = rows.mapInArrow(partial(_pack_batches, block_bytes=block_bytes), _BLOCKS.format(id=id_type.simpleString()))
     # a row is a whole block: row groups are closed by size, not after a number of rows
     blocks = scratch.store(packed, "zstd", **{"parquet.block.size": 64 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1})
-    once = Window.partitionBy("key")
-    found = blocks.select("block", "train", "ends", "vocabulary", "tokens")
-    words = found.mapInArrow(_word_batches, "key binary, block long, at int, n long")
-    words = words.withColumns({"c": F.sum("n").over(once), "first": F.min("block").over(once) == F.col("block")})
-    words = scratch.store(words.select("block", "at", "n", "c", "first", (F.length("key") == 0).alias("end")), "zstd")
-    got = words.agg(F.sum("n").alias("tokens"), F.count_if(F.col("first") & (F.col("c") > 0)).alias("types"), F.max(F.when(F.col("end"), F.col("c"))).alias("texts")).first()
-    totals = Totals(got["tokens"] or 0, got["types"] or 0, got["texts"] or 0)
-    shared = words.where("c != n").select("block", "at", "c")
+    sums = {c: F.sum(c).alias(c) for c in ("n_tokens", "n_words", "train_tokens", "train_texts")}
+    got = blocks.agg(*sums.values()).first()
+    found = blocks.select("block", "train", "ends", "vocabulary", "tokens", "n_tokens")
+    parts = 1 + (got["n_words"] or 0) // part_entries
+    words = found.mapInArrow(partial(_word_batches, parts=parts), _CHUNKS).groupBy("part").applyInArrow(_count_words, _COUNTED)
+    words = scratch.store(words, "zstd")
+    types = words.where("block = -1").agg(F.sum("types")).first()[0] or 0
+    texts = got["train_texts"] or 0
+    totals = Totals(got["train_tokens"] or 0, types + (texts > 0), texts)
+    shared = words.where("block >= 0")
     if order > 1:
-        grams = found.mapInArrow(partial(_gram_batches, order=order), "key long, block long, at int, n long")
-        shared = shared.unionAll(grams.withColumn("c", F.sum("n").over(once)).where("c != n").select("block", "at", "c"))
+        parts = 1 + (order - 1) * (got["n_tokens"] or 0) // part_entries
+        grams = found.mapInArrow(partial(_gram_batches, order=order, parts=parts), _CHUNKS)
+        shared = shared.unionAll(grams.groupBy("part").applyInArrow(_count_grams, _COUNTED).where("block >= 0"))
     results = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     judge = partial(_score, id_name=key, id_type=to_arrow_type(id_type), order=order, totals=totals, strength=strength)
     schema = T.StructType([T.StructField(key, id_type), *T.StructType.fromDDL(results).fields])
