@@ -27,6 +27,11 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def count_if(cond: Column) -> Column:
+    """Number of rows for which the condition holds (a condition that is NULL does not hold)."""
+    return F.count(F.when(cond, F.lit(1)))
+
+
 def duck_round(col, digits: int = 2) -> Column:
     """``round(x * 10^d) / 10^d`` on doubles, ties away from zero."""
     scale = float(10**digits)
@@ -95,6 +100,35 @@ def trunc_ts(col, unit: str) -> Column:
     raise ValueError(f"unsupported unit {unit!r}")
 
 
+#: Days in one bitmap bucket: its hours fit the 32,768 positions of a bitmap as well.
+BITMAP_DAYS = 1024
+BITMAP_IDS = 32768
+
+
+def day_number(ts) -> Column:
+    """Days since 1970-01-01 of a wall-clock timestamp."""
+    return F.unix_date(F.to_date(_c(ts).cast("timestamp_ntz")))
+
+
+def bitmap_of_days(ts) -> Column:
+    """Aggregate: the days of one bucket (``day_number div BITMAP_DAYS``) as a bitmap."""
+    return F.bitmap_construct_agg(F.pmod(day_number(ts), F.lit(BITMAP_DAYS)).cast("long"))
+
+
+def bitmap_of_hours(ts) -> Column:
+    """Aggregate: the hours of one bucket of days as a bitmap."""
+    return F.bitmap_construct_agg((F.pmod(day_number(ts), F.lit(BITMAP_DAYS)) * 24 + F.hour(_c(ts))).cast("long"))
+
+
+def bitmap_of_ids(key) -> Column:
+    """Aggregate: whole numbers of one bucket (``floor(key / BITMAP_IDS)``) as a bitmap."""
+    return F.bitmap_construct_agg(F.pmod(_c(key).cast("long"), F.lit(BITMAP_IDS)).cast("long"))
+
+
+def bucket_of(number, size: int) -> Column:
+    return F.floor(_c(number).cast("long") / F.lit(size)).cast("long")
+
+
 def to_fact_value(col, scale: int = 4, precision: int = 12) -> Column:
     """NaN/infinity -> NULL, then DECIMAL(12,4).
 

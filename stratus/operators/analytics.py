@@ -11,17 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratus.functions import duck_round, trunc_ts
-from stratus.operators.stats import exact_quantiles
+from stratus.functions import BITMAP_DAYS, BITMAP_IDS, bitmap_of_days, bitmap_of_ids, bucket_of, count_if, day_number, duck_round, trunc_ts
+from stratus.operators.stats import banded, combined_moments, moments, null_safe_join, quantiles_of, sketched
 from stratus.plans import with_station
 
 SOURCES = ["air_quality", "wind"]
 
 
-def _count_if(cond: Column) -> Column:
-    return F.count(F.when(cond, F.lit(1)))
-
-
 def _valid(fact: DataFrame) -> DataFrame:
     return fact.filter((F.col("quality_flag") == "VALID") & F.col("value").isNotNull())
 
@@ -33,24 +29,39 @@ def metric_coverage(fact: DataFrame) -> DataFrame:
     """B1: per source x metric: rows, distinct stations, period, distinct
     days, VALID rows and their share (1 decimal).
 
-    Distinct counts run on a (source, metric, station, day) pre-aggregate, so
-    the final aggregation sees at most stations x days rows per group.
+    One scan: days and stations are collected as bitmaps per bucket (1024 days,
+    32,768 station keys), merged map-side, and OR-ed per bucket by ``GROUPING
+    SETS``, so distinct counts need no expanded rows. A NULL station counts as none.
     """
-    daily = fact.groupBy(
-        "source", "metric", "station_fk", trunc_ts("timestamp", "day").alias("__d")
+    station = bucket_of("station_fk", BITMAP_IDS)
+    maps = fact.groupBy(
+        "source", "metric", bucket_of(day_number("timestamp"), BITMAP_DAYS).alias("__d"), station.alias("__s")
     ).agg(
         F.count(F.lit(1)).alias("__n"),
-        _count_if(F.col("quality_flag") == "VALID").alias("__v"),
+        count_if(F.col("quality_flag") == "VALID").alias("__v"),
         F.min("timestamp").alias("__lo"),
         F.max("timestamp").alias("__hi"),
+        bitmap_of_days("timestamp").alias("__days"),
+        bitmap_of_ids("station_fk").alias("__stations"),
+    )
+    keys = [F.col("source"), F.col("metric")]
+    g = maps.groupingSets([[*keys, F.col("__d")], [*keys, F.col("__s")]], "source", "metric", "__d", "__s").agg(
+        F.grouping("__s").alias("__by_day"),
+        F.sum("__n").alias("__n"),
+        F.sum("__v").alias("__v"),
+        F.min("__lo").alias("__lo"),
+        F.max("__hi").alias("__hi"),
+        F.bitmap_or_agg("__days").alias("__days"),
+        F.bitmap_or_agg("__stations").alias("__stations"),
     )
-    g = daily.groupBy("source", "metric").agg(
-        F.sum("__n").cast("long").alias("total_measurements"),
-        F.count_distinct("station_fk").alias("stations"),
+    by_day = F.col("__by_day") == 1
+    g = g.groupBy("source", "metric").agg(
+        F.sum(F.when(by_day, F.col("__n"))).cast("long").alias("total_measurements"),
+        F.coalesce(F.sum(F.when(~by_day, F.bitmap_count("__stations"))), F.lit(0)).cast("long").alias("stations"),
         F.min("__lo").alias("earliest_date"),
         F.max("__hi").alias("latest_date"),
-        F.count_distinct("__d").alias("days_covered"),
-        F.sum("__v").cast("long").alias("valid_measurements"),
+        F.coalesce(F.sum(F.when(by_day, F.bitmap_count("__days"))), F.lit(0)).cast("long").alias("days_covered"),
+        F.sum(F.when(by_day, F.col("__v"))).cast("long").alias("valid_measurements"),
     )
     return g.withColumn(
         "valid_pct", duck_round(F.col("valid_measurements") * F.lit(100.0) / F.col("total_measurements"), 1)
@@ -67,7 +78,7 @@ def source_quality(fact: DataFrame) -> DataFrame:
     """B2: valid / invalid totals per source."""
     g = fact.groupBy("source").agg(
         F.count(F.lit(1)).alias("total_measurements"),
-        _count_if(F.col("quality_flag") == "VALID").alias("valid_measurements"),
+        count_if(F.col("quality_flag") == "VALID").alias("valid_measurements"),
     )
     return g.withColumn(
         "invalid_measurements", F.col("total_measurements") - F.col("valid_measurements")
@@ -100,20 +111,25 @@ def monthly_pivot(fact: DataFrame, sources=SOURCES) -> DataFrame:
 
 
 def pollutant_stats(fact: DataFrame, dim: DataFrame) -> DataFrame:
-    """Per station x pollutant x unit: count, mean, min, max, sample stddev."""
+    """Per station x pollutant x unit: count, mean, min, max, sample stddev.
+
+    Moments (count, mean, squared deviations) are taken per station key and
+    combined per station name after the join, so the join sees one row per
+    station key, pollutant and unit instead of the readings.
+    """
     f = _valid(fact.filter(F.col("source") == "air_quality"))
-    j = with_station(f.select("station_fk", "metric", "unit", F.col("value").cast("double").alias("v")), dim)
-    return (
-        j.groupBy("station_name", "metric", "unit")
-        .agg(
-            F.count(F.lit(1)).alias("measurements"),
-            duck_round(F.avg("v"), 2).alias("avg_value"),
-            duck_round(F.min("v"), 2).alias("min_value"),
-            duck_round(F.max("v"), 2).alias("max_value"),
-            duck_round(F.stddev_samp("v"), 2).alias("std_value"),
-        )
-        .orderBy(F.asc_nulls_last("station_name"), F.asc_nulls_last("metric"), F.asc_nulls_last("unit"))
-    )
+    v = F.col("value").cast("double")
+    per_key = f.groupBy("station_fk", "metric", "unit").agg(*moments(v), F.min(v).alias("__lo"), F.max(v).alias("__hi"))
+    keys = ["station_name", "metric", "unit"]
+    g = combined_moments(with_station(per_key, dim), keys, F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"))
+    return g.select(
+        *keys,
+        F.col("__n").cast("long").alias("measurements"),
+        duck_round("__mean", 2).alias("avg_value"),
+        duck_round("__lo", 2).alias("min_value"),
+        duck_round("__hi", 2).alias("max_value"),
+        duck_round("__std", 2).alias("std_value"),
+    ).orderBy(*[F.asc_nulls_last(k) for k in keys])
 
 
 def box_stats(
@@ -126,9 +142,11 @@ def box_stats(
     """Box-plot numbers per metric x station over VALID values in [lo, hi].
 
     Exact quartiles (interpolated), 1.5 IQR fences, whisker ends (most extreme
-    values inside the fences) and the number of points outside them. The
-    quartiles are computed per group first; the whisker pass joins that small
-    per-group frame back.
+    values inside the fences) and the number of points outside them. Two passes:
+    the sketches of the first (``stats.sketched``) bound the quartiles, and with
+    them the fences; the second counts the few values in those bands one by one
+    and all others in between as one row per band gap. Whiskers and outliers are
+    read off that small copy, the readings are not visited again.
     """
     f = _valid(fact)
     if metrics is not None:
@@ -136,32 +154,38 @@ def box_stats(
     v = F.col("value").cast("double")
     f = f.filter(v.between(lo, hi)).select("metric", "station_fk", v.alias("v"))
     j = with_station(f, dim)
-    keys = ["metric", "station_name"]
-    basic = j.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("min"), F.max("v").alias("max"))
-    quart = exact_quantiles(j, keys, "v", [0.25, 0.5, 0.75], ["__q1", "__q2", "__q3"])
-    q = basic.join(quart, keys, "inner").select(
-        *keys, "n", "min",
-        F.col("__q1").alias("q1"),
-        F.col("__q2").alias("median"),
-        F.col("__q3").alias("q3"),
-        "max",
-    )
+    keys, probs = ["metric", "station_name"], [0.25, 0.5, 0.75]
+    first = sketched(j, keys, "v", probs)
+    lo1, hi1, lo3, hi3 = (F.col(c) for c in ("__lo0", "__hi0", "__lo2", "__hi2"))
+    # between which values the fences can lie, with room for rounding
+    ends = {"__lo3": 2.5 * lo1 - 1.5 * hi3, "__hi3": 2.5 * hi1 - 1.5 * lo3, "__lo4": 2.5 * lo3 - 1.5 * hi1, "__hi4": 2.5 * hi3 - 1.5 * lo1}
+    room = {"__lo3": -1e-9, "__hi3": 1e-9, "__lo4": -1e-9, "__hi4": 1e-9}
+    fenced = first.withColumns({c: x + F.lit(room[c]) * F.abs(x) for c, x in ends.items()})
+    copy = banded(j, keys, "v", fenced, 5)
+    q = quantiles_of(copy, keys, probs, ["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")).withColumn(
         "lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr")
     ).withColumn("upper_fence", F.col("q3") + F.lit(1.5) * F.col("iqr"))
-    per_group = [c for c in q.columns if c not in keys]
-    w = j.join(q, keys, "inner")
-    inside = (F.col("v") >= F.col("lower_fence")) & (F.col("v") <= F.col("upper_fence"))
+    per_group = [F.col("__n").alias("n"), "q1", "median", "q3", "iqr", "lower_fence", "upper_fence"]
+    w = null_safe_join(copy, q.drop("__n"), keys)
+    low, high = F.col("lower_fence"), F.col("upper_fence")
+    inside = (F.col("__v") >= low) & (F.col("__top") <= high)
+    outside = (F.col("__top") < low) | (F.col("__v") > high)
+    sure = F.when(~inside & ~outside, F.raise_error(F.lit("a fence lies outside of its sketched band; run the query again")))
     # the per-group statistics are constant inside a group: grouping by them
     # adds no groups and keeps the plan free of a second join
     out = w.groupBy(*keys, *per_group).agg(
-        F.min(F.when(inside, F.col("v"))).alias("lower_whisker"),
-        F.max(F.when(inside, F.col("v"))).alias("upper_whisker"),
-        _count_if(~inside).alias("outliers"),
+        F.min("__v").alias("min"),
+        F.max("__top").alias("max"),
+        F.min(F.when(inside, F.col("__v")).otherwise(sure.cast("double"))).alias("lower_whisker"),
+        F.max(F.when(inside, F.col("__top"))).alias("upper_whisker"),
+        F.coalesce(F.sum(F.when(outside, F.col("__c"))), F.lit(0)).cast("long").alias("outliers"),
     )
     # fences and outliers come from unrounded quartiles; what is reported has 6 decimals
     out = out.withColumns({c: duck_round(c, 6) for c in ("q1", "median", "q3", "iqr", "lower_fence", "upper_fence")})
-    return out.orderBy(*[F.asc_nulls_last(k) for k in keys])
+    return out.select(
+        *keys, "n", "min", "q1", "median", "q3", "max", "iqr", "lower_fence", "upper_fence", "lower_whisker", "upper_whisker", "outliers"
+    ).orderBy(*[F.asc_nulls_last(k) for k in keys])
 
 
 def wind_stats(fact: DataFrame, dim: DataFrame) -> DataFrame:
@@ -247,9 +271,9 @@ def quality_assessment(fact: DataFrame) -> DataFrame:
     """Per source x metric: totals, VALID, NODATA, NULL values and VALID share."""
     g = fact.groupBy("source", "metric").agg(
         F.count(F.lit(1)).alias("total_records"),
-        _count_if(F.col("quality_flag") == "VALID").alias("valid_records"),
-        _count_if(F.col("quality_flag") == "NODATA").alias("nodata_records"),
-        _count_if(F.col("value").isNull()).alias("null_values"),
+        count_if(F.col("quality_flag") == "VALID").alias("valid_records"),
+        count_if(F.col("quality_flag") == "NODATA").alias("nodata_records"),
+        count_if(F.col("value").isNull()).alias("null_values"),
     )
     return g.withColumn(
         "valid_percentage", duck_round(F.col("valid_records") * F.lit(100.0) / F.col("total_records"), 1)
@@ -313,7 +337,7 @@ def monthly_means(fact: DataFrame, dim: DataFrame) -> DataFrame:
 def station_performance(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Total and VALID measurements per station."""
     per_key = fact.groupBy("station_fk").agg(
-        F.count(F.lit(1)).alias("t"), _count_if(F.col("quality_flag") == "VALID").alias("v")
+        F.count(F.lit(1)).alias("t"), count_if(F.col("quality_flag") == "VALID").alias("v")
     )
     g = with_station(per_key, dim).groupBy("station_name").agg(
         F.sum("t").cast("long").alias("total_measurements"), F.sum("v").cast("long").alias("valid")

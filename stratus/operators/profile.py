@@ -12,15 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratus.functions import duck_round, half_even_round
-from stratus.operators.stats import column_quantiles
+from stratus.functions import count_if, duck_round, half_even_round
+from stratus.operators.stats import number, with_quantiles
 from stratus.operators.tall import with_station_meta
 
 
-def _count_if(cond: Column) -> Column:
-    return F.count(F.when(cond, F.lit(1)))
-
-
 def _pct2(num: Column, den: Column) -> Column:
     return F.when(den == 0, F.lit(0.0)).otherwise(half_even_round(num.cast("double") / den.cast("double") * 100.0, 2))
 
@@ -134,27 +130,15 @@ def describe_numeric(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Count, mean, std, min, quartiles (exact, interpolated) and max per
     numeric column, optionally rounded to ``digits`` decimals.
 
-    Moments come from one aggregate over all columns; quartiles from the
-    distributed exact quantiles of the stacked (column, value) rows."""
+    The columns are stacked into (column, value) rows; one pass over these has
+    the moments and a sketch per column, a second the exact quartiles."""
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     if not num:
         return df.sparkSession.createDataFrame([("No numeric columns detected",)], "message string")
-    aggs = []
-    for c in num:
-        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-        aggs.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(x).cast("double").alias("count"),
-                F.avg(x).alias("mean"),
-                F.stddev_samp(x).alias("std"),
-                F.min(x).alias("min"),
-                F.max(x).alias("max"),
-            ).alias(c)
-        )
-    moments = df.agg(*aggs).select(F.explode(F.array(*[F.col(c) for c in num])).alias("s")).select("s.*")
-    quart = column_quantiles(df, num, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
-    both = moments.join(quart, "column", "left")
+    stacked = df.select(*[number(c).alias(c) for c in num]).unpivot([], num, "column", "v")
+    more = [F.avg("v").alias("mean"), F.stddev_samp("v").alias("std")]
+    both = with_quantiles(stacked, ["column"], "v", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], *more, few_groups=True)
+    both = both.withColumns({"count": F.col("__n").cast("double"), "min": F.col("__min"), "max": F.col("__max")})
 
     def r(c: str) -> Column:
         return F.col(c) if digits is None else duck_round(F.col(c), digits)
@@ -187,7 +171,7 @@ def tall_overview(tall: DataFrame, file_col: str = "file") -> DataFrame:
 def valid_coverage(tall: DataFrame, stations: DataFrame, file_col: str = "file") -> DataFrame:
     """VALID points per file x station x metric with station code and name."""
     g = tall.groupBy(file_col, "station_pk", "metric").agg(
-        F.count(F.lit(1)).alias("total_points"), _count_if(F.col("quality_flag") == "VALID").alias("valid_points")
+        F.count(F.lit(1)).alias("total_points"), count_if(F.col("quality_flag") == "VALID").alias("valid_points")
     )
     g = g.withColumn("pct_valid", _pct2(F.col("valid_points"), F.col("total_points")))
     meta = stations.select(F.col("station_pk").cast("long").alias("station_pk"), "station_code", "station_name")

@@ -13,16 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.functions import duck_round, pct, trunc_ts
-from stratus.operators.stats import exact_quantiles
+from stratus.functions import BITMAP_DAYS, bitmap_of_days, bitmap_of_hours, bucket_of, count_if, day_number, duck_round, pct, trunc_ts
+from stratus.operators.stats import with_quantiles
 from stratus.plans import with_station
 from stratus.schemas import DQ_EXPECTED_RANGES, NATURAL_KEY
 
 
-def _count_if(cond: Column) -> Column:
-    return F.count(F.when(cond, F.lit(1)))
-
-
 def _scalar(df: DataFrame) -> Column:
     """A one-row, one-column aggregate as a scalar subquery column."""
     return df.scalar()
@@ -95,20 +91,20 @@ def duplicate_keys(fact: DataFrame, keys=NATURAL_KEY) -> DataFrame:
 def required_nulls(fact: DataFrame) -> DataFrame:
     """A5: NULLs in the required columns, one pass."""
     return fact.agg(
-        _count_if(F.col("timestamp").isNull()).alias("null_timestamps"),
-        _count_if(F.col("station_fk").isNull()).alias("null_stations"),
-        _count_if(F.col("metric").isNull()).alias("null_metrics"),
-        _count_if(F.col("source").isNull()).alias("null_sources"),
+        count_if(F.col("timestamp").isNull()).alias("null_timestamps"),
+        count_if(F.col("station_fk").isNull()).alias("null_stations"),
+        count_if(F.col("metric").isNull()).alias("null_metrics"),
+        count_if(F.col("source").isNull()).alias("null_sources"),
     )
 
 
 def value_stats(fact: DataFrame) -> DataFrame:
     """NULL / non-NULL values and NODATA / VALID flags."""
     return fact.agg(
-        _count_if(F.col("value").isNull()).alias("null_values"),
-        _count_if(F.col("value").isNotNull()).alias("valid_values"),
-        _count_if(F.col("quality_flag") == "NODATA").alias("nodata_flags"),
-        _count_if(F.col("quality_flag") == "VALID").alias("valid_flags"),
+        count_if(F.col("value").isNull()).alias("null_values"),
+        count_if(F.col("value").isNotNull()).alias("valid_values"),
+        count_if(F.col("quality_flag") == "NODATA").alias("nodata_flags"),
+        count_if(F.col("quality_flag") == "VALID").alias("valid_flags"),
     )
 
 
@@ -150,7 +146,7 @@ def integrity(fact: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def _null_agg(value_col: str = "value") -> list[Column]:
-    nulls = _count_if(F.col(value_col).isNull())
+    nulls = count_if(F.col(value_col).isNull())
     return [
         F.count(F.lit(1)).alias("total"),
         nulls.alias("nulls"),
@@ -167,7 +163,7 @@ def null_rates(fact: DataFrame, dim: DataFrame | None = None, by: str | None = N
         return fact.groupBy("metric").agg(*_null_agg()).orderBy(F.desc("null_pct"), F.asc_nulls_last("metric"))
     if by == "station":
         per_key = fact.groupBy("station_fk").agg(
-            F.count(F.lit(1)).alias("t"), _count_if(F.col("value").isNull()).alias("z")
+            F.count(F.lit(1)).alias("t"), count_if(F.col("value").isNull()).alias("z")
         )
         g = with_station(per_key, dim).groupBy("station_name").agg(
             F.sum("t").cast("long").alias("total"), F.sum("z").cast("long").alias("nulls")
@@ -185,7 +181,7 @@ def high_null_metrics(fact: DataFrame, threshold: float = 50.0) -> DataFrame:
 
 def low_quality_metrics(fact: DataFrame, threshold: float = 50.0) -> DataFrame:
     """Metrics whose *unrounded* NODATA share exceeds the threshold."""
-    nodata = _count_if(F.col("quality_flag") == "NODATA")
+    nodata = count_if(F.col("quality_flag") == "NODATA")
     g = fact.groupBy("metric").agg(
         nodata.alias("nodata"),
         F.count(F.lit(1)).alias("total"),
@@ -200,11 +196,11 @@ def low_quality_metrics(fact: DataFrame, threshold: float = 50.0) -> DataFrame:
 
 def dq_summary(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Totals, station count and null share in one row."""
-    nulls = _count_if(F.col("value").isNull())
+    nulls = count_if(F.col("value").isNull())
     agg = fact.agg(
         F.count(F.lit(1)).alias("total_measurements"),
         nulls.alias("null_values"),
-        _count_if(F.col("value").isNotNull()).alias("valid_values"),
+        count_if(F.col("value").isNotNull()).alias("valid_values"),
         pct(nulls, F.count(F.lit(1))).alias("null_percentage"),
     )
     return agg.select(
@@ -231,36 +227,29 @@ def value_ranges(fact: DataFrame, ranges=DQ_EXPECTED_RANGES) -> DataFrame:
     """A10: per checked metric: counts, min, max, mean, exact median and the
     number of values below / above the expected range.
 
-    One grouped pass replaces one scan per metric. The expected ranges are a
-    literal map (a handful of entries), looked up per row; metrics outside the
-    list or without rows produce no output row. The median is the exact
-    interpolated 50th percentile, found by a distributed sort
-    (``stats.exact_quantiles``), so a metric with most of the readings is
-    spread over many tasks instead of one.
+    Two passes replace one scan per metric: the first has all statistics and a
+    sketch per metric, the second the exact median among the few values that the
+    sketch leaves (``stats.with_quantiles``), so a metric with most of the
+    readings is spread over many tasks. The expected ranges are a literal map (a
+    handful of entries), looked up per row; metrics outside the list or without
+    rows produce no output row.
     """
     lo_map, hi_map = _ranges_map(ranges)
     checked = [m for m, _, _ in ranges]
-    f = fact.filter(F.col("metric").isin(checked)).select(
-        "metric", F.col("value").cast("double").alias("v"),
-        F.element_at(lo_map, F.col("metric")).alias("lo"),
-        F.element_at(hi_map, F.col("metric")).alias("hi"),
-    )
-    stats = f.groupBy("metric").agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count("v").alias("non_null"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
+    f = fact.filter(F.col("metric").isin(checked)).select("metric", F.col("value").cast("double").alias("v"))
+    lo, hi = F.element_at(lo_map, F.col("metric")), F.element_at(hi_map, F.col("metric"))
+    stats = with_quantiles(
+        f, ["metric"], "v", [0.5], ["median"],
         duck_round(F.avg("v"), 2).alias("avg"),
-        _count_if(F.col("v") < F.col("lo")).alias("below_min"),
-        _count_if(F.col("v") > F.col("hi")).alias("above_max"),
-        F.first("lo").alias("expected_min"),
-        F.first("hi").alias("expected_max"),
-    )
-    median = exact_quantiles(f, ["metric"], "v", [0.5], ["median"])
-    return stats.join(median, "metric", "left").select(
-        "metric", "total", "non_null", "min", "max", "avg", "median", "below_min", "above_max",
-        "expected_min", "expected_max",
-    )
+        count_if(F.col("v") < lo).alias("below_min"),
+        count_if(F.col("v") > hi).alias("above_max"),
+        few_groups=True,
+    )
+    return stats.select(
+        "metric", F.col("__rows").alias("total"), F.col("__n").alias("non_null"), F.col("__min").alias("min"),
+        F.col("__max").alias("max"), "avg", "median", "below_min", "above_max", lo.alias("expected_min"),
+        hi.alias("expected_max"),
+    )
 
 
 def outliers_exist(fact: DataFrame, ranges=DQ_EXPECTED_RANGES) -> DataFrame:
@@ -272,26 +261,60 @@ def outliers_exist(fact: DataFrame, ranges=DQ_EXPECTED_RANGES) -> DataFrame:
 # ------------------------------------------------------------------------ A11
 
 
-def _hourly(fact: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """Pre-aggregate to one row per (keys, hour) before distinct counting."""
-    return fact.groupBy(*by, trunc_ts("timestamp", "hour").alias("__h")).agg(
-        F.min("timestamp").alias("__lo"), F.max("timestamp").alias("__hi")
-    )
+#: Levels of the coverage report: name and the columns it groups by.
+COVERAGE_LEVELS = {"overall": (), "source": ("source",), "metric": ("metric",)}
 
 
-def coverage(fact: DataFrame, by: tuple[str, ...] = (), hours: bool | None = None) -> DataFrame:
-    """first/last timestamp, distinct days (and hours when ungrouped)."""
-    hourly = _hourly(fact, by)
-    aggs = [
+def _time_bitmaps(fact: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """One row per key and bucket of 1024 days: its hours and days as bitmaps, first and last timestamp.
+
+    The bitmaps (4 KB each) merge map-side, so the shuffle carries a few rows per task, and a hot key no more
+    than any other.
+    """
+    return fact.groupBy(*by, bucket_of(day_number("timestamp"), BITMAP_DAYS).alias("__b")).agg(
+        bitmap_of_hours("timestamp").alias("__hours"), bitmap_of_days("timestamp").alias("__days"),
+        F.min("timestamp").alias("__lo"), F.max("timestamp").alias("__hi"),
+    )
+
+
+def _merged(maps: DataFrame, by: list[str]) -> list[Column]:
+    return [
         F.min("__lo").alias("earliest"),
         F.max("__hi").alias("latest"),
-        F.count_distinct(trunc_ts("__h", "day")).alias("days_covered" if not by else "days"),
+        F.sum(F.bitmap_count("__days")).cast("long").alias("days"),
+        F.sum(F.bitmap_count("__hours")).cast("long").alias("hours"),
     ]
+
+
+def coverage(fact: DataFrame, by: tuple[str, ...] = (), hours: bool | None = None) -> DataFrame:
+    """first/last timestamp, distinct days (and hours when ungrouped)."""
+    maps = _time_bitmaps(fact, by)
+    g = maps.groupBy(*by).agg(*_merged(maps, list(by)))
     if hours if hours is not None else not by:
-        aggs.append(F.count_distinct("__h").alias("hours_covered"))
-    if not by:
-        return hourly.agg(*aggs)
-    return hourly.groupBy(*by).agg(*aggs).orderBy(*[F.asc_nulls_last(k) for k in by])
+        g = g.withColumn("hours_covered", F.coalesce("hours", F.lit(0).cast("long")))
+    g = g.withColumn("days", F.coalesce("days", F.lit(0).cast("long"))).drop("hours")
+    return g.orderBy(*[F.asc_nulls_last(k) for k in by]) if by else g.withColumnRenamed("days", "days_covered")
+
+
+def coverage_levels(fact: DataFrame) -> DataFrame:
+    """A11 as one report: coverage overall, by source and by metric, from one scan.
+
+    Bitmaps per (source, metric, bucket) are merged to every level by ``GROUPING SETS``; the counts of the
+    merged bitmaps are the distinct days and hours. A level's row names its key (NULL overall).
+    """
+    maps = _time_bitmaps(fact, ("source", "metric"))
+    sets = [[*keys, "__b"] for keys in COVERAGE_LEVELS.values()]
+    level = F.grouping_id("source", "metric", "__b").alias("__level")
+    g = maps.groupingSets([[F.col(c) for c in s] for s in sets], "source", "metric", "__b").agg(
+        level, F.bitmap_or_agg("__hours").alias("__hours"), F.bitmap_or_agg("__days").alias("__days"),
+        F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"),
+    )
+    # grouping_id has a bit for each column left out: source is the highest of three
+    name = F.when(F.col("__level") == 6, "overall").when(F.col("__level") == 2, "source").otherwise("metric")
+    key = F.when(F.col("__level") == 2, F.col("source")).when(F.col("__level") == 4, F.col("metric"))
+    return g.groupBy(name.alias("level"), key.alias("key")).agg(*_merged(g, ["level", "key"])).orderBy(
+        "level", F.asc_nulls_last("key")
+    )
 
 
 # ------------------------------------------------------------------------ A14
@@ -307,10 +330,10 @@ def dq_issues(fact: DataFrame, ranges=DQ_EXPECTED_RANGES) -> DataFrame:
     v = F.col("value").cast("double")
     per_metric = fact.groupBy("metric").agg(
         F.count(F.lit(1)).alias("total"),
-        _count_if(v.isNull()).alias("nulls"),
-        _count_if(F.col("quality_flag") == "NODATA").alias("nodata"),
-        _count_if(v < F.element_at(lo_map, F.col("metric"))).alias("below"),
-        _count_if(v > F.element_at(hi_map, F.col("metric"))).alias("above"),
+        count_if(v.isNull()).alias("nulls"),
+        count_if(F.col("quality_flag") == "NODATA").alias("nodata"),
+        count_if(v < F.element_at(lo_map, F.col("metric"))).alias("below"),
+        count_if(v > F.element_at(hi_map, F.col("metric"))).alias("above"),
     )
     overall = per_metric.agg(
         pct(F.sum("nulls"), F.sum("total")).alias("null_pct"),
@@ -330,8 +353,8 @@ def dq_issues(fact: DataFrame, ranges=DQ_EXPECTED_RANGES) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
     )
     ranged = by_metric.filter(F.col("metric").isin([m for m, _, _ in ranges]))
-    outl = ranged.agg(_count_if((F.col("below") > 0) | (F.col("above") > 0)).alias("n"))
-    lowq = by_metric.agg(_count_if(F.col("nodata_raw") > 50.0).alias("n"))
+    outl = ranged.agg(count_if((F.col("below") > 0) | (F.col("above") > 0)).alias("n"))
+    lowq = by_metric.agg(count_if(F.col("nodata_raw") > 50.0).alias("n"))
     parts = [
         overall.filter(F.col("null_pct") > 30.0).select(
             F.lit(1).alias("issue_no"),

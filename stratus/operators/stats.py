@@ -1,20 +1,26 @@
-"""Exact quantiles without gathering a group in one task.
+"""Exact quantiles without gathering a group in one task, in two passes over the input.
 
 ``percentile`` keeps every distinct value of a group in one hash map that is
 finally merged by a single task, so a metric holding a third of all readings
 would be one huge task. Here the order statistics are found by selection:
 
-1. each value falls into a coarse bucket (a logarithmic scale, the same for all
-   groups); counts per (group, bucket) are a partial aggregate;
-2. running counts over a group's few thousand buckets tell which buckets hold
-   the ranks ``floor(h)`` and ``ceil(h)``, ``h = p * (n - 1)``;
-3. only the values of those buckets are counted again, in 4096 equal parts of
-   the bucket, and only the parts that hold a rank are sorted at last;
+1. one aggregate gives each group's size and a mergeable KLL sketch of its
+   values (a few thousand numbers, however large the group). For a wanted rank
+   the sketch names a band of values that holds it: the ranks on either side are
+   taken ``MARGIN`` apart, four times the sketch's 99 % rank error;
+2. a second pass counts the values inside the bands by value, and all values
+   between two bands as one row. These rows (``banded``) are a small weighted
+   copy of the group in which every wanted rank falls on an exact value;
+3. running counts over coarse buckets of that copy (a logarithmic scale, the
+   same for all groups) and over 4096 parts of the bucket that holds a rank
+   leave a few values to sort, so no task sorts a hot group;
 4. the values at the ranks are interpolated linearly
    (``lo + (hi - lo) * (h - floor(h))``, the PERCENTILE_CONT definition).
 
-Everything is lazy and nothing is stored: building a query runs no job. NULL
-and NaN values are ignored; a group without values gets no row.
+The result is exact or none: should a rank fall between the bands (by the
+sketch's error bound less than once in 10^20 groups), the query fails instead of
+answering. Everything is lazy and nothing is stored: building a query runs no
+job. NULL and NaN values are ignored; a group without values gets no row.
 """
 
 from __future__ import annotations
@@ -24,6 +30,15 @@ from pyspark.sql import functions as F
 
 #: Coarse buckets per factor e; parts of a bucket.
 COARSE, PARTS = 256, 4096
+#: Size of a sketch; its rank error (99 %) is 2.296 / k^0.9021 by the sketch's documentation.
+SKETCH_K = 1024
+MARGIN = 4 * 2.296 / SKETCH_K**0.9021
+
+
+def number(value: str | Column) -> Column:
+    """The value as a double, NaN as NULL."""
+    c = (F.col(value) if isinstance(value, str) else value).cast("double")
+    return F.nanvl(c, F.lit(None).cast("double"))
 
 
 def coarse_bucket(v: Column) -> Column:
@@ -55,48 +70,73 @@ def _holding(counts: DataFrame, within: list[str], by: str, start: Column, n: Co
     return out.filter(wanted)
 
 
-def _join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Inner join on equal columns where NULL equals NULL; keeps the left copies."""
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns where NULL equals NULL; keeps the left copies."""
     renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns])
     cond = None
     for c in on:
         one = left[c].eqNullSafe(renamed[f"__r_{c}"])
         cond = one if cond is None else cond & one
-    return left.join(renamed, cond).drop(*[f"__r_{c}" for c in on])
-
-
-def exact_quantiles(
-    df: DataFrame,
-    keys: list[str],
-    value: str | Column,
-    probs: list[float],
-    names: list[str] | None = None,
-) -> DataFrame:
-    """One row per group of ``keys`` with one exact, interpolated quantile column
-    per probability (named ``names`` or ``q0, q1, ...``)."""
-    names = names or [f"q{i}" for i in range(len(probs))]
-    v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    base = df.select(*keys, v.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    base = base.withColumn("__b", coarse_bucket(F.col("__v")))
-
-    coarse = base.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
-    whole = F.sum("__c").over(Window.partitionBy(*keys))
-    first = _holding(coarse, keys, "__b", F.lit(0), whole, probs).select(*keys, "__b", "__lo", "__hi", F.col("__start").alias("__s"), "__n")
-
-    inside = _join(base, first, [*keys, "__b"]).withColumn("__f", part_of_bucket(F.col("__v"), F.col("__lo"), F.col("__hi")))
-    fine = inside.groupBy(*keys, "__b", "__f").agg(F.count(F.lit(1)).alias("__c"), F.first("__s").alias("__s"), F.first("__n").alias("__n"))
-    second = _holding(fine, [*keys, "__b"], "__f", F.col("__s"), F.col("__n"), probs).select(
-        *keys, "__b", "__f", F.col("__start").alias("__s"), "__n"
+    return left.join(renamed, cond, how).drop(*[f"__r_{c}" for c in on])
+
+
+def sketched(df: DataFrame, keys: list[str], value: str | Column, probs: list[float], *more: Column) -> DataFrame:
+    """First pass: one row per group with its size ``__n``, a band ``__lo<i>``..``__hi<i>`` for each
+    probability, and whatever ``more`` aggregates."""
+    g = df.groupBy(*keys).agg(F.count(number(value)).alias("__n"), F.kll_sketch_agg_double(number(value), F.lit(SKETCH_K)).alias("__k"), *more)
+    ends = [e for p in probs for e in (p - MARGIN - 2 / SKETCH_K, p + MARGIN + 2 / SKETCH_K)]
+    ranks = F.array(*[F.lit(min(max(e, 0.0), 1.0)) for e in ends])
+    # a small group is all band, and beyond the first and last rank a band is open
+    g = g.withColumn("__q", F.when(F.col("__n") > SKETCH_K, F.kll_sketch_get_quantile_double("__k", ranks)))
+    far = [float("-inf"), float("inf")]
+    bands = {}
+    for i, e in enumerate(ends):
+        found = F.col("__q")[i] if 0 < e < 1 else F.lit(None).cast("double")
+        bands[f"__{'hi' if i % 2 else 'lo'}{i // 2}"] = F.coalesce(found, F.lit(far[i % 2]))
+    return g.withColumns(bands).drop("__k", "__q")
+
+
+def banded(df: DataFrame, keys: list[str], value: str | Column, bounds: DataFrame, n_bands: int, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Second pass: the weighted copy of each group (``__v`` or, between bands, the ends ``__v``..``__top``; ``__c`` rows).
+
+    ``bounds`` has the columns of :func:`sketched`. Rows between bands carry ``__open``; rows without a value
+    are one row with a NULL ``__v``. Every row has its group's size and the ``carried`` columns of ``bounds``:
+    as grouping keys, so that all readers of the copy share one shuffle whichever columns they need.
+    """
+    base = df.select(*keys, number(value).alias("__x"))
+    named = bounds.select(*keys, "__n", *carried, *[f"__{e}{i}" for i in range(n_bands) for e in ("lo", "hi")])
+    x, inside, passed = F.col("__x"), F.lit(False), F.lit(0)
+    for i in range(n_bands):
+        inside = inside | x.between(F.col(f"__lo{i}"), F.col(f"__hi{i}"))
+        passed = passed + (F.col(f"__hi{i}") < x).cast("int")
+    rows = null_safe_join(base, named, keys)
+    at, gap = F.when(inside, x).alias("__at"), F.when(~inside, passed).alias("__gap")
+    rows = rows.groupBy(*keys, "__n", *carried, at, gap).agg(F.min(x).alias("__v"), F.max(x).alias("__top"), F.count(F.lit(1)).alias("__c"))
+    # true of every row: it names all columns, so that each reader of the copy asks for the same shuffle
+    rows = rows.filter((F.col("__c") > 0) & (F.col("__v").isNull() | (F.col("__v") <= F.col("__top"))))
+    return rows.select(*keys, "__n", *carried, "__v", "__top", "__c", F.col("__gap").isNotNull().alias("__open"))
+
+
+def quantiles_of(copy: DataFrame, keys: list[str], probs: list[float], names: list[str]) -> DataFrame:
+    """Third step: the quantiles of the groups whose weighted copy is ``copy``."""
+    base = copy.filter(F.col("__v").isNotNull()).select(*keys, "__v", "__top", "__c", "__n", "__open", coarse_bucket(F.col("__v")).alias("__b"))
+    coarse = base.groupBy(*keys, "__b").agg(
+        F.sum("__c").alias("__c"), F.min("__v").alias("__lo"), F.max("__top").alias("__hi"), F.first("__n").alias("__n")
     )
+    first = _holding(coarse, keys, "__b", F.lit(0), F.col("__n"), probs).select(*keys, "__b", "__lo", "__hi", F.col("__start").alias("__s"))
+
+    inside = null_safe_join(base, first, [*keys, "__b"]).withColumn("__f", part_of_bucket(F.col("__v"), F.col("__lo"), F.col("__hi")))
+    fine = inside.groupBy(*keys, "__b", "__f").agg(F.sum("__c").alias("__c"), F.first("__s").alias("__s"), F.first("__n").alias("__n"))
+    second = _holding(fine, [*keys, "__b"], "__f", F.col("__s"), F.col("__n"), probs).select(*keys, "__b", "__f", F.col("__start").alias("__s"))
 
-    values = _join(inside.drop("__lo", "__hi", "__s", "__n"), second, [*keys, "__b", "__f"])
-    sorted_ = values.groupBy(*keys, "__b", "__f", "__v").agg(F.count(F.lit(1)).alias("__c"), F.first("__s").alias("__s"), F.first("__n").alias("__n"))
-    ranked = _holding(sorted_, [*keys, "__b", "__f"], "__v", F.col("__s"), F.col("__n"), probs)
+    values = null_safe_join(inside.drop("__lo", "__hi", "__s"), second, [*keys, "__b", "__f"])
+    ranked = _holding(values, [*keys, "__b", "__f"], "__v", F.col("__s"), F.col("__n"), probs)
+    sure = F.when(F.col("__open"), F.raise_error(F.lit("a quantile lies outside of its sketched band; run the query again"))).otherwise(F.col("__v"))
 
     aggs = [F.first("__n").alias("__n")]
     for i, (lo, hi) in enumerate(_ranks(F.col("__n"), probs)):
         for end, r in (("lo", lo), ("hi", hi)):
-            aggs.append(F.max(F.when((F.col("__start") <= r) & (r < F.col("__end")), F.col("__v"))).alias(f"__{end}{i}"))
+            aggs.append(F.max(F.when((F.col("__start") <= r) & (r < F.col("__end")), sure)).alias(f"__{end}{i}"))
     picked = ranked.groupBy(*keys).agg(*aggs)
 
     out = []
@@ -108,8 +148,71 @@ def exact_quantiles(
     return picked.select(*keys, *out)
 
 
+def exact_quantiles(
+    df: DataFrame,
+    keys: list[str],
+    value: str | Column,
+    probs: list[float],
+    names: list[str] | None = None,
+    few_groups: bool = False,
+) -> DataFrame:
+    """One row per group of ``keys`` with one exact, interpolated quantile column
+    per probability (named ``names`` or ``q0, q1, ...``)."""
+    names = names or [f"q{i}" for i in range(len(probs))]
+    first = sketched(df, keys, value, probs)
+    copy = banded(df, keys, value, F.broadcast(first) if few_groups else first, len(probs))
+    return quantiles_of(copy, keys, probs, names)
+
+
+def with_quantiles(
+    df: DataFrame, keys: list[str], value: str | Column, probs: list[float], names: list[str], *more: Column, few_groups: bool = False
+) -> DataFrame:
+    """The groups with ``__rows``, ``__n`` (values), ``__min``, ``__max``, the aggregates ``more`` and the
+    quantiles, in two passes over ``df``; a group without values has NULLs.
+
+    ``few_groups`` says that the keys come from a list of fixed length (metrics, columns): the bands are then
+    broadcast, otherwise their join is left to the planner's size check. All figures are read off the weighted copy.
+    """
+    first = sketched(df, keys, value, probs, *more)
+    carried = tuple(c for c in first.columns if c not in keys and not c.startswith("__"))
+    copy = banded(df, keys, value, F.broadcast(first) if few_groups else first, len(probs), carried)
+    found = quantiles_of(copy, keys, probs, names)
+    groups = copy.groupBy(*keys, "__n", *carried).agg(F.sum("__c").alias("__rows"), F.min("__v").alias("__min"), F.max("__top").alias("__max"))
+    return null_safe_join(groups, F.broadcast(found) if few_groups else found, keys, "left")
+
+
 def column_quantiles(df: DataFrame, columns: list[str], probs: list[float], names: list[str] | None = None) -> DataFrame:
     """Exact quantiles of several columns at once: the columns are stacked into
     (column, value) rows and the column name becomes the group key."""
     stacked = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "value")
-    return exact_quantiles(stacked, ["column"], "value", probs, names)
+    return exact_quantiles(stacked, ["column"], "value", probs, names, few_groups=True)
+
+
+# ------------------------------------------------------------------ moments
+
+
+def moments(v: Column) -> list[Column]:
+    """Aggregates ``__n``, ``__mean`` and ``__m2`` (sum of squared deviations from the mean) of a group.
+
+    Such triples of parts can be combined to those of the whole (:func:`combined_moments`).
+    """
+    n = F.count(v)
+    return [n.alias("__n"), F.avg(v).alias("__mean"), (F.var_pop(v) * n).alias("__m2")]
+
+
+def combined_moments(parts: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """``__n``, ``__mean`` and sample deviation ``__std`` per group of ``keys``, from the moments of its parts.
+
+    The squared deviations of a group are those within its parts plus those of the parts' means from the
+    group's mean, so nothing is lost to cancellation. ``parts`` has few rows per group.
+    """
+    n, mean = F.col("__n"), F.col("__mean")
+    group = Window.partitionBy(*keys)
+    whole = F.sum(n * mean).over(group) / F.sum(n).over(group)
+    g = parts.withColumn("__d", mean - whole).groupBy(*keys).agg(
+        F.sum(n).alias("__n"),
+        (F.sum(n * mean) / F.sum(n)).alias("__mean"),
+        F.sum(F.col("__m2") + n * F.col("__d") * F.col("__d")).alias("__m2"),
+        *more,
+    )
+    return g.withColumn("__std", F.when(F.col("__n") > 1, F.sqrt(F.col("__m2") / (F.col("__n") - 1))))

@@ -263,6 +263,13 @@ FROM o, d, n""",
         "SELECT metric, MIN(timestamp) AS earliest, MAX(timestamp) AS latest, "
         "COUNT(DISTINCT DATE_TRUNC('day', timestamp)) AS days FROM fact GROUP BY metric",
     ),
+    "a11_coverage_levels": (
+        EVENTS,
+        "SELECT level, key, MIN(timestamp) AS earliest, MAX(timestamp) AS latest, "
+        "COUNT(DISTINCT DATE_TRUNC('day', timestamp)) AS days, COUNT(DISTINCT DATE_TRUNC('hour', timestamp)) AS hours "
+        "FROM (SELECT 'overall' AS level, NULL AS key, timestamp FROM fact UNION ALL SELECT 'source', source, timestamp FROM fact "
+        "UNION ALL SELECT 'metric', metric, timestamp FROM fact) GROUP BY level, key",
+    ),
     "a12_low_quality_metrics": (
         LINEITEM,
         "SELECT metric, COUNT(*) FILTER (WHERE quality_flag = 'NODATA') AS nodata, COUNT(*) AS total, "

@@ -78,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "a10_value_ranges_events": _ev_fact(A.value_ranges),
     "a11_coverage_overall": _ev_fact(A.coverage),
     "a11_coverage_by_source": _ev_fact(lambda f: A.coverage(f, ("source",))),
+    "a11_coverage_levels": _ev_fact(A.coverage_levels),
     "a11_coverage_by_metric": _li_fact(lambda f: A.coverage(f, ("metric",))),
     "a12_low_quality_metrics": _li_fact(A.low_quality_metrics),
     "a13_dq_summary": _li(A.dq_summary),

@@ -2,7 +2,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from stratus.operators.stats import column_quantiles, exact_quantiles
+from stratus.operators.stats import banded, column_quantiles, combined_moments, exact_quantiles, moments, sketched, with_quantiles
 
 
 def test_exact_quantiles_match_numpy(spark):
@@ -55,3 +55,43 @@ def test_building_quantiles_runs_no_job(spark):
     exact_quantiles(df, ["g"], "v", [0.5])
     assert not spark.sparkContext.statusTracker().getJobIdsForGroup("quantiles")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_large_group_with_narrow_bands(spark):
+    """Groups beyond the sketch's exact size: bands, gaps, ties across a band's end, and values between equal ones."""
+    rng = np.random.default_rng(3)
+    a = rng.lognormal(0, 2, 30000)
+    b = np.r_[np.full(15000, 4.0), rng.normal(size=4999), np.full(6000, -2.5)]  # ranks inside long runs of one value
+    rows = [("a", float(v)) for v in a] + [("b", float(v)) for v in b] + [("b", None), ("c", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
+    names = [f"q{i}" for i in range(len(probs))]
+    got = {r.g: r for r in with_quantiles(df, ["g"], "v", probs, names, F.avg("v").alias("mean")).collect()}
+    for g, x in (("a", a), ("b", b)):
+        assert np.allclose([got[g][n] for n in names], np.quantile(x, probs), rtol=0, atol=1e-12)
+        assert (got[g]["__n"], got[g]["__min"], got[g]["__max"]) == (len(x), x.min(), x.max())
+    assert got["b"]["__rows"] == len(b) + 1
+    assert (got["c"]["__n"], got["c"]["__rows"], got["c"]["q3"], got["c"]["__min"]) == (0, 1, None, None)
+
+
+def test_bands_leave_a_small_copy(spark):
+    """What the second pass passes on does not grow with the group: a few hundredths of it."""
+    df = spark.range(200_000).select(F.lit("hot").alias("g"), F.rand(5).alias("v"))
+    first = sketched(df, ["g"], "v", [0.5])
+    copy = banded(df, ["g"], "v", first, 1)
+    assert copy.count() < 0.06 * 200_000
+    assert copy.agg(F.sum("__c")).first()[0] == 200_000
+
+
+def test_moments_of_parts_are_those_of_the_whole(spark):
+    """Combined squared deviations keep their digits where the mean is large against the spread."""
+    rng = np.random.default_rng(9)
+    x = 1e9 + rng.normal(size=3000)
+    df = spark.createDataFrame([(int(i % 7), float(v)) for i, v in enumerate(x)] + [(8, None)], "part int, v double")
+    parts = df.groupBy("part").agg(*moments(F.col("v"))).withColumn("g", F.lit("all"))
+    got = combined_moments(parts.filter(F.col("__n") > 0), ["g"]).first()
+    assert got["__n"] == 3000
+    assert np.isclose(got["__mean"], x.mean(), rtol=1e-15)
+    assert np.isclose(got["__std"], x.std(ddof=1), rtol=1e-6)
+    one = combined_moments(parts.filter("part = 0").withColumn("__n", F.lit(1)), ["g"]).first()
+    assert one["__std"] is None
