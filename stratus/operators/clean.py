@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratus.functions import (
+    count_if,
     metric_from_param,
     normalise_station,
     null_sentinels,
@@ -79,67 +80,73 @@ def wind_header(cells: DataFrame, offset: int = 0) -> DataFrame:
 # ------------------------------------------------------------------ P2, P3
 
 
-def air_header(cells: DataFrame, offset: int = 1) -> DataFrame:
-    """P2 + P3: (file, col, station, param, unit, data_start) of an air sheet.
-
-    Standard layout: frame rows 2/3/4 = stations / pollutants / units with at
-    least two station-like cells and one pollutant cell; data from frame row 5.
-    Otherwise the frame row among the first 8 with most station-like cells
-    (at least 2; the earliest wins ties) names the stations, parameters and
-    units are 'Unknown', and data starts on the next row. ``offset`` is the
-    number of sheet rows consumed as the frame's column header.
+#: Frame rows among which a fallback header is looked for.
+FALLBACK_ROWS = 8
+
+
+def air_layouts(cells: DataFrame, offset: int = 1) -> DataFrame:
+    """P2 + P3: one row per file: ``layout`` (standard, fallback or synthetic), ``best_row``, ``width``, ``data_start``.
+
+    A file of at least five frame rows with two station-like cells in frame row 2 and a pollutant in row 3 has
+    the standard layout. Otherwise the frame row among the first 8 with most station-like cells (at least 2; the
+    earliest wins ties) is its header. All of this is one aggregate per file: the rows are scored by counters of
+    their own, and the first greatest counter names the row.
     """
-    h = cells.filter(F.col("sheet_row") < HEADER_ROWS + offset).withColumn(
-        "frow", F.col("sheet_row") - offset
-    ).filter(F.col("frow") >= 0)
+    frow = F.col("sheet_row") - offset
     txt = F.coalesce(F.col("text"), F.lit(""))
     station_like = _contains_any(txt, STATION_INDICATORS)
-    pollutant_like = F.upper(txt).isin(POLLUTANT_INDICATORS)
-
-    # a file qualifies only with at least 5 frame rows
-    nrows = cells.groupBy("file").agg((F.max("sheet_row") - offset + 1).alias("frame_rows"))
-    std_counts = h.filter(F.col("col") >= 1).groupBy("file").agg(
-        F.count(F.when((F.col("frow") == 2) & station_like, 1)).alias("st_hits"),
-        F.count(F.when((F.col("frow") == 3) & pollutant_like, 1)).alias("pol_hits"),
-    )
-    row_hits = h.filter(F.col("frow") < 8).groupBy("file", "frow").agg(
-        F.count(F.when(station_like, 1)).alias("hits")
+    beside = F.col("col") >= 1
+    score = [count_if((frow == r) & station_like) for r in range(FALLBACK_ROWS)]
+    g = cells.groupBy("file").agg(
+        (F.max("sheet_row") - offset + 1).alias("frame_rows"),
+        F.max("col").alias("width"),
+        count_if((frow == 2) & beside & station_like).alias("st_hits"),
+        count_if((frow == 3) & beside & F.upper(txt).isin(POLLUTANT_INDICATORS)).alias("pol_hits"),
+        F.array(*score).alias("scores"),
     )
-    best = row_hits.withColumn(
-        "rk", F.row_number().over(Window.partitionBy("file").orderBy(F.desc("hits"), F.asc("frow")))
-    ).filter((F.col("rk") == 1) & (F.col("hits") >= 2)).select("file", F.col("frow").alias("best_row"))
-    mode = (
-        nrows.join(std_counts, "file", "left")
-        .join(best, "file", "left")
-        .select(
-            "file",
-            F.when(
-                (F.col("frame_rows") >= 5) & (F.col("st_hits") >= 2) & (F.col("pol_hits") >= 1), F.lit("standard")
-            )
-            .when(F.col("best_row").isNotNull(), F.lit("fallback"))
-            .otherwise(F.lit("none"))
-            .alias("mode"),
-            "best_row",
-        )
+    standard = (F.col("frame_rows") >= 5) & (F.col("st_hits") >= 2) & (F.col("pol_hits") >= 1)
+    best = F.array_max("scores")
+    layout = F.when(standard, "standard").when(best >= 2, "fallback").otherwise("synthetic")
+    row = F.when(F.col("layout") == "fallback", F.array_position("scores", best).cast("int") - 1)
+    start = F.when(F.col("layout") == "standard", 5).when(F.col("layout") == "fallback", F.col("best_row") + 1).otherwise(1)
+    return g.withColumn("layout", layout).withColumn("best_row", row).select(
+        "file", "layout", "best_row", "width", (start + offset).cast("int").alias("data_start")
     )
-    g = h.filter(F.col("col") >= 1).groupBy("file", "col").agg(
-        *[F.max(F.when(F.col("frow") == r, txt)).alias(f"r{r}") for r in range(8)]
+
+
+def air_header(cells: DataFrame, offset: int = 1) -> DataFrame:
+    """P2 + P3: (file, col, station, param, unit, data_start, layout) of an air sheet.
+
+    Standard layout: frame rows 2/3/4 = stations / pollutants / units, data from frame row 5. Fallback: the best
+    row names the stations, parameters and units are 'Unknown', and data starts on the next row. Files without
+    either get a synthetic station name per column, which no register knows, and data from frame row 1.
+    ``offset`` is the number of sheet rows consumed as the frame's column header.
+    """
+    layouts = air_layouts(cells, offset)
+    frow = F.col("sheet_row") - offset
+    h = cells.filter(frow.between(0, FALLBACK_ROWS - 1) & (F.col("col") >= 1))
+    txt = F.coalesce(F.col("text"), F.lit(""))
+    g = h.groupBy("file", "col").agg(*[F.max(F.when(frow == r, txt)).alias(f"r{r}") for r in range(FALLBACK_ROWS)])
+    named = g.join(layouts.filter(F.col("layout") != "synthetic"), "file")
+    standard = F.col("layout") == "standard"
+    row = F.array(*[F.col(f"r{r}") for r in range(FALLBACK_ROWS)])
+
+    def of(r: int) -> Column:
+        return F.when(standard, F.coalesce(F.col(f"r{r}"), F.lit(""))).otherwise(F.lit("Unknown"))
+
+    station = F.when(standard, F.col("r2")).otherwise(F.get(row, F.col("best_row")))
+    found = named.select(
+        "file", "col", F.coalesce(station, F.lit("")).alias("station"), of(3).alias("param"), of(4).alias("unit"), "data_start", "layout"
     )
-    j = g.join(mode, "file", "inner")  # one row per file
-    station_text = F.when(F.col("mode") == "standard", F.col("r2"))
-    param_text = F.when(F.col("mode") == "standard", F.col("r3")).otherwise(F.lit("Unknown"))
-    unit_text = F.when(F.col("mode") == "standard", F.col("r4")).otherwise(F.lit("Unknown"))
-    for r in range(8):
-        station_text = station_text.when((F.col("mode") == "fallback") & (F.col("best_row") == r), F.col(f"r{r}"))
-    data_start = F.when(F.col("mode") == "standard", F.lit(5)).otherwise(F.col("best_row") + 1)
-    return j.filter(F.col("mode") != "none").select(
-        "file",
-        "col",
-        F.coalesce(station_text, F.lit("")).alias("station"),
-        F.coalesce(param_text, F.lit("")).alias("param"),
-        F.coalesce(unit_text, F.lit("")).alias("unit"),
-        (data_start + F.lit(offset)).cast("int").alias("data_start"),
+    made = layouts.filter((F.col("layout") == "synthetic") & (F.col("width") >= 1)).select(
+        "file", F.explode(F.sequence(F.lit(1), "width")).alias("col"), "data_start", "layout"
     )
+    return found.unionByName(
+        made.select(
+            "file", "col", F.concat(F.lit("Unknown_Station_"), (F.col("col") - 1).cast("string")).alias("station"),
+            F.lit("Unknown").alias("param"), F.lit("Unknown").alias("unit"), "data_start", "layout",
+        )
+    )
 
 
 # ------------------------------------------------------------------ J7
@@ -150,7 +157,6 @@ def resolve_stations(header: DataFrame, aliases: DataFrame) -> DataFrame:
     ``station_pk`` is NULL for names that match no alias)."""
     a = aliases.select(F.col("alias"), F.col("station_pk").cast("long").alias("station_pk"))
     h = header.withColumn("__name", normalise_station("station"))
-    a = a
     return h.join(a, h["__name"] == a["alias"], "left").drop("alias", "__name")
 
 

@@ -7,6 +7,8 @@ benchmark tables exactly as ``stratus.sources.drivertables`` does.
 
 from __future__ import annotations
 
+from stratus.oracle_sheets import SHEETS_SQL
+
 _UNIT = (
     "CASE metric WHEN 'wind_speed' THEN 'm/s' WHEN 'wind_direction' THEN 'degrees' "
     "WHEN 'no2' THEN 'ug/m3(S)' WHEN 'o3' THEN 'ug/m3(S)' WHEN 'pm10' THEN 'ug/m3(S)' "
@@ -835,37 +837,12 @@ SELECT e.pollutant, e.year FROM expected e WHERE NOT EXISTS (
 ORACLE_SQL.update({k: _join(p, b) for k, (p, b) in _MORE.items()})
 
 
-def _dealt_sql(names: list[str]) -> str:
-    cases = " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(names))
-    return f"SELECT CASE event_id % {len(names)} {cases} END AS name FROM events"
-
-
-def _counted(names: list[str], made: dict[str, str | None], column: str, result: str, kind: str = "VARCHAR") -> str:
-    values = ", ".join(f"('{n}', {'NULL' if v is None else repr(v)})" for n, v in made.items())
-    return (
-        f"SELECT d.name AS {column}, CAST(v.made AS {kind}) AS {result}, COUNT(*) AS cells FROM ({_dealt_sql(names)}) d "
-        f"JOIN (VALUES {values}) AS v(name, made) ON d.name = v.name GROUP BY d.name, v.made"
-    )
-
-
-# expected results are written out by hand, not derived by the rules under test; the names of the
-# fallback list come before PM, so the NO of "north" wins
-_POLLUTANTS = {
-    "2019_NO2_CCT.xls": "no2", "2020_PM2.5_CCT.xlsx": "pm25", "2021_PM10_CCT.xlsx": "pm10", "2022_co_cct.xlsx": "co",
-    "nitrogen_NO2_x.xlsx": "no2", "site_PM_2.5.xls": "pm25", "site PM10 north.xls": "no", "2010_PM1_CCT.xls": "pm1",
-    "nitric_NO_x.xlsx": "no", "readme.txt": None,
-}
-_PARAMS = {"Wind Dir V": "wind_direction", "Wind Speed V": "wind_speed", "Air Temp": "air_temp", "Rel Humidity": "rel_humidity"}
-_SITES = {"Atlantis AQM Site": 1, " Somerset-West AQM Site ": 6, "Nowhere Site": None, "Wallacedene AQM Site": 11, "Molteno AQM Site": 9}
 _U5 = (
     "SELECT l_orderkey, l_shipdate, l_linenumber, l_suppkey, l_quantity FROM lineitem "
     "QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate {d}, l_linenumber {d}, l_suppkey {d}, l_quantity {d}) = 1"
 )
 ORACLE_SQL.update(
     {
-        "p5_metric_from_param": _counted(list(_PARAMS), _PARAMS, "param", "metric"),
-        "p6_pollutant_from_name": _counted(list(_POLLUTANTS), _POLLUTANTS, "file", "pollutant"),
-        "j7_alias_join": _counted(list(_SITES), _SITES, "station", "station_pk", "BIGINT"),
         "l4_dim_load_stats": _join(
             _EV_DIM_SUP,
             "SELECT COUNT(*) FILTER (WHERE c.station_pk IS NULL) AS stations_inserted, "
@@ -877,3 +854,4 @@ ORACLE_SQL.update(
         "u5_keep_last": _U5.format(d="DESC"),
     }
 )
+ORACLE_SQL.update(SHEETS_SQL)

@@ -23,7 +23,7 @@ from stratus.operators import profile as E
 from stratus.operators import quality as A
 from stratus.operators import tall as TL
 from stratus.operators import views as V
-from stratus.sources import reference
+from stratus.sources import reference, sheets
 from stratus.sources.files import read_layer, with_source
 from stratus.sources.drivertables import (
     EVENT_METRIC_ORDER,
@@ -289,20 +289,6 @@ QUERIES.update(
 )
 
 
-#: File names and header texts for the raw-sheet operators, dealt over the events by their id.
-RAW_NAMES = [
-    "2019_NO2_CCT.xls", "2020_PM2.5_CCT.xlsx", "2021_PM10_CCT.xlsx", "2022_co_cct.xlsx", "nitrogen_NO2_x.xlsx",
-    "site_PM_2.5.xls", "site PM10 north.xls", "2010_PM1_CCT.xls", "nitric_NO_x.xlsx", "readme.txt",
-]
-RAW_PARAMS = ["Wind Dir V", "Wind Speed V", "Air Temp", "Rel Humidity"]
-RAW_STATIONS = ["Atlantis AQM Site", " Somerset-West AQM Site ", "Nowhere Site", "Wallacedene AQM Site", "Molteno AQM Site"]
-
-
-def _dealt(spark: SparkSession, sf_dir: str, names: list[str], column: str) -> DataFrame:
-    of = F.element_at(F.array(*[F.lit(n) for n in names]), (F.pmod("event_id", F.lit(len(names))) + 1).cast("int"))
-    return table(spark, sf_dir, "events").select(of.alias(column), "event_id", "value")
-
-
 def _supplier_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     return s.select(
@@ -328,17 +314,26 @@ def _keep_one(keep: str):
 
 QUERIES.update(
     {
-        "p5_metric_from_param": lambda spark, d: _dealt(spark, d, RAW_PARAMS, "param")
+        # --- raw sheets (one per order): headers, names, cleaning end to end
+        "p1_wind_header": lambda spark, d: P.wind_header(sheets.wind_sheets(spark, d)),
+        "p2_air_header": lambda spark, d: P.air_header(sheets.air_sheets(spark, d)),
+        "p3_air_layouts": lambda spark, d: P.air_layouts(sheets.air_sheets(spark, d)),
+        "p5_metric_from_param": lambda spark, d: P.wind_header(sheets.wind_sheets(spark, d))
         .groupBy("param", metric_from_param(F.col("param")).alias("metric"))
-        .agg(F.count(F.lit(1)).alias("cells")),
-        "p6_pollutant_from_name": lambda spark, d: _dealt(spark, d, RAW_NAMES, "file")
-        .groupBy("file", pollutant_from_filename(F.col("file")).alias("pollutant"))
-        .agg(F.count(F.lit(1)).alias("cells")),
+        .agg(F.count(F.lit(1)).alias("columns")),
+        "p6_pollutant_from_name": lambda spark, d: sheets.workbook_names(spark, d).withColumn(
+            "pollutant", pollutant_from_filename(F.col("file"))
+        ),
+        "p7_stage_wind": lambda spark, d: P.stage_wind(sheets.wind_sheets(spark, d), sheets.register(spark, d)),
+        "p8_stage_air": lambda spark, d: P.stage_air(sheets.air_sheets(spark, d), sheets.register(spark, d), F.lit("no2")),
         "j7_alias_join": lambda spark, d: P.resolve_stations(
-            _dealt(spark, d, RAW_STATIONS, "station"), reference.station_aliases(spark)
+            P.wind_header(sheets.wind_sheets(spark, d)), sheets.register(spark, d)
         )
         .groupBy("station", "station_pk")
-        .agg(F.count(F.lit(1)).alias("cells")),
+        .agg(F.count(F.lit(1)).alias("columns")),
+        "j7_unknown_stations": lambda spark, d: P.unknown_stations(
+            P.wind_header(sheets.wind_sheets(spark, d)), sheets.register(spark, d)
+        ),
         "l4_dim_load_stats": _dim_stats,
         "l4_rows_per_file": lambda spark, d: L.rows_per_file(with_source(read_layer(spark, d, "events.parquet"))),
         "u5_keep_first": _keep_one("first"),
