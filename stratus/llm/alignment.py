@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import Scratch, down_to_one, free_name, with_results
+from .frames import Scratch, down_to_one, free_name, task_cache, with_results
 
 #: Fixed value: how byte-level BPE cuts a text into pre-tokens.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -92,9 +92,8 @@ class Aligner:
         self.size = len(self.b.pieces)
         self.len_a = np.array([len(x) for x in self.a.pieces], np.int64)
         self.len_b = np.array([len(x) for x in self.b.pieces], np.int64)
-        ids: dict[bytes, int] = {}
-        for i, piece in enumerate(self.b.pieces):
-            ids.setdefault(piece, i)
+        # of several ids with the same bytes the one that is not for falling back to bytes
+        ids = dict(sorted(((x, i) for i, x in enumerate(self.b.pieces)), key=lambda e: (not self.b.own.is_byte(e[1]), -e[1])))
         #: The identity map: the second tokenizer's id with the same bytes, or -1.
         self.same = np.array([ids.get(x, -1) if x else -1 for x in self.a.pieces], np.int64)
         most = max(len(self.a.pieces), self.size)
@@ -176,7 +175,7 @@ def _split(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
     return [raw[s:e] for s, e in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
-_aligners: dict[tuple, Aligner] = {}
+_aligners: dict[tuple, Aligner] = task_cache()
 
 
 def _aligner(a, b) -> Aligner:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -24,6 +26,35 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+_last_task: list[str] = []
+_kept: list[dict] = []
+
+
+def task_cache() -> dict:
+    """A dictionary of a module for what its tasks make once for each Python worker; see :func:`begin_task`."""
+    cache: dict = {}
+    _kept.append(cache)
+    return cache
+
+
+def begin_task(name: str) -> None:
+    """Called by a task before its first batch: what tasks of another kind have left in this worker is freed.
+
+    Python workers live on between the stages of a job. Their caches and the memory that their allocators hold
+    back would otherwise add up over the stages of a pipeline.
+    """
+    if _last_task and _last_task[0] != name:
+        for cache in _kept:
+            cache.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+    _last_task[:] = [name]
+
+
 PART_BYTES = 4 << 20
 
 
@@ -49,7 +80,11 @@ def with_results(
     keep = [f for f in df.schema.fields if f.name not in names]
     out = T.StructType([*keep, *[T.StructField(n, t) for n, t in added]])
 
+    whole = getattr(per_batch, "func", per_batch)
+    name = f"{whole.__module__}.{whole.__qualname__}"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task(name)
         for batch in parts(batches):
             new = per_batch(batch)
             cols = [batch.column(batch.schema.get_field_index(f.name)) for f in keep]

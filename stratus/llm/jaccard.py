@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .arrays import mix, shingles, text_slices
 from .components import components
-from .frames import Scratch, small_side
+from .frames import Scratch, begin_task, small_side
 
 #: Rows up to which a table of ids goes out as a broadcast (8 bytes a row).
 BROADCAST_ROWS = 1_000_000
@@ -74,6 +74,7 @@ def _prefix_batches(batches: Iterator[pa.RecordBatch], words: int, pct: int, fre
     ``last`` (the newest of them) only texts are returned whose prefix holds one if those have no level,
     and with their whole sets if half of that prefix does: then most of the text is frequent.
     """
+    begin_task("jaccard prefixes")
     hot, levels = frequent.value if frequent is not None else (np.zeros(0, np.int64),) * 2
     newest = last.value if last is not None else None
     for batch in batches:
@@ -145,6 +146,7 @@ def frequent_tokens(docs: DataFrame, words: int, pct: int, long_list: int, most:
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    begin_task("jaccard sets")
     for batch in batches:
         for t in text_slices(batch, "text"):
             h, _, n = _sets(t, words)
@@ -161,6 +163,7 @@ def _difference_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 
     The tokens that only the first has are marked by their sign.
     """
+    begin_task("jaccard differences")
     for batch in batches:
         na, nb, both, differ = [], [], [], []
         for p, q in zip(batch.column(2), batch.column(3)):

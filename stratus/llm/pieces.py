@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .frames import with_results
+from .frames import task_cache, with_results
 
 SPACE = "▁"
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
@@ -221,7 +221,7 @@ def encode_pieces(
     return with_results(docs, added, partial(_encode_batch, docs.sparkSession.sparkContext.broadcast(model), (seed, rate, variants), doc, text, decode))
 
 
-_encoders: dict[tuple, Encoder] = {}
+_encoders: dict[tuple, Encoder] = task_cache()
 
 
 def _encode_batch(model, setting: tuple, doc: str, text: str, decode: bool, batch: pa.RecordBatch) -> dict[str, object]:

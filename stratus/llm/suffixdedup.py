@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import Texts, prefix_hash, span_hash, text_slices
-from .frames import Scratch, free_name, small_side, with_results
+from .frames import Scratch, begin_task, free_name, small_side, with_results
 
 _POSITION = np.uint64(26)  # bits of a position in a slice, kept below the hash in one number
 
@@ -64,6 +64,7 @@ def segments(t: Texts, length: int, gram: int) -> tuple[np.ndarray, ...]:
 
 
 def _gram_batches(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    begin_task("repeats grams")
     for batch in batches:
         for t in text_slices(batch, "text"):
             yield pa.RecordBatch.from_arrays([pa.array(segments(t, length, gram)[4].view(np.int64))], names=["gram"])
@@ -76,6 +77,7 @@ def _held(values: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 def _segment_batches(batches: Iterator[pa.RecordBatch], length: int, gram: int, table) -> Iterator[pa.RecordBatch]:
     """Segments whose gram may occur twice, with their bytes."""
+    begin_task("repeats segments")
     for batch in batches:
         for t in text_slices(batch, "text"):
             own, start, count, offset, h = segments(t, length, gram)
@@ -279,6 +281,7 @@ def _repeated_spans(docs: DataFrame, length: int, gram: int, filter_bits: int, s
     )
 
     def judge(group: pa.Table) -> pa.Table:
+        begin_task("repeats shards")
         return _shard(group, length, gram)
 
     judged = scratch.store(dealt.select("shard", "gram", "off", "body", "n", "spread").groupBy("shard").applyInArrow(judge, _SHARD), compression="zstd")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .frames import with_results
+from .frames import task_cache, with_results
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPACE = "▁"
@@ -80,7 +80,7 @@ class CountTrie(dict):
 
 
 RESULTS: list[tuple[str, T.DataType]] = [("n_pretokens", T.LongType()), ("n_tokens", T.LongType())]
-_tries: dict[tuple, CountTrie] = {}
+_tries: dict[tuple, CountTrie] = task_cache()
 
 
 def count_tokens(docs: DataFrame, model: bytes, text: str = "text", max_known: int = 1 << 19) -> DataFrame:
