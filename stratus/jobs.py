@@ -106,9 +106,7 @@ def load_warehouse(spark: SparkSession, normalised_dir: str, warehouse_dir: str,
     rows = L.with_partitions(L.to_fact_rows(tall))
     fact_dir = os.path.join(warehouse_dir, "fact")
     L.recover_partitions(spark, fact_dir, len(L.PARTITIONS))
-    exists = L.current_table_exists(spark, fact_dir)
-    start = L.next_key_start(spark.read.parquet(fact_dir)) if exists else F.lit(0)
-    keyed = L.assign_keys(rows, [F.asc_nulls_last(c) for c in ["timestamp", "station_fk", "metric", "source"]], start)
+    keyed = L.assign_keys(rows, ["timestamp", "station_fk", "metric", "source"], L.largest_key(spark, fact_dir))
     keyed = keyed.withColumn("created_at", now.cast("timestamp_ntz"))
     touched = L.upsert_partitions(spark, fact_dir, keyed, L.PARTITIONS, gate=L.integrity_gate(new_dim))
     L.publish(new_dim, dim_root)

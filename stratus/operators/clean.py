@@ -11,7 +11,7 @@ cleaned with column expressions and never leave the executors.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from stratus.functions import (
@@ -302,28 +302,54 @@ def staged_columns(long: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ P16
 
 
-def split_valid(df: DataFrame, ranges: DataFrame, required: tuple[str, ...] = ("datetime", "station_pk", "metric")):
-    """(ok, rejects) with an ``__error__`` reason on each reject.
+REQUIRED = ("datetime", "station_pk", "metric")
+
+
+def tagged_rows(df: DataFrame, ranges: DataFrame, required: tuple[str, ...] = REQUIRED) -> DataFrame:
+    """Every row with ``__error__``, its reasons for rejection (NULL for a valid row).
 
     Rules: every required column present; value inside its metric's valid
-    range (from the metric definitions). ``ok`` and ``rejects`` partition the
-    input: each row goes to exactly one side.
+    range (``metric``, ``valid_min``, ``valid_max``; an open end is NULL).
     """
-    r = ranges.select("metric", "valid_min", "valid_max")
-    j = df.join(r, "metric", "left")
+    r = ranges.select(F.col("metric").alias("__m"), "valid_min", "valid_max")
+    j = df.join(r, df["metric"] == r["__m"], "left")
     checks = [F.when(F.col(c).isNull(), F.lit(f"missing_{c}")) for c in required]
     v = F.col("value").cast("double")
-    checks.append(
-        F.when(
-            v.isNotNull() & F.col("valid_min").isNotNull() & ((v < F.col("valid_min")) | (v > F.col("valid_max"))),
-            F.lit("out_of_range"),
-        )
-    )
+    outside = F.coalesce(v < F.col("valid_min"), F.lit(False)) | F.coalesce(v > F.col("valid_max"), F.lit(False))
+    checks.append(F.when(outside, F.lit("out_of_range")))
     err = F.array_join(F.array_compact(F.array(*checks)), ";")
-    tagged = j.withColumn("__error__", F.when(err == "", F.lit(None)).otherwise(err)).drop("valid_min", "valid_max")
+    return j.withColumn("__error__", F.when(err == "", F.lit(None)).otherwise(err)).drop("__m", "valid_min", "valid_max")
+
+
+def split_valid(df: DataFrame, ranges: DataFrame, required: tuple[str, ...] = REQUIRED):
+    """(ok, rejects) with an ``__error__`` reason on each reject.
+
+    ``ok`` and ``rejects`` partition the input: each row goes to exactly one
+    side. Two frames, so using both computes the input twice; to write them, use
+    ``write_split``, which does so once.
+    """
+    tagged = tagged_rows(df, ranges, required)
     ok = tagged.filter(F.col("__error__").isNull()).drop("__error__")
-    rejects = tagged.filter(F.col("__error__").isNotNull())
-    return ok, rejects
+    return ok, tagged.filter(F.col("__error__").isNotNull())
+
+
+def rejection_counts(df: DataFrame, ranges: DataFrame, required: tuple[str, ...] = REQUIRED) -> DataFrame:
+    """P16 as a report: rows per reason (``ok`` for valid rows), one pass."""
+    reason = F.coalesce("__error__", F.lit("ok")).alias("reason")
+    return tagged_rows(df, ranges, required).groupBy(reason).agg(F.count(F.lit(1)).alias("rows")).orderBy("reason")
+
+
+def write_split(df: DataFrame, ranges: DataFrame, directory: str, required: tuple[str, ...] = REQUIRED) -> dict[str, int]:
+    """P16 sink: valid and rejected rows in one write, a folder per reason; returns the observed numbers.
+
+    The input is computed once: rows go to ``reason=ok`` or to the quarantine folder of their reason, and the
+    numbers of rows are observed while they pass. Rerunning replaces the folders that it writes.
+    """
+    tagged = tagged_rows(df, ranges, required).withColumn("reason", F.coalesce("__error__", F.lit("ok"))).drop("__error__")
+    seen = Observation("split")
+    rows = tagged.observe(seen, F.count(F.lit(1)).alias("rows"), count_if(F.col("reason") == "ok").alias("ok"), count_if(F.col("reason") != "ok").alias("rejected"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("reason").parquet(directory)
+    return dict(seen.get)
 
 
 # ------------------------------------------------------------------ P18

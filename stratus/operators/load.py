@@ -149,34 +149,84 @@ def _key_match(left: DataFrame, right: DataFrame, keys) -> Column:
     return cond
 
 
+#: Bits of the key filter: its table has 2**(FILTER_BITS - 6) rows of 16 bytes at most, 2 MB, whatever the batch.
+FILTER_BITS = 23
+
+
+def _slot(df: DataFrame, keys, types: dict) -> Column:
+    """Place of a row's key in the filter; NULL for a key with a missing part, which matches nothing."""
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & df[k].isNotNull()
+    hashed = F.xxhash64(*[df[k].cast(types[k]) for k in keys])
+    return F.when(whole, hashed.bitwiseAND(F.lit((1 << FILTER_BITS) - 1)))
+
+
+def key_filter(batch: DataFrame, keys=NATURAL_KEY, types: dict | None = None) -> DataFrame:
+    """A Bloom filter of the batch's keys as a table (``__word``, ``__bits``) of bounded size."""
+    types = types or {k: batch.schema[k].dataType for k in keys}
+    slots = batch.select(_slot(batch, keys, types).alias("__slot")).filter(F.col("__slot").isNotNull())
+    return slots.groupBy(F.shiftright("__slot", 6).alias("__word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(__slot & 63 AS INT))")).alias("__bits")
+    )
+
+
+def may_be_replaced(current: DataFrame, batch: DataFrame, keys=NATURAL_KEY) -> DataFrame:
+    """``current`` with ``__hit``: false where the key is certainly not in the batch.
+
+    The filter is broadcast, so rows that a load leaves alone are recognised where they are read and never
+    shuffled; about one in ``2**FILTER_BITS / keys in the batch`` of them is a false hit.
+    """
+    types = {k: current.schema[k].dataType for k in keys}
+    flagged = current.withColumn("__slot", _slot(current, keys, types)).withColumn("__w", F.shiftright("__slot", 6))
+    table = F.broadcast(key_filter(batch, keys, types))
+    flagged = flagged.join(table, flagged["__w"] == table["__word"], "left")
+    hit = F.coalesce(F.getbit("__bits", F.col("__slot").bitwiseAND(F.lit(63)).cast("int")) == 1, F.lit(False))
+    return flagged.withColumn("__hit", hit).select(*current.columns, "__hit")
+
+
 def replaced_rows(current: DataFrame, batch: DataFrame, keys=NATURAL_KEY) -> DataFrame:
     """Current rows whose natural key occurs in the batch (to be deleted)."""
     bk = batch_keys(batch, keys)
-    return current.join(bk, _key_match(current, bk, keys), "left_semi")
+    hits = may_be_replaced(current, batch, keys).filter("__hit").drop("__hit")
+    return hits.join(bk, _key_match(hits, bk, keys), "left_semi")
 
 
 def upsert_fact(current: DataFrame, batch: DataFrame, keys=NATURAL_KEY) -> DataFrame:
     """L2: remove current rows whose natural key is in the batch, append the batch.
 
-    Duplicates inside the batch are kept (the duplicate check reports them),
-    and rows with a NULL key part are never matched, so re-loading them adds
-    them again - both as in the original load.
+    Only rows that a Bloom filter of the batch's keys lets through are shuffled
+    to the exact anti join; all others are kept as they are read. Duplicates
+    inside the batch are kept (the duplicate check reports them), and rows with
+    a NULL key part are never matched, so re-loading them adds them again - both
+    as in the original load.
     """
     bk = batch_keys(batch, keys)
-    kept = current.join(bk, _key_match(current, bk, keys), "left_anti")
-    return kept.unionByName(batch.select(*current.columns))
+    flagged = may_be_replaced(current, batch, keys)
+    others = flagged.filter(~F.col("__hit")).drop("__hit")
+    hits = flagged.filter("__hit").drop("__hit")
+    kept = hits.join(bk, _key_match(hits, bk, keys), "left_anti")
+    return others.unionByName(kept).unionByName(batch.select(*current.columns))
 
 
 def fact_load_stats(current: DataFrame, batch: DataFrame, keys=NATURAL_KEY) -> DataFrame:
-    """L4 (fact): deleted, inserted and resulting total rows of one load."""
-    deleted = replaced_rows(current, batch, keys).agg(F.count(F.lit(1)).alias("deleted"))
-    return deleted.select(
-        "deleted",
-        batch.agg(F.count(F.lit(1))).scalar().alias("inserted"),
-        (current.agg(F.count(F.lit(1))).scalar() - F.col("deleted") + batch.agg(F.count(F.lit(1))).scalar()).alias(
-            "total"
-        ),
+    """L4 (fact): deleted, inserted and resulting total rows of one load.
+
+    Each side is read once: rows are counted per key on both sides together.
+    """
+    both = current.select(*keys, F.lit(1).alias("__c"), F.lit(0).alias("__b")).unionByName(
+        batch.select(*keys, F.lit(0).alias("__c"), F.lit(1).alias("__b"))
     )
+    per_key = both.groupBy(*keys).agg(F.sum("__c").alias("__c"), F.sum("__b").alias("__b"))
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    count = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return per_key.agg(
+        count(F.when(whole & (F.col("__b") > 0), F.col("__c"))).alias("deleted"),
+        count(F.col("__b")).alias("inserted"),
+        count(F.col("__c")).alias("__current"),
+    ).select("deleted", "inserted", (F.col("__current") - F.col("deleted") + F.col("inserted")).alias("total"))
 
 
 def rows_per_file(df: DataFrame, file_col: str = "file") -> DataFrame:
@@ -201,44 +251,68 @@ def replace_range(current: DataFrame, batch: DataFrame, ts: str = "timestamp") -
 # ---------------------------------------------------------------------- L5
 
 
+#: Rows of the sample that the bounds of the ranges are taken from, and how many ranges there are at most.
+KEY_SAMPLE, KEY_RANGES = 4096, 512
+
+
+def range_bounds(df: DataFrame, names: list[str], ranges: int, sample_rows: int = KEY_SAMPLE) -> list[tuple]:
+    """Values that cut the rows, in the order of ``names``, into about equal ranges.
+
+    They come from a uniform sample of ``sample_rows`` rows, which only decides how even the ranges are.
+    """
+    rows = [tuple(r) for r in df.select(*names).orderBy(F.rand(17)).limit(sample_rows).collect()]
+    rows.sort(key=lambda r: [(v is None, v != v, 0 if v is None or v != v else v) for v in r])
+    return list(dict.fromkeys(rows[len(rows) * i // ranges] for i in range(1, ranges))) if rows else []
+
+
+def range_of(df: DataFrame, names: list[str], bounds: list[tuple]) -> Column:
+    """Number of the range a row lies in, by a tree of comparisons with the bounds (ascending, NULLs last)."""
+    row = F.struct(*[c for n in names for c in (F.col(n).isNull(), F.col(n))])
+
+    def below(bound: tuple) -> Column:
+        return row < F.struct(*[c for n, v in zip(names, bound) for c in (F.lit(v is None), F.lit(v).cast(df.schema[n].dataType))])
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(below(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+    return tree(0, len(bounds))
+
+
 def assign_keys(
     df: DataFrame,
-    order: list[Column],
+    order: list[str | Column],
     start: int | Column = 0,
     key: str = "measurement_pk",
     partitions: int | None = None,
 ) -> DataFrame:
-    """Dense surrogate keys ``start + 1, start + 2, ...`` in ``order``.
-
-    No single-partition window: rows are range-partitioned by the order,
-    sorted inside each partition and numbered there; each partition's offset
-    is the number of rows in the partitions before it, computed from a tiny
-    per-partition count frame. The partitioned, numbered frame is checkpointed
-    (in the shared ``spark.checkpoint.dir``) so counts and numbering see the
-    same data even if tasks are retried. Rows that tie on every order column
-    are interchangeable, so the result is deterministic as a set.
+    """Dense surrogate keys ``start + 1, start + 2, ...`` in ``order`` (columns, ascending, NULLs last).
+
+    Rows are dealt to ranges of the order by bounds that are literals of the
+    plan, counted per range, and numbered inside their range after the rows of
+    the ranges before. No global window and nothing stored: which range a row is
+    in depends on the row alone, so counts and numbers agree however often a
+    task is run again. The bounds come from a sample taken when the query is
+    built (:func:`range_bounds`). Rows that tie on every order column are
+    interchangeable, so the result is deterministic as a set.
     """
-    from stratus.session import checkpoint_dir
-
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    # without an explicit count AQE may merge small neighbouring range
-    # partitions; merged partitions stay contiguous, so the key order holds
-    parted = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    ranged = (
-        parted.sortWithinPartitions(*order)
-        .withColumn("__p", F.spark_partition_id())
-        .withColumn("__pos", F.monotonically_increasing_id() - (F.col("__p").cast("long") * F.lit(1 << 33)))
-        .checkpoint(eager=True)
-    )
+    names = df.select(*order).columns
+    ranges = min(partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), KEY_RANGES)
+    part = range_of(df, names, range_bounds(df, names, ranges))
+    ranged = df.withColumn("__p", part)
     counts = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__p", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("__p").alias("__q"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    inside = Window.partitionBy("__p").orderBy(*[F.asc_nulls_last(n) for n in names])
+    numbered = ranged.withColumn("__pos", F.row_number().over(inside))
     base = start if isinstance(start, Column) else F.lit(start)
-    out = ranged.join(offsets, "__p", "inner").withColumn(
-        key, (base.cast("long") + F.col("__off") + F.col("__pos") + F.lit(1)).cast("long")
+    # one row for each range, KEY_RANGES at most
+    out = numbered.join(F.broadcast(offsets), numbered["__p"] == F.col("__q")).withColumn(
+        key, (base.cast("long") + F.col("__off") + F.col("__pos")).cast("long")
     )
-    return out.drop("__p", "__pos", "__off")
+    return out.drop("__p", "__q", "__pos", "__off")
 
 
 def next_key_start(current: DataFrame, key: str = "measurement_pk") -> Column:
@@ -332,11 +406,31 @@ def upsert_partitions(
         except BaseException:
             storage.remove(spark, swap)
             raise
+    largest = None
+    if "measurement_pk" in batch.columns:  # noted beside the table, so that the next load need not look for it
+        largest = spark.read.parquet(fresh).agg(F.max("measurement_pk")).first()[0]
+    known = largest_key(spark, table_dir) if largest is not None else None
     storage.replace_text(spark, os.path.join(swap, "_READY"), "")  # from here on the load goes through
+    if largest is not None:
+        storage.replace_text(spark, os.path.join(table_dir, MAX_KEY), str(max(largest, known or 0)))
     _swap_in(spark, table_dir, swap, len(partition_cols))
     return touched
 
 
+#: File in a table's folder that names a key no smaller than any in the table.
+MAX_KEY = "_MAX_KEY"
+
+
+def largest_key(spark: SparkSession, table_dir: str) -> int:
+    """The key that new ones follow: as noted by the last load, else the largest in the table; 0 for none."""
+    noted = storage.read_text(spark, os.path.join(table_dir, MAX_KEY))
+    if noted is not None:
+        return int(noted)
+    if not current_table_exists(spark, table_dir):
+        return 0
+    return spark.read.parquet(table_dir).agg(F.coalesce(F.max("measurement_pk"), F.lit(0)).cast("long")).first()[0]
+
+
 def _partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
     found = [""]
     for _ in range(depth):

@@ -24,29 +24,41 @@ def _pct2(num: Column, den: Column) -> Column:
 # ---------------------------------------------------------------------- E1
 
 
+def row_prints(columns: list[str]) -> tuple[Column, Column]:
+    """Two independent 64-bit prints of a row; NULLs count by their place."""
+    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), F.lit("0")).otherwise(F.lit("1")) for c in columns])
+    cols = [F.col(f"`{c}`") for c in columns]
+    return F.xxhash64(nulls, *cols), F.xxhash64(F.lit("second print"), *cols, nulls)
+
+
 def file_overview(df: DataFrame, file_col: str = "file") -> DataFrame:
     """Per file: rows, columns, duplicate rows, rows with any NULL and their share.
 
-    Duplicate rows = sum over identical-row groups of (count - 1), computed by
-    grouping on the whole row (partial aggregation collapses repeats map-side).
+    Duplicate rows = sum over groups of identical rows of (count - 1). Rows are
+    grouped by a 128-bit print, not by all their columns; only rows whose print
+    occurs again are then grouped by their values, so the count is exact even if
+    different rows shared a print.
     """
     data_cols = [c for c in df.columns if c != file_col]
     any_null = F.lit(False)
     for c in data_cols:
-        any_null = any_null | F.col(c).isNull()
-    per_row = df.groupBy(file_col, *data_cols).agg(
-        F.count(F.lit(1)).alias("__n"), F.max(any_null.cast("int")).alias("__null")
-    )
-    g = per_row.groupBy(file_col).agg(
-        F.sum("__n").cast("long").alias("rows"),
-        F.sum(F.col("__n") - 1).cast("long").alias("duplicate_rows"),
-        F.sum(F.when(F.col("__null") == 1, F.col("__n")).otherwise(0)).cast("long").alias("rows_with_nulls"),
+        any_null = any_null | F.col(f"`{c}`").isNull()
+    one, two = row_prints(data_cols)
+    prints = df.groupBy(file_col, one.alias("__1"), two.alias("__2")).agg(
+        F.count(F.lit(1)).alias("__n"), count_if(any_null).alias("__null")
     )
+    g = prints.groupBy(file_col).agg(F.sum("__n").cast("long").alias("rows"), F.sum("__null").cast("long").alias("rows_with_nulls"))
+    again = prints.filter(F.col("__n") > 1).select(F.col(file_col).alias("__f"), F.col("__1").alias("__a"), F.col("__2").alias("__b"))
+    marked = df.withColumns({"__1": one, "__2": two})
+    same = (marked["__1"] == again["__a"]) & (marked["__2"] == again["__b"]) & marked[file_col].eqNullSafe(again["__f"])
+    exact = marked.join(again, same, "left_semi").groupBy(file_col, *[F.col(f"`{c}`") for c in data_cols]).agg(F.count(F.lit(1)).alias("__n"))
+    repeated = exact.groupBy(F.col(file_col).alias("__f")).agg(F.sum(F.col("__n") - 1).cast("long").alias("duplicate_rows"))
+    g = g.join(repeated, g[file_col].eqNullSafe(repeated["__f"]), "left").drop("__f")
     return g.select(
         file_col,
         "rows",
         F.lit(len(data_cols)).alias("columns"),
-        "duplicate_rows",
+        F.coalesce("duplicate_rows", F.lit(0)).cast("long").alias("duplicate_rows"),
         "rows_with_nulls",
         _pct2(F.col("rows_with_nulls"), F.col("rows")).alias("pct_rows_with_nulls"),
     ).orderBy(file_col)
@@ -288,7 +300,3 @@ def dedupe_by_key(df: DataFrame, keys: list[str], order: list[Column], keep: str
     packed = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], *[F.col(c) for c in rest])
     pick = F.min(packed) if keep == "first" else F.max(packed)
     return df.groupBy(*keys).agg(pick.alias("__r")).select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
-
-
-def with_meta(tall: DataFrame, stations: DataFrame) -> DataFrame:
-    return with_station_meta(tall, stations)

@@ -457,3 +457,11 @@ def share_within(fact: DataFrame, part: str = "source", key: str = "quality_flag
     return g.select(
         part, key, "count", pct(F.col("count"), F.sum("count").over(w)).alias("percentage")
     ).orderBy(F.asc_nulls_last(part), F.desc("count"), F.asc_nulls_last(key))
+
+
+# ------------------------------------------------------------------------ O2
+
+
+def ranked(report: DataFrame, *order: Column) -> DataFrame:
+    """O2 as data: a report with each row's place in its order (a window over the report's few rows)."""
+    return report.withColumn("place", F.row_number().over(Window.orderBy(*order)))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,8 +136,43 @@ def normalise(
     return select_tall(tall)
 
 
+TALL_ORDER = ("datetime", "station_pk", "metric")
+
+
 def sorted_tall(df: DataFrame, global_order: bool = False) -> DataFrame:
     """O1: (datetime, station_pk, metric) order. Within partitions by default
     (what a writer needs); a total order only when asked for."""
-    keys = [F.asc_nulls_last("datetime"), F.asc_nulls_last("station_pk"), F.asc_nulls_last("metric")]
+    keys = [F.asc_nulls_last(c) for c in TALL_ORDER]
     return df.orderBy(*keys) if global_order else df.sortWithinPartitions(*keys)
+
+
+def placed(df: DataFrame, order: list[str], name: str = "place") -> DataFrame:
+    """O1 / O2 as data: each row with its place (from 1) in the total order of ``order``, NULLs last.
+
+    Distributed like the surrogate keys: ranges of the order are counted and numbered on their own.
+    """
+    from stratus.operators.load import assign_keys
+
+    return assign_keys(df, list(order), 0, name)
+
+
+def sortedness(df: DataFrame, order: tuple[str, ...] = TALL_ORDER) -> DataFrame:
+    """O1 as a check: rows, partitions, rows that come before their predecessor inside a partition, and
+    neighbouring partitions that overlap, for ``df`` as it is partitioned and ordered.
+
+    A partition is read as a stream: every row is compared with the one before it, and only each partition's
+    first and last key go on to the comparison with its neighbours.
+    """
+    key = F.struct(*[c for n in order for c in (F.col(n).isNull(), F.col(n))])
+    rows = df.select(key.alias("k"), F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("i"))
+    inside = Window.partitionBy("p").orderBy("i")
+    stepped = rows.withColumn("back", F.coalesce(F.col("k") < F.lag("k").over(inside), F.lit(False)))
+    per = stepped.groupBy("p").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("back").alias("back"), F.min("k").alias("lo"), F.max("k").alias("hi")
+    )
+    overlap = F.coalesce(F.col("lo") < F.lag("hi").over(Window.orderBy("p")), F.lit(False))
+    return per.withColumn("overlap", overlap).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"),
+        F.coalesce(F.sum("back"), F.lit(0)).cast("long").alias("inversions"),
+        F.count_if("overlap").alias("overlaps"),
+    )

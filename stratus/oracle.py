@@ -7,7 +7,7 @@ benchmark tables exactly as ``stratus.sources.drivertables`` does.
 
 from __future__ import annotations
 
-from stratus.oracle_sheets import SHEETS_SQL
+from stratus.oracle_sheets import SHEET_LINES, SHEETS_SQL
 
 _UNIT = (
     "CASE metric WHEN 'wind_speed' THEN 'm/s' WHEN 'wind_direction' THEN 'degrees' "
@@ -43,6 +43,15 @@ dim AS (
 )
 """
 
+#: The same with all suppliers as the dimension.
+LINEITEM_ALL = LINEITEM.replace(" WHERE s_acctbal >= 0", "")
+
+SPARSE = LINEITEM.replace(
+    "CASE WHEN l_linenumber = 1 THEN NULL ELSE CAST(l_quantity AS DOUBLE) END AS value",
+    "CASE WHEN l_linenumber = 1 OR (l_returnflag = 'A' AND l_linenumber <= 5) THEN NULL WHEN l_returnflag = 'A' "
+    "THEN CAST(l_quantity AS DOUBLE) ELSE CAST(l_quantity AS DOUBLE) * 30 END AS value",
+)
+
 EVENTS = f"""
 WITH base AS (
   SELECT CAST(ts AS TIMESTAMP) AS timestamp,
@@ -280,7 +289,7 @@ FROM o, d, n""",
         "CAST(COUNT(*) FILTER (WHERE quality_flag = 'NODATA') AS DOUBLE) * 100.0 / CAST(COUNT(*) AS DOUBLE) END > 50",
     ),
     "a13_dq_summary": (
-        LINEITEM,
+        LINEITEM_ALL,
         "SELECT COUNT(*) AS total_measurements, (SELECT COUNT(*) FROM dim) AS total_stations, "
         "COUNT(*) FILTER (WHERE value IS NULL) AS null_values, "
         f"COUNT(*) FILTER (WHERE value IS NOT NULL) AS valid_values, {_NULL_PCT} AS null_percentage FROM fact",
@@ -293,7 +302,7 @@ FROM o, d, n""",
         "GROUP BY s.station_name ORDER BY measurement_count DESC, s.station_name LIMIT 5",
     ),
     "a16_table_counts": (
-        LINEITEM,
+        LINEITEM_ALL,
         "SELECT 'fact_measurement' AS table_name, COUNT(*) AS row_count FROM fact "
         "UNION ALL SELECT 'dim_station' AS table_name, COUNT(*) AS row_count FROM dim",
     ),
@@ -338,7 +347,7 @@ FROM o, d, n""",
         "MIN(m.timestamp) AS earliest_record, MAX(m.timestamp) AS latest_record "
         "FROM fact m JOIN dim s ON m.station_fk = s.station_pk GROUP BY s.station_name, m.metric",
     ),
-    "v4_station_directory": (LINEITEM, "SELECT station_pk, station_code, station_name, location_type FROM dim"),
+    "v4_station_directory": (LINEITEM_ALL, "SELECT station_pk, station_code, station_name, location_type FROM dim"),
     "b1_metric_coverage": (
         LINEITEM,
         "SELECT source, metric, COUNT(*) AS total_measurements, COUNT(DISTINCT station_fk) AS stations, "
@@ -599,8 +608,10 @@ tagged AS (
 
 _WH = LINEITEM.rstrip() + """,
 wh AS (SELECT station_fk, timestamp, metric, CAST(value AS DECIMAL(12,4)) AS value, unit, source, quality_flag FROM fact),
-cur AS (SELECT * FROM wh WHERE timestamp < TIMESTAMP '1999-01-01 00:00:00'),
-bat AS (SELECT * FROM wh WHERE timestamp >= TIMESTAMP '1998-01-01 00:00:00'),
+cur AS (SELECT * REPLACE (CASE WHEN station_fk % 10 = 3 THEN NULL ELSE source END AS source)
+  FROM wh WHERE timestamp < TIMESTAMP '1999-01-01 00:00:00'),
+bat AS (SELECT * REPLACE (CASE WHEN station_fk % 10 = 3 THEN NULL ELSE source END AS source, CAST(value + 0.5 AS DECIMAL(12,4)) AS value)
+  FROM wh WHERE timestamp >= TIMESTAMP '1998-01-01 00:00:00'),
 keyed AS (
   SELECT *, row_number() OVER (ORDER BY station_fk NULLS LAST, timestamp NULLS LAST, metric NULLS LAST,
          value NULLS LAST, unit NULLS LAST, source NULLS LAST, quality_flag NULLS LAST) AS measurement_pk
@@ -665,7 +676,7 @@ _MORE: dict[str, tuple[str, str]] = {
         STAGED, "SELECT COUNT(*) FILTER (WHERE station_code IS NULL) AS missing_metadata FROM tall"
     ),
     "j2_duplicate_station_keys": (
-        LINEITEM, "SELECT station_pk, COUNT(*) AS count FROM dim GROUP BY station_pk HAVING COUNT(*) > 1"
+        LINEITEM_ALL, "SELECT station_pk, COUNT(*) AS count FROM dim GROUP BY station_pk HAVING COUNT(*) > 1"
     ),
     "l1_merge_dim": (
         _EV_DIM_SUP,
@@ -695,7 +706,7 @@ FROM d""",
     ),
     "l5_assign_keys": (_WH, f"SELECT {_WCOLS}, measurement_pk FROM keyed"),
     "l6_seed_dim": (
-        LINEITEM,
+        LINEITEM_ALL,
         "SELECT station_pk, station_code, station_name, location_type, description, TRUE AS is_active, "
         "TIMESTAMP '2024-01-01 00:00:00' AS created_at, TIMESTAMP '2024-01-01 00:00:00' AS updated_at FROM dim",
     ),
@@ -823,7 +834,7 @@ SELECT e.pollutant, e.year FROM expected e WHERE NOT EXISTS (
         "SELECT station_fk AS station_pk FROM fact WHERE source = 'air_quality'",
     ),
     "e16_dim_profile": (
-        LINEITEM,
+        LINEITEM_ALL,
         "SELECT COUNT(*) AS rows, COUNT(DISTINCT station_pk) AS distinct_keys, MIN(station_pk) AS min_key, "
         "MAX(station_pk) AS max_key FROM dim",
     ),
@@ -855,3 +866,95 @@ ORACLE_SQL.update(
     }
 )
 ORACLE_SQL.update(SHEETS_SQL)
+
+
+# --------------------------------------------------------------------------
+# Poor data, order as data, reference tables from a file
+# --------------------------------------------------------------------------
+
+_RAW = f"""
+WITH {SHEET_LINES.strip()},
+readings AS (
+  SELECT l_orderkey, l_linenumber, CASE WHEN t <> 7 THEN l_shipdate END AS datetime, r.station_pk,
+         CASE p_type WHEN 'ECONOMY' THEN 'wind_direction' WHEN 'LARGE' THEN 'wind_speed' WHEN 'STANDARD' THEN 'no2'
+                     WHEN 'SMALL' THEN 'pm10' WHEN 'MEDIUM' THEN 'noise' END AS metric,
+         CASE WHEN d = 5 THEN -l_quantity WHEN d <> 7 THEN l_quantity * 10 END AS value
+  FROM lines LEFT JOIN register r ON l_suppkey = r.station_pk
+),
+vr AS (SELECT * FROM (VALUES ('wind_direction', 0, 360), ('wind_speed', 0, 100), ('no2', 0, 500), ('pm10', 0, 1000)) AS r(metric, lo, hi)),
+tagged AS (
+  SELECT c.*, NULLIF(concat_ws(';', CASE WHEN datetime IS NULL THEN 'missing_datetime' END,
+      CASE WHEN station_pk IS NULL THEN 'missing_station_pk' END, CASE WHEN c.metric IS NULL THEN 'missing_metric' END,
+      CASE WHEN value < lo OR value > hi THEN 'out_of_range' END), '') AS __error__
+  FROM readings c LEFT JOIN vr ON c.metric = vr.metric
+)
+"""
+_FILE = EVENTS.rstrip() + """,
+defs AS (SELECT metric, MIN(value) AS a, MAX(value) AS b FROM fact GROUP BY metric)"""
+_E1_FACTS = LINEITEM.rstrip() + f""",
+named AS (SELECT 'facts_' || year(timestamp) || '.parquet' AS file, timestamp, station_fk, metric, value FROM fact),
+grouped AS (SELECT file, timestamp, station_fk, metric, value, COUNT(*) AS n FROM named GROUP BY file, timestamp, station_fk, metric, value)
+SELECT file, CAST(SUM(n) AS BIGINT) AS rows, 4 AS columns, CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows,
+       CAST(SUM(CASE WHEN value IS NULL THEN n ELSE 0 END) AS BIGINT) AS rows_with_nulls,
+       {_pct_even("SUM(CASE WHEN value IS NULL THEN n ELSE 0 END)", "SUM(n)")} AS pct_rows_with_nulls
+FROM grouped GROUP BY file
+"""
+
+ORACLE_SQL.update(
+    {
+        "a9_high_null_sparse": _join(SPARSE, _BODIES["a9_high_null_metrics"][1]),
+        "a12_low_quality_sparse": _join(SPARSE, _BODIES["a12_low_quality_metrics"][1]),
+        "a14_dq_issues_sparse": _join(SPARSE, A14),
+        "j1_missing_metadata_facts": _join(
+            LINEITEM, "SELECT COUNT(*) AS missing_metadata FROM fact LEFT JOIN dim ON station_fk = station_pk WHERE station_code IS NULL"
+        ),
+        "j2_duplicate_nations": "SELECT c_nationkey, COUNT(*) AS count FROM customer GROUP BY c_nationkey HAVING COUNT(*) > 1",
+        "b8_daily_correlation_nations": _join(
+            EVENTS.replace("FROM customer WHERE c_acctbal >= 0", "FROM customer").replace(
+                "'CU' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS station_code,\n         c_name AS station_name",
+                "'' AS station_code,\n         (SELECT n_name FROM nation WHERE n_nationkey = c_nationkey) AS station_name",
+            ),
+            _corr("day"),
+        ),
+        "e1_file_overview_facts": _E1_FACTS,
+        "e14_missing_years": _join(
+            LINEITEM,
+            ", years AS (SELECT CAST(UNNEST(range(1994, 2003)) AS VARCHAR) AS year) "
+            "SELECT DISTINCT metric AS pollutant, year FROM fact CROSS JOIN years "
+            "EXCEPT SELECT metric, CAST(year(timestamp) AS VARCHAR) FROM fact",
+        ),
+        "p16_rejection_counts": _join(_RAW, "SELECT COALESCE(__error__, 'ok') AS reason, COUNT(*) AS rows FROM tagged GROUP BY ALL"),
+        "p16_tagged_rows": _join(_RAW, "SELECT * FROM tagged"),
+        "o1_placed_facts": _join(
+            LINEITEM,
+            "SELECT timestamp, station_fk, metric, value, ROW_NUMBER() OVER (ORDER BY timestamp NULLS LAST, station_fk NULLS LAST, "
+            "metric NULLS LAST, value NULLS LAST) AS place FROM fact",
+        ),
+        "o1_sortedness": "SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS inversions, CAST(0 AS BIGINT) AS overlaps FROM lineitem",
+        "o2_ranked_stations": _join(
+            LINEITEM, "SELECT *, ROW_NUMBER() OVER (ORDER BY count DESC, station_name) AS place FROM (" + _BODIES["a3_counts_by_station"][1] + ")"
+        ),
+        "s7_station_aliases": "SELECT UNNEST([s_name, s_name || ' AQM Site']) AS alias, CAST(s_suppkey AS INTEGER) AS station_pk, "
+        "'ST' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS station_code, s_name AS station_name FROM supplier",
+        "s7_range_rules": _join(
+            _FILE,
+            "SELECT f.metric, COUNT(value) AS readings, COUNT(*) FILTER (WHERE value BETWEEN a + 2 AND b - 2) AS kept "
+            "FROM fact f JOIN defs d ON f.metric = d.metric GROUP BY f.metric",
+        ),
+        "s7_value_ranges": _join(
+            EVENTS,
+            A10.replace(_RANGES.strip(), "defs AS (SELECT metric, MIN(value) AS a, MAX(value) AS b FROM fact GROUP BY metric), "
+                        "ranges AS (SELECT metric, a + 5 AS lo, b - 5 AS hi FROM defs)"),
+        ),
+        "s7_rejection_counts": _join(
+            _TEXT.rstrip() + """,
+defs AS (SELECT CASE event_type WHEN 'view' THEN 'wind_speed' WHEN 'error' THEN 'wind_direction' WHEN 'click' THEN 'no2'
+                WHEN 'signup' THEN 'o3' WHEN 'purchase' THEN 'pm10' END AS metric,
+                MIN(value * CAST(1.0936133 AS DOUBLE)) + 2 AS lo, MAX(value * CAST(1.0936133 AS DOUBLE)) - 2 AS hi
+         FROM events WHERE value >= 5.0 GROUP BY ALL)
+""",
+            "SELECT CASE WHEN value < lo OR value > hi THEN 'out_of_range' ELSE 'ok' END AS reason, COUNT(*) AS rows "
+            "FROM clean c JOIN defs d ON c.metric = d.metric GROUP BY ALL",
+        ),
+    }
+)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-_LINES = """
+SHEET_LINES = """
 lines AS (
   SELECT l.*, s.s_name, s.s_nationkey, p.p_name, p.p_type, o.o_orderstatus,
          CAST(ROUND(l_discount * 100) AS INTEGER) AS d, CAST(ROUND(l_tax * 100) AS INTEGER) AS t,
@@ -24,7 +24,7 @@ cells AS (
 )"""
 
 WIND = f"""
-WITH {_LINES.strip()},
+WITH {SHEET_LINES.strip()},
 raw AS (
   SELECT 'wind_' || l_orderkey || '.xlsx' AS file, c.sheet_row, c.col, c.text FROM lines, LATERAL (VALUES
     (2, l_linenumber, CASE l_returnflag WHEN 'A' THEN ' ' || sheet_name WHEN 'R' THEN '  ' END),
@@ -92,7 +92,7 @@ FROM vals
 _LIKE = "regexp_matches(text, 'AQM|Site|Station|Atlantis|Bellville|Bothasig|Goodwood|Khayelitsha|Somerset|Tableview|Foreshore|Molteno|Plattekloof|Wallacedene')"
 
 AIR = f"""
-WITH {_LINES.strip()},
+WITH {SHEET_LINES.strip()},
 placed AS (SELECT *, CASE WHEN o_orderstatus = 'F' THEN 3 ELSE 2 END AS first,
            CASE WHEN l_returnflag = 'R' THEN s_name ELSE sheet_name END AS shown FROM lines),
 raw AS (

@@ -8,6 +8,7 @@ independent SQL for DuckDB.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from stratus.operators import profile as E
 from stratus.operators import quality as A
 from stratus.operators import tall as TL
 from stratus.operators import views as V
+from stratus.session import checkpoint_dir
 from stratus.sources import reference, sheets
 from stratus.sources.files import read_layer, with_source
 from stratus.sources.drivertables import (
@@ -36,8 +38,11 @@ from stratus.sources.drivertables import (
     events_wide,
     lineitem_dim,
     lineitem_fact,
+    nation_events_fact,
     nation_stations,
+    sparse_fact,
     staged_column_names,
+    suppliers_dim,
     table,
 )
 
@@ -81,11 +86,13 @@ QUERIES: dict[str, Query] = {
     "a11_coverage_levels": _ev_fact(A.coverage_levels),
     "a11_coverage_by_metric": _li_fact(lambda f: A.coverage(f, ("metric",))),
     "a12_low_quality_metrics": _li_fact(A.low_quality_metrics),
-    "a13_dq_summary": _li(A.dq_summary),
+    "a13_dq_summary": lambda spark, d: A.dq_summary(lineitem_fact(spark, d), suppliers_dim(spark, d)),
     "a14_dq_issues": _li_fact(A.dq_issues),
     "a14_dq_issues_events": _ev_fact(A.dq_issues),
     "a15_top_stations": _li(A.top_stations),
-    "a16_table_counts": _li(lambda f, d: A.table_counts({"fact_measurement": f, "dim_station": d})),
+    "a16_table_counts": lambda spark, d: A.table_counts(
+        {"fact_measurement": lineitem_fact(spark, d), "dim_station": suppliers_dim(spark, d)}
+    ),
     "a17_daily_counts": _ev_fact(lambda f: A.daily_counts(f, 7)),
     "a17_freshness": _li_fact(A.freshness),
     "j4_station_coverage": _li(A.station_coverage),
@@ -96,7 +103,7 @@ QUERIES: dict[str, Query] = {
     # --- views
     "v2_wind": _ev(V.v_wind),
     "v3_quality": _li(V.v_quality),
-    "v4_station_directory": lambda spark, d: V.station_directory(lineitem_dim(spark, d)),
+    "v4_station_directory": lambda spark, d: V.station_directory(suppliers_dim(spark, d)),
     # --- analytics
     "b1_metric_coverage": _li_fact(B.metric_coverage),
     "b2_coverage_pivot": _li_fact(B.coverage_pivot),
@@ -142,8 +149,11 @@ def _warehouse(spark, d):
 
 
 def _deliveries(spark, d):
+    """Two deliveries: rows of the overlap come again with other values, and some stations' rows have no source."""
     w = _warehouse(spark, d)
-    return w.filter(F.col("timestamp") < _ts(FIRST_DELIVERY_END)), w.filter(
+    w = w.withColumn("source", F.when(F.col("station_fk") % 10 != 3, F.col("source")))
+    later = w.withColumn("value", (F.col("value") + F.lit("0.5").cast("decimal(12,4)")).cast("decimal(12,4)"))
+    return w.filter(F.col("timestamp") < _ts(FIRST_DELIVERY_END)), later.filter(
         F.col("timestamp") >= _ts(SECOND_DELIVERY_START)
     )
 
@@ -154,8 +164,7 @@ def _double_value(df):
 
 def _keyed(spark, d):
     w = _warehouse(spark, d)
-    order = [F.asc_nulls_last(c) for c in w.columns]
-    return L.assign_keys(w, order, start=0)
+    return L.assign_keys(w, w.columns, start=0)
 
 
 def _clean_text(spark, d):
@@ -207,7 +216,7 @@ QUERIES.update(
         "j1_missing_metadata": lambda spark, d: TL.missing_metadata(
             TL.normalise(events_wide(spark, d), nation_stations(spark, d), event_source())
         ),
-        "j2_duplicate_station_keys": lambda spark, d: TL.duplicate_station_keys(lineitem_dim(spark, d)),
+        "j2_duplicate_station_keys": lambda spark, d: TL.duplicate_station_keys(suppliers_dim(spark, d)),
         # --- load
         "l1_merge_dim": lambda spark, d: L.merge_dim(
             events_dim(spark, d),
@@ -225,7 +234,7 @@ QUERIES.update(
         "l4_fact_load_stats": lambda spark, d: L.fact_load_stats(*_deliveries(spark, d)),
         "l7_replace_range": lambda spark, d: _double_value(L.replace_range(*_deliveries(spark, d))),
         "l5_assign_keys": lambda spark, d: _double_value(_keyed(spark, d)),
-        "l6_seed_dim": lambda spark, d: L.seed_dim(lineitem_dim(spark, d), _ts(LOAD_TIME_0)).drop(
+        "l6_seed_dim": lambda spark, d: L.seed_dim(suppliers_dim(spark, d), _ts(LOAD_TIME_0)).drop(
             "latitude", "longitude", "elevation"
         ),
         "l3_upsert_dim": lambda spark, d: L.upsert_dim(
@@ -278,7 +287,7 @@ QUERIES.update(
                 f.filter(F.col("source") == "air_quality").select(F.col("station_fk").alias("station_pk")),
             )
         ),
-        "e16_dim_profile": lambda spark, d: E.dim_profile(lineitem_dim(spark, d)),
+        "e16_dim_profile": lambda spark, d: E.dim_profile(suppliers_dim(spark, d)),
         "u1_union_all": _ev_fact(
             lambda f: E.union_all(
                 f.filter(F.col("source") == "wind").withColumn("year", F.year("timestamp").cast("string")),
@@ -289,6 +298,70 @@ QUERIES.update(
 )
 
 
+def _sparse(fn) -> Query:
+    return lambda spark, d: fn(sparse_fact(spark, d))
+
+
+def _raw_readings(spark: SparkSession, d: str) -> DataFrame:
+    """Readings as sheets give them, nothing dropped: some without date, station or metric, some out of range."""
+    df = sheets.lines(spark, d)
+    tax, disc = F.round(F.col("l_tax") * 100).cast("int"), F.round(F.col("l_discount") * 100).cast("int")
+    metrics = {"ECONOMY": "wind_direction", "LARGE": "wind_speed", "STANDARD": "no2", "SMALL": "pm10", "MEDIUM": "noise"}
+    known = sheets.register(spark, d).select("station_pk")
+    df = df.join(known, df["l_suppkey"] == known["station_pk"], "left")
+    metric = F.create_map(*[F.lit(x) for kv in metrics.items() for x in kv])
+    return df.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(tax != 7, F.col("l_shipdate")).alias("datetime"),
+        "station_pk",
+        F.element_at(metric, F.col("p_type")).alias("metric"),
+        F.when(disc == 5, -F.col("l_quantity")).when(disc != 7, F.col("l_quantity") * 10).alias("value"),
+    )
+
+
+def _reference(spark: SparkSession, d: str) -> reference.Reference:
+    """A reference file made from the tables, written as JSON lines and read with the declared schema.
+
+    Stations are suppliers with two aliases each; a metric's valid range leaves 2 off the readings of the events
+    at either end, its expected range 5.
+    """
+    path = f"{checkpoint_dir(spark)}/reference-{uuid.uuid4().hex}"
+    s = suppliers_dim(spark, d)
+    names = F.array("station_name", F.concat("station_name", F.lit(" AQM Site")))
+    station = F.struct("station_pk", "station_code", "station_name", names.alias("normalised_names"), "location_type", "description")
+    s.select(F.array(station).alias("stations")).write.json(f"{path}/stations")
+    lo, hi = F.min("value"), F.max("value")
+    m = events_fact(spark, d).groupBy("metric").agg((lo + 2).alias("a"), (hi - 2).alias("b"), (lo + 5).alias("min"), (hi - 5).alias("max"))
+    metric = F.struct(F.col("metric").alias("metric_code"), F.upper("metric").alias("metric_name"), F.array("a", "b").alias("valid_range"))
+    m.select(F.array(metric).alias("metrics"), F.array(F.struct("metric", "min", "max")).alias("expected_ranges")).write.json(f"{path}/metrics")
+    return reference.read_reference(spark, f"{path}/*", multiline=False)
+
+
+def _ruled(spark: SparkSession, d: str) -> DataFrame:
+    """P11 with the rules of a file: readings left per metric."""
+    f = events_fact(spark, d)
+    value = P.apply_range_rules(F.col("metric"), F.col("value"), _reference(spark, d).range_rules())
+    return f.groupBy("metric").agg(F.count("value").alias("readings"), F.count(value).alias("kept"))
+
+
+def _fact_by_file(spark: SparkSession, d: str) -> DataFrame:
+    """Measurements as rows of yearly files, without what tells equal readings apart."""
+    f = lineitem_fact(spark, d)
+    name = F.concat(F.lit("facts_"), F.year("timestamp").cast("string"), F.lit(".parquet"))
+    return f.select(name.alias("file"), "timestamp", "station_fk", "metric", "value")
+
+
+def _tall_names(f: DataFrame) -> DataFrame:
+    return f.withColumnsRenamed({"timestamp": "datetime", "station_fk": "station_pk"})
+
+
+def _expected_years(f: DataFrame) -> DataFrame:
+    """The datasets of 1994-2002 of all metrics that occur; not all years do."""
+    years = F.explode(F.array(*[F.lit(str(y)) for y in range(1994, 2003)]))
+    return f.select(F.col("metric").alias("pollutant")).distinct().withColumn("year", years)
+
+
 def _supplier_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     return s.select(
@@ -314,6 +387,39 @@ def _keep_one(keep: str):
 
 QUERIES.update(
     {
+        # --- poor data: every check has something to report
+        "a9_high_null_sparse": _sparse(A.high_null_metrics),
+        "a12_low_quality_sparse": _sparse(A.low_quality_metrics),
+        "a14_dq_issues_sparse": _sparse(A.dq_issues),
+        "j1_missing_metadata_facts": lambda spark, d: TL.missing_metadata(
+            TL.with_station_meta(_tall_names(lineitem_fact(spark, d)), lineitem_dim(spark, d))
+        ),
+        "j2_duplicate_nations": lambda spark, d: TL.duplicate_station_keys(table(spark, d, "customer"), ("c_nationkey",)),
+        "b8_daily_correlation_nations": lambda spark, d: B.daily_correlation(
+            nation_events_fact(spark, d), nation_stations(spark, d), "wind_speed", "no2", grain="day"
+        ),
+        "e1_file_overview_facts": lambda spark, d: E.file_overview(_fact_by_file(spark, d)),
+        "e14_missing_years": lambda spark, d: E.missing_datasets(
+            lineitem_fact(spark, d).select(F.col("metric").alias("pollutant"), F.year("timestamp").cast("string").alias("year")),
+            _expected_years(lineitem_fact(spark, d)),
+        ),
+        "p16_rejection_counts": lambda spark, d: P.rejection_counts(_raw_readings(spark, d), reference.metric_ranges(spark)),
+        "p16_tagged_rows": lambda spark, d: P.tagged_rows(_raw_readings(spark, d), reference.metric_ranges(spark)),
+        # --- order as data
+        "o1_placed_facts": _li_fact(
+            lambda f: TL.placed(f, ["timestamp", "station_fk", "metric", "value"]).select("timestamp", "station_fk", "metric", "value", "place")
+        ),
+        "o1_sortedness": _li_fact(lambda f: TL.sortedness(TL.sorted_tall(_tall_names(f), global_order=True))),
+        "o2_ranked_stations": _li(
+            lambda f, dim: A.ranked(A.counts_by_station(f, dim), F.desc("count"), F.asc_nulls_last("station_name"))
+        ),
+        # --- reference tables from a file
+        "s7_station_aliases": lambda spark, d: _reference(spark, d).check().aliases(),
+        "s7_range_rules": _ruled,
+        "s7_value_ranges": lambda spark, d: A.value_ranges(events_fact(spark, d), _reference(spark, d).expected()),
+        "s7_rejection_counts": lambda spark, d: P.rejection_counts(
+            _clean_text(spark, d), reference.ranges_of(_reference(spark, d).metrics)
+        ),
         # --- raw sheets (one per order): headers, names, cleaning end to end
         "p1_wind_header": lambda spark, d: P.wind_header(sheets.wind_sheets(spark, d)),
         "p2_air_header": lambda spark, d: P.air_header(sheets.air_sheets(spark, d)),

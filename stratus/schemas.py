@@ -102,40 +102,19 @@ STATIONS = [
     (11, "WALLA001", "Wallacedene AQM Site", ["Wallacedene AQM Site"], "AQM", "Air Quality Monitoring site in Wallacedene"),
 ]
 
-# Metrics: code, name, unit, description, valid range.
+# Metrics: code, unit, valid range.
 METRICS = [
-    ("wind_direction", "Wind Direction", "degrees", "Wind direction in degrees (0-360)", [0.0, 360.0]),
-    ("wind_speed", "Wind Speed", "m/s", "Wind speed in meters per second", [0.0, 100.0]),
-    ("no2", "Nitrogen Dioxide", "ug/m3(S)", "Nitrogen dioxide concentration", [0.0, 500.0]),
-    ("o3", "Ozone", "ug/m3(S)", "Ground-level ozone concentration", [0.0, 400.0]),
-    ("pm10", "Particulate Matter 10μm", "ug/m3(S)", "Particulate matter with diameter ≤10 micrometers", [0.0, 1000.0]),
-    ("pm25", "Particulate Matter 2.5μm", "ug/m3(S)", "Fine particulate matter with diameter ≤2.5 micrometers", [0.0, 500.0]),
-    ("so2", "Sulfur Dioxide", "ug/m3(S)", "Sulfur dioxide concentration", [0.0, 350.0]),
+    ("wind_direction", "degrees", [0.0, 360.0]),
+    ("wind_speed", "m/s", [0.0, 100.0]),
+    ("no2", "ug/m3(S)", [0.0, 500.0]),
+    ("o3", "ug/m3(S)", [0.0, 400.0]),
+    ("pm10", "ug/m3(S)", [0.0, 1000.0]),
+    ("pm25", "ug/m3(S)", [0.0, 500.0]),
+    ("so2", "ug/m3(S)", [0.0, 350.0]),
 ]
 
 # Unit per metric used by the melt (metrics outside it get a NULL unit).
-METRIC_UNITS = {
-    "wind_speed": "m/s",
-    "wind_direction": "degrees",
-    "no2": "ug/m3(S)",
-    "o3": "ug/m3(S)",
-    "pm10": "ug/m3(S)",
-    "pm25": "ug/m3(S)",
-    "so2": "ug/m3(S)",
-}
-
-# Quality flags: code, description.
-QUALITY_FLAGS = [
-    ("VALID", "Valid measurement"),
-    ("NODATA", "No data available"),
-    ("INVLD", "Invalid measurement"),
-    ("SUSPECT", "Suspect measurement (outside normal range)"),
-    ("DOWN", "Equipment down"),
-    ("SAMP", "Below sampling limit"),
-    ("RS232", "Communication error"),
-    ("ZERO", "Zero reading"),
-    ("CALIB", "Calibration in progress"),
-]
+METRIC_UNITS = {code: unit for code, unit, _ in METRICS}
 
 # Expected ranges of the data-quality range check (differ from METRICS ranges).
 DQ_EXPECTED_RANGES = [

@@ -109,7 +109,11 @@ def lineitem_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineitem_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Active suppliers as the station dimension (D4 columns)."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
-    return s.filter(F.col("s_acctbal") >= 0).select(
+    return _supplier_stations(s.filter(F.col("s_acctbal") >= 0))
+
+
+def _supplier_stations(suppliers: DataFrame) -> DataFrame:
+    return suppliers.select(
         F.col("s_suppkey").cast("int").alias("station_pk"),
         F.concat(F.lit("ST"), F.lpad(F.col("s_suppkey").cast("string"), 6, "0")).alias("station_code"),
         F.col("s_name").alias("station_name"),
@@ -118,6 +122,25 @@ def lineitem_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sparse_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as measurements of poor quality: most wind readings are missing, and pollutants are far off."""
+    li = table(spark, sf_dir, "lineitem").select("l_shipdate", "l_suppkey", "l_returnflag", "l_linenumber", "l_quantity")
+    n, q = F.col("l_linenumber"), F.col("l_quantity").cast("double")
+    wind = F.col("l_returnflag") == "A"
+    df = li.select(
+        F.col("l_shipdate").cast("timestamp_ntz").alias("timestamp"),
+        F.col("l_suppkey").cast("int").alias("station_fk"),
+        _map("l_returnflag", LINEITEM_METRICS).alias("metric"),
+        F.when((n == 1) | (wind & (n <= 5)), F.lit(None).cast("double")).when(wind, q).otherwise(q * 30).alias("value"),
+    )
+    return _finish(df)
+
+
+def suppliers_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All suppliers as the station dimension (D4 columns)."""
+    return _supplier_stations(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"))
+
+
 def events_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as measurements; readings below the sampling limit carry no value."""
     ev = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
@@ -151,6 +174,13 @@ def events_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVENT_METRIC_ORDER = ["wind_speed", "wind_direction", "no2", "o3", "pm10"]
 
 
+def nation_events_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as measurements of the nation of their customer: both wind and no2 on most days of each station."""
+    ev = events_fact(spark, sf_dir)
+    cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("station_fk"), F.col("c_nationkey").alias("__n"))
+    return ev.join(cust, "station_fk").withColumn("station_fk", F.col("__n")).select(*FACT_COLUMNS)
+
+
 def nation_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations as stations (D4 columns); users are located in their nation."""
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")

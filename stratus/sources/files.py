@@ -84,8 +84,3 @@ def write_tall(df: DataFrame, directory: str, partition_by: tuple[str, ...] = ("
         .partitionBy(*partition_by)
         .parquet(directory)
     )
-
-
-def write_quarantine(rejects: DataFrame, directory: str) -> None:
-    """P16 sink: rejected rows partitioned by their reason."""
-    rejects.write.mode("append").partitionBy("__error__").parquet(directory)

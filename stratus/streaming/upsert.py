@@ -12,8 +12,9 @@ written, the range of keys it is about to hand out. A micro-batch replayed after
 it was loaded is skipped; one replayed after a failure gets the same keys again
 and first removes what the failed attempt may have written, also rows with a
 missing key part, which the upsert by key would not match. New keys continue
-from the larger of the marker and the table's largest key, so stream and batch
-loads can alternate.
+from the larger of the marker and the largest key that loads have noted beside
+the table, so stream and batch loads can alternate and no load scans the table
+for it.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from stratus import storage
 from stratus.operators.load import (
     PARTITIONS,
     assign_keys,
-    current_table_exists,
+    largest_key,
     recover_partitions,
     to_fact_rows,
     upsert_partitions,
@@ -69,12 +70,10 @@ def load_batch(batch: DataFrame, batch_id: int, root: str) -> None:
     else:
         start = marker["max_key"]
         recover_partitions(spark, table, len(PARTITIONS))
-        if current_table_exists(spark, table):
-            start = max(start, spark.read.parquet(table).agg(F.coalesce(F.max("measurement_pk"), F.lit(0))).first()[0])
+        start = max(start, largest_key(spark, table))
         _write_marker(spark, root, batch_id=marker["batch_id"], max_key=start, pending={"batch_id": batch_id, "start": start, "n": n})
     if n:
-        order = [F.asc_nulls_last(c) for c in NATURAL_KEY]
-        keyed = assign_keys(rows, order, start=start).withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))
+        keyed = assign_keys(rows, NATURAL_KEY, start=start).withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))
         upsert_partitions(spark, table, keyed, PARTITIONS, drop=drop)
     _write_marker(spark, root, batch_id=batch_id, max_key=start + n, pending=None)
 
