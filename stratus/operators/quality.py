@@ -61,18 +61,20 @@ def counts_by_metric(fact: DataFrame, top: int | None = None) -> DataFrame:
 
 
 def counts_by_station(fact: DataFrame, dim: DataFrame) -> DataFrame:
-    """A3: measurements per station name (inner join) with the share of *all* rows."""
+    """A3: measurements per station name (inner join) with the share of *all* rows.
+
+    One scan: rows are counted per station key first. Orphans stay in the
+    grouped frame until the total has been taken over its few rows.
+    """
     per_key = fact.groupBy("station_fk").agg(F.count(F.lit(1)).alias("n"))
-    joined = with_station(per_key, dim)
-    # the denominator is taken before the join (orphans included), from the
-    # per-station aggregate rather than a second pass over the fact
-    all_rows = _scalar(per_key.agg(F.sum("n")))
-    g = joined.groupBy("station_name").agg(F.sum("n").cast("long").alias("count"))
-    return g.select(
-        "station_name",
-        "count",
-        (F.col("count").cast("double") * F.lit(100.0) / all_rows.cast("double")).alias("share_pct"),
-    ).orderBy(F.desc("count"), F.asc_nulls_last("station_name"))
+    known = dim.select(F.col("station_pk").alias("__pk"), "station_name")
+    joined = per_key.join(known, per_key["station_fk"] == known["__pk"], "left")
+    g = joined.groupBy(F.col("__pk").isNotNull().alias("__known"), "station_name").agg(F.sum("n").cast("long").alias("count"))
+    all_rows = F.sum("count").over(Window.partitionBy())
+    share = F.col("count").cast("double") * F.lit(100.0) / all_rows.cast("double")
+    return g.withColumn("share_pct", share).filter("__known").select("station_name", "count", "share_pct").orderBy(
+        F.desc("count"), F.asc_nulls_last("station_name")
+    )
 
 
 # ------------------------------------------------------------ A4, A5, A6, J5
@@ -125,19 +127,26 @@ def orphan_count(fact: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def integrity(fact: DataFrame, dim: DataFrame) -> DataFrame:
-    """Orphans, duplicate keys and required NULLs with the overall verdict."""
-    nulls = required_nulls(fact)
-    out = nulls.select(
-        _scalar(orphan_count(fact, dim)).alias("orphan_measurements"),
-        _scalar(duplicate_keys(fact)).alias("duplicate_keys"),
-        "null_timestamps",
-        "null_stations",
-        "null_metrics",
-        "null_sources",
+    """Orphans, duplicate keys and required NULLs with the overall verdict.
+
+    One scan: rows are counted per natural key, the keys added up per station,
+    and the few station rows meet the dimension.
+    """
+    per_key = fact.groupBy(*NATURAL_KEY).agg(F.count(F.lit(1)).alias("n"))
+    missing = {"null_timestamps": "timestamp", "null_stations": "station_fk", "null_metrics": "metric", "null_sources": "source"}
+    n = F.col("n")
+    per_station = per_key.groupBy(F.col("station_fk").alias("__s")).agg(
+        F.sum("n").alias("rows"),
+        count_if(n > 1).alias("duplicate_keys"),
+        *[F.sum(F.when(F.col(c).isNull(), n)).alias(name) for name, c in missing.items()],
     )
+    known = dim.select(F.col("station_pk").alias("__pk")).distinct()
+    joined = per_station.join(known, per_station["__s"] == known["__pk"], "left")
+    count = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    counts = {"orphan_measurements": F.when(F.col("__pk").isNull(), F.col("rows"))} | {c: F.col(c) for c in ("duplicate_keys", *missing)}
+    out = joined.agg(*[count(c).alias(name) for name, c in counts.items()])
     ok = F.lit(True)
-    for c in ["orphan_measurements", "duplicate_keys", "null_timestamps", "null_stations",
-              "null_metrics", "null_sources"]:
+    for c in counts:
         ok = ok & (F.col(c) == 0)
     return out.withColumn("integrity_ok", ok)
 

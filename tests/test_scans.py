@@ -18,6 +18,9 @@ from tests.conftest import SF_SMALL
         ("a11_coverage_overall", 1),
         ("b1_metric_coverage", 1),
         ("b4_pollutant_stats", 2),  # fact and dimension
+        ("a3_counts_by_station", 2),
+        ("a7_integrity", 2),
+        ("l4_fact_load_stats", 2),  # both deliveries
     ],
 )
 def test_number_of_scans(spark, name, most):
