@@ -58,6 +58,19 @@ def begin_task(name: str) -> None:
 PART_BYTES = 4 << 20
 
 
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``PART_BYTES`` in this session (a longer row alone), unless it asks for smaller ones.
+
+    The default of 64 MB is held several times for each task, beside the JVM's heap.
+    """
+    now = int(spark.conf.get(_BATCH_CONF).rstrip("b"))
+    if not 0 < now <= PART_BYTES:
+        spark.conf.set(_BATCH_CONF, PART_BYTES)
+
+
 def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows in batches of about ``PART_BYTES`` (a longer row alone)."""
     for batch in batches:
@@ -76,6 +89,7 @@ def with_results(
     batches are taken in parts of about ``PART_BYTES``, which bounds what a
     worker holds besides the batch.
     """
+    bound_batches(df.sparkSession)
     names = [n for n, _ in added]
     keep = [f for f in df.schema.fields if f.name not in names]
     out = T.StructType([*keep, *[T.StructField(n, t) for n, t in added]])
@@ -114,6 +128,7 @@ class Scratch:
     """Tables written to the shared folder, so that a lost executor costs no more than its tasks."""
 
     def __init__(self, spark: SparkSession) -> None:
+        bound_batches(spark)
         self.spark = spark
         self.path = f"{shared_folder(spark)}/stratus-{uuid.uuid4().hex}"
         self.count = 0

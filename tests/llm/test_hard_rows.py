@@ -193,3 +193,26 @@ def test_jaccard_repeated_rows_of_a_family(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {(r.doc_id, r.component_id) for r in jaccard.jaccard_groups(docs, words=1).collect()}
     assert got == {(i, 1 if i < 30 else 30) for i, _ in rows}
+
+
+def test_words_do_not_collide_by_structure(spark):
+    """A long word and its complement, on which polynomial hashes modulo 2**64 agree, in otherwise different texts."""
+    bits = [0]
+    for _ in range(11):
+        bits += [1 - b for b in bits]
+    rows = []
+    for k, n in enumerate((512, 1024, 2048)):
+        one = "".join("ab"[b] for b in bits[:n])
+        other = one.translate(str.maketrans("ab", "ba"))
+        rows += [(10 * k, f"{one} p q r s"), (10 * k + 1, f"{other} p q r s"), (10 * k + 2, f"{one}  p\nq r S")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_groups(docs).collect()}
+    assert got == {i: (1, i - 2 if i % 10 == 2 else i) for i, _ in rows}
+
+
+def test_columns_with_dots_pass_the_near_duplicates(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "a b c d e f", "x"), (2, "a b c d e f", "y"), (2, "a b c d e f", "z")], ["doc_id", "text", "a.b"])
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns and [tuple(r) for r in out.collect()] == [(1, "a b c d e f", "x")]
