@@ -51,9 +51,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     chosen = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("copies"))
     ids = scratch.store(chosen)
     once, several = ids.where("copies = 1").select("doc_id"), ids.where("copies > 1").select("doc_id")
-    out = docs.join(small_side(once, BROADCAST_ROWS), "doc_id", "left_semi").select(*docs.columns)
-    repeated = docs.join(small_side(several, BROADCAST_ROWS), "doc_id", "left_semi").select(*docs.columns)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]  # any name, also one with a dot
+    out = docs.join(small_side(once, BROADCAST_ROWS), "doc_id", "left_semi").select(*columns)
+    repeated = docs.join(small_side(several, BROADCAST_ROWS), "doc_id", "left_semi").select(*columns)
+    row = F.struct(*columns)
     first = repeated.groupBy(F.col("doc_id").alias("_id")).agg(F.min(row).alias("row")).select("row.*")
     return out.unionByName(first).unionByName(docs.where("doc_id IS NULL"))
 
