@@ -195,36 +195,53 @@ def line_licenses(lines: DataFrame, templates: dict[str, str] = TEMPLATES, least
     return best.select("line", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine"))
 
 
-def block_licenses(texts: DataFrame, scratch: Scratch, templates: dict[str, tuple[str, ...]], least: float, file_share_pct: int) -> DataFrame:
-    """(key, b, is_file) of the texts of which the whole, the leading block or one of its paragraphs is like a template.
+def _spread_join(left: DataFrame, right: DataFrame, on: str, by: str, how: str = "inner", salts: int = 16) -> DataFrame:
+    """``left`` joined with the one row that ``right`` has for each ``on``; rows of one ``on`` go to ``salts`` tasks by ``by``."""
+    many = left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)))
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return many.join(copies, [on, "_salt"], how).drop("_salt")
 
-    ``texts`` has a row (key, text) for each file. A block's cosine with a template is at most the norm of the
-    template's weights on the words of the file; only files that reach ``least`` by that become vectors.
-    """
+
+def known_words(texts: DataFrame, vocabulary: set[str]) -> DataFrame:
+    """(key, token): which words of the vocabulary each file holds; the one tokenisation of all texts."""
+    known = F.broadcast(_table(texts, [(t,) for t in sorted(vocabulary)], "token string"))  # fixed size
     words = texts.where("text IS NOT NULL").select("key", F.explode(F.array_distinct(_tokens(F.col("text")))).alias("token"))
+    return words.join(known, "token").select("key", "token")
 
-    def frequencies(of: DataFrame) -> DataFrame:
-        return words.join(of, "token", "left_semi").groupBy("token").agg(F.count("*").alias("df"))
 
-    known = sorted({t for blocks in templates.values() for b in blocks for t in re.findall(TOKEN, b.lower())})
-    vocabulary = F.broadcast(_table(texts, [(t,) for t in known], "token string"))  # fixed size
+def block_licenses(
+    texts: DataFrame, known: DataFrame, scratch: Scratch, templates: dict[str, tuple[str, ...]], least: float, file_share_pct: int
+) -> DataFrame:
+    """(key, b, is_file) of the texts of which the whole, the leading block or one of its paragraphs is like a template.
+
+    ``texts`` has a row (key, text) for each file, ``known`` the words of the templates that each file holds. A
+    block's cosine with a template is at most the norm of the template's weights on the words of the file; only
+    files that reach ``least`` by that become vectors.
+    """
+    own = {t for blocks in templates.values() for b in blocks for t in re.findall(TOKEN, b.lower())}
     n = texts.where("text IS NOT NULL").count()
-    weights = block_weights(templates, {r.token: r.df for r in frequencies(vocabulary).collect()}, n)
+    # the counts of a fixed vocabulary
+    counted = {r.token: r.df for r in known.groupBy("token").agg(F.count("*").alias("df")).collect()}
+    weights = block_weights(templates, {t: counted[t] for t in own if t in counted}, n)
     most: dict[str, float] = {}
     for (_, _, t), w in weights.items():
         most[t] = max(most.get(t, 0.0), w * w)
-    bound = words.join(F.broadcast(_table(texts, list(most.items()), "token string, most double")), "token").groupBy("key").agg(F.sum("most").alias("most"))
+    bound = known.join(F.broadcast(_table(texts, list(most.items()), "token string, most double")), "token").groupBy("key").agg(F.sum("most").alias("most"))
     keys = scratch.store(bound.where(F.col("most") >= (least - 1e-6) ** 2).select("key"))
     some = texts.join(small_side(keys, 100_000), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
+    spread = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    some = some.repartition(spread, "key")  # few texts, much work for each
     head = F.regexp_extract("text", LEADING, 0)
     # lines without a word part the paragraphs
     blocks = F.array_distinct(F.concat(F.array("text", head), F.split(head, r"\n[^A-Za-z0-9\n]*+(?=\n)")))
-    tokens = some.select("key", F.size(_tokens(F.col("text"))).alias("n"), F.posexplode(blocks).alias("block", "part")).select(
-        "key", "n", "block", F.size(_tokens(F.col("part"))).alias("own"), F.explode(_tokens(F.col("part"))).alias("token")
-    )
+    parted = some.select("key", F.size(_tokens(F.col("text"))).alias("n"), F.posexplode(blocks).alias("block", "part"))
+    tokens = parted.withColumn("words", _tokens(F.col("part"))).select("key", "n", "block", F.size("words").alias("own"), F.explode("words").alias("token"))
     counts = scratch.store(tokens.groupBy("key", "n", "block", "own", "token").agg(F.count("*").alias("f")))
-    seen = scratch.store(counts.select("token").distinct())
-    df = scratch.store(frequencies(small_side(seen, 100_000)))
+    seen = counts.select("token").distinct()
+    other = scratch.store(seen.join(F.broadcast(_table(texts, [(t,) for t in sorted(own)], "token string")), "token", "left_anti"))
+    words = texts.where("text IS NOT NULL").select(F.explode(F.array_distinct(_tokens(F.col("text")))).alias("token"))
+    rare = words.join(small_side(other, 100_000), "token", "left_semi").groupBy("token").agg(F.count("*").alias("df"))
+    df = scratch.store(rare.unionByName(_table(texts, [(t, counted[t]) for t in sorted(own) if t in counted], "token string, df long")))
     idf = F.log(F.lit(1.0 + n) / (F.lit(1.0) + F.col("df"))) + 1
     parts = counts.join(small_side(df, 100_000), "token").withColumn("x", (F.log("f") + 1) * idf)
     block = ["key", "n", "block", "own"]
@@ -256,39 +273,39 @@ def scan_licenses(
     added = ["own_license", "cosine", "is_license_file", "license", "license_dir"]
     kept = [F.col(f"`{c}`") for c in files.columns if c not in added]
     files = files.select(F.struct(*kept).alias("file"), F.col(f"`{path}`").alias("path"), F.col(f"`{text}`").alias("text"))
+    # a null text has no licence of its own: any key that no text has
+    key = F.coalesce(F.sha2("text", 256), F.concat(F.lit("-"), F.xxhash64("file").cast("string")))
     weights, _, _ = template_weights(templates)
-    tokens = telling_tokens(weights, least)
-    # lines without a telling token cannot be similar; equal texts count once from here on
-    def holds(line: Column) -> Column:
-        low = F.lower(line)
-        any_token = F.lit(False)
-        for t in tokens:  # a plain substring search first, then whole tokens
-            any_token = any_token | low.contains(t)
-        return any_token
-
-    some = files.where(holds(F.col("text"))).select("text", F.filter(F.split("text", "\n"), holds).alias("lines"))
-    lines = some.select(F.sha2("text", 256).alias("key"), F.size(_tokens(F.col("text"))).alias("n"), F.explode("lines").alias("line"))
-    telling_lines = lines.where(F.arrays_overlap(_tokens(F.col("line")), F.array(*[F.lit(t) for t in tokens])))
+    telling = telling_tokens(weights, least)
+    blocks = block_templates() if texts is None else texts
     scratch = Scratch(files.sparkSession)
+    hashed = files.select(key.alias("key"), "text")
+    own_words = {t for b in blocks.values() for x in b for t in re.findall(TOKEN, x.lower())}
+    known = scratch.store(known_words(hashed, own_words | set(telling)), "zstd")
+    # lines without a telling token cannot be similar; equal texts count once from here on
+    held = scratch.store(known.where(F.col("token").isin(telling)).select("key").distinct())
+    some = hashed.join(small_side(held, 100_000), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
+    lines = some.select("key", F.size(_tokens(F.col("text"))).alias("n"), F.explode(F.split("text", "\n")).alias("line"))
+    telling_lines = lines.where(F.arrays_overlap(_tokens(F.col("line")), F.array(*[F.lit(t) for t in telling])))
     one = scratch.store(telling_lines.groupBy("key", "line").agg(F.min("n").alias("n")))
-    found = one.join(line_licenses(one, templates, least), "line")
+    found = _spread_join(one, line_licenses(one, templates, least), "line", by="key")
     # a text's licence lines count once each
     own_lines = found.groupBy("key").agg(
         F.min(F.struct((-F.col("cosine")).alias("c"), F.col("license"))).alias("b"),
         (F.lit(100) * F.sum(F.size(_tokens(F.col("line")))) >= F.lit(file_share_pct) * F.min("n")).alias("is_file"),
     )
-    hashed = files.select(F.sha2("text", 256).alias("key"), "text")
-    own_blocks = block_licenses(hashed, scratch, block_templates() if texts is None else texts, least, file_share_pct)
+    own_blocks = block_licenses(hashed, known, scratch, blocks, least, file_share_pct)
     own = own_lines.unionByName(own_blocks).groupBy("key").agg(F.min("b").alias("b"), F.max("is_file").alias("is_file"))
-    rows = files.withColumns({"key": F.sha2("text", 256), "file_dir": _parent(F.col("path"))}).join(own, "key", "left")
+    rows = files.withColumns({"key": key, "file_dir": _parent(F.col("path"))}).drop("text").join(own, "key", "left")
     speaks = rows.where("is_file").groupBy("file_dir", "b.license").agg(F.count("*").alias("files"))
     of_dir = speaks.groupBy(F.col("file_dir").alias("dir")).agg(F.min(F.struct((-F.col("files")).alias("f"), F.col("license"))).alias("d"))
     # nearest ancestor: each directory meets the directories above it, the deepest with a licence wins
     parts = F.split("file_dir", "/")
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice(parts, 1, i), "/").alias("dir")))
-    dirs = rows.where("file_dir IS NOT NULL").select("file_dir").distinct().select("file_dir", F.explode(above).alias("a")).select("file_dir", "a.depth", "a.dir")
+    dirs = files.select(_parent(F.col("path")).alias("file_dir")).where("file_dir IS NOT NULL").distinct()
+    dirs = dirs.select("file_dir", F.explode(above).alias("a")).select("file_dir", "a.depth", "a.dir")
     nearest = dirs.join(of_dir, "dir").groupBy("file_dir").agg(F.max(F.struct("depth", "dir", "d.license")).alias("up"))
-    out = rows.join(nearest, "file_dir", "left")
+    out = _spread_join(rows, nearest, "file_dir", by="key", how="left")
     own_license = F.col("b.license")
     return out.select(
         *[F.col(f"file.`{c}`") for c in files.schema["file"].dataType.names],
