@@ -1,10 +1,17 @@
 """SentencePiece encoding with seeded merge-dropout, and lossless decoding.
 
 Merges are taken from an agenda in the order of their scores, as the model's own
-encoder takes them, but each candidate is skipped when its keyed hash falls
-below the dropout rate. The key is the seed, the document's variant and the
-candidate's place, so a run repeats exactly and variants differ. Nothing is
-normalised: decoding gives back every text unchanged.
+encoder takes them, but each candidate is skipped when its keyed draw says so.
+The draws of a text are a stream keyed by the seed and the document: one for
+each candidate that the agenda brings up, chunk after chunk, so a word's
+segmentation differs from place to place and from document to document, and a
+run repeats exactly. Nothing is normalised: decoding gives back every text
+unchanged.
+
+A chunk's segmentation depends on nothing but which of its candidates were
+skipped. Most occurrences skip none; these share one cached form. An occurrence
+with skipped candidates is kept under their numbers, so frequent words are
+segmented once for each pattern that occurs.
 """
 
 from __future__ import annotations
@@ -21,35 +28,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .arrays import mix
 from .frames import task_cache, with_results
 
 SPACE = "▁"
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
 _MARKS = ".,!?;:"
-_CACHE = 3 << 17
+_CACHE = 3 << 17  # forms that are kept
 _LETTER_MARK = re.compile(rf"[A-Za-zÀ-ÿ][{_MARKS}]\Z")
 _SHORT = 48
 _NEVER = 1 << 30
-_TABLE = 4096
+
+
+_NO_DRAW = 1 << 62
 
 
 class Draws:
-    """Keyed hash of candidate merges: a table of random words made from the key.
+    """The keyed stream of a text: the numbers of the candidates that are skipped, rising.
 
-    A candidate's entry comes from its chunk's checksum, its place and the piece
-    it would make; it is skipped when the entry is below the rate.
+    The gaps between them are geometric, made from hashes of (key, count), which gives each candidate the same
+    chance ``rate`` on its own.
     """
 
     def __init__(self, key: str, rate: float) -> None:
-        raw = b"".join(blake2b(f"{key}/{i}".encode()).digest() for i in range(_TABLE // 16))
-        most = int(rate * 2**32)
-        self.skip = [x < most for x in np.frombuffer(raw, "<u4").tolist()]
-
-    def of(self, chunk: str) -> int:
-        return zlib.crc32(chunk.encode())
+        self.key = np.uint64(int.from_bytes(blake2b(key.encode(), digest_size=8).digest(), "little"))
+        self.rate, self.made, self.last = rate, 0, -1
 
-
-_KEEP_ALL = [False] * _TABLE
+    def block(self, n: int = 256) -> list[int]:
+        """The next ``n`` numbers."""
+        if self.rate <= 0:
+            return [_NO_DRAW]
+        at = np.arange(self.made, self.made + n, dtype=np.uint64)
+        u = (mix(self.key + at * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+        gaps = np.zeros(n) if self.rate >= 1 else np.floor(np.log1p(-u) / np.log1p(-self.rate))
+        found = self.last + np.cumsum(gaps.astype(np.int64) + 1)
+        self.made, self.last = self.made + n, int(found[-1])
+        return found.tolist()
 
 
 class PieceModel:
@@ -64,6 +78,7 @@ class PieceModel:
 
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = sp.get_piece_size()
+        self.library, self.after = sp, len(sp.encode("\n"))
         self.raw: list[bytes] = [b""] * n
         self.byte = [0] * 256
         normal = []
@@ -75,6 +90,7 @@ class PieceModel:
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 normal.append((-sp.get_score(i), i, piece))
                 self.raw[i] = piece.replace(SPACE, " ").encode()
+        self.most_byte = max([*self.byte, *(i for i in range(n) if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))])
         normal.sort()
         self.ids = [i for _, i, _ in normal]
         number = {piece: k for k, (_, _, piece) in enumerate(normal)}
@@ -93,53 +109,69 @@ class PieceModel:
             if p[:i] in number and p[i:] in number
         }
 
-    def segment(self, chunk: str, draws: Draws | None = None) -> list[int]:
-        """Ids of one chunk; ``draws`` decide which candidate merges are skipped."""
+    def segment(self, chunk: str, skips: tuple[int, ...] = ()) -> tuple[list[int], int]:
+        """Ids of one chunk when the candidates numbered ``skips`` (rising, as the agenda brings them up) are
+        skipped, and how many candidates the agenda has brought up."""
         other = self.base - 1
         char = self.char.get
         sym = [char(c, other) for c in chunk]
-        own, skip = (draws.of(chunk), draws.skip) if draws else (0, _KEEP_ALL)
         at = list(range(len(sym)))
-        (self._merge_short if len(sym) <= _SHORT else self._merge_long)(sym, at, own, skip)
+        n = (self._merge_short if len(sym) <= _SHORT else self._merge_long)(sym, at, skips)
         ids: list[int] = []
         for k, i in zip(sym, at):
             if k < other:
                 ids.append(self.ids[k])
             else:
                 ids += [self.byte[x] for x in chunk[i].encode()]
-        return ids
+        return ids, n
+
+    def plain(self, chunks: list[str]) -> list[tuple[list[int], int]]:
+        """:meth:`segment` of many chunks without a skip, by the library's own encoder.
+
+        A line end before a chunk keeps the library's leading space away from it. Chunks that need bytes, or
+        that the library reads otherwise (a literal U+2581), are segmented here.
+        """
+        out = []
+        for chunk, ids in zip(chunks, self.library.encode(["\n" + c for c in chunks], num_threads=1)):
+            own = ids[self.after :]
+            if not own or min(own) <= self.most_byte or SPACE in chunk:
+                out.append(self.segment(chunk))
+            else:
+                out.append((own, len(chunk) - len(own)))  # every merge makes one symbol of two
+        return out
 
-    def _merge_short(self, sym: list[int], at: list[int], own: int, skip: list[bool]) -> None:
+    def _merge_short(self, sym: list[int], at: list[int], skips: tuple[int, ...]) -> int:
         """Merges in place; the agenda is a plain list, one entry for each pair of neighbours."""
-        merge, base, never, table = self.merge.get, self.base, _NEVER, _TABLE
+        merge, base, never, n = self.merge.get, self.base, _NEVER, 0
         agenda = [merge(a * base + b, never) for a, b in zip(sym, sym[1:])]
-        for i, k in enumerate(agenda):
-            if k < never and skip[(own + 61 * i + 1031 * k) % table]:
-                agenda[i] = never
         while agenda:
             best = min(agenda)
             if best == never:
                 break
             i = agenda.index(best)  # the leftmost of equal pieces
+            n += 1
+            if skips and n - 1 in skips:
+                agenda[i] = never  # until a neighbour changes, which makes it another candidate
+                continue
             sym[i] = best
             del sym[i + 1], at[i + 1], agenda[i]
             if i:
-                k = merge(sym[i - 1] * base + best, never)
-                agenda[i - 1] = never if k < never and skip[(own + 61 * at[i - 1] + 1031 * k) % table] else k
+                agenda[i - 1] = merge(sym[i - 1] * base + best, never)
             if i < len(agenda):
-                k = merge(best * base + sym[i + 1], never)
-                agenda[i] = never if k < never and skip[(own + 61 * at[i] + 1031 * k) % table] else k
+                agenda[i] = merge(best * base + sym[i + 1], never)
+        return n
 
-    def _merge_long(self, sym: list[int], at: list[int], own: int, skip: list[bool]) -> None:
+    def _merge_long(self, sym: list[int], at: list[int], skips: tuple[int, ...]) -> int:
         """The same with a heap, for chunks of any length."""
         n = len(sym)
         left, right, gone = list(range(-1, n - 1)), [*range(1, n), -1], [False] * n
         agenda: list[tuple[int, int, int, int, int]] = []
+        skip, brought = set(skips), 0
 
         def offer(a: int, b: int) -> None:
             if a >= 0 and b >= 0:
                 k = self.merge.get(sym[a] * self.base + sym[b])
-                if k is not None and not skip[(own + 61 * a + 1031 * k) % _TABLE]:
+                if k is not None:
                     heapq.heappush(agenda, (k, a, b, sym[a], sym[b]))
 
         for i in range(n - 1):
@@ -148,6 +180,9 @@ class PieceModel:
             k, a, b, x, y = heapq.heappop(agenda)
             if gone[a] or gone[b] or sym[a] != x or sym[b] != y or right[a] != b:
                 continue  # one side has been merged meanwhile
+            brought += 1
+            if brought - 1 in skip:
+                continue
             sym[a], gone[b], right[a] = k, True, right[b]
             if right[b] >= 0:
                 left[right[b]] = a
@@ -155,48 +190,84 @@ class PieceModel:
             offer(a, right[a])
         keep = [i for i in range(n) if not gone[i]]
         sym[:], at[:] = [sym[i] for i in keep], keep
+        return brought
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.raw.__getitem__, ids.tolist())).decode()[1:]
 
 
 class Encoder:
-    """Encodes texts; the segmentations of chunks are kept, up to a bounded number."""
+    """Encodes texts; segmentations of chunks are kept, up to a bounded number.
 
-    def __init__(self, model: bytes, seed: int, rate: float, variants: int) -> None:
+    ``known`` has for a chunk its undropped ids and number of candidates, ``varied`` the same for (chunk, skips).
+    Before a text both are emptied when they hold more than ``_CACHE``, so one text's forms are the bound's only
+    excess.
+    """
+
+    def __init__(self, model: bytes, seed: int, rate: float) -> None:
         self.model = PieceModel(model)
-        self.draws = [Draws(f"{seed}/{v}", rate) if rate > 0 else None for v in range(variants)]
-        self.known: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self.seed, self.rate = seed, rate
+        self.known: dict[str, tuple[bytes, int]] = {}
+        self.varied: dict[tuple[str, tuple[int, ...]], tuple[bytes, int]] = {}
 
-    def encode(self, text: str, variant: int) -> np.ndarray:
+    def encode(self, text: str, doc: object) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
-        known, out = self.known[variant], []
-        for chunk in _CHUNK.findall(" " + text):
-            ids = known.get(chunk)
-            if ids is None:
-                ids = self._segment(chunk, variant)
-            out.append(ids)
+        chunks = _CHUNK.findall(" " + text)
+        self._learn(chunks)
+        draws = Draws(f"{self.seed}/{doc}", self.rate)
+        known, varied, out, at = self.known, self.varied, [], 0  # at: candidates brought up so far
+        hits = draws.block()
+        hits.reverse()
+        hit = hits[-1]
+        for chunk in chunks:
+            ids, n = known[chunk]
+            if hit >= at + n:
+                out.append(ids)
+                at += n
+                continue
+            for part in self._parts(chunk):
+                ids, n = known.get(part) or self._form(part)
+                skips: tuple[int, ...] = ()
+                while hit < at + n:
+                    skips += (hit - at,)
+                    ids, n = varied.get((part, skips)) or self._vary(part, skips)
+                    hits.pop()
+                    if not hits:
+                        hits = draws.block()
+                        hits.reverse()
+                    hit = hits[-1]
+                out.append(ids)
+                at += n
         return np.frombuffer(b"".join(out), np.int32)
 
-    def _segment(self, chunk: str, variant: int) -> bytes:
-        known = self.known[variant]
-        if chunk[-1] in _MARKS and _LETTER_MARK.search(chunk):
-            ids = b"".join(known.get(part) or self._segment(part, variant) for part in (chunk[:-1], chunk[-1]))
-        else:
-            ids = array("i", self.model.segment(chunk, self.draws[variant])).tobytes()
-        if len(chunk) <= _SHORT:
-            if len(known) >= _CACHE:
-                known.clear()
-            known[chunk] = ids
-        return ids
+    def _learn(self, chunks: list[str]) -> None:
+        """The undropped forms of a text's chunks that are not known yet."""
+        if len(self.known) + len(self.varied) >= _CACHE:
+            self.known.clear()
+            self.varied.clear()
+        new = [c for c in set(chunks) if c not in self.known]
+        for chunk, (ids, n) in zip(new, self.model.plain(new)):
+            self.known[chunk] = array("i", ids).tobytes(), n
 
+    def _parts(self, chunk: str) -> tuple[str, ...]:
+        """A chunk that ends in a mark is segmented before the mark and after; no piece reaches across."""
+        return (chunk[:-1], chunk[-1]) if chunk[-1] in _MARKS and _LETTER_MARK.search(chunk) else (chunk,)
 
-RESULTS: list[tuple[str, T.DataType]] = [("piece_ids", T.ArrayType(T.IntegerType())), ("decoded_text", T.StringType())]
+    def _form(self, part: str) -> tuple[bytes, int]:
+        ids, n = self.model.segment(part)
+        form = self.known[part] = array("i", ids).tobytes(), n
+        return form
 
+    def _vary(self, part: str, skips: tuple[int, ...]) -> tuple[bytes, int]:
+        ids, n = self.model.segment(part, skips)
+        form = array("i", ids).tobytes(), n
+        if len(part) <= _SHORT:
+            self.varied[part, skips] = form
+        return form
 
-def variant_of(doc: object, seed: int, variants: int) -> int:
-    return zlib.crc32(f"{seed}:{doc}".encode()) % variants
+
+RESULTS: list[tuple[str, T.DataType]] = [("piece_ids", T.ArrayType(T.IntegerType())), ("decoded_text", T.StringType())]
 
 
 def encode_pieces(
@@ -206,19 +277,18 @@ def encode_pieces(
     text: str = "text",
     seed: int = 17,
     rate: float = 0.1,
-    variants: int = 2,
     decode: bool = True,
 ) -> DataFrame:
     """``docs`` with ``piece_ids`` and, if asked, ``decoded_text`` (the ids decoded again).
 
     ``model`` is the content of the model file: it is of a fixed size and goes
-    out with the tasks, so no executor needs the file. A document's variant
-    comes from its id and the seed; rows of equal id and text get equal ids. A
+    out with the tasks, so no executor needs the file. A text's draws come from
+    the document's id and the seed; rows of equal id and text get equal ids. A
     null text gives no ids and decodes to ""; rate 0 is the model's own encoding.
     Input columns named like an added one are replaced.
     """
     added = RESULTS if decode else RESULTS[:1]
-    return with_results(docs, added, partial(_encode_batch, docs.sparkSession.sparkContext.broadcast(model), (seed, rate, variants), doc, text, decode))
+    return with_results(docs, added, partial(_encode_batch, docs.sparkSession.sparkContext.broadcast(model), (seed, rate), doc, text, decode))
 
 
 _encoders: dict[tuple, Encoder] = task_cache()
@@ -229,11 +299,11 @@ def _encode_batch(model, setting: tuple, doc: str, text: str, decode: bool, batc
     if key not in _encoders:  # once for each Python worker
         _encoders.clear()
         _encoders[key] = Encoder(model.value, *setting)
-    encoder, (seed, _, variants) = _encoders[key], setting
+    encoder = _encoders[key]
     names = batch.schema.get_field_index
     ids, ends, texts = [], [0], []
     for d, t in zip(batch.column(names(doc)), batch.column(names(text))):
-        got = encoder.encode(t.as_py() or "", variant_of(d.as_py(), seed, variants))
+        got = encoder.encode(t.as_py() or "", d.as_py())
         ids.append(got)
         ends.append(ends[-1] + len(got))
         if decode:

@@ -93,21 +93,47 @@ def unigram_count(word, scores, longest, penalty=10.0):
     return -best[-1][1]
 
 
-def merge_dropout(chunk, model, draws):
-    """Merges one at a time over the whole list of candidates; skipped ones by the same keyed hash."""
-    own = zlib.crc32(chunk.encode())
-    syms = [(model.char.get(c, model.base - 1), i) for i, c in enumerate(chunk)]
+class _Symbol:
+    def __init__(self, number, at):
+        self.number, self.at = number, at
+
+
+def merge_dropout(chunk, model, skipped, number=0):
+    """(ids, number of the next candidate): all pairs are looked through for each merge; candidates are numbered
+    as they come up, and one whose number is skipped stays away until one of its two symbols is replaced."""
+    syms = [_Symbol(model.char.get(c, model.base - 1), i) for i, c in enumerate(chunk)]
+    away = set()
     while True:
         options = []
-        for j, ((a, at), (b, _)) in enumerate(zip(syms, syms[1:])):
-            k = model.merge.get(a * model.base + b)
-            if k is not None and not (draws and draws.skip[(own + 61 * at + 1031 * k) % len(draws.skip)]):
+        for j, (a, b) in enumerate(zip(syms, syms[1:])):
+            k = model.merge.get(a.number * model.base + b.number)
+            if k is not None and (a, b) not in away:
                 options.append((k, j))
         if not options:
             break
         k, j = min(options)
-        syms[j : j + 2] = [(k, syms[j][1])]
+        if number in skipped:
+            away.add((syms[j], syms[j + 1]))
+        else:
+            syms[j : j + 2] = [_Symbol(k, syms[j].at)]
+        number += 1
     ids = []
-    for k, at in syms:
-        ids += [model.ids[k]] if k < model.base - 1 else [model.byte[x] for x in chunk[at].encode()]
+    for s in syms:
+        ids += [model.ids[s.number]] if s.number < model.base - 1 else [model.byte[x] for x in chunk[s.at].encode()]
+    return ids, number
+
+
+def encode_with_draws(text, doc, model, seed, rate):
+    """A text's pieces with its own stream of draws, nothing kept between chunks."""
+    from stratus.llm import pieces
+
+    draws, hits = pieces.Draws(f"{seed}/{doc}", rate), set()
+    while not hits or max(hits) < 3 * len(text) + 10:
+        hits |= set(draws.block(64))
+    ids, number = [], 0
+    for chunk in pieces._CHUNK.findall(" " + text) if text else ():
+        cut = len(chunk) - 1 if re.search(r"[A-Za-zÀ-ÿ][.,!?;:]\Z", chunk) else len(chunk)
+        for part in filter(None, (chunk[:cut], chunk[cut:])):
+            own, number = merge_dropout(part, model, hits, number)
+            ids += own
     return ids

@@ -114,9 +114,13 @@ def test_sharding_moves_stay_in_changed_subtrees(spark):
 
 
 def test_pieces(hard_docs, hard_rows, no_docs, model):
-    out = pieces.encode_pieces(hard_docs, model).select("doc_id", "text", "piece_ids", "decoded_text").collect()
+    out = pieces.encode_pieces(hard_docs, model, seed=3, rate=0.15).select("doc_id", "text", "piece_ids", "decoded_text").collect()
     assert len(out) == len(hard_rows) and all(r.decoded_text == (r.text or "") for r in out)
     assert len({tuple(r.piece_ids) for r in out if r.doc_id == 11}) == 1
+    own = pieces.PieceModel(model)
+    for r in out:
+        if len(r.text or "") < 2000:
+            assert list(r.piece_ids) == brute.encode_with_draws(r.text or "", r.doc_id, own, 3, 0.15)
     assert pieces.encode_pieces(no_docs, model).count() == 0
 
 
@@ -124,21 +128,53 @@ def test_pieces_against_library_and_brute_force(hard_rows, model):
     import sentencepiece
 
     lib = sentencepiece.SentencePieceProcessor(model_proto=model)
-    plain, varied = pieces.Encoder(model, 1, 0.0, 1), pieces.Encoder(model, 1, 0.2, 2)
+    plain, varied = pieces.Encoder(model, 1, 0.0), pieces.Encoder(model, 1, 0.2)
     texts = [t for _, t in hard_rows if t and "\x00" not in t]
     changed = 0
     for t in texts:
         assert plain.encode(t, 0).tolist() == lib.encode(t)
         changed += varied.encode(t, 0).tolist() != varied.encode(t, 1).tolist()
-        for v in (0, 1):
-            assert varied.model.decode(varied.encode(t, v)) == t
+        for doc in (0, 1):
+            assert varied.model.decode(varied.encode(t, doc)) == t
     assert changed > len(texts) / 2
     m = varied.model
-    for chunk in [" hello", " internationalisation", "x" * 200, " ▁a▁", "日本語", " the", "  a"]:
-        for d in (None, *varied.draws):
-            assert m.segment(chunk, d) == brute.merge_dropout(chunk, m, d)
+    for chunk in [" hello", " internationalisation", "x" * 200, " ▁a▁", "日本語", " the", "  a", "x" * 48, " " + "tion" * 12]:
+        for skips in ((), (0,), (1, 2), (0, 3, 4, 9), tuple(range(500))):
+            assert m.segment(chunk, skips) == brute.merge_dropout(chunk, m, set(skips))
     for t in ("a▁b  c \n\n x", "\x00▁\x00▁▁", "\U0001f600 ½ﬁ\t", " ", "\n", "▁"):
         assert m.decode(varied.encode(t, 0)) == t
+    small = pieces.Encoder(model, 1, 0.2)
+    pieces._CACHE, before = 3, pieces._CACHE  # what is kept changes no result
+    try:
+        assert all((small.encode(t, 5) == varied.encode(t, 5)).all() for t in texts[:12])
+    finally:
+        pieces._CACHE = before
+
+
+def test_draws_vary_by_place_and_document(model):
+    """A frequent word is segmented in many ways, in one text and over documents; the rate is kept."""
+    e = pieces.Encoder(model, 7, 0.1)
+    word = " internationalisation"
+    plain = tuple(e.model.segment(word)[0])
+    seen, texts = Counter(), set()
+    for doc in range(200):
+        ids = e.encode(word[1:] + word * 9, doc).tolist()
+        texts.add(tuple(ids))
+        first, n = e.model.segment(word)
+        at = 0
+        while at < len(ids):  # cut back into words by their bytes
+            to, raw = at, b""
+            while len(raw) < len(word):
+                raw += e.model.raw[ids[to]]
+                to += 1
+            seen[tuple(ids[at:to])] += 1
+            at = to
+    assert len(texts) == 200 and len(seen) > 30 and sum(seen.values()) == 2000
+    assert 0.9**n < seen[plain] / 2000 < 0.7  # without a skip, or with skips that other merges make up for
+    hits = pieces.Draws("k", 0.1)
+    found = [x for _ in range(40) for x in hits.block()]
+    assert found == sorted(set(found)) and abs(len(found) / found[-1] - 0.1) < 0.01
+    assert pieces.Draws("k", 1.0).block(5) == [0, 1, 2, 3, 4]
 
 
 def test_token_counts(hard_docs, hard_rows, no_docs, model):

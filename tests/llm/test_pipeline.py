@@ -26,12 +26,12 @@ def test_run_equals_brute_force(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").toPandas()
     bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").toPandas()
     want = decide(list(zip(docs.doc_id, docs.text)), list(zip(bench.item_id, bench.text)))
-    encoder = pieces.Encoder(model_bytes(), 17, 0.1, 2)
+    encoder = pieces.PieceModel(model_bytes())
     got = P.run(spark, SF_SMALL).collect()
     assert len(got) == len(want) and {r.doc_id for r in got} == set(want)
     for r in got:
         t = want[r.doc_id]
-        assert r.lossless and list(r.piece_ids) == encoder.encode(t, pieces.variant_of(r.doc_id, 17, 2)).tolist()
+        assert r.lossless and list(r.piece_ids) == brute.encode_with_draws(t, r.doc_id, encoder, 17, 0.1)
 
 
 def test_stages_keep_columns_and_take_hard_rows(spark, hard_docs, no_docs):
