@@ -169,12 +169,22 @@ a0 AS (
   WHERE abs(bb / bl - pb / pl) <= {s.z}::DOUBLE * sqrt(pb / pl * (1.0::DOUBLE - pb / pl) / bl)
 ), {new} AS (SELECT * EXCLUDE (alike) REPLACE (coalesce(alike, {x}) AS {x}) FROM {prev} LEFT JOIN l{i} USING ({family}, {x}))"""
     tt = ", ".join(t)
+    down = ""
+    for i in range(1, n + 1):  # each node leans on the one above it
+        node, parent = ", ".join(["host", *t[:i]]), ", ".join(["host", *t[: i - 1]])
+        down += f""", p{i + 1} AS (
+  SELECT {node}, (sum(blocked) + {s.prior}::DOUBLE * any_value(purity)) / (sum(labelled) + {s.prior}::DOUBLE) AS purity
+  FROM m{n} JOIN p{i} USING ({parent}) GROUP BY {node}
+)"""
     return sql + f""", rate AS (
   SELECT coalesce(count(*) FILTER (WHERE verdict = 'block') / nullif(count(verdict), 0), 0.0)::DOUBLE AS rate FROM rows
-), judged AS (
-  SELECT host, {tt}, (sum(blocked) + {s.prior}::DOUBLE * any_value(rate)) / (sum(labelled) + {s.prior}::DOUBLE) AS purity
-  FROM m{n}, rate GROUP BY host, {tt}
-)
+), p0 AS (
+  SELECT regexp_extract(host, '([^.]+[.])?[^.]*$') AS site, (sum(blocked) + {s.prior}::DOUBLE * any_value(rate)) / (sum(labelled) + {s.prior}::DOUBLE) AS purity
+  FROM m{n}, rate GROUP BY ALL
+), p1 AS (
+  SELECT host, (sum(blocked) + {s.prior}::DOUBLE * any_value(purity)) / (sum(labelled) + {s.prior}::DOUBLE) AS purity
+  FROM m{n} JOIN p0 ON regexp_extract(host, '([^.]+[.])?[^.]*$') = site GROUP BY host
+){down}, judged AS (SELECT * FROM p{n + 1})
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN purity >= {s.purity}::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict,
   rtrim({" || ".join(f"'/' || {x}" for x in t)}, '/') AS template, round(purity, 6) AS purity
 FROM rows JOIN m{n} USING (host, {", ".join(g)}) JOIN judged USING (host, {tt})

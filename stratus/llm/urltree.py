@@ -4,6 +4,9 @@ Per host, path segments that vary are generalised into wildcards, first by
 their form and then by how many different ones a node has; sibling branches with
 statistically equal label rates are merged; templates whose smoothed share of
 blocked labelled urls is high are rejected. Labels come from explicit rules.
+Smoothing runs down the tree: each node's share leans on its parent's (all, site,
+host, then segment by segment), so where a template has few labels or none, those
+of its nearest ancestors decide.
 DataFrame functions only; every step works on counted templates, not on urls.
 """
 
@@ -34,7 +37,7 @@ class Settings:
     kinds_pct: int = 50  # ... per this share of its urls holds a variable
     min_labelled: int = 5  # branches with fewer labels are never merged
     z: float = 1.96  # standard errors within which label rates count as equal
-    prior: float = 10.0  # weight of the overall block rate
+    prior: float = 10.0  # labels that a node's parent weighs as much as
     purity: float = 0.8  # templates from here on are rejected
 
 
@@ -118,8 +121,10 @@ def filter_urls(pages: DataFrame, page: str = "page_id", url: str = "url", rules
     """(page, host, path, rule, verdict, template, purity) of each row.
 
     The verdict is the longest fitting rule's, else the template's: ``block``
-    from the limit of its smoothed purity on, which is (blocked + prior * overall
-    rate) / (labelled + prior) over the urls that rules label. A url that is
+    from the limit of its smoothed purity on, which is (blocked + prior * purity
+    of the parent) / (labelled + prior) over the urls that rules label. The
+    parent of a template is the template without its last segment, then its
+    host, its site (the host's last two labels) and all urls. A url that is
     null or has no ``://`` has empty host and path and is judged like any other
     template. Without any label the purity is 0. Repeated rows get equal
     results; other columns are ignored; an empty table gives an empty result.
@@ -134,9 +139,14 @@ def filter_urls(pages: DataFrame, page: str = "page_id", url: str = "url", rules
     table = path_templates(rows, s, Scratch(pages.sparkSession))
     totals = table.groupBy("host", *t).agg(F.sum("labelled").alias("tl"), F.sum("blocked").alias("tb"))
     overall = rows.agg(F.coalesce(F.count(F.when(F.col("verdict") == "block", 1)) / F.nullif(F.count("verdict"), F.lit(0)), F.lit(0.0)).alias("rate"))
-    judged = totals.join(F.broadcast(overall)).select(  # one row
-        "host", *t, ((F.col("tb") + F.lit(s.prior) * F.col("rate")) / (F.col("tl") + F.lit(s.prior))).alias("purity")
-    )
+    site = F.regexp_extract("host", r"([^.]+\.)?[^.]*$", 0)
+    level, below = totals.withColumn("site", site), [["site"], ["site", "host"], *[["host", *t[:i]] for i in range(1, len(t) + 1)]]
+    judged = overall.select(F.col("rate").alias("purity"))
+    for node in below:  # from the root down; a few rows for each host
+        own = level.groupBy(*node).agg(F.sum("tl").alias("tl"), F.sum("tb").alias("tb"))
+        above = [c for c in node if c in judged.columns]
+        parents = own.join(judged, above) if above else own.join(F.broadcast(judged))  # one row
+        judged = parents.select(*node, ((F.col("tb") + F.lit(s.prior) * F.col("purity")) / (F.col("tl") + F.lit(s.prior))).alias("purity"))
     template = F.rtrim(F.concat(*[F.concat(F.lit("/"), F.col(x)) for x in t]), F.lit("/"))
     of_path = table.join(judged, ["host", *t]).select("host", *g, template.alias("template"), "purity")
     return rows.join(of_path, ["host", *g]).select(

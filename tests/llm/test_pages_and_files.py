@@ -147,3 +147,22 @@ def test_telling_tokens_lose_nothing():
         chosen = telling_tokens(weights, least)
         for name in TEMPLATES:
             assert sum(w * w for (n, t), w in weights.items() if n == name and t not in chosen) < least**2
+
+
+def test_url_purity_backs_off_to_the_nearest_labels(spark):
+    """Unlabelled templates take the share of their nearest ancestor with labels: template, path, host, site, all."""
+    rules = (("block", "bad.net/x/"), ("allow", "bad.net/y/"), ("block", "other.org/"), ("allow", "fine.com/"))
+    urls = [f"http://a.bad.net/x/p{k}" for k in range(60)] + ["http://a.bad.net/x", "http://a.bad.net/z", "http://b.bad.net/q"]
+    urls += [f"http://c.bad.net/y/{k}" for k in range(40)] + ["http://c.bad.net/w", "http://unknown.edu/a", None, "no scheme"]
+    urls += [f"http://fine.com/{k}" for k in range(200)] + ["http://other.org/1"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {urls[r.page_id]: r for r in filter_urls(pages, rules=rules, settings=Settings(prior=2.0)).collect()}
+    share = lambda up, n, b: (b + 2.0 * up) / (n + 2.0)
+    overall = 61 / 301
+    site = share(overall, 100, 60)
+    assert got["http://unknown.edu/a"].purity == round(overall, 6) and got["http://unknown.edu/a"].verdict == "allow"
+    assert got[None].purity == got["no scheme"].purity == round(overall, 6)
+    assert got["http://b.bad.net/q"].purity == round(site, 6)  # a host without labels: its site's
+    assert got["http://a.bad.net/z"].purity == round(share(site, 60, 60), 6) and got["http://a.bad.net/z"].verdict == "block"
+    assert got["http://c.bad.net/w"].purity == round(share(site, 40, 0), 6) and got["http://c.bad.net/w"].verdict == "allow"
+    assert got["http://a.bad.net/x"].rule is None and got["http://a.bad.net/x"].verdict == "block"
