@@ -166,3 +166,42 @@ def test_url_purity_backs_off_to_the_nearest_labels(spark):
     assert got["http://a.bad.net/z"].purity == round(share(site, 60, 60), 6) and got["http://a.bad.net/z"].verdict == "block"
     assert got["http://c.bad.net/w"].purity == round(share(site, 40, 0), 6) and got["http://c.bad.net/w"].verdict == "allow"
     assert got["http://a.bad.net/x"].rule is None and got["http://a.bad.net/x"].verdict == "block"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div>" * 3000 + "<p hidden>SECRET</p>x" + "</div>" * 3000 + "y", "x\ny"),  # at any depth
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+        ("<table><tr><td rowspan=0>a<td>1<tr><td>2<tr><td>3</table>", "a  1\n   2\n   3"),
+        ("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c<tr><td>d<td>e<td>f</table>", "a     b\n      c\nd  e  f"),
+        ("<table><tr><td colspan=200>head<td>z<tr><td>x<td>y</table>", "head     z\nx     y"),
+        ("<table><tr><td>a<td colspan=0>b<td rowspan=x>c</table>", "a  b  c"),
+        ("<dialog>no</dialog><dialog open>yes</dialog>", "yes"),
+        ("<details><summary>s</summary>no<summary>no</summary></details><details open><summary>t</summary>b</details>", "s\nt\nb"),
+        ("<div style='visibility:hidden'>h<span style='visibility: visible'>v</span>h</div>", "v"),
+        ("<table style='visibility:hidden'><tr><td>h<td style='visibility:visible'>v</table>", "  v"),
+        ("<ol><li>a<li value=7>b<li>c<li value=x>d</ol>", "1. a\n7. b\n8. c\n9. d"),
+        ("<style>.x, p#q {display:none} @media print {.y{display:none}} .z{visibility:hidden} /* .w{display:none} */</style>"
+         "<div class='a x'>n</div><p id=q>n</p><div id=q>d</div><div class=y>y</div>"
+         "<div class=z>z<b style='visibility:visible'>Z</b></div><div class=w>w</div><i class=x style='display:inline'>in</i>", "d\ny\nZ\nw\nin"),
+        ("<style>@import url(a.css); b{display:none}</style><b>no</b>yes<style>i{display:none", "yes"),
+        ("<ul><li>a<ul><li>b</ul></ul>" * 2, None),
+    ],
+)
+def test_visibility_and_grid(page, text):
+    from stratus.llm.html import build_tree, render
+
+    got = render(build_tree(page))[0]
+    assert text is None or got == text
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    from stratus.llm.html import build_tree, render
+
+    start = time.process_time()
+    for page in ("<div><span>" * 60000 + "<li>" * 30000, "<b><p>" * 50000, "<table><tr><td>" * 3000 + "x", "<i></div>" * 100000):
+        render(build_tree(page))
+    assert time.process_time() - start < 30
