@@ -958,3 +958,33 @@ defs AS (SELECT CASE event_type WHEN 'view' THEN 'wind_speed' WHEN 'error' THEN
         ),
     }
 )
+
+_TALL_FACTS = LINEITEM.rstrip() + """,
+stations AS (SELECT CAST(station_pk AS BIGINT) AS station_pk, station_code, station_name, location_type FROM dim),
+tall AS (
+  SELECT f.timestamp AS datetime, f.station_fk AS station_pk, s.station_code, s.station_name, f.metric, f.unit, f.value, f.quality_flag, f.source,
+         'facts_' || year(f.timestamp) || '_normalised.parquet' AS file
+  FROM fact f LEFT JOIN dim s ON f.station_fk = s.station_pk
+)
+"""
+_RENAMED = _EV_DIM_SUP.replace("FROM supplier\n)", "FROM supplier WHERE s_suppkey % 3 <> 0 UNION ALL\n  "
+    "SELECT CAST(s_suppkey AS INTEGER), 'ST' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0'), 'again ' || s_name, 'AQM', "
+    "'Monitoring site of ' || s_name FROM supplier WHERE s_suppkey % 3 = 0\n)", 1)
+
+ORACLE_SQL.update(
+    {f"{k}_facts": _join(_TALL_FACTS, _MORE[k][1]) for k in (
+        "e4_completeness", "e7_tall_overview", "e8_valid_coverage", "e9_mean_pivot", "e10_nodata_rate", "e11_pollutant_summary",
+        "e12_flag_counts", "e13_mean_station_count",
+    )}
+    | {
+        "e15_station_overlap_high": _join(
+            EVENTS,
+            "SELECT station_fk AS station_pk FROM fact WHERE metric = 'wind_speed' AND value > 250 INTERSECT "
+            "SELECT station_fk FROM fact WHERE metric = 'pm10' AND value > 150",
+        ),
+        "l1_merge_dim_repeated": ORACLE_SQL["l1_merge_dim"],  # the first of several rows wins, which is the plain one
+        "l3_upsert_dim_repeated": _join(_RENAMED, _MORE["l3_upsert_dim"][1]),
+        "p17_special_values": "SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber > 3 THEN CAST(CAST(CASE WHEN l_linenumber = 4 "
+        "THEN -(l_extendedprice / l_quantity) ELSE l_extendedprice / l_quantity END AS DECIMAL(12,4)) AS DOUBLE) END AS value FROM lineitem",
+    }
+)

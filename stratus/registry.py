@@ -356,6 +356,35 @@ def _tall_names(f: DataFrame) -> DataFrame:
     return f.withColumnsRenamed({"timestamp": "datetime", "station_fk": "station_pk"})
 
 
+def _tall_facts(spark: SparkSession, d: str) -> DataFrame:
+    """The normalised layer made of all line items: yearly files, stations of the register, orphans without metadata."""
+    f = _tall_names(lineitem_fact(spark, d))
+    file = F.concat(F.lit("facts_"), F.year("datetime").cast("string"), F.lit("_normalised.parquet"))
+    return TL.with_station_meta(f, lineitem_dim(spark, d)).withColumn("file", file).withColumn("pollutant", F.col("metric"))
+
+
+def _on_tall(fn) -> Query:
+    return lambda spark, d: fn(_tall_facts(spark, d))
+
+
+def _renamed_again(spark: SparkSession, d: str) -> DataFrame:
+    """A batch that holds every third station a second time, under another name."""
+    once = suppliers_dim(spark, d)
+    again = once.filter(F.col("station_pk") % 3 == 0).withColumn("station_name", F.concat(F.lit("again "), F.col("station_name")))
+    return once.unionByName(again)
+
+
+def _special_values(spark: SparkSession, d: str) -> DataFrame:
+    """P17 on values that no decimal holds: NaN and both infinities become NULL, the others are narrowed."""
+    n, q = F.col("l_linenumber"), F.col("l_extendedprice") / F.col("l_quantity")
+    special = {1: "nan", 2: "inf", 3: "-inf"}
+    value = F.when(n == 4, -q).otherwise(q)
+    for k, v in special.items():
+        value = F.when(n == k, F.lit(float(v))).otherwise(value)
+    t = table(spark, d, "lineitem")
+    return t.select("l_orderkey", "l_linenumber", to_fact_value(value).cast("double").alias("value"))
+
+
 def _expected_years(f: DataFrame) -> DataFrame:
     """The datasets of 1994-2002 of all metrics that occur; not all years do."""
     years = F.explode(F.array(*[F.lit(str(y)) for y in range(1994, 2003)]))
@@ -405,6 +434,28 @@ QUERIES.update(
         ),
         "p16_rejection_counts": lambda spark, d: P.rejection_counts(_raw_readings(spark, d), reference.metric_ranges(spark)),
         "p16_tagged_rows": lambda spark, d: P.tagged_rows(_raw_readings(spark, d), reference.metric_ranges(spark)),
+        # --- profiles of a layer that grows with the tables, with stations that the register lacks
+        "e4_completeness_facts": _on_tall(E.completeness),
+        "e7_tall_overview_facts": _on_tall(E.tall_overview),
+        "e8_valid_coverage_facts": lambda spark, d: E.valid_coverage(_tall_facts(spark, d), lineitem_dim(spark, d)),
+        "e9_mean_pivot_facts": _on_tall(lambda t: E.mean_pivot(t, EVENT_METRIC_ORDER)),
+        "e10_nodata_rate_facts": _on_tall(E.nodata_rate),
+        "e11_pollutant_summary_facts": _on_tall(E.pollutant_summary),
+        "e12_flag_counts_facts": _on_tall(E.flag_counts),
+        "e13_mean_station_count_facts": _on_tall(E.mean_station_count),
+        "e15_station_overlap_high": _ev_fact(
+            lambda f: E.station_overlap(
+                *[
+                    f.filter((F.col("metric") == m) & (F.col("value") > limit)).select(F.col("station_fk").alias("station_pk"))
+                    for m, limit in (("wind_speed", 250), ("pm10", 150))
+                ]
+            )
+        ),
+        "l1_merge_dim_repeated": lambda spark, d: L.merge_dim(events_dim(spark, d), _renamed_again(spark, d)),
+        "l3_upsert_dim_repeated": lambda spark, d: L.upsert_dim(
+            L.seed_dim(events_dim(spark, d), _ts(LOAD_TIME_0)), _renamed_again(spark, d), _ts(LOAD_TIME_1)
+        ).drop("latitude", "longitude", "elevation"),
+        "p17_special_values": _special_values,
         # --- order as data
         "o1_placed_facts": _li_fact(
             lambda f: TL.placed(f, ["timestamp", "station_fk", "metric", "value"]).select("timestamp", "station_fk", "metric", "value", "place")
