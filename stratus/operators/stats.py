@@ -11,9 +11,10 @@ would be one huge task. Here the order statistics are found by selection:
 2. a second pass counts the values inside the bands by value, and all values
    between two bands as one row. These rows (``banded``) are a small weighted
    copy of the group in which every wanted rank falls on an exact value;
-3. running counts over coarse buckets of that copy (a logarithmic scale, the
-   same for all groups) and over 4096 parts of the bucket that holds a rank
-   leave a few values to sort, so no task sorts a hot group;
+3. running counts over buckets of that copy leave a few values to sort, so no
+   task sorts a hot group. Buckets are cut by a logarithmic scale and, between
+   the group's least and greatest value, by a linear one: long tails and values
+   that lie close together are both taken apart;
 4. the values at the ranks are interpolated linearly
    (``lo + (hi - lo) * (h - floor(h))``, the PERCENTILE_CONT definition).
 
@@ -28,8 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Coarse buckets per factor e; parts of a bucket.
-COARSE, PARTS = 256, 4096
+#: Buckets per factor e, and between the least and the greatest value of a group.
+COARSE, PARTS = 4096, 1 << 16
 #: Size of a sketch; its rank error (99 %) is 2.296 / k^0.9021 by the sketch's documentation.
 SKETCH_K = 1024
 MARGIN = 4 * 2.296 / SKETCH_K**0.9021
@@ -43,14 +44,15 @@ def number(value: str | Column) -> Column:
 
 def coarse_bucket(v: Column) -> Column:
     """A number that never falls as ``v`` grows; infinities come first and last."""
-    x = F.signum(v) * F.log1p(F.abs(v))
+    # 750 more than the logarithm is positive for every double; zero has no logarithm and lies between the signs
+    x = F.coalesce(F.signum(v) * (F.ln(F.abs(v)) + F.lit(750.0)), F.lit(0.0))
     return F.floor(F.greatest(F.least(x, F.lit(1e6)), F.lit(-1e6)) * COARSE).cast("long")
 
 
-def part_of_bucket(v: Column, lo: Column, hi: Column) -> Column:
-    """Part of [lo, hi] that ``v`` lies in; a bucket of one value has one part."""
-    at = (v - lo) / F.when(hi > lo, hi - lo)
-    return F.coalesce(F.floor(at * (PARTS - 1)).cast("int"), F.lit(0))
+def part_of_range(v: Column, lo: Column, hi: Column) -> Column:
+    """Part of [lo, hi] that ``v`` lies in, never falling as ``v`` grows; a range of one value or without end has one part."""
+    wide = hi - lo
+    return F.when((wide > 0) & (wide < F.lit(float("inf"))), F.floor((v - lo) / wide * F.lit(float(PARTS - 1))).cast("int")).otherwise(F.lit(0))
 
 
 def _ranks(n: Column, probs: list[float]) -> list[tuple[Column, Column]]:
@@ -58,9 +60,9 @@ def _ranks(n: Column, probs: list[float]) -> list[tuple[Column, Column]]:
     return [(F.floor(x), F.ceil(x)) for x in h]
 
 
-def _holding(counts: DataFrame, within: list[str], by: str, start: Column, n: Column, probs: list[float]) -> DataFrame:
+def _holding(counts: DataFrame, within: list[str], by: list[str], start: Column, n: Column, probs: list[float]) -> DataFrame:
     """``counts`` with the ranks [__start, __end) of each row and the group size ``__n``; only rows that hold a wanted rank."""
-    before = Window.partitionBy(*within).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*within).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     out = counts.withColumns({"__start": start + F.coalesce(F.sum("__c").over(before), F.lit(0)), "__n": n})
     out = out.withColumn("__end", F.col("__start") + F.col("__c"))
     wanted = F.lit(False)
@@ -81,9 +83,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
 
 
 def sketched(df: DataFrame, keys: list[str], value: str | Column, probs: list[float], *more: Column) -> DataFrame:
-    """First pass: one row per group with its size ``__n``, a band ``__lo<i>``..``__hi<i>`` for each
+    """First pass: one row per group with its size ``__n``, ``__min`` and ``__max``, a band ``__lo<i>``..``__hi<i>`` for each
     probability, and whatever ``more`` aggregates."""
-    g = df.groupBy(*keys).agg(F.count(number(value)).alias("__n"), F.kll_sketch_agg_double(number(value), F.lit(SKETCH_K)).alias("__k"), *more)
+    v = number(value)
+    g = df.groupBy(*keys).agg(
+        F.count(v).alias("__n"), F.kll_sketch_agg_double(v, F.lit(SKETCH_K)).alias("__k"), F.min(v).alias("__min"), F.max(v).alias("__max"), *more
+    )
     ends = [e for p in probs for e in (p - MARGIN - 2 / SKETCH_K, p + MARGIN + 2 / SKETCH_K)]
     ranks = F.array(*[F.lit(min(max(e, 0.0), 1.0)) for e in ends])
     # a small group is all band, and beyond the first and last rank a band is open
@@ -104,33 +109,29 @@ def banded(df: DataFrame, keys: list[str], value: str | Column, bounds: DataFram
     as grouping keys, so that all readers of the copy share one shuffle whichever columns they need.
     """
     base = df.select(*keys, number(value).alias("__x"))
-    named = bounds.select(*keys, "__n", *carried, *[f"__{e}{i}" for i in range(n_bands) for e in ("lo", "hi")])
+    carried = ("__n", "__min", "__max", *carried)
+    named = bounds.select(*keys, *carried, *[f"__{e}{i}" for i in range(n_bands) for e in ("lo", "hi")])
     x, inside, passed = F.col("__x"), F.lit(False), F.lit(0)
     for i in range(n_bands):
         inside = inside | x.between(F.col(f"__lo{i}"), F.col(f"__hi{i}"))
         passed = passed + (F.col(f"__hi{i}") < x).cast("int")
     rows = null_safe_join(base, named, keys)
     at, gap = F.when(inside, x).alias("__at"), F.when(~inside, passed).alias("__gap")
-    rows = rows.groupBy(*keys, "__n", *carried, at, gap).agg(F.min(x).alias("__v"), F.max(x).alias("__top"), F.count(F.lit(1)).alias("__c"))
+    rows = rows.groupBy(*keys, *carried, at, gap).agg(F.min(x).alias("__v"), F.max(x).alias("__top"), F.count(F.lit(1)).alias("__c"))
     # true of every row: it names all columns, so that each reader of the copy asks for the same shuffle
     rows = rows.filter((F.col("__c") > 0) & (F.col("__v").isNull() | (F.col("__v") <= F.col("__top"))))
-    return rows.select(*keys, "__n", *carried, "__v", "__top", "__c", F.col("__gap").isNotNull().alias("__open"))
+    return rows.select(*keys, *carried, "__v", "__top", "__c", F.col("__gap").isNotNull().alias("__open"))
 
 
 def quantiles_of(copy: DataFrame, keys: list[str], probs: list[float], names: list[str]) -> DataFrame:
     """Third step: the quantiles of the groups whose weighted copy is ``copy``."""
-    base = copy.filter(F.col("__v").isNotNull()).select(*keys, "__v", "__top", "__c", "__n", "__open", coarse_bucket(F.col("__v")).alias("__b"))
-    coarse = base.groupBy(*keys, "__b").agg(
-        F.sum("__c").alias("__c"), F.min("__v").alias("__lo"), F.max("__top").alias("__hi"), F.first("__n").alias("__n")
-    )
-    first = _holding(coarse, keys, "__b", F.lit(0), F.col("__n"), probs).select(*keys, "__b", "__lo", "__hi", F.col("__start").alias("__s"))
-
-    inside = null_safe_join(base, first, [*keys, "__b"]).withColumn("__f", part_of_bucket(F.col("__v"), F.col("__lo"), F.col("__hi")))
-    fine = inside.groupBy(*keys, "__b", "__f").agg(F.sum("__c").alias("__c"), F.first("__s").alias("__s"), F.first("__n").alias("__n"))
-    second = _holding(fine, [*keys, "__b"], "__f", F.col("__s"), F.col("__n"), probs).select(*keys, "__b", "__f", F.col("__start").alias("__s"))
+    bucket = {"__b": coarse_bucket(F.col("__v")), "__f": part_of_range(F.col("__v"), F.col("__min"), F.col("__max"))}
+    base = copy.filter(F.col("__v").isNotNull()).select(*keys, "__v", "__top", "__c", "__n", "__open", *[c.alias(n) for n, c in bucket.items()])
+    counts = base.groupBy(*keys, *bucket).agg(F.sum("__c").alias("__c"), F.first("__n").alias("__n"))
+    first = _holding(counts, keys, list(bucket), F.lit(0), F.col("__n"), probs).select(*keys, *bucket, F.col("__start").alias("__s"))
 
-    values = null_safe_join(inside.drop("__lo", "__hi", "__s"), second, [*keys, "__b", "__f"])
-    ranked = _holding(values, [*keys, "__b", "__f"], "__v", F.col("__s"), F.col("__n"), probs)
+    values = null_safe_join(base, first, [*keys, *bucket])
+    ranked = _holding(values, [*keys, *bucket], ["__v"], F.col("__s"), F.col("__n"), probs)
     sure = F.when(F.col("__open"), F.raise_error(F.lit("a quantile lies outside of its sketched band; run the query again"))).otherwise(F.col("__v"))
 
     aggs = [F.first("__n").alias("__n")]
@@ -177,8 +178,9 @@ def with_quantiles(
     carried = tuple(c for c in first.columns if c not in keys and not c.startswith("__"))
     copy = banded(df, keys, value, F.broadcast(first) if few_groups else first, len(probs), carried)
     found = quantiles_of(copy, keys, probs, names)
-    groups = copy.groupBy(*keys, "__n", *carried).agg(F.sum("__c").alias("__rows"), F.min("__v").alias("__min"), F.max("__top").alias("__max"))
-    return null_safe_join(groups, F.broadcast(found) if few_groups else found, keys, "left")
+    groups = copy.groupBy(*keys, "__n", "__min", "__max", *carried).agg(F.sum("__c").alias("__rows"))
+    found = F.broadcast(found) if few_groups else found
+    return null_safe_join(groups, found, keys, "left")
 
 
 def column_quantiles(df: DataFrame, columns: list[str], probs: list[float], names: list[str] | None = None) -> DataFrame:

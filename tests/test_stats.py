@@ -1,5 +1,6 @@
 """Distributed exact quantiles against numpy on a skewed input."""
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from stratus.operators.stats import banded, column_quantiles, combined_moments, exact_quantiles, moments, sketched, with_quantiles
@@ -35,13 +36,14 @@ def test_extreme_values_and_null_groups(spark):
     assert got == {None: (-inf, 0.0, inf), "same": (7.0, 7.0, 7.0)}
 
 
-def test_buckets_keep_the_order_and_split_a_hot_group(spark):
-    """No task sorts more than a small part of a group that holds most readings."""
-    from stratus.operators.stats import coarse_bucket, part_of_bucket
+@pytest.mark.parametrize("value", ["id % 20000 / 7 - 500", "1.7e9 + id % 20000 / 1000", "exp(id % 20000 / 400 - 25)", "-exp(id % 20000 / 400 - 25)"])
+def test_buckets_keep_the_order_and_split_a_hot_group(spark, value):
+    """No task sorts more than a small part of a group that holds most readings, spread out, close together or skewed."""
+    from stratus.operators.stats import coarse_bucket, part_of_range
 
-    hot = spark.range(0, 60000).select((F.col("id") % 20000 / 7 - 500).alias("v")).withColumn("b", coarse_bucket(F.col("v")))
-    ends = hot.groupBy("b").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    rows = hot.join(ends, "b").select("v", "b", part_of_bucket(F.col("v"), F.col("lo"), F.col("hi")).alias("f")).collect()
+    hot = spark.range(0, 60000).select(F.expr(value).alias("v"))
+    ends = hot.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    rows = hot.crossJoin(ends).select("v", coarse_bucket(F.col("v")).alias("b"), part_of_range(F.col("v"), F.col("lo"), F.col("hi")).alias("f")).collect()
     rows.sort()
     assert all((a.b, a.f) <= (b.b, b.f) for a, b in zip(rows, rows[1:]))
     from collections import Counter
