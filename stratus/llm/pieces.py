@@ -227,7 +227,7 @@ class Encoder:
                 at += n
                 continue
             for part in self._parts(chunk):
-                ids, n = known.get(part) or self._form(part)
+                ids, n = known[part]
                 skips: tuple[int, ...] = ()
                 while hit < at + n:
                     skips += (hit - at,)
@@ -242,23 +242,27 @@ class Encoder:
         return np.frombuffer(b"".join(out), np.int32)
 
     def _learn(self, chunks: list[str]) -> None:
-        """The undropped forms of a text's chunks that are not known yet."""
-        if len(self.known) + len(self.varied) >= _CACHE:
-            self.known.clear()
+        """The undropped forms of a text's chunks that are not known yet; of one that ends in a mark from its parts."""
+        known = self.known
+        if len(known) + len(self.varied) >= _CACHE:
+            known.clear()
             self.varied.clear()
-        new = [c for c in set(chunks) if c not in self.known]
+        fresh = [c for c in set(chunks) if c not in known]
+        split = [c for c in fresh if c[-1] in _MARKS and _LETTER_MARK.search(c)]
+        joined = set(split)
+        new = {c for c in fresh if c not in joined}
+        new.update(p for c in split for p in (c[:-1], c[-1]) if p not in known)
+        new = list(new)
         for chunk, (ids, n) in zip(new, self.model.plain(new)):
-            self.known[chunk] = array("i", ids).tobytes(), n
+            known[chunk] = array("i", ids).tobytes(), n
+        for c in split:
+            (one, n), (mark, m) = known[c[:-1]], known[c[-1]]
+            known[c] = one + mark, n + m
 
     def _parts(self, chunk: str) -> tuple[str, ...]:
         """A chunk that ends in a mark is segmented before the mark and after; no piece reaches across."""
         return (chunk[:-1], chunk[-1]) if chunk[-1] in _MARKS and _LETTER_MARK.search(chunk) else (chunk,)
 
-    def _form(self, part: str) -> tuple[bytes, int]:
-        ids, n = self.model.segment(part)
-        form = self.known[part] = array("i", ids).tobytes(), n
-        return form
-
     def _vary(self, part: str, skips: tuple[int, ...]) -> tuple[bytes, int]:
         ids, n = self.model.segment(part, skips)
         form = array("i", ids).tobytes(), n
