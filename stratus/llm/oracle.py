@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, sharding, urltree
+from . import licenses, quality, sharding, urltree
 
 OP1 = r"""
 WITH d AS (
@@ -25,7 +25,7 @@ WITH d AS (
     OR regexp_matches(line, '(?i)accept cookies|all rights reserved|click here to|cookie policy|enable javascript|lorem ipsum|privacy policy|read more\.\.\.|sign up for our newsletter|terms of service|terms of use')
     OR len(ws) >= 3 AND regexp_matches(line, '[A-Z]') AND NOT regexp_matches(line, '[a-zß-öø-ÿ]')
     OR len(ws) > 1 AND 100 * len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) > 50 * len(ws)
-    OR NOT regexp_matches(line, '[.!?…。！？]') AS fails
+    OR NOT regexp_matches(line, '@MARKS@') AS fails
   FROM lines WHERE len(ws) > 0
 ), per_doc AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines,
@@ -43,7 +43,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * n_lost_words <= 30 * n_words AS kept,
   n_lost_words, n_failed_lines
 FROM m
-"""
+""".replace("@MARKS@", f"[{quality.SENTENCE_MARKS}]")
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 

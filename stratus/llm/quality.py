@@ -20,7 +20,13 @@ from .frames import with_results
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
-_SENTENCE_MARK = re.compile(r"[.!?…。！？]")
+#: Characters that end sentences, by script (Unicode's Sentence_Terminal, the ellipsis, and the Tibetan and Khmer
+#: marks), and the letters of Thai and Lao, which are written without any.
+SENTENCE_MARKS = (
+    ".!?…‼‽⁇⁈⁉⸮⸼" "。！？．｡﹒﹖﹗" "։" "؝؞؟۔" "܀܁܂" "߹" "।॥" "།༎" "၊။" "።፧፨" "᙮" "។៕" "᠃᠉" "᥄᥅" "᭚᭛᭞᭟" "᰻᰼᱾᱿" "꓿꘎꘏꛳꛷꡶꡷꣎꣏꤯꧈꧉꩝꩞꩟꫰꫱꯫"
+    "\u0e00-\u0eff"
+)
+_SENTENCE_MARK = re.compile(f"[{SENTENCE_MARKS}]")
 _LOWER = re.compile(r"[a-zß-öø-ÿ]")
 _UPPER = re.compile(r"[A-Z]")
 #: Fixed phrases of page furniture; a line that holds one is boilerplate.
@@ -54,7 +60,8 @@ def line_failure(line: str, words: list[str], rules: Rules) -> str | None:
     symbols: symbol characters per word above the limit; navigation: several
     separators or only menu words; boilerplate: a fixed phrase; shouting:
     several words in capitals alone; echo: words that repeat the one before;
-    punctuation: no sentence mark in the line at all.
+    punctuation: no sentence mark of any script in the line at all (lines with
+    Thai or Lao letters need none).
     """
     n = len(words)
     symbols = sum(map(line.count, SYMBOLS))

@@ -34,6 +34,8 @@ def test_quality(hard_docs, hard_rows, no_docs):
     [
         ("%%% ### a b.", "symbols"), ("a very long line of words | with | bars and more words here.", "navigation"), ("Home Contact", "navigation"),
         ("Please accept cookies today.", "boilerplate"), ("BUY NOW CHEAP!!", "shouting"), ("no. no. no. no.", "echo"), ("no end here", "punctuation"),
+        ("यह एक साफ़ वाक्य है।", None), ("هل هذه جملة نظيفة؟", None), ("یہ ایک صاف جملہ ہے۔", None), ("ይህ ንጹህ ዓረፍተ ነገር ነው።", None), ("这是一个句子。", None),
+        ("นี่คือประโยคที่สะอาด", None), ("यह बिना चिह्न की पंक्ति", "punctuation"),
         ("A clean line, with a mark.", None), ("Two words.", None), ("Call 555 today! 12345", None),
     ],
 )
