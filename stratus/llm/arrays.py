@@ -2,7 +2,8 @@
 
 A batch is cut into slices of a bounded number of text bytes, so that the arrays
 derived from a slice (8 bytes per text byte each) stay small whatever the batch
-size is; only a single text longer than the bound makes a larger slice.
+size is; a single text longer than the bound makes a larger slice or, where an
+operator can work on overlapping pieces, several slices.
 """
 
 from __future__ import annotations
@@ -52,11 +53,15 @@ def _power(kind: str, n: int) -> np.ndarray:
 
 @dataclass
 class Texts:
-    """Consecutive texts: ``data`` holds their bytes end to end, text i is ``data[ends[i]:ends[i+1]]``."""
+    """Consecutive texts: ``data`` holds their bytes end to end, text i is ``data[ends[i]:ends[i+1]]``.
+
+    ``base`` is the number of bytes that a single text has before the piece of it that ``data`` is.
+    """
 
     rows: slice
     data: np.ndarray
     ends: np.ndarray
+    base: int = 0
 
     def __len__(self) -> int:
         return len(self.ends) - 1
@@ -65,8 +70,12 @@ class Texts:
         return np.diff(self.ends)
 
 
-def text_slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[Texts]:
-    """Slices of about ``most`` bytes of a string or binary column; a null counts as empty."""
+def text_slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES, overlap: int | None = None) -> Iterator[Texts]:
+    """Slices of about ``most`` bytes of a string or binary column; a null counts as empty.
+
+    With ``overlap`` a longer text comes in pieces, each with so many bytes of the next: a window of one byte
+    more lies in exactly one piece by its start.
+    """
     col = batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary())
     if col.null_count:
         col = col.fill_null(b"")
@@ -79,7 +88,13 @@ def text_slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) ->
     at = 0
     while at < n:
         to = min(max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1), at + SLICE_TEXTS)
-        yield Texts(slice(at, to), raw[ends[at] : ends[to]], (ends[at : to + 1] - ends[at]).astype(np.int64))
+        size = int(ends[to] - ends[at])
+        if overlap is not None and to == at + 1 and size > most + overlap:
+            for first in range(0, size - overlap, most):
+                last = min(first + most + overlap, size)
+                yield Texts(slice(at, to), raw[ends[at] + first : ends[at] + last], np.array([0, last - first], np.int64), first)
+        else:
+            yield Texts(slice(at, to), raw[ends[at] : ends[to]], (ends[at : to + 1] - ends[at]).astype(np.int64))
         at = to
 
 

@@ -66,7 +66,7 @@ def segments(t: Texts, length: int, gram: int) -> tuple[np.ndarray, ...]:
 def _gram_batches(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
     begin_task("repeats grams")
     for batch in batches:
-        for t in text_slices(batch, "text"):
+        for t in text_slices(batch, "text", overlap=length - 1):
             yield pa.RecordBatch.from_arrays([pa.array(segments(t, length, gram)[4].view(np.int64))], names=["gram"])
 
 
@@ -79,7 +79,7 @@ def _segment_batches(batches: Iterator[pa.RecordBatch], length: int, gram: int,
     """Segments whose gram may occur twice, with their bytes."""
     begin_task("repeats segments")
     for batch in batches:
-        for t in text_slices(batch, "text"):
+        for t in text_slices(batch, "text", overlap=length - 1):
             own, start, count, offset, h = segments(t, length, gram)
             keep = _held(h, table.value)
             own, start, count, offset, h = own[keep], start[keep], count[keep], offset[keep], h[keep]
@@ -90,7 +90,7 @@ def _segment_batches(batches: Iterator[pa.RecordBatch], length: int, gram: int,
             digest = [hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(cut, cut[1:])]
             texts = batch.column(0).slice(t.rows.start, len(t)).take(pa.array(own))
             body = pa.Array.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(cut.astype(np.int32).tobytes()), pa.py_buffer(raw)])
-            cols = [texts, pa.array(start - t.ends[own]), pa.array(h.view(np.int64)), pa.array(offset.astype(np.int32)), pa.array(digest, pa.binary()), body]
+            cols = [texts, pa.array(start - t.ends[own] + t.base), pa.array(h.view(np.int64)), pa.array(offset.astype(np.int32)), pa.array(digest, pa.binary()), body]
             yield pa.RecordBatch.from_arrays(cols, names=["key", "start", "gram", "off", "digest", "body"])
 
 

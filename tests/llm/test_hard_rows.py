@@ -254,3 +254,18 @@ def test_columns_with_dots_pass_the_near_duplicates(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", "x"), (2, "a b c d e f", "y"), (2, "a b c d e f", "z")], ["doc_id", "text", "a.b"])
     out = corpus_pipeline.near_duplicates(spark, docs, "")
     assert out.columns == docs.columns and [tuple(r) for r in out.collect()] == [(1, "a b c d e f", "x")]
+
+
+def test_texts_longer_than_a_slice(spark):
+    """Repeats are found across the pieces of a long text, also where a piece ends within one."""
+    import random
+
+    from stratus.llm.arrays import SLICE_BYTES
+
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    passage = noise(700)
+    long = noise(SLICE_BYTES - 300) + passage + noise(2 * SLICE_BYTES - 950) + passage + noise(SLICE_BYTES)
+    docs = spark.createDataFrame([(1, long), (2, passage[:199]), (3, passage[100:300] + "é"), (4, noise(50))], "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffixdedup.remove_repeats(docs, cleaned=False).collect()}
+    assert got == {1: (len(long), 1400, 2), 2: (199, 0, 0), 3: (202, 200, 1), 4: (50, 0, 0)}
