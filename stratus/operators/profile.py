@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from stratus.functions import count_if, duck_round, half_even_round
 from stratus.operators.stats import number, with_quantiles
-from stratus.operators.tall import with_station_meta
 
 
 def _pct2(num: Column, den: Column) -> Column:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-import zlib
 from collections import Counter
 
 import numpy as np
