@@ -185,6 +185,8 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(out) + text[done:]
 
 
+#: Bytes of text that a block's automaton reads before the next block's is built.
+GATHERED = 64 << 20
 RESULTS: list[tuple[str, T.DataType]] = [
     ("n_words", T.LongType()), ("n_hit", T.LongType()), ("n_items", T.LongType()),
     ("items_sha256", T.StringType()), ("contaminated", T.BooleanType()), ("longest_hit", T.LongType()),
@@ -222,25 +224,28 @@ def decontaminate(
 
     def per_batch(batch: pa.RecordBatch) -> dict[str, object]:
         texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-        rows = [normalise(t) for t in texts]
-        spans: list[list[tuple[int, int]]] = [[] for _ in rows]
-        items: list[set] = [set() for _ in rows]
+        spans: list[list[tuple[int, int]]] = [[] for _ in texts]
+        items: list[set] = [set() for _ in texts]
+        counts: list[int] = []
         for k, block in enumerate(blocks):
             if k not in built:
                 if len(blocks) > 1:
                     built.clear()  # one block's automaton in memory at a time
                 built[k] = SuffixAutomaton.of(block.value, n)
-            for i, words in enumerate(rows):
+            counts = []
+            for i, t in enumerate(texts):
+                words = normalise(t)
+                counts.append(len(words))
                 s, found = built[k].scan(words)
                 if found:
                     spans[i] += s
                     items[i] |= found
         out: dict[str, list] = {c: [] for c, _ in added}
-        for t, words, s, found in zip(texts, rows, spans, items):
+        for t, n_words, s, found in zip(texts, counts, spans, items):
             s = merge_spans(s)
             hit = sum(b - a for a, b in s)
-            bad = hit > 0 and 100 * hit >= coverage_pct * len(words)
-            out["n_words"].append(len(words))
+            bad = hit > 0 and 100 * hit >= coverage_pct * n_words
+            out["n_words"].append(n_words)
             out["n_hit"].append(hit)
             out["n_items"].append(len(found))
             out["items_sha256"].append(hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest())
@@ -252,4 +257,5 @@ def decontaminate(
         types = {T.LongType(): pa.int64(), T.BooleanType(): pa.bool_(), T.StringType(): pa.string()}
         return {c: pa.array(out[c], types[t]) for c, t in added}
 
-    return with_results(docs, added, per_batch)
+    # the automata of several blocks take turns: then so much text is read by each
+    return with_results(docs, added, per_batch, gather=GATHERED if len(blocks) > 1 else 0)

@@ -79,15 +79,28 @@ def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, step)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at least ``least`` bytes, but for the last."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= least:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def with_results(
-    df: DataFrame, added: list[tuple[str, T.DataType]], per_batch: Callable[[pa.RecordBatch], dict[str, object]]
+    df: DataFrame, added: list[tuple[str, T.DataType]], per_batch: Callable[[pa.RecordBatch], dict[str, object]], gather: int = 0
 ) -> DataFrame:
     """``df`` with the columns that ``per_batch`` computes for each Arrow batch.
 
     An input column that has the name of an added one is replaced. No shuffle:
     each task streams its batches, and a lost task is simply run again. Large
     batches are taken in parts of about ``PART_BYTES``, which bounds what a
-    worker holds besides the batch.
+    worker holds besides the batch; with ``gather`` they are put together to
+    so many bytes instead, for work that has a price per batch.
     """
     bound_batches(df.sparkSession)
     names = [n for n, _ in added]
@@ -99,7 +112,7 @@ def with_results(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin_task(name)
-        for batch in parts(batches):
+        for batch in gathered(batches, gather) if gather else parts(batches):
             new = per_batch(batch)
             cols = [batch.column(batch.schema.get_field_index(f.name)) for f in keep]
             made = [x if isinstance(x, pa.Array) else pa.array(x) for x in (new[n] for n in names)]
