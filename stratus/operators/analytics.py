@@ -251,12 +251,19 @@ def daily_correlation(
     min_periods: int = 10,
 ) -> DataFrame:
     """Pearson correlation of the per-period means of two metrics, for all
-    stations in one job, reported only with more than ``min_periods`` periods."""
+    stations in one job, reported only with more than ``min_periods`` periods.
+
+    A station whose means of one metric never vary has no correlation: NaN, as in SQL (``corr`` itself would divide
+    by zero and fail the query, also for stations of too few periods)."""
     p = period_pairs(fact, dim, m1, m2, grain)
+    one, two = f"avg_{m1}", f"avg_{m2}"
     g = p.groupBy("station_name").agg(
         F.count(F.lit(1)).alias("periods"),
-        F.corr(f"avg_{m1}", f"avg_{m2}").alias("__r"),
+        F.covar_pop(one, two).alias("__cov"),
+        (F.stddev_pop(one) * F.stddev_pop(two)).alias("__dev"),
     )
+    r = F.when(F.col("__dev") == 0, F.lit(float("nan"))).otherwise(F.col("__cov") / F.col("__dev"))
+    g = g.withColumn("__r", F.when(F.col("periods") > 1, r))
     return (
         g.filter(F.col("periods") > min_periods)
         .select("station_name", "periods", duck_round("__r", 6).alias("correlation"))

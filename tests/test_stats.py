@@ -97,3 +97,20 @@ def test_moments_of_parts_are_those_of_the_whole(spark):
     assert np.isclose(got["__std"], x.std(ddof=1), rtol=1e-6)
     one = combined_moments(parts.filter("part = 0").withColumn("__n", F.lit(1)), ["g"]).first()
     assert one["__std"] is None
+
+
+def test_correlation_of_means_that_never_vary(spark):
+    """A station whose means are constant has no correlation (NaN); it does not stop the query, whatever its periods."""
+    from stratus.operators.analytics import daily_correlation
+
+    days = [(1, d, 3.0, float(d)) for d in range(1, 13)]  # constant wind
+    days += [(2, d, float(d), 2.0 * d + 1) for d in range(1, 13)]
+    days += [(3, d, 5.0, 5.0) for d in (1, 2)]  # constant, and of too few periods
+    days += [(4, d, 7.0, 8.0) for d in range(1, 13)]
+    rows = [(k, f"2024-01-{d:02d} 10:00:00", m, v, "VALID") for k, d, a, b in days for m, v in (("wind_speed", a), ("no2", b))]
+    fact = spark.createDataFrame(rows, "station_fk int, timestamp string, metric string, value double, quality_flag string")
+    fact = fact.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    dim = spark.createDataFrame([(k, f"s{k}") for k in (1, 2, 3, 4)], "station_pk int, station_name string")
+    got = {r.station_name: (r.periods, r.correlation) for r in daily_correlation(fact, dim).collect()}
+    assert set(got) == {"s1", "s2", "s4"} and got["s2"] == (12, 1.0)
+    assert np.isnan(got["s1"][1]) and np.isnan(got["s4"][1])
