@@ -84,34 +84,43 @@ def wind_header(cells: DataFrame, offset: int = 0) -> DataFrame:
 FALLBACK_ROWS = 8
 
 
-def air_layouts(cells: DataFrame, offset: int = 1) -> DataFrame:
-    """P2 + P3: one row per file: ``layout`` (standard, fallback or synthetic), ``best_row``, ``width``, ``data_start``.
-
-    A file of at least five frame rows with two station-like cells in frame row 2 and a pollutant in row 3 has
-    the standard layout. Otherwise the frame row among the first 8 with most station-like cells (at least 2; the
-    earliest wins ties) is its header. All of this is one aggregate per file: the rows are scored by counters of
-    their own, and the first greatest counter names the row.
-    """
+def _layout_counts(offset: int) -> list[Column]:
+    """What decides the layout of a file, as aggregates of its cells that add up (``rows``, ``width``: the greatest)."""
     frow = F.col("sheet_row") - offset
     txt = F.coalesce(F.col("text"), F.lit(""))
     station_like = _contains_any(txt, STATION_INDICATORS)
     beside = F.col("col") >= 1
-    score = [count_if((frow == r) & station_like) for r in range(FALLBACK_ROWS)]
-    g = cells.groupBy("file").agg(
-        (F.max("sheet_row") - offset + 1).alias("frame_rows"),
+    return [
+        F.max("sheet_row").alias("rows"),
         F.max("col").alias("width"),
         count_if((frow == 2) & beside & station_like).alias("st_hits"),
         count_if((frow == 3) & beside & F.upper(txt).isin(POLLUTANT_INDICATORS)).alias("pol_hits"),
-        F.array(*score).alias("scores"),
-    )
-    standard = (F.col("frame_rows") >= 5) & (F.col("st_hits") >= 2) & (F.col("pol_hits") >= 1)
-    best = F.array_max("scores")
+        *[count_if((frow == r) & station_like).alias(f"score{r}") for r in range(FALLBACK_ROWS)],
+    ]
+
+
+def _with_layout(files: DataFrame, offset: int) -> DataFrame:
+    """``files`` (rows with the counts of their file) with ``layout``, ``best_row`` and ``data_start``."""
+    scores = F.array(*[F.col(f"score{r}") for r in range(FALLBACK_ROWS)])
+    best = F.array_max(scores)
+    standard = (F.col("rows") - offset + 1 >= 5) & (F.col("st_hits") >= 2) & (F.col("pol_hits") >= 1)
     layout = F.when(standard, "standard").when(best >= 2, "fallback").otherwise("synthetic")
-    row = F.when(F.col("layout") == "fallback", F.array_position("scores", best).cast("int") - 1)
+    row = F.when(F.col("layout") == "fallback", F.array_position(scores, best).cast("int") - 1)
     start = F.when(F.col("layout") == "standard", 5).when(F.col("layout") == "fallback", F.col("best_row") + 1).otherwise(1)
-    return g.withColumn("layout", layout).withColumn("best_row", row).select(
-        "file", "layout", "best_row", "width", (start + offset).cast("int").alias("data_start")
-    )
+    out = files.withColumn("layout", layout).withColumn("best_row", row)
+    return out.withColumn("data_start", (start + offset).cast("int"))
+
+
+def air_layouts(cells: DataFrame, offset: int = 1) -> DataFrame:
+    """P2 + P3: one row per file: ``layout`` (standard, fallback or synthetic), ``best_row``, ``width``, ``data_start``.
+
+    A file of at least five frame rows with two station-like cells in frame row 2 and a pollutant in row 3 has
+    the standard layout. Otherwise the frame row among the first 8 with most station-like cells (at least 2; the
+    earliest wins ties) is its header. All of this is one aggregate per file: the rows are scored by counters of
+    their own, and the first greatest counter names the row.
+    """
+    files = cells.groupBy("file").agg(*_layout_counts(offset))
+    return _with_layout(files, offset).select("file", "layout", "best_row", "width", "data_start")
 
 
 def air_header(cells: DataFrame, offset: int = 1) -> DataFrame:
@@ -121,32 +130,33 @@ def air_header(cells: DataFrame, offset: int = 1) -> DataFrame:
     row names the stations, parameters and units are 'Unknown', and data starts on the next row. Files without
     either get a synthetic station name per column, which no register knows, and data from frame row 1.
     ``offset`` is the number of sheet rows consumed as the frame's column header.
+
+    The cells are read once: counts and header texts are aggregated per column, and a file's columns add up its
+    counts to the layout (:func:`air_layouts` by the same rules). A file without a header is made up by its first column.
     """
-    layouts = air_layouts(cells, offset)
     frow = F.col("sheet_row") - offset
-    h = cells.filter(frow.between(0, FALLBACK_ROWS - 1) & (F.col("col") >= 1))
     txt = F.coalesce(F.col("text"), F.lit(""))
-    g = h.groupBy("file", "col").agg(*[F.max(F.when(frow == r, txt)).alias(f"r{r}") for r in range(FALLBACK_ROWS)])
-    named = g.join(layouts.filter(F.col("layout") != "synthetic"), "file")
-    standard = F.col("layout") == "standard"
+    texts = [F.max(F.when(frow == r, txt)).alias(f"r{r}") for r in range(FALLBACK_ROWS)]
+    columns = cells.groupBy("file", "col").agg(*_layout_counts(offset), *texts)
+    of_file = Window.partitionBy("file")
+    sums = ["st_hits", "pol_hits", *[f"score{r}" for r in range(FALLBACK_ROWS)]]
+    whole = {c: F.max(c).over(of_file) for c in ("rows", "width")} | {c: F.sum(c).over(of_file) for c in sums}
+    g = _with_layout(columns.withColumns({**whole, "first": F.col("col").eqNullSafe(F.min("col").over(of_file))}), offset)
     row = F.array(*[F.col(f"r{r}") for r in range(FALLBACK_ROWS)])
+    synthetic, standard = F.col("layout") == "synthetic", F.col("layout") == "standard"
+    headed = F.col("file").isNotNull() & (F.col("col") >= 1) & F.coalesce(*[F.col(f"r{r}") for r in range(FALLBACK_ROWS)]).isNotNull()
+    made = F.when(F.col("first") & (F.col("width") >= 1), F.sequence(F.lit(1), "width"))
+    at = F.explode(F.when(synthetic, made).otherwise(F.when(headed, F.array("col"))))
 
     def of(r: int) -> Column:
         return F.when(standard, F.coalesce(F.col(f"r{r}"), F.lit(""))).otherwise(F.lit("Unknown"))
 
-    station = F.when(standard, F.col("r2")).otherwise(F.get(row, F.col("best_row")))
-    found = named.select(
-        "file", "col", F.coalesce(station, F.lit("")).alias("station"), of(3).alias("param"), of(4).alias("unit"), "data_start", "layout"
-    )
-    made = layouts.filter((F.col("layout") == "synthetic") & (F.col("width") >= 1)).select(
-        "file", F.explode(F.sequence(F.lit(1), "width")).alias("col"), "data_start", "layout"
+    found = F.coalesce(F.when(standard, F.col("r2")).otherwise(F.get(row, F.col("best_row"))), F.lit(""))
+    out = g.select("file", at.alias("at"), found.alias("found"), of(3).alias("param"), of(4).alias("unit"), "data_start", "layout")
+    name = F.concat(F.lit("Unknown_Station_"), (F.col("at") - 1).cast("string"))
+    return out.select(
+        "file", F.col("at").alias("col"), F.when(synthetic, name).otherwise(F.col("found")).alias("station"), "param", "unit", "data_start", "layout"
     )
-    return found.unionByName(
-        made.select(
-            "file", "col", F.concat(F.lit("Unknown_Station_"), (F.col("col") - 1).cast("string")).alias("station"),
-            F.lit("Unknown").alias("param"), F.lit("Unknown").alias("unit"), "data_start", "layout",
-        )
-    )
 
 
 # ------------------------------------------------------------------ J7

@@ -29,15 +29,24 @@ HYPHEN_NATION = 6
 _LINE = ["l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order and line number (of several the least by its columns) with supplier, part and order."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *_LINE)
-    one = li.groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct(*_LINE)).alias("x")).select("l_orderkey", "l_linenumber", "x.*")
+def lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """One row per order and line number (of several the least by its columns) with supplier, part and order.
+
+    Lines are dealt by their sheet (``file``, named by ``kind`` and the order) before anything is grouped, and the
+    orders join them there. All later steps work within a sheet, so they find their rows together: neither the
+    cells, six times as many, nor the header cells are shuffled again.
+    """
+    li = table(spark, sf_dir, "lineitem").select(_file(kind, "l_orderkey").alias("file"), "l_linenumber", *_LINE)
+    one = li.repartition("file").groupBy("file", "l_linenumber").agg(F.min(F.struct(*_LINE)).alias("x")).select("file", "l_linenumber", "x.*")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    o = table(spark, sf_dir, "orders").select(_file(kind, "o_orderkey").alias("file"), "o_orderkey", "o_orderstatus")
     j = one.join(s, one["l_suppkey"] == s["s_suppkey"]).join(p, one["l_partkey"] == p["p_partkey"])
-    return j.join(o, j["l_orderkey"] == o["o_orderkey"])
+    return j.join(o, "file")
+
+
+def _file(kind: str, order: str) -> Column:
+    return F.concat(F.lit(f"{kind}_"), F.col(order).cast("string"), F.lit(".xlsx"))
 
 
 def _case(col: Column, values: dict, otherwise: Column | None = None) -> Column:
@@ -73,28 +82,27 @@ def _value_text(tokens: dict[int, str], tenfold: bool) -> Column:
     return out.otherwise(_case(d, tokens, q.cast("string")))
 
 
-def _cells(df: DataFrame, file: Column, cells: list[tuple[Column | int, Column | int, Column]]) -> DataFrame:
+def _cells(df: DataFrame, cells: list[tuple[Column | int, Column | int, Column]]) -> DataFrame:
     """The cells of each line; cells without text are absent, and one that several lines give has the greatest text."""
     items = [
         F.struct(*[(c if isinstance(c, Column) else F.lit(c)).cast("int").alias(n) for n, c in (("sheet_row", r), ("col", k))], t.alias("text"))
         for r, k, t in cells
     ]
-    out = df.select(file.alias("file"), F.explode(F.array(*items)).alias("c")).select("file", "c.*").filter(F.col("text").isNotNull())
+    out = df.select("file", F.explode(F.array(*items)).alias("c")).select("file", "c.*").filter(F.col("text").isNotNull())
     return out.groupBy("file", "sheet_row", "col").agg(F.max("text").alias("text")).withColumn("kind", F.lit("s"))
 
 
 def wind_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header rows 2-4; a dated row per line from row 6 on, dates in one of two forms by sheet, some of them none."""
-    df, n = lines(spark, sf_dir), F.col("l_linenumber")
+    df, n = lines(spark, sf_dir, "wind"), F.col("l_linenumber")
     station = F.when(F.col("l_returnflag") == "A", F.concat(F.lit(" "), _station("-"))).when(F.col("l_returnflag") == "R", F.lit("  "))
     param = F.when(F.col("p_type") == "MEDIUM", F.col("p_name")).otherwise(_case(F.col("p_type"), WIND_PARAMS))
     iso, us = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm"), F.date_format("l_shipdate", "M/d/yyyy H:mm")
-    even, tax = F.col("l_orderkey") % 2 == 0, _hundredths("l_tax")
+    even, tax = F.col("o_orderkey") % 2 == 0, _hundredths("l_tax")
     # one tax rate has no date, one a word, one the other form of the date
     date = F.when(tax == 7, F.lit(None).cast("string")).when(tax == 8, "Minimum").when((tax == 6) == even, us).otherwise(iso)
     return _cells(
         df,
-        F.concat(F.lit("wind_"), F.col("l_orderkey").cast("string"), F.lit(".xlsx")),
         [
             (2, n, station), (3, n, param), (4, n, F.when(F.col("l_linestatus") == "O", F.lit(" m/s"))),
             (n + 5, 0, date), (n + 5, n, _value_text(WIND_TOKENS, tenfold=True)),
@@ -104,7 +112,7 @@ def wind_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def air_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header rows by the order's status (standard, shifted, stations twice); dated rows from row 8 on, days first."""
-    df, n = lines(spark, sf_dir), F.col("l_linenumber")
+    df, n = lines(spark, sf_dir, "air"), F.col("l_linenumber")
     registered = F.col("l_returnflag") != "R"
     station = F.when(registered, _station("-")).otherwise(F.col("s_name"))
     param = _case(F.col("l_returnflag"), AIR_PARAMS)
@@ -114,7 +122,6 @@ def air_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.when(status == "F", F.lit(3)).otherwise(F.lit(2))
     return _cells(
         df,
-        F.concat(F.lit("air_"), F.col("l_orderkey").cast("string"), F.lit(".xlsx")),
         [
             (first, n, station), (first + 1, n, param), (first + 2, n, F.when(F.col("l_linestatus") == "O", F.lit("ug/m3"))),
             (6, n, F.when(status == "P", station)),

@@ -1,7 +1,11 @@
 """Raw sheets derived from the tables: every branch of header parsing and cleaning occurs in them."""
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from stratus.operators import clean as P
+from stratus.plans.checks import physical_plan
 from stratus.registry import QUERIES
 from stratus.sources import sheets
 from tests.conftest import SF_MID, SF_SMALL
@@ -57,3 +61,39 @@ def test_synthetic_names_cover_the_width(spark):
 def test_empty_input(spark):
     cells = _cells(spark, [])
     assert P.air_header(cells).count() == 0 and P.wind_header(cells).count() == 0 and P.air_layouts(cells).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["wind", "air"])
+def test_headers_need_no_shuffle_of_cells(spark, kind):
+    """The lines are dealt by sheet once; neither the cells nor the header cells are shuffled after that."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large dimensions
+        cells = sheets.wind_sheets(spark, SF_SMALL) if kind == "wind" else sheets.air_sheets(spark, SF_SMALL)
+        plan = physical_plan(P.wind_header(cells) if kind == "wind" else P.air_header(cells), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)
+    assert keys and not any("sheet_row" in k or "col#" in k for k in keys)
+    # lines by sheet, supplier and part with both sides, then joined lines and orders by sheet
+    assert len(keys) == 7
+
+
+def test_header_agrees_with_layout_on_odd_cells(spark):
+    """Files and columns without a name, columns left of the frame and rows above it count as they do in the layout."""
+    site = "A AQM Site"
+    rows = [("std", 3, 1, site), ("std", 3, 2, site), ("std", 4, 1, "NO2"), ("std", 5, 2, "ppb"), ("std", 9, 3, "1"), ("std", 0, 4, site)]
+    rows += [("fall", 4, 0, site), ("fall", 4, 2, site), ("fall", 6, 1, site), ("fall", 6, 2, None), ("fall", 1, None, site)]
+    rows += [("none", 3, 0, site), ("none", 2, 0, "x"), ("nocol", 2, None, "x"), ("tall", 30, 2, "5")]
+    rows += [(None, 4, 1, site), (None, 4, 2, site), ("norow", None, 2, site)]
+    cells = _cells(spark, rows)
+    got = sorted((r.file, r.col, r.station, r.param, r.unit, r.data_start, r.layout) for r in P.air_header(cells).collect())
+    unknown = ("Unknown", "Unknown")
+    made = lambda f, n: [(f, c, f"Unknown_Station_{c - 1}", *unknown, 2, "synthetic") for c in range(1, n + 1)]
+    assert got == sorted(
+        [("std", 1, site, "NO2", "", 6, "standard"), ("std", 2, site, "", "ppb", 6, "standard")]
+        + [("fall", 1, "", *unknown, 5, "fallback"), ("fall", 2, site, *unknown, 5, "fallback")]
+        + made("tall", 2) + made("norow", 2)
+    )
+    layouts = {r.file: r.layout for r in P.air_layouts(cells).collect()}
+    assert all(layouts[r[0]] == r[6] for r in got) and layouts["nocol"] == "synthetic"
