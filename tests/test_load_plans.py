@@ -2,6 +2,7 @@
 import os
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratus.operators import clean as P
@@ -136,3 +137,26 @@ def test_checks_that_must_find_something(spark, name):
 def test_all_issue_kinds_occur(spark):
     assert QUERIES["a14_dq_issues_sparse"](spark, SF_SMALL).count() == 4
     assert QUERIES["j1_missing_metadata_facts"](spark, SF_SMALL).first().missing_metadata >= 0
+
+
+def test_ranges_compare_columns_not_structs(spark):
+    """Rows are dealt to ranges by few plain comparisons, in the same order as a sort by the columns."""
+    nan, inf = float("nan"), float("inf")
+    rows = [(a, v, s) for a in (None, 1, 2) for v in (None, nan, inf, -inf, -0.0, 0.0, 1.5) for s in (None, "", "x", "y")] * 3
+    df = spark.createDataFrame(rows, "a int, v double, s string")
+    names = ["a", "v", "s"]
+    bounds = L.range_bounds(df, names, 20)
+    part = df.withColumn("p", L.range_of(df, names, bounds))
+    assert "struct" not in physical_plan(part, "simple")
+    place = F.row_number().over(Window.orderBy(*[F.asc_nulls_last(n) for n in names]))
+    ordered = [r.p for r in part.withColumn("i", place).orderBy("i").collect()]
+    assert ordered == sorted(ordered) and len(set(ordered)) > 10
+    keyed = L.assign_keys(df, names, partitions=20).withColumn("i", place)
+    same = keyed.groupBy(*names).agg(F.sum("i").alias("i"), F.sum("measurement_pk").alias("k"))
+    assert same.filter("i <> k").count() == 0
+
+
+def test_short_bounds():
+    bounds = [(1, "a", 5), (1, "b", 1), (1, "b", 2), (2, "a", 1), (7, "c", 1), (None, "a", 1)]
+    assert L.short_bounds(bounds) == [(1, "a"), (1, "b", 1), (1, "b", 2), (2,), (7,), (None,)]
+    assert L.short_bounds([]) == [] and L.short_bounds([(3, 4)]) == [(3,)]
