@@ -250,24 +250,33 @@ def _data_cells(
     inferred for that file (``file_date_formats``) instead of trying every
     format per cell; typed date cells are always taken as they are.
     """
-    stamps = cells.filter(F.col("col") == 0)
+    if not isinstance(start_col, str):  # rows above the data give no readings
+        cells = cells.filter(F.col("sheet_row") >= start_col)
+    cells = cells.filter(F.col("col") >= 0)
     if infer:
+        stamps = cells.filter(F.col("col") == 0)
         if isinstance(start_col, str):
             starts = mapping.select("file", start_col).distinct()
             stamps = stamps.join(starts, "file", "inner")
-        fmts = file_date_formats(stamps, formats, start_col)
-        stamps = stamps.join(fmts, "file", "left")
+        cells = cells.join(file_date_formats(stamps, formats, start_col), "file", "left")
         text_ts = _parse_with(F.col("text"), F.col("__fmt"), formats)
         ts = F.when(F.col("kind") == F.lit("d"), to_ts(F.col("text"), ISO_TS_FORMATS)).otherwise(text_ts)
     else:
         ts = _timestamp_of(F.col("text"), F.col("kind"), formats)
-    dt = stamps.select("file", "sheet_row", ts.alias("datetime"))
-    # every mapped column of a timed row is a reading: a blank cell is one without a value
+    # a cell stands for its own column and for the blank ones up to the next cell of its row, so the readings need
+    # no join of cells by row and column, and a timed row has a cell left of all of them
+    timed = cells.select("file", "sheet_row", F.col("col").alias("__at"), "text", "kind", F.when(F.col("col") == 0, ts).alias("__ts"))
+    row = Window.partitionBy("file", "sheet_row").orderBy("__at")
+    whole = row.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    timed = timed.withColumns({"__next": F.lead("__at").over(row), "__stamps": F.collect_list("__ts").over(whole)}).drop("__ts")
+    timed = timed.filter(F.size("__stamps") > 0)
+    m = mapping.filter(F.col("col") >= 1).withColumnRenamed("file", "__file")
     start = F.col(start_col) if isinstance(start_col, str) else F.lit(start_col)
-    timed = dt.filter(F.col("datetime").isNotNull()).join(mapping, "file", "inner")
-    timed = timed.filter((F.col("col") >= 1) & (F.col("sheet_row") >= start))
-    data = cells.filter(F.col("col") >= 1).select("file", "sheet_row", "col", "text", "kind")
-    return timed.join(data, ["file", "sheet_row", "col"], "left")
+    own = F.col("col") == F.col("__at")
+    blank = (F.col("col") > F.col("__at")) & (F.col("__next").isNull() | (F.col("col") < F.col("__next")))
+    read = timed.join(m, (F.col("file") == F.col("__file")) & (own | blank) & (F.col("sheet_row") >= start))
+    read = read.withColumns({"text": F.when(own, F.col("text")), "kind": F.when(own, F.col("kind")), "datetime": F.explode("__stamps")})
+    return read.drop("__file", "__at", "__next", "__stamps", "__fmt")
 
 
 def stage_wind(cells: DataFrame, aliases: DataFrame, offset: int = 0) -> DataFrame:

@@ -26,23 +26,31 @@ AIR_TOKENS = {0: "<Samp", 1: "Down", 2: "RS232", 3: "Zero", 4: "Calib", 5: "NaN"
 NEGATIVE, TENFOLD, BLANK = 5, 6, 7
 #: Nation whose stations are written with a hyphen in sheets and without in the register.
 HYPHEN_NATION = 6
+#: Lines in a part of the deal by sheet.
+DEALT = 500_000
 _LINE = ["l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+def lines(spark: SparkSession, sf_dir: str, kind: str, of_part: Column | None = None) -> DataFrame:
     """One row per order and line number (of several the least by its columns) with supplier, part and order.
 
-    Lines are dealt by their sheet (``file``, named by ``kind`` and the order) before anything is grouped, and the
-    orders join them there. All later steps work within a sheet, so they find their rows together: neither the
-    cells, six times as many, nor the header cells are shuffled again.
+    The parts come first, one row for each key (``of_part``: an aggregate of the key's rows, a column of that name),
+    so lines need no shuffle by part after they have been dealt by their sheet (``file``, named by ``kind`` and the
+    order). Orders join them there, and all later steps work within a sheet, so they find their rows together: neither the cells,
+    six times as many, nor the header cells are shuffled again. The parts of this deal hold some ``DEALT`` lines
+    each, as the cells of a part are sorted in memory and take many times the bytes that were shuffled.
     """
-    li = table(spark, sf_dir, "lineitem").select(_file(kind, "l_orderkey").alias("file"), "l_linenumber", *_LINE)
-    one = li.repartition("file").groupBy("file", "l_linenumber").agg(F.min(F.struct(*_LINE)).alias("x")).select("file", "l_linenumber", "x.*")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *_LINE)
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    p = table(spark, sf_dir, "part").filter(F.col("p_partkey").isNotNull())
+    p = p.select("p_partkey").distinct() if of_part is None else p.groupBy("p_partkey").agg(of_part.alias("of_part"))
     o = table(spark, sf_dir, "orders").select(_file(kind, "o_orderkey").alias("file"), "o_orderkey", "o_orderstatus")
-    j = one.join(s, one["l_suppkey"] == s["s_suppkey"]).join(p, one["l_partkey"] == p["p_partkey"])
-    return j.join(o, "file")
+    kept = [*_LINE, F.col("p_partkey").isNotNull().alias("has_part"), *p.columns[1:]]
+    sold = li.join(p, li["l_partkey"] == p["p_partkey"], "left").select(_file(kind, "l_orderkey").alias("file"), "l_linenumber", *kept)
+    deal = max(spark.sparkContext.defaultParallelism, -(-li.count() // DEALT))
+    least = F.min(F.struct(*sold.columns[2:])).alias("x")  # a part's columns decide nothing: equal keys have equal ones
+    one = sold.repartition(deal, "file").groupBy("file", "l_linenumber").agg(least).select("file", "l_linenumber", "x.*").filter("has_part")
+    return one.join(s, one["l_suppkey"] == s["s_suppkey"]).join(o, "file")
 
 
 def _file(kind: str, order: str) -> Column:
@@ -89,14 +97,16 @@ def _cells(df: DataFrame, cells: list[tuple[Column | int, Column | int, Column]]
         for r, k, t in cells
     ]
     out = df.select("file", F.explode(F.array(*items)).alias("c")).select("file", "c.*").filter(F.col("text").isNotNull())
-    return out.groupBy("file", "sheet_row", "col").agg(F.max("text").alias("text")).withColumn("kind", F.lit("s"))
+    # in this order of keys the cells are sorted by column, as the headers need them
+    out = out.groupBy("file", "col", "sheet_row").agg(F.max("text").alias("text"))
+    return out.select("file", "sheet_row", "col", "text", F.lit("s").alias("kind"))
 
 
 def wind_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header rows 2-4; a dated row per line from row 6 on, dates in one of two forms by sheet, some of them none."""
-    df, n = lines(spark, sf_dir, "wind"), F.col("l_linenumber")
-    station = F.when(F.col("l_returnflag") == "A", F.concat(F.lit(" "), _station("-"))).when(F.col("l_returnflag") == "R", F.lit("  "))
     param = F.when(F.col("p_type") == "MEDIUM", F.col("p_name")).otherwise(_case(F.col("p_type"), WIND_PARAMS))
+    df, n = lines(spark, sf_dir, "wind", F.max(param)), F.col("l_linenumber")
+    station = F.when(F.col("l_returnflag") == "A", F.concat(F.lit(" "), _station("-"))).when(F.col("l_returnflag") == "R", F.lit("  "))
     iso, us = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm"), F.date_format("l_shipdate", "M/d/yyyy H:mm")
     even, tax = F.col("o_orderkey") % 2 == 0, _hundredths("l_tax")
     # one tax rate has no date, one a word, one the other form of the date
@@ -104,7 +114,7 @@ def wind_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cells(
         df,
         [
-            (2, n, station), (3, n, param), (4, n, F.when(F.col("l_linestatus") == "O", F.lit(" m/s"))),
+            (2, n, station), (3, n, F.col("of_part")), (4, n, F.when(F.col("l_linestatus") == "O", F.lit(" m/s"))),
             (n + 5, 0, date), (n + 5, n, _value_text(WIND_TOKENS, tenfold=True)),
         ],
     )

@@ -97,3 +97,71 @@ def test_header_agrees_with_layout_on_odd_cells(spark):
     )
     layouts = {r.file: r.layout for r in P.air_layouts(cells).collect()}
     assert all(layouts[r[0]] == r[6] for r in got) and layouts["nocol"] == "synthetic"
+
+
+def _shuffle_keys(df):
+    return re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", physical_plan(df, "simple"))
+
+
+@pytest.mark.parametrize("query", ["p8_stage_air", "p7_stage_wind"])
+def test_staging_needs_no_shuffle_of_cells(spark, query):
+    """Readings find their cells in the sheet's rows: neither the grid of rows and columns nor the cells are dealt again."""
+    keys = _shuffle_keys(QUERIES[query](spark, SF_SMALL))
+    assert keys and not any("sheet_row" in k or "col#" in k for k in keys)
+
+
+def test_staged_blanks_repeats_and_gaps(spark):
+    """Each mapped column of a timed row gives a reading for each of its cells, or one without a value."""
+    site = lambda n: f"S{n} AQM Site"
+    top = [("f", 3, c, site(c)) for c in (1, 2, 4, 6)] + [("f", 4, 1, "NO2"), ("f", 1, 3, "x")]
+    data = [("f", 6, 0, "1/2/2020 5:00"), ("f", 6, 2, "7"), ("f", 6, 3, "8"), ("f", 6, 4, "9"), ("f", 6, 4, "10"), ("f", 6, 9, "11")]
+    data += [("f", 7, 0, "2/2/2020 5:00"), ("f", 7, 0, "3/2/2020 5:00"), ("f", 7, -1, "4"), ("f", 7, 6, "12")]
+    data += [("f", 8, 0, "no date"), ("f", 8, 1, "1"), ("f", 9, 1, "1"), ("f", 5, 0, "1/1/2020 1:00"), ("f", None, 0, "1/1/2020 1:00")]
+    data += [(None, 6, 0, "1/2/2020 5:00"), ("g", 6, 0, "1/2/2020 5:00"), ("f", 10, 0, "4/2/2020 5:00"), ("f", 10, None, "5")]
+    aliases = spark.createDataFrame([(site(c), c * 10) for c in (1, 2, 4)], "alias string, station_pk long")
+    got = P.stage_air(_cells(spark, top + data), aliases, F.lit("no2")).collect()
+    found = sorted((r.sheet_row, r.datetime.day, r.station_pk, r.col, r.value is not None, r.value or 0) for r in got)
+    expected = [(6, 1, 10, 1, False, 0), (6, 1, 20, 2, True, 7), (6, 1, 40, 4, True, 9), (6, 1, 40, 4, True, 10)]
+    expected += [(row, day, c * 10, c, False, 0) for row, day in ((7, 2), (7, 3), (10, 4)) for c in (1, 2, 4)]
+    assert found == sorted(expected)
+
+
+def test_lines_are_dealt_after_the_parts_have_joined(spark):
+    """With parts too many to broadcast a line is shuffled by part and by sheet, once each."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "6000")  # more than the suppliers, less than the parts
+        keys = _shuffle_keys(QUERIES["j7_unknown_stations"](spark, SF_MID))
+    finally:
+        spark.conf.set(name, before)
+    assert sorted(k.split("#")[0] for k in keys) == ["file", "file", "l_partkey", "p_partkey"]  # with parts and orders
+
+
+@pytest.mark.parametrize("kind", ["wind", "air"])
+def test_parts_of_the_deal_hold_a_bounded_number_of_lines(spark, monkeypatch, kind):
+    monkeypatch.setattr(sheets, "DEALT", 1000)
+    n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    cells = sheets.wind_sheets(spark, SF_SMALL) if kind == "wind" else sheets.air_sheets(spark, SF_SMALL)
+    assert cells.rdd.getNumPartitions() == -(-n // 1000) > spark.sparkContext.defaultParallelism
+
+
+def test_keys_that_repeat(spark, tmp_dir):
+    """Of repeated lines the least counts, also when its part is missing; repeated parts give the greatest text, or a reading each."""
+    from stratus import registry
+    from stratus.sources.drivertables import TABLE_SCHEMAS
+
+    def write(name, rows):
+        spark.createDataFrame(rows, TABLE_SCHEMAS[name].replace("timestamp_ntz", "string")).select(
+            *[F.col(c.split()[0]).cast(c.split()[1]) for c in TABLE_SCHEMAS[name].split(", ")]
+        ).write.parquet(f"{tmp_dir}/{name}.parquet")
+
+    line = lambda order, part, n: (order, part, 1, n, 5.0, 1.0, 0.1, 0.01, "A", "O", "2020-01-02 03:00:00")
+    write("lineitem", [line(1, 1, 1), line(1, 1, 1), line(1, 2, 1), line(1, 9, 2), line(1, 3, 3), line(1, 8, 3), line(2, 0, 1), line(2, 1, 1), line(None, 1, 1)])
+    write("part", [(1, "a", "b", "ECONOMY", 1, 1.0), (1, "a", "b", "STANDARD", 1, 1.0), (2, "a", "b", "LARGE", 1, 1.0), (3, "a", "b", None, 1, 1.0), (None, "a", "b", "SMALL", 1, 1.0)])
+    write("supplier", [(1, "S", 1, 1.0)])
+    write("orders", [(k, 1, "F", 1.0, "2020-01-01 00:00:00", "x") for k in (1, 2)])
+    header = P.wind_header(sheets.wind_sheets(spark, tmp_dir)).collect()
+    assert [(r.file, r.col, r.param) for r in header] == [("wind_1.xlsx", 1, "Wind Speed V")]
+    found = sorted((r.l_orderkey, r.l_linenumber, str(r.metric)) for r in registry._raw_readings(spark, tmp_dir).collect())
+    assert found == [(1, 1, "no2"), (1, 1, "wind_direction"), (1, 3, "None")]
