@@ -62,7 +62,7 @@ def wind_header(cells: DataFrame, offset: int = 0) -> DataFrame:
     station cell inherits the last station to its left; a column enters the
     mapping when it has a parameter and some station is known.
     """
-    h = cells.filter((F.col("sheet_row") < HEADER_ROWS + offset) & (F.col("col") >= 1))
+    h = cells.filter(F.col("sheet_row").between(2 + offset, 4 + offset) & (F.col("col") >= 1))
     txt = F.coalesce(F.col("text"), F.lit(""))
     g = h.groupBy("file", "col").agg(
         F.max(F.when(F.col("sheet_row") == 2 + offset, python_strip(txt))).alias("st"),

@@ -12,11 +12,13 @@ from stratus.functions import (
     normalise_station,
     pct,
     pollutant_from_filename,
+    python_strip,
     to_fact_value,
     to_number,
     to_ts,
     trunc_ts,
 )
+from stratus.plans.checks import physical_plan
 
 
 def _one(spark, values, schema, expr):
@@ -88,3 +90,11 @@ def test_to_fact_value(spark):
     assert got == [Decimal("1.2346"), Decimal("-1.2346"), None, None, None]
     with pytest.raises(Exception):
         _one(spark, [123456789.5], "x double", to_fact_value)
+
+
+def test_strip_is_that_of_the_pattern_without_its_time(spark):
+    """Native trimming, but for texts that end in a line end which ``$`` passes over and ``\\s`` does not know."""
+    ends = ["", " ", "\t\n", "\x0b\f\r", "\x85", "\u2028", " \u2029", "\xa0", "\x1c "]
+    df = spark.createDataFrame([(a + x + b,) for a in ends for b in ends for x in ("", "a", "Somerset-West b")] + [(None,)], "t string")
+    assert df.filter(~python_strip("t").eqNullSafe(F.regexp_replace("t", r"^\s+|\s+$", ""))).count() == 0
+    assert "regexp" not in physical_plan(df.select(normalise_station("t")), "simple").split("ELSE")[-1]
