@@ -41,8 +41,6 @@ ISO_TS_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-
 # Range rules (P11): metric -> (min, max); None means unbounded.
 WIND_RANGE_RULES = {"wind_direction": (0.0, 360.0), "wind_speed": (0.0, None)}
 
-HEADER_ROWS = 10  # header detection never looks further down a sheet
-
 
 def _contains_any(col: Column, needles: list[str]) -> Column:
     out = F.lit(False)
