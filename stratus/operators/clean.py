@@ -5,7 +5,7 @@ per non-empty cell with its absolute sheet row and column). Header parsing
 only ever touches the first rows of each file (a few cells per column), so the
 per-file windows it uses are small; the result is a small mapping frame
 ``(file, col) -> (station_pk, metric)`` that is broadcast onto the data cells.
-Data cells are joined to their row's timestamp cell on (file, sheet_row),
+Data cells take their row's timestamp by a window over (file, sheet_row), are
 cleaned with column expressions and never leave the executors.
 """
 
@@ -274,7 +274,7 @@ def _data_cells(
     blank = (F.col("col") > F.col("__at")) & (F.col("__next").isNull() | (F.col("col") < F.col("__next")))
     read = timed.join(m, (F.col("file") == F.col("__file")) & (own | blank) & (F.col("sheet_row") >= start))
     read = read.withColumns({"text": F.when(own, F.col("text")), "kind": F.when(own, F.col("kind")), "datetime": F.explode("__stamps")})
-    return read.drop("__file", "__at", "__next", "__stamps", "__fmt")
+    return read.drop("__file", "__at", "__next", "__stamps")
 
 
 def stage_wind(cells: DataFrame, aliases: DataFrame, offset: int = 0) -> DataFrame:
