@@ -8,10 +8,11 @@ segmentation differs from place to place and from document to document, and a
 run repeats exactly. Nothing is normalised: decoding gives back every text
 unchanged.
 
-A chunk's segmentation depends on nothing but which of its candidates were
-skipped. Most occurrences skip none; these share one cached form. An occurrence
-with skipped candidates is kept under their numbers, so frequent words are
-segmented once for each pattern that occurs.
+A part's segmentation depends on nothing but which of its candidates were
+skipped, so forms are kept by part and skipped candidates. What is not known
+yet is merged many parts at a time: first the parts of a batch without skips,
+then, as each text's place in its stream depends on what came before, one part
+of each of many texts at a time.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import heapq
 import re
 import zlib
 from array import array
+from bisect import bisect_right
 from functools import partial
 from hashlib import blake2b
 
@@ -34,10 +36,21 @@ from .frames import task_cache, with_results
 SPACE = "▁"
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
 _MARKS = ".,!?;:"
-_CACHE = 3 << 17  # forms that are kept
-_LETTER_MARK = re.compile(rf"[A-Za-zÀ-ÿ][{_MARKS}]\Z")
+# the same cut again before a mark that ends a chunk after a letter
+_PART = re.compile(rf" *[^ \n]+(?<![A-Za-zÀ-ÿ][{_MARKS}])| +|\n|[{_MARKS}]")
+_CACHE = 1 << 20  # forms that are kept
 _SHORT = 48
 _NEVER = 1 << 30
+_ROW = 24  # parts of at most so many characters are merged many at a time
+_ROWS = 1 << 12
+_TEXTS = 1 << 10  # texts that are worked on side by side
+_FEW = 24  # fewer texts, or parts, are worked on one by one
+_BITS = 62  # skips of a row are bits of one number
+_PAD = -1
+_PLACE = 5  # bits of a place in a row
+_NO_PIECE = _NEVER >> _PLACE
+_FORM = 32  # bits of a form's number
+_GATHERED = 8 << 20  # bytes of texts that are worked on at once
 
 
 _NO_DRAW = 1 << 62
@@ -56,14 +69,22 @@ class Draws:
 
     def block(self, n: int = 256) -> list[int]:
         """The next ``n`` numbers."""
-        if self.rate <= 0:
-            return [_NO_DRAW]
+        return self._next(n).tolist() if self.rate > 0 else [_NO_DRAW]
+
+    def below(self, end: int) -> np.ndarray:
+        """The numbers from here on, at least all below ``end``, then one that is never reached."""
+        found = [np.zeros(0, np.int64)]
+        while self.rate > 0 and self.last < end:
+            found.append(self._next(int((end - self.last) * self.rate * 1.1) + 16))
+        return np.append(np.concatenate(found), _NO_DRAW)
+
+    def _next(self, n: int) -> np.ndarray:
         at = np.arange(self.made, self.made + n, dtype=np.uint64)
         u = (mix(self.key + at * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
         gaps = np.zeros(n) if self.rate >= 1 else np.floor(np.log1p(-u) / np.log1p(-self.rate))
         found = self.last + np.cumsum(gaps.astype(np.int64) + 1)
         self.made, self.last = self.made + n, int(found[-1])
-        return found.tolist()
+        return found
 
 
 class PieceModel:
@@ -78,7 +99,6 @@ class PieceModel:
 
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = sp.get_piece_size()
-        self.library, self.after = sp, len(sp.encode("\n"))
         self.raw: list[bytes] = [b""] * n
         self.byte = [0] * 256
         normal = []
@@ -90,7 +110,6 @@ class PieceModel:
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 normal.append((-sp.get_score(i), i, piece))
                 self.raw[i] = piece.replace(SPACE, " ").encode()
-        self.most_byte = max([*self.byte, *(i for i in range(n) if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))])
         normal.sort()
         self.ids = [i for _, i, _ in normal]
         number = {piece: k for k, (_, _, piece) in enumerate(normal)}
@@ -108,6 +127,13 @@ class PieceModel:
             for i in range(1, len(p))
             if p[:i] in number and p[i:] in number
         }
+        self._place_pairs()
+        # in rows a character without a number is base + its code point
+        self.number = np.arange(self.base, self.base + 0x110000, dtype=np.int32)
+        for c, k in self.char.items():
+            if k < self.base - 1:
+                self.number[ord(c)] = k
+        self.id = np.array([*self.ids, 0], np.int32)
 
     def segment(self, chunk: str, skips: tuple[int, ...] = ()) -> tuple[list[int], int]:
         """Ids of one chunk when the candidates numbered ``skips`` (rising, as the agenda brings them up) are
@@ -125,20 +151,98 @@ class PieceModel:
                 ids += [self.byte[x] for x in chunk[i].encode()]
         return ids, n
 
-    def plain(self, chunks: list[str]) -> list[tuple[list[int], int]]:
-        """:meth:`segment` of many chunks without a skip, by the library's own encoder.
-
-        A line end before a chunk keeps the library's leading space away from it. Chunks that need bytes, or
-        that the library reads otherwise (a literal U+2581), are segmented here.
+    def segment_rows(self, parts: list[str], skips: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """:meth:`segment` of many parts, none longer than ``_ROW``: all ids, how many each part has, and the
+        numbers of candidates. ``skips`` has the skipped candidates of a part as bits."""
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        sym = np.full((len(parts), size.max() + 2), _PAD, np.int32)
+        sym[:, 1:-1][np.arange(size.max()) < size[:, None]] = self.number[np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)]
+        sym = np.ascontiguousarray(sym.T)
+        n = self._merge_rows(sym, None if skips is None else np.array(skips, np.int64))
+        real = sym.T != _PAD
+        flat, count = sym.T[real], real.sum(axis=1)
+        if not (flat >= self.base).any():
+            return self.id[flat], count, n
+        odd, at = np.unique(flat[flat >= self.base], return_inverse=True)  # characters that need bytes
+        raw = [chr(c - self.base).encode() for c in odd.tolist()]
+        size = np.array([len(r) for r in raw])
+        start, length = flat.astype(np.int64), np.ones(len(flat), np.int64)
+        start[flat >= self.base] = (self.base + np.cumsum(size) - size)[at]
+        length[flat >= self.base] = size[at]
+        ids = np.append(self.id, np.array([self.byte[x] for r in raw for x in r], np.int32))
+        ends = np.append(0, np.cumsum(length))[np.append(0, np.cumsum(count))]
+        return _ranges(ids, start, length), np.diff(ends), n
+
+    def _place_pairs(self) -> None:
+        """Puts ``merge`` into one table for many look-ups at once: a pair lies at the left symbol's offset plus the
+        right symbol, where ``owner`` is the left symbol. Offsets are the first at which all pairs of it find room."""
+        rights: dict[int, list[int]] = {}
+        for key in self.merge:
+            rights.setdefault(key // self.base, []).append(key % self.base)
+        self.offset = np.zeros(self.base, np.int64)
+        used = np.zeros(2 * self.base + _ROWS, bool)
+        size = at = 0
+        for left, right in sorted(rights.items(), key=lambda x: -len(x[1])):
+            if len(right) != size:
+                size, at = len(right), 0  # what was full for as many is not tried again
+            while True:
+                if at + 64 + self.base > len(used):
+                    used = np.append(used, np.zeros(len(used), bool))
+                free = ~used[at + np.arange(64)[:, None] + np.array(right)].any(axis=1)
+                if free.any():
+                    break
+                at += 64
+            at += int(free.argmax())
+            self.offset[left] = at
+            used[at + np.array(right)] = True
+        self.owner, self.made = np.full(len(used), -2, np.int32), np.zeros(len(used), np.int32)
+        for key, k in self.merge.items():
+            slot = self.offset[key // self.base] + key % self.base
+            self.owner[slot], self.made[slot] = key // self.base, k
+
+    def _pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Number of the piece that two symbols make, or ``_NO_PIECE``."""
+        left, right = np.minimum(left, self.base - 1), np.minimum(right, self.base - 1)
+        slot = self.offset[left] + right
+        return np.where(self.owner[slot] == left, self.made[slot], np.int32(_NO_PIECE))
+
+    def _merge_rows(self, sym: np.ndarray, skips: np.ndarray | None) -> np.ndarray:
+        """Merges in all rows at once, one candidate of each at a time, and returns how many each has brought up.
+
+        A row is a column of ``sym`` that begins and ends with padding; a symbol that is gone becomes padding.
+        An entry of the agenda has its place in the low bits, so the least is the leftmost of equal pieces.
         """
-        out = []
-        for chunk, ids in zip(chunks, self.library.encode(["\n" + c for c in chunks], num_threads=1)):
-            own = ids[self.after :]
-            if not own or min(own) <= self.most_byte or SPACE in chunk:
-                out.append(self.segment(chunk))
-            else:
-                out.append((own, len(chunk) - len(own)))  # every merge makes one symbol of two
-        return out
+        w = sym.shape[1]
+        place = np.arange(len(sym), dtype=np.int32)[:, None]
+        agenda = np.full(sym.shape, _NEVER, np.int32)
+        agenda[:-1] = self._pair(sym[:-1], sym[1:]) << _PLACE | place[:-1]
+        left, right = np.repeat(place - 1, w, axis=1).ravel(), np.repeat(place + 1, w, axis=1).ravel()
+        symbols, offers, brought, step = sym.ravel(), agenda.ravel(), np.zeros(w, np.int64), 0
+        while True:
+            best = agenda.min(axis=0)
+            at = np.flatnonzero(best < _NEVER)
+            if not len(at):
+                return brought
+            brought[at] += 1
+            best = best[at]
+            a = (best & (1 << _PLACE) - 1) * w + at
+            if skips is not None:
+                skip = (skips[at] >> min(step, _BITS)) & 1 > 0
+                offers[a[skip]] = _NEVER  # until a neighbour changes, which makes it another candidate
+                merged = ~skip
+                at, best, a = at[merged], best[merged], a[merged]
+            step += 1
+            made = best >> _PLACE
+            b = right[a] * w + at
+            after = right[b]
+            symbols[a], symbols[b], offers[b] = made, _PAD, _NEVER
+            right[a] = after
+            c = after * w + at
+            left[c] = a // w
+            d = left[a] * w + at
+            near = self._pair(np.concatenate([symbols[d], made]), np.concatenate([made, symbols[c]]))
+            both = np.concatenate([d, a])
+            offers[both] = near << _PLACE | both // w
 
     def _merge_short(self, sym: list[int], at: list[int], skips: tuple[int, ...]) -> int:
         """Merges in place; the agenda is a plain list, one entry for each pair of neighbours."""
@@ -196,79 +300,193 @@ class PieceModel:
         return b"".join(map(self.raw.__getitem__, ids.tolist())).decode()[1:]
 
 
+def _ranges(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """``values`` from each start on, so many as its length says, one after the other."""
+    ends = np.cumsum(length)
+    return values[np.repeat(start - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class _Numbers(dict):
+    """Numbers of parts; a new part gets the next one and is noted in ``fresh``."""
+
+    def __init__(self) -> None:
+        self.first, self.fresh = 0, []
+
+    def __missing__(self, part: str) -> int:
+        number = self[part] = self.first + len(self.fresh)
+        self.fresh.append(part)
+        return number
+
+
 class Encoder:
-    """Encodes texts; segmentations of chunks are kept, up to a bounded number.
+    """Encodes texts; segmentations of parts are kept, up to a bounded number.
 
-    ``known`` has for a chunk its undropped ids and number of candidates, ``varied`` the same for (chunk, skips).
-    Before a text both are emptied when they hold more than ``_CACHE``, so one text's forms are the bound's only
-    excess.
+    A form is a part's segmentation with some candidates skipped. Forms are numbered: ``n`` has their numbers of
+    candidates, ``start`` and ``length`` say where their ids lie in ``ids``. ``known`` has a part's undropped form,
+    ``varied`` the one for a form and skips. Before texts are encoded all are emptied when more than ``_CACHE`` forms
+    are held, so the forms of one call are the bound's only excess.
     """
 
     def __init__(self, model: bytes, seed: int, rate: float) -> None:
         self.model = PieceModel(model)
         self.seed, self.rate = seed, rate
-        self.known: dict[str, tuple[bytes, int]] = {}
-        self.varied: dict[tuple[str, tuple[int, ...]], tuple[bytes, int]] = {}
+        self._empty()
+
+    def _empty(self) -> None:
+        self.known, self.varied = _Numbers(), {}
+        self.parts: list[str] = []
+        self.size, self.n, self.start, self.length, self.ids = array("q"), array("q"), array("q"), array("q"), array("i")
 
     def encode(self, text: str, doc: object) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int32)
-        chunks = _CHUNK.findall(" " + text)
-        self._learn(chunks)
-        draws = Draws(f"{self.seed}/{doc}", self.rate)
-        known, varied, out, at = self.known, self.varied, [], 0  # at: candidates brought up so far
-        hits = draws.block()
-        hits.reverse()
-        hit = hits[-1]
-        for chunk in chunks:
-            ids, n = known[chunk]
-            if hit >= at + n:
-                out.append(ids)
-                at += n
-                continue
-            for part in self._parts(chunk):
-                ids, n = known[part]
-                skips: tuple[int, ...] = ()
-                while hit < at + n:
-                    skips += (hit - at,)
-                    ids, n = varied.get((part, skips)) or self._vary(part, skips)
-                    hits.pop()
-                    if not hits:
-                        hits = draws.block()
-                        hits.reverse()
-                    hit = hits[-1]
-                out.append(ids)
-                at += n
-        return np.frombuffer(b"".join(out), np.int32)
-
-    def _learn(self, chunks: list[str]) -> None:
-        """The undropped forms of a text's chunks that are not known yet; of one that ends in a mark from its parts."""
-        known = self.known
-        if len(known) + len(self.varied) >= _CACHE:
-            known.clear()
-            self.varied.clear()
-        fresh = [c for c in set(chunks) if c not in known]
-        split = [c for c in fresh if c[-1] in _MARKS and _LETTER_MARK.search(c)]
-        joined = set(split)
-        new = {c for c in fresh if c not in joined}
-        new.update(p for c in split for p in (c[:-1], c[-1]) if p not in known)
-        new = list(new)
-        for chunk, (ids, n) in zip(new, self.model.plain(new)):
-            known[chunk] = array("i", ids).tobytes(), n
-        for c in split:
-            (one, n), (mark, m) = known[c[:-1]], known[c[-1]]
-            known[c] = one + mark, n + m
-
-    def _parts(self, chunk: str) -> tuple[str, ...]:
-        """A chunk that ends in a mark is segmented before the mark and after; no piece reaches across."""
-        return (chunk[:-1], chunk[-1]) if chunk[-1] in _MARKS and _LETTER_MARK.search(chunk) else (chunk,)
-
-    def _vary(self, part: str, skips: tuple[int, ...]) -> tuple[bytes, int]:
-        ids, n = self.model.segment(part, skips)
-        form = array("i", ids).tobytes(), n
-        if len(part) <= _SHORT:
-            self.varied[part, skips] = form
-        return form
+        return self.encode_all([text], [doc])[0]
+
+    def encode_all(self, texts: list[str], docs: list) -> list[np.ndarray]:
+        """Ids of each text; no text's ids depend on the others."""
+        if len(self.n) >= _CACHE:
+            self._empty()
+        self.known.first, self.known.fresh = len(self.n), []
+        number, forms, cuts = self.known.__getitem__, array("q"), [0]
+        for text in texts:
+            if text:
+                forms.extend(map(number, _PART.findall(" " + text)))
+            cuts.append(len(forms))
+        self._learn(self.known.fresh)
+        forms = np.array(forms, np.int64)
+        if self.rate > 0 and len(forms):
+            self._skip(forms, np.array(cuts), docs)
+        ids, start, length = (np.array(x) for x in (self.ids, self.start, self.length))
+        return [_ranges(ids, start[f], length[f]) for f in (forms[a:b] for a, b in zip(cuts, cuts[1:]))]
+
+    def _add(self, parts: list[str], ids: np.ndarray, count: np.ndarray, n: np.ndarray, order: list[int] | None = None) -> int:
+        """Appends forms, each at its place in ``order``, and returns the number of the first."""
+        first, start = len(self.n), len(self.ids) + np.cumsum(count) - count
+        for to, values in (self.start, start), (self.length, count), (self.n, n):
+            placed = np.array(values, np.int64)
+            if order is not None:
+                placed[order] = values
+            to.frombytes(placed.tobytes())
+        self.ids.frombytes(np.asarray(ids, np.int32).tobytes())
+        self.parts += parts
+        self.size.extend(map(len, parts))
+        return first
+
+    def _learn(self, fresh: list[str]) -> None:
+        """The undropped forms of new parts."""
+        if not fresh:
+            return
+        order = sorted(range(len(fresh)), key=lambda k: len(fresh[k]))
+        parts = [fresh[k] for k in order]
+        short = bisect_right(parts, _ROW, key=len)
+        made = [self.model.segment_rows(parts[at : min(at + _ROWS, short)]) for at in range(0, short, _ROWS)]
+        made += [(ids, [len(ids)], [n]) for ids, n in map(self.model.segment, parts[short:])]
+        self._add(fresh, *map(np.concatenate, zip(*made)), order)
+
+    def _skip(self, forms: np.ndarray, cuts: np.ndarray, docs: list) -> None:
+        """Puts the form with its skips in the place of each form that the draws of its text hit.
+
+        Where a part begins in its text's stream depends on the skips before it, so many texts are worked on side by
+        side, each at its next part that is hit.
+        """
+        size = np.array(self.size)[forms]
+        ends = np.append(0, np.cumsum(np.array(self.n)[forms]))  # of all texts in a row, without skips
+        first, last = ends[cuts[:-1]], ends[cuts[1:]]
+        # each candidate is another pair: of size - 1 at first, and each of at most size - 1 merges makes two
+        reach = np.diff(np.append(0, np.cumsum(3 * size - 3))[cuts])
+        found = [Draws(f"{self.seed}/{doc}", self.rate).below(end) for doc, end in zip(docs, reach.tolist())]
+        draws_end = np.cumsum([len(x) for x in found])
+        draws, draws_at = np.concatenate(found), np.append(0, draws_end[:-1])
+        queue = np.argsort(first - last, kind="stable")  # the longest first, so that none is left alone
+        queue = queue[last[queue] > first[queue]]
+        text = hit = moved = np.zeros(0, np.int64)  # moved: what skips have brought up so far, less what they have spared
+        while len(text) or len(queue):
+            if len(text) <= _TEXTS // 2:
+                new, queue = np.split(queue, [_TEXTS - len(text)])
+                text, hit = np.append(text, new), np.append(hit, draws_at[new])
+                moved = np.append(moved, np.zeros_like(new))
+            if len(text) < _FEW:
+                for i, k, m in zip(text.tolist(), hit.tolist(), moved.tolist()):
+                    a, b = cuts[i : i + 2]
+                    self._skip_alone(forms[a:b], (ends[a + 1 : b + 1] - first[i]).tolist(), draws[k : draws_end[i]].tolist(), m)
+                return
+            at = draws[hit] - moved
+            on = at < (last - first)[text]
+            text, hit, moved = text[on], hit[on], moved[on]
+            part = np.searchsorted(ends, at[on] + first[text], side="right") - 1
+            begin = ends[part] - first[text] + moved
+            made = self._skipped(forms[part], size[part], begin, draws, hit, draws_end[text])
+            forms[part] = made
+            end = begin + np.array([self.n[form] for form in made], np.int64)
+            moved = end - (ends[part + 1] - first[text])
+            hit = hit + 1
+            while (behind := draws[hit] < end).any():
+                hit = hit + behind
+
+    def _skip_alone(self, forms: np.ndarray, ends: list[int], draws: list[int], moved: int) -> None:
+        """:meth:`_skip` for what is left of one text."""
+        k = j = 0
+        while draws[k] - moved < ends[-1]:
+            j = bisect_right(ends, draws[k] - moved, j)
+            form = int(forms[j])
+            size = self.size[form]
+            begin = ends[j] + moved - self.n[form]
+            at, top, most = k, begin + size - 1, begin + 3 * size - 3
+            while draws[at] < top and draws[at] < most:
+                at, top = at + 1, top + 1
+            skips = [x - begin for x in draws[k:at]]
+            if size > _ROW or skips[-1] >= _BITS:
+                new = self._vary_one(form, skips)
+            else:
+                key = sum(1 << x for x in skips) << _FORM | form
+                new = self.varied.get(key)
+                if new is None:
+                    new = self.varied[key] = self._vary_one(form, skips)
+            forms[j] = new
+            end = begin + self.n[new]
+            moved = end - ends[j]
+            while draws[k] < end:
+                k += 1
+
+    def _skipped(
+        self, form: np.ndarray, size: np.ndarray, begin: np.ndarray, draws: np.ndarray, hit: np.ndarray, end: np.ndarray
+    ) -> list[int]:
+        """Numbers of the forms with the skips that the draws from ``hit`` on ask for when a part begins at ``begin``."""
+        bits, short = np.zeros(len(form), np.int64), size <= _ROW
+        at, top = hit, begin + size - 1  # size - 1 merges at most, and one candidate more for each skip
+        while (inside := short & (draws[at] < np.minimum(top, begin + 3 * size - 3))).any():
+            skip = draws[at] - begin
+            short &= ~inside | (skip < _BITS)
+            bits |= np.where(inside, 1 << np.minimum(skip, _BITS - 1), 0)
+            at, top = at + inside, top + inside
+        keys = [b << _FORM | f for f, b in zip(form.tolist(), bits.tolist())]
+        made = [self.varied.get(key, -1) for key in keys]
+        for i in np.flatnonzero(~short).tolist():
+            skips = draws[hit[i] : end[i]] - begin[i]
+            made[i] = self._vary_one(form[i], skips[: np.searchsorted(skips, 3 * size[i])].tolist())
+        if -1 in made:
+            self._vary(list({key for key, known in zip(keys, made) if known < 0}))
+            made = [self.varied[key] if known < 0 else known for key, known in zip(keys, made)]
+        return made
+
+    def _vary(self, keys: list[int]) -> None:
+        """The forms of keys (bits of skips above the number of the undropped form), many at a time."""
+        parts, bits = [self.parts[key & (1 << _FORM) - 1] for key in keys], [key >> _FORM for key in keys]
+        if len(keys) < _FEW:
+            self.varied.update(
+                (key, self._vary_one(key & (1 << _FORM) - 1, [x for x in range(b.bit_length()) if b >> x & 1]))
+                for key, b in zip(keys, bits)
+            )
+        else:
+            first = self._add(parts, *self.model.segment_rows(parts, bits))
+            self.varied.update(zip(keys, range(first, first + len(keys))))
+
+    def _vary_one(self, form: int, skips: list[int]) -> int:
+        part = self.parts[form]
+        ids, n = self.model.segment(part, tuple(skips))
+        self.parts.append(part)
+        for to, value in (self.size, len(part)), (self.n, n), (self.start, len(self.ids)), (self.length, len(ids)):
+            to.append(value)
+        self.ids.extend(ids)
+        return len(self.n) - 1
 
 
 RESULTS: list[tuple[str, T.DataType]] = [("piece_ids", T.ArrayType(T.IntegerType())), ("decoded_text", T.StringType())]
@@ -292,7 +510,7 @@ def encode_pieces(
     Input columns named like an added one are replaced.
     """
     added = RESULTS if decode else RESULTS[:1]
-    return with_results(docs, added, partial(_encode_batch, docs.sparkSession.sparkContext.broadcast(model), (seed, rate), doc, text, decode))
+    return with_results(docs, added, partial(_encode_batch, docs.sparkSession.sparkContext.broadcast(model), (seed, rate), doc, text, decode), _GATHERED)
 
 
 _encoders: dict[tuple, Encoder] = task_cache()
@@ -305,13 +523,9 @@ def _encode_batch(model, setting: tuple, doc: str, text: str, decode: bool, batc
         _encoders[key] = Encoder(model.value, *setting)
     encoder = _encoders[key]
     names = batch.schema.get_field_index
-    ids, ends, texts = [], [0], []
-    for d, t in zip(batch.column(names(doc)), batch.column(names(text))):
-        got = encoder.encode(t.as_py() or "", d.as_py())
-        ids.append(got)
-        ends.append(ends[-1] + len(got))
-        if decode:
-            texts.append(encoder.model.decode(got))
+    ids = encoder.encode_all([t or "" for t in batch.column(names(text)).to_pylist()], batch.column(names(doc)).to_pylist())
+    ends = np.append(0, np.cumsum([len(x) for x in ids]))
+    texts = [encoder.model.decode(x) for x in ids] if decode else []
     flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
     out = {"piece_ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)}
     return out | ({"decoded_text": pa.array(texts, pa.string())} if decode else {})

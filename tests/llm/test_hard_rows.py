@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, against brute force."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -153,6 +154,26 @@ def test_pieces_against_library_and_brute_force(hard_rows, model):
         pieces._CACHE = before
 
 
+def test_pieces_side_by_side(model, monkeypatch):
+    """Many texts at once get what each gets alone, at any rate and with parts that rows cannot hold."""
+    rng = random.Random(5)
+    words = ["the", "internationalisation,", "über", "▁x", "日本語。", "a" * 30, "q" * 60, "3.14", "x.", ",", "\n", "  ", "Donaudampfschiffahrt.", "\U0010ffff"]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(60))) for _ in range(90)] + ["", "x", " ".join(words * 40)]
+    for rate in (0.1, 0.5, 1.0):
+        together = pieces.Encoder(model, 3, rate).encode_all(texts, list(range(len(texts))))
+        alone = pieces.Encoder(model, 3, rate)
+        for i, ids in enumerate(together):
+            assert ids.tolist() == alone.encode(texts[i], i).tolist() and alone.model.decode(ids) == texts[i]
+            if len(texts[i]) < 600:
+                assert ids.tolist() == brute.encode_with_draws(texts[i], i, alone.model, 3, rate)
+    once = []
+    one_by_one = pieces.PieceModel.segment
+    monkeypatch.setattr(pieces.PieceModel, "segment", lambda *a: once.append(a) or one_by_one(*a))
+    fresh = ["".join(rng.choices("aeiorstnl", k=9)) for _ in range(4000)]
+    pieces.Encoder(model, 3, 0.1).encode_all([" ".join(fresh[i : i + 20]) for i in range(0, 4000, 20)], list(range(200)))
+    assert len(once) < 400  # new words and their skips are merged many at a time
+
+
 def test_draws_vary_by_place_and_document(model):
     """A frequent word is segmented in many ways, in one text and over documents; the rate is kept."""
     e = pieces.Encoder(model, 7, 0.1)
